@@ -1,0 +1,6 @@
+"""Streaming.
+
+The engine's inputs are batch tables (change-event Parquet, landed rate
+files) and every operator is a batch ``DataFrame -> DataFrame`` function;
+there is no stream source, watermark or stateful operator to provide.
+"""
