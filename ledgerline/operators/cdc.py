@@ -92,14 +92,18 @@ def running_balance(sg: DataFrame, tie: str, bucket: str = "minute") -> DataFram
     """Running balance after every event, ordered by ``(event_ts, tie)``.
 
     A window partitioned by account alone would put a hot account (up to a
-    third of all events) into one task. Instead the prefix sum has three
-    levels: days per account, time buckets per account-day, and events per
-    account-bucket. The first two run on pre-aggregated rows (map-side
-    combine), the last one on events hashed by (account, bucket), so no task
-    holds more than one bucket of one account. ``bucket`` is any
-    ``date_trunc`` unit; finer units cut hot accounts into smaller pieces.
-
-    Requires a validated feed (no NULL account or event time).
+    third of all events) into one task. The prefix sum is split in two:
+
+    1. per (account, time bucket) sums, aggregated map-side, and their
+       exclusive prefix per account. That window sorts one row per active
+       bucket, so a hot account costs at most one row per minute of its
+       life, however many events it has;
+    2. the events, hashed by (account, bucket), get the bucket's offset by
+       an equi-join and a running sum inside their bucket.
+
+    No task ever holds more than one bucket of one account. ``bucket`` is a
+    ``date_trunc`` unit no coarser than a day; finer units cut hot accounts
+    into smaller pieces. Requires a validated feed (no NULL account or time).
     """
     if tie not in sg.columns:
         raise ValueError(f"tie column {tie!r} not in input")
@@ -107,20 +111,13 @@ def running_balance(sg: DataFrame, tie: str, bucket: str = "minute") -> DataFram
         raise ValueError(f"bucket must be one of {BUCKET_UNITS}, not {bucket!r}")
     n = F.col("normalized_amount")
     ev = sg.withColumn("_bucket", F.date_trunc(bucket, "event_ts"))
-    per_bucket = ev.groupBy(ACCOUNT, "partition_date", "_bucket").agg(F.sum(n).alias("_bsum"))
-    per_day = per_bucket.groupBy(ACCOUNT, "partition_date").agg(F.sum("_bsum").alias("_dsum"))
     before = Window.unboundedPreceding
-    w_day = Window.partitionBy(ACCOUNT).orderBy("partition_date").rowsBetween(before, -1)
-    day_offset = per_day.select(
-        ACCOUNT, "partition_date",
-        F.coalesce(F.sum("_dsum").over(w_day), F.lit(0)).alias("_doff"))
-    w_bucket = Window.partitionBy(ACCOUNT, "partition_date").orderBy("_bucket").rowsBetween(before, -1)
-    bucket_offset = (per_bucket
-                     .withColumn("_boff", F.coalesce(F.sum("_bsum").over(w_bucket), F.lit(0)))
-                     .join(day_offset, [ACCOUNT, "partition_date"])
-                     .select(ACCOUNT, "_bucket", (F.col("_doff") + F.col("_boff")).alias("_offset")))
+    w_bucket = Window.partitionBy(ACCOUNT).orderBy("_bucket").rowsBetween(before, -1)
+    offsets = (ev.groupBy(ACCOUNT, "_bucket").agg(F.sum(n).alias("_bsum"))
+               .select(ACCOUNT, "_bucket",
+                       F.coalesce(F.sum("_bsum").over(w_bucket), F.lit(0)).alias("_offset")))
     w_row = (Window.partitionBy(ACCOUNT, "_bucket").orderBy("event_ts", tie)
              .rowsBetween(before, Window.currentRow))
-    out = (ev.join(bucket_offset, [ACCOUNT, "_bucket"])
+    out = (ev.join(offsets, [ACCOUNT, "_bucket"])
            .withColumn("running_balance", F.col("_offset") + F.coalesce(F.sum(n).over(w_row), F.lit(0))))
     return out.drop("_bucket", "_offset")

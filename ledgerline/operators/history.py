@@ -29,17 +29,6 @@ def _rollup_measures(n):
     ]
 
 
-def _remerge_measures():
-    """The same measures one level up (sum of sums, max of max)."""
-    return [
-        F.sum("net").alias("net"),
-        F.sum("total_deposits").alias("total_deposits"),
-        F.sum("total_withdrawals").alias("total_withdrawals"),
-        F.sum("transactions_count").alias("transactions_count"),
-        F.max("last_movement_ts").alias("last_movement_ts"),
-    ]
-
-
 def daily_rollup(sg: DataFrame) -> DataFrame:
     """One row per account and day with movement: ``net``, deposits (>0),
     withdrawals (<0, a negative sum), ``withdrawals_sum`` (positive, 0 when
@@ -76,25 +65,29 @@ def with_immovable(balances: DataFrame, netting: str = "observed") -> DataFrame:
         immovable("balance_previous", "total_withdrawals", "total_deposits", netting))
 
 
-def _clamped_rollup(sg: DataFrame, start: str, end: str) -> DataFrame:
-    """One aggregation over the whole feed at (account, user, day) grain, with
-    every day before ``start`` folded into ``start - 1`` (the opening
-    balance) and every day after ``end`` into ``end + 1``. The folded rows keep
-    the accounts seen only outside the window and carry the balance history,
-    so the later window sorts at most ``days + 2`` rows per account and user
-    instead of the account's whole history."""
-    s, e = date_lit(start), date_lit(end)
-    d = F.col(DAY)
-    key = F.when(d < s, F.date_sub(s, 1)).when(d > e, F.date_add(e, 1)).otherwise(d)
-    return sg.groupBy(ACCOUNT, USER, key.alias(DAY)).agg(*_rollup_measures(F.col("normalized_amount")))
+def _until(sg: DataFrame, end: str) -> DataFrame:
+    """Events up to the end of ``end``. Stated on the raw event time with a
+    literal of the same type, so Parquet gets it as a pushed filter and
+    skips row groups of later events."""
+    ts_type = sg.schema["event_ts"].dataType
+    limit = F.lit(f"{end} 00:00:00").cast(ts_type) + F.expr("INTERVAL 1 DAY")
+    return sg.filter(F.col("event_ts").isNull() | (F.col("event_ts") < limit))
 
 
-def _account_days(rollup: DataFrame, end: str, netting: str) -> DataFrame:
-    """Per-account days up to ``end`` (opening row included) with balance,
-    previous balance and immovable balance. Users of a shared account are
-    merged here: balances belong to the account."""
-    daily = (rollup.filter(F.col(DAY).isNull() | (F.col(DAY) <= date_lit(end)))
-             .groupBy(ACCOUNT, DAY).agg(*_remerge_measures()))
+def _account_days(sg: DataFrame, start: str, end: str, netting: str) -> DataFrame:
+    """Per-account days up to ``end`` with balance, previous balance and
+    immovable balance, from one aggregation over the feed.
+
+    Every day before ``start`` is folded into ``start - 1``: that row is the
+    opening balance, so the window below sorts at most ``days + 1`` rows
+    per account instead of the account's whole history. Balances belong to
+    the account, so users of a shared account are merged here.
+    """
+    s = date_lit(start)
+    d = F.col(DAY)
+    key = F.when(d < s, F.date_sub(s, 1)).otherwise(d)
+    daily = _until(sg, end).groupBy(ACCOUNT, key.alias(DAY)).agg(
+        *_rollup_measures(F.col("normalized_amount")))
     return with_immovable(with_balances(daily), netting)
 
 
@@ -121,9 +114,10 @@ def wallet_history(sg: DataFrame, start: str, end: str | None = None,
     start, end = validate_dates(start, end)
     if quiet_days not in ("zero", "carry"):
         raise ValueError(f"quiet_days must be 'zero' or 'carry', not {quiet_days!r}")
-    rollup = _clamped_rollup(sg, start, end)
-    pairs = rollup.select(ACCOUNT, USER).distinct()
-    days = _account_days(rollup, end, netting)
+    # Pairs come from the whole feed (accounts first seen after ``end``
+    # still get rows); a two-column scan with map-side distinct.
+    pairs = sg.select(ACCOUNT, USER).distinct()
+    days = _account_days(sg, start, end, netting)
     in_window = F.col(DAY).between(date_lit(start), date_lit(end))
     if quiet_days == "zero":
         grid = pairs.select(ACCOUNT, USER, calendar(start, end).alias(DAY))
