@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,7 +27,8 @@ def read_rates_json(spark: SparkSession, path: str, multiline: bool = True) -> D
 
 
 def write_by_day(df: DataFrame, path: str, mode: str = "overwrite",
-                 dynamic: bool = True, compression: str = "snappy") -> None:
+                 dynamic: bool = True, compression: str = "snappy",
+                 observation: Observation | None = None) -> None:
     """Parquet partitioned by ``partition_date`` (written as ISO text).
 
     ``dynamic=True`` replaces only the days present in ``df`` (incremental
@@ -40,6 +41,9 @@ def write_by_day(df: DataFrame, path: str, mode: str = "overwrite",
     out = df.withColumn("partition_date", F.col("partition_date").cast("string"))
     keys = ["partition_date"] + (["account_id"] if "account_id" in df.columns else [])
     out = out.repartitionByRange(*keys)
+    if observation is not None:
+        # after the exchange: the range sampling job must not be counted
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     (out.write
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy("partition_date")
@@ -62,8 +66,10 @@ def read_by_day(spark: SparkSession, path: str, schema: StructType,
     return df.withColumn("partition_date", F.col("partition_date").cast("date"))
 
 
-def write_rates(rates: DataFrame, path: str, dynamic: bool = True) -> None:
-    write_by_day(rates.select("cdi_rate", "partition_date"), path, dynamic=dynamic)
+def write_rates(rates: DataFrame, path: str, dynamic: bool = True,
+                observation: Observation | None = None) -> None:
+    write_by_day(rates.select("cdi_rate", "partition_date"), path, dynamic=dynamic,
+                 observation=observation)
 
 
 def read_rates(spark: SparkSession, path: str, start: str | None = None,

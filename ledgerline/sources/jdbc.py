@@ -7,7 +7,8 @@ column pruning are pushed into the remote query by Catalyst.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline import constants as K
 
@@ -29,7 +30,8 @@ def read_table(spark: SparkSession, url: str, table: str, properties: dict[str,
 def write_table(df: DataFrame, url: str, table: str, properties: dict[str, str],
                 mode: str = "overwrite", truncate: bool = False,
                 writers: int | None = None,
-                batch_size: int = K.JDBC_BATCH_SIZE) -> bool:
+                batch_size: int = K.JDBC_BATCH_SIZE,
+                observation: Observation | None = None) -> bool:
     """Write ``df`` unless it is empty; returns whether anything was written.
 
     ``writers`` parallel connections (default: the frame's partitions, at
@@ -43,5 +45,8 @@ def write_table(df: DataFrame, url: str, table: str, properties: dict[str, str],
     props.setdefault("batchsize", str(batch_size))
     props.setdefault("reWriteBatchedInserts", "true")
     props["truncate"] = "true" if truncate else "false"
-    df.repartition(n).write.jdbc(url=url, table=table, mode=mode, properties=props)
+    out = df.repartition(n)
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+    out.write.jdbc(url=url, table=table, mode=mode, properties=props)
     return True
