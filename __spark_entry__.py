@@ -52,9 +52,20 @@ def _money(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in cols})
 
 
+_SPANS: dict[str, tuple[str, str]] = {}
+
+
+def _span(spark, d):
+    """First and last event day of the folder's events (one small aggregate,
+    remembered per folder: the supplied tables are read-only)."""
+    if d not in _SPANS:
+        _SPANS[d] = files.data_window(_signed(spark, d))
+    return _SPANS[d]
+
+
 def _history(spark, d, netting="observed", quiet_days="zero", single_day=False):
     sg = _signed(spark, d)
-    s, e = files.data_window(sg)
+    s, e = _span(spark, d)
     if single_day:
         return hist_ops.wallet_history(sg, e, None, netting, quiet_days)
     return hist_ops.wallet_history(sg, s, e, netting, quiet_days)
@@ -76,10 +87,6 @@ def _audit(spark, d):
     return int_ops.audit(_decision(spark, d), JOB_ID, JOB_TS)
 
 
-def _span(spark, d):
-    return files.data_window(_signed(spark, d))
-
-
 def q_signed_amounts(spark, d):
     sg = _signed(spark, d)
     return _money(sg.select("account_id", "user_id", "transaction_type", "amount", "event_time",
@@ -125,9 +132,8 @@ def q_immovable_full(spark, d):
 
 
 def q_calendar_accounts(spark, d):
-    sg = _signed(spark, d)
-    s, e = files.data_window(sg)
-    return hist_ops.calendar_accounts(sg, s, e)
+    s, e = _span(spark, d)
+    return hist_ops.calendar_accounts(_signed(spark, d), s, e)
 
 
 def q_wallet_history(spark, d):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
-from ledgerline.functions import event_timestamp, signed_amount
+from ledgerline.functions import event_timestamp, from_minor, minor_units, signed_amount
 
 ACCOUNT = "account_id"
 
@@ -103,14 +103,16 @@ def running_balance(sg: DataFrame, tie: str, bucket: str = "minute") -> DataFram
 
     No task ever holds more than one bucket of one account. ``bucket`` is a
     ``date_trunc`` unit no coarser than a day; finer units cut hot accounts
-    into smaller pieces. Requires a validated feed (no NULL account or time).
+    into smaller pieces. Sums run on exact LONG minor units; the balance is
+    returned as a double. Requires a validated feed (no NULL account or time).
     """
     if tie not in sg.columns:
         raise ValueError(f"tie column {tie!r} not in input")
     if bucket not in BUCKET_UNITS:
         raise ValueError(f"bucket must be one of {BUCKET_UNITS}, not {bucket!r}")
-    n = F.col("normalized_amount")
-    ev = sg.withColumn("_bucket", F.date_trunc(bucket, "event_ts"))
+    m, scale = minor_units("normalized_amount", sg.schema["normalized_amount"].dataType)
+    n = F.col("_minor")
+    ev = sg.withColumns({"_minor": m, "_bucket": F.date_trunc(bucket, "event_ts")})
     before = Window.unboundedPreceding
     w_bucket = Window.partitionBy(ACCOUNT).orderBy("_bucket").rowsBetween(before, -1)
     offsets = (ev.groupBy(ACCOUNT, "_bucket").agg(F.sum(n).alias("_bsum"))
@@ -119,5 +121,6 @@ def running_balance(sg: DataFrame, tie: str, bucket: str = "minute") -> DataFram
     w_row = (Window.partitionBy(ACCOUNT, "_bucket").orderBy("event_ts", tie)
              .rowsBetween(before, Window.currentRow))
     out = (ev.join(offsets, [ACCOUNT, "_bucket"])
-           .withColumn("running_balance", F.col("_offset") + F.coalesce(F.sum(n).over(w_row), F.lit(0))))
-    return out.drop("_bucket", "_offset")
+           .withColumn("running_balance",
+                       from_minor(F.col("_offset") + F.coalesce(F.sum(n).over(w_row), F.lit(0)), scale)))
+    return out.drop("_bucket", "_offset", "_minor")

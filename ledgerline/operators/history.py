@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions import calendar, date_lit, immovable, validate_dates
+from ledgerline.functions import (
+    calendar, date_lit, from_minor, immovable, minor_to_decimal, minor_units, validate_dates,
+)
 
 ACCOUNT = "account_id"
 USER = "user_id"
@@ -17,6 +19,16 @@ HISTORY_COLUMNS = ("account_id", "user_id", "balance", "balance_previous",
                    "total_withdrawals", "transactions_count", "partition_date")
 
 
+MINOR = "_minor"
+ROLLUP_MONEY = ("net", "total_deposits", "total_withdrawals")
+
+
+def with_minor_units(sg: DataFrame) -> tuple[DataFrame, int | None]:
+    """Adds the signed amount as exact LONG minor units (see ``minor_units``)."""
+    m, scale = minor_units("normalized_amount", sg.schema["normalized_amount"].dataType)
+    return sg.withColumn(MINOR, m), scale
+
+
 def _rollup_measures(n):
     """Per-day measures. Deposits and withdrawals stay NULL (not 0) for a
     side without movement: the immovable rule depends on it."""
@@ -34,14 +46,18 @@ def daily_rollup(sg: DataFrame) -> DataFrame:
     withdrawals (<0, a negative sum), ``withdrawals_sum`` (positive, 0 when
     none), the event count over all types and the last event time.
 
-    Hash aggregate with map-side combine: a hot account only ever ships one
-    partial row per map task and day.
+    Hash aggregate with map-side combine, summing LONG minor units: a hot
+    account only ever ships one partial row per map task and day. Money
+    columns come back as exact decimals of the input's scale.
     """
-    n = F.col("normalized_amount")
-    return sg.groupBy(ACCOUNT, DAY).agg(
+    ev, scale = with_minor_units(sg)
+    n = F.col(MINOR)
+    out = ev.groupBy(ACCOUNT, DAY).agg(
         *_rollup_measures(n),
         F.sum(F.when(n < 0, -n).otherwise(F.lit(0))).alias("withdrawals_sum"),
     )
+    return out.withColumns({c: minor_to_decimal(c, scale)
+                            for c in (*ROLLUP_MONEY, "withdrawals_sum")})
 
 
 def daily_transaction_counts(sg: DataFrame) -> DataFrame:
@@ -74,7 +90,7 @@ def _until(sg: DataFrame, end: str) -> DataFrame:
     return sg.filter(F.col("event_ts").isNull() | (F.col("event_ts") < limit))
 
 
-def _account_days(sg: DataFrame, start: str, end: str, netting: str) -> DataFrame:
+def _account_days(ev: DataFrame, start: str, end: str, netting: str) -> DataFrame:
     """Per-account days up to ``end`` with balance, previous balance and
     immovable balance, from one aggregation over the feed.
 
@@ -86,8 +102,7 @@ def _account_days(sg: DataFrame, start: str, end: str, netting: str) -> DataFram
     s = date_lit(start)
     d = F.col(DAY)
     key = F.when(d < s, F.date_sub(s, 1)).otherwise(d)
-    daily = _until(sg, end).groupBy(ACCOUNT, key.alias(DAY)).agg(
-        *_rollup_measures(F.col("normalized_amount")))
+    daily = _until(ev, end).groupBy(ACCOUNT, key.alias(DAY)).agg(*_rollup_measures(F.col(MINOR)))
     return with_immovable(with_balances(daily), netting)
 
 
@@ -117,7 +132,8 @@ def wallet_history(sg: DataFrame, start: str, end: str | None = None,
     # Pairs come from the whole feed (accounts first seen after ``end``
     # still get rows); a two-column scan with map-side distinct.
     pairs = sg.select(ACCOUNT, USER).distinct()
-    days = _account_days(sg, start, end, netting)
+    ev, scale = with_minor_units(sg)
+    days = _account_days(ev, start, end, netting)
     in_window = F.col(DAY).between(date_lit(start), date_lit(end))
     if quiet_days == "zero":
         grid = pairs.select(ACCOUNT, USER, calendar(start, end).alias(DAY))
@@ -127,9 +143,9 @@ def wallet_history(sg: DataFrame, start: str, end: str | None = None,
         out = grid.join(moving, [ACCOUNT, DAY], "left")
         out = out.select(
             ACCOUNT, USER,
-            *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in MONEY_OUT[:3]],
+            *[from_minor(F.coalesce(F.col(c), F.lit(0)), scale).alias(c) for c in MONEY_OUT[:3]],
             "last_movement_ts",
-            *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in MONEY_OUT[3:]],
+            *[from_minor(F.coalesce(F.col(c), F.lit(0)), scale).alias(c) for c in MONEY_OUT[3:]],
             F.coalesce(F.col("transactions_count"), F.lit(0)).cast("bigint").alias("transactions_count"),
             DAY)
         return out.select(*HISTORY_COLUMNS)
@@ -158,8 +174,8 @@ def wallet_history(sg: DataFrame, start: str, end: str | None = None,
     out = pairs.join(per_account, ACCOUNT)
     return out.select(
         ACCOUNT, USER,
-        *[F.col(c).cast("double").alias(c) for c in MONEY_OUT[:3]],
+        *[from_minor(c, scale).alias(c) for c in MONEY_OUT[:3]],
         "last_movement_ts",
-        *[F.col(c).cast("double").alias(c) for c in MONEY_OUT[3:]],
+        *[from_minor(c, scale).alias(c) for c in MONEY_OUT[3:]],
         "transactions_count", DAY,
     )

@@ -50,7 +50,7 @@ def test_no_task_holds_a_whole_account(spark):
     """The event-level window is partitioned by account and bucket."""
     out = ops.running_balance(ops.signed(_fixture(spark)), tie="event_id")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    windows = [ln for ln in plan.splitlines() if "Window [sum(normalized_amount" in ln]
+    windows = [ln for ln in plan.splitlines() if "Window [sum(_minor" in ln and "event_ts" in ln]
     assert windows and all("[account_id" in w and "_bucket" in w.split("], [")[1] for w in windows)
 
 
