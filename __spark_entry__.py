@@ -35,17 +35,18 @@ BINS = 20
 
 
 # --- Spark side ---------------------------------------------------------------
+# Each query reads ``events`` once and derives every input from that frame.
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/events.parquet")
 
 
-def _cdc(spark, d):
-    return standins.cdc_from_events(_events(spark, d))
+def _cdc(ev: DataFrame) -> DataFrame:
+    return standins.cdc_from_events(ev)
 
 
-def _signed(spark, d):
-    return cdc_ops.signed(_cdc(spark, d))
+def _signed(ev: DataFrame) -> DataFrame:
+    return cdc_ops.signed(_cdc(ev))
 
 
 def _money(df: DataFrame, *cols: str) -> DataFrame:
@@ -55,69 +56,75 @@ def _money(df: DataFrame, *cols: str) -> DataFrame:
 _SPANS: dict[str, tuple[str, str]] = {}
 
 
-def _span(spark, d):
+def _span(ev: DataFrame, d: str) -> tuple[str, str]:
     """First and last event day of the folder's events (one small aggregate,
     remembered per folder: the supplied tables are read-only)."""
     if d not in _SPANS:
-        _SPANS[d] = files.data_window(_signed(spark, d))
+        _SPANS[d] = files.data_window(_signed(ev))
     return _SPANS[d]
 
 
-def _history(spark, d, netting="observed", quiet_days="zero", single_day=False):
-    sg = _signed(spark, d)
-    s, e = _span(spark, d)
-    if single_day:
-        return hist_ops.wallet_history(sg, e, None, netting, quiet_days)
-    return hist_ops.wallet_history(sg, s, e, netting, quiet_days)
+class _Run:
+    """The stand-in pipeline over one folder's events."""
 
+    def __init__(self, spark: SparkSession, d: str):
+        self.spark, self.d = spark, d
+        self.ev = _events(spark, d)
+        self.start, self.end = _span(self.ev, d)
 
-def _rates(spark, d):
-    return rate_ops.normalize(standins.rates_raw_from_events(_events(spark, d)))
+    def signed(self) -> DataFrame:
+        return _signed(self.ev)
 
+    def history(self, netting="observed", quiet_days="zero", single_day=False) -> DataFrame:
+        if single_day:
+            return hist_ops.wallet_history(self.signed(), self.end, None, netting, quiet_days)
+        return hist_ops.wallet_history(self.signed(), self.start, self.end, netting, quiet_days)
 
-def _decision(spark, d):
-    return int_ops.decide(_history(spark, d), _rates(spark, d), MIN_BALANCE, DECIMALS)
+    def rates(self) -> DataFrame:
+        return rate_ops.normalize(standins.rates_raw_from_events(self.ev))
 
+    def decision(self) -> DataFrame:
+        return int_ops.decide(self.history(), self.rates(), MIN_BALANCE, DECIMALS)
 
-def _payments(spark, d):
-    return int_ops.payments(_decision(spark, d))
+    def payments(self) -> DataFrame:
+        return int_ops.payments(self.decision())
 
-
-def _audit(spark, d):
-    return int_ops.audit(_decision(spark, d), JOB_ID, JOB_TS)
+    def audit(self) -> DataFrame:
+        return int_ops.audit(self.decision(), JOB_ID, JOB_TS)
 
 
 def q_signed_amounts(spark, d):
-    sg = _signed(spark, d)
+    sg = _Run(spark, d).signed()
     return _money(sg.select("account_id", "user_id", "transaction_type", "amount", "event_time",
                             "event_id", "normalized_amount", "event_ts", "partition_date"),
                   "amount", "normalized_amount")
 
 
 def q_running_balance(spark, d):
-    out = cdc_ops.running_balance(_signed(spark, d), tie="event_id")
+    out = cdc_ops.running_balance(_Run(spark, d).signed(), tie="event_id")
     return _money(out.select("account_id", "event_id", "event_ts", "partition_date",
                              "normalized_amount", "running_balance"),
                   "normalized_amount", "running_balance")
 
 
 def q_daily_rollup(spark, d):
-    out = hist_ops.daily_rollup(_signed(spark, d))
+    out = hist_ops.daily_rollup(_Run(spark, d).signed())
     return _money(out, "net", "total_deposits", "total_withdrawals", "withdrawals_sum")
 
 
 def q_daily_transaction_counts(spark, d):
-    return hist_ops.daily_transaction_counts(_signed(spark, d))
+    return hist_ops.daily_transaction_counts(_Run(spark, d).signed())
 
 
 def q_previous_balance(spark, d):
-    out = hist_ops.with_balances(hist_ops.daily_rollup(_signed(spark, d)))
+    out = hist_ops.with_balances(hist_ops.daily_rollup(_Run(spark, d).signed()))
     return _money(out.select("account_id", "partition_date", "balance", "balance_previous"),
                   "balance", "balance_previous")
 
 
 def _immovable(spark, d, netting):
-    out = hist_ops.with_immovable(hist_ops.with_balances(hist_ops.daily_rollup(_signed(spark, d))), netting)
+    daily = hist_ops.daily_rollup(_Run(spark, d).signed())
+    out = hist_ops.with_immovable(hist_ops.with_balances(daily), netting)
     return _money(out.select("account_id", "partition_date", "balance_previous", "total_deposits",
                              "total_withdrawals", "immovable_balance"),
                   "balance_previous", "total_deposits", "total_withdrawals", "immovable_balance")
@@ -132,99 +139,107 @@ def q_immovable_full(spark, d):
 
 
 def q_calendar_accounts(spark, d):
-    s, e = _span(spark, d)
-    return hist_ops.calendar_accounts(_signed(spark, d), s, e)
+    r = _Run(spark, d)
+    return hist_ops.calendar_accounts(r.signed(), r.start, r.end)
 
 
 def q_wallet_history(spark, d):
-    return _history(spark, d)
+    return _Run(spark, d).history()
 
 
 def q_wallet_history_carry(spark, d):
-    return _history(spark, d, quiet_days="carry")
+    return _Run(spark, d).history(quiet_days="carry")
 
 
 def q_wallet_history_full(spark, d):
-    return _history(spark, d, netting="full")
+    return _Run(spark, d).history(netting="full")
 
 
 def q_history_single_day(spark, d):
-    return _history(spark, d, single_day=True)
+    return _Run(spark, d).history(single_day=True)
 
 
 def q_cdc_quality_report(spark, d):
-    return cdc_ops.quality_report(standins.dirty_cdc(_cdc(spark, d)))
+    return cdc_ops.quality_report(standins.dirty_cdc(_cdc(_events(spark, d))))
 
 
 def q_rates_normalized(spark, d):
-    return _rates(spark, d)
+    return _Run(spark, d).rates()
 
 
 def q_rates_in_range(spark, d):
+    r = _Run(spark, d)
     path = fresh_path(spark, "rates")
-    files.write_rates(_rates(spark, d), path)
-    s, e = _span(spark, d)
-    return files.read_rates(spark, path, s, e)
+    files.write_rates(r.rates(), path)
+    return files.read_rates(spark, path, r.start, r.end)
 
 
 def q_rates_roundtrip(spark, d):
     """Write all rates, then overwrite the second half of the days again:
     the dynamic overwrite must keep the first half."""
+    r = _Run(spark, d)
     path = fresh_path(spark, "rates")
-    rates = _rates(spark, d)
+    rates = r.rates()
     files.write_rates(rates, path, dynamic=True)
-    s, e = _span(spark, d)
-    mid = (_dt.date.fromisoformat(s) + (_dt.date.fromisoformat(e) - _dt.date.fromisoformat(s)) / 2)
+    s, e = _dt.date.fromisoformat(r.start), _dt.date.fromisoformat(r.end)
+    mid = s + (e - s) / 2
     files.write_rates(rates.filter(F.col("partition_date") > F.lit(mid.isoformat()).cast("date")),
                       path, dynamic=True)
     return files.read_rates(spark, path)
 
 
 def q_interest_payments(spark, d):
-    return _payments(spark, d)
+    return _Run(spark, d).payments()
 
 
 def q_interest_audit(spark, d):
-    return _audit(spark, d)
+    return _Run(spark, d).audit()
 
 
 def q_audit_defaults(spark, d):
-    rows = standins.audit_with_gaps(int_ops.audit_rows(_decision(spark, d)))
+    rows = standins.audit_with_gaps(int_ops.audit_rows(_Run(spark, d).decision()))
     return int_ops.with_audit_defaults(rows, JOB_ID, JOB_TS)
 
 
 def q_audit_summary(spark, d):
-    return rep.audit_summary(_audit(spark, d), *_span(spark, d))
+    r = _Run(spark, d)
+    return rep.audit_summary(r.audit(), r.start, r.end)
 
 
 def q_audit_reasons(spark, d):
-    return rep.audit_reasons(_audit(spark, d), *_span(spark, d))
+    r = _Run(spark, d)
+    return rep.audit_reasons(r.audit(), r.start, r.end)
 
 
 def q_payments_by_day(spark, d):
-    return rep.payments_by_day(_payments(spark, d), *_span(spark, d))
+    r = _Run(spark, d)
+    return rep.payments_by_day(r.payments(), r.start, r.end)
 
 
 def q_payments_detail(spark, d):
-    s, e = _span(spark, d)
-    return rep.payments_detail(_payments(spark, d), s, e, DETAIL_MIN_BALANCE, DETAIL_MIN_INTEREST, DETAIL_K)
+    r = _Run(spark, d)
+    return rep.payments_detail(r.payments(), r.start, r.end,
+                               DETAIL_MIN_BALANCE, DETAIL_MIN_INTEREST, DETAIL_K)
 
 
 def q_payments_distribution(spark, d):
-    return rep.payments_distribution(_payments(spark, d), *_span(spark, d))
+    r = _Run(spark, d)
+    return rep.payments_distribution(r.payments(), r.start, r.end)
 
 
 def q_interest_histogram(spark, d):
-    return rep.interest_histogram(_payments(spark, d), *_span(spark, d), bins=BINS)
+    r = _Run(spark, d)
+    return rep.interest_histogram(r.payments(), r.start, r.end, bins=BINS)
 
 
 def q_eligibility_split(spark, d):
-    return rep.eligibility_split(_audit(spark, d), *_span(spark, d))
+    r = _Run(spark, d)
+    return rep.eligibility_split(r.audit(), r.start, r.end)
 
 
 def q_balance_interest_trend(spark, d):
-    s, e = _span(spark, d)
-    return rep.balance_interest_trend(rep.payments_by_day(_payments(spark, d), s, e))
+    r = _Run(spark, d)
+    return rep.balance_interest_trend(rep.payments_by_day(r.payments(), r.start, r.end))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

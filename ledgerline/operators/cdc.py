@@ -16,12 +16,12 @@ ACCOUNT = "account_id"
 def signed(cdc: DataFrame) -> DataFrame:
     """Adds ``normalized_amount`` (sign from the type), ``event_ts`` and the
     day key ``partition_date``. Row-local: no shuffle, stays in codegen."""
-    ts_type = cdc.schema["event_time"].dataType
-    ts = event_timestamp("event_time", ts_type)
-    return cdc.withColumns({
-        "normalized_amount": signed_amount("amount", "transaction_type"),
-        "event_ts": ts,
-    }).withColumn("partition_date", F.to_date("event_ts"))
+    ts = event_timestamp("event_time", cdc.schema["event_time"].dataType)
+    return cdc.select(
+        "*",
+        signed_amount("amount", "transaction_type").alias("normalized_amount"),
+        ts.alias("event_ts"),
+        F.to_date(ts).alias("partition_date"))
 
 
 # --- data-quality rules -----------------------------------------------------

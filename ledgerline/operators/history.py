@@ -26,7 +26,7 @@ ROLLUP_MONEY = ("net", "total_deposits", "total_withdrawals")
 def with_minor_units(sg: DataFrame) -> tuple[DataFrame, int | None]:
     """Adds the signed amount as exact LONG minor units (see ``minor_units``)."""
     m, scale = minor_units("normalized_amount", sg.schema["normalized_amount"].dataType)
-    return sg.withColumn(MINOR, m), scale
+    return sg.select("*", m.alias(MINOR)), scale
 
 
 def _rollup_measures(n):
@@ -85,7 +85,7 @@ def _until(sg: DataFrame, end: str) -> DataFrame:
     """Events up to the end of ``end``. Stated on the raw event time with a
     literal of the same type, so Parquet gets it as a pushed filter and
     skips row groups of later events."""
-    ts_type = sg.schema["event_ts"].dataType
+    ts_type = next(f.dataType for f in sg.schema.fields if f.name == "event_ts")
     limit = F.lit(f"{end} 00:00:00").cast(ts_type) + F.expr("INTERVAL 1 DAY")
     return sg.filter(F.col("event_ts").isNull() | (F.col("event_ts") < limit))
 

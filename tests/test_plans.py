@@ -14,13 +14,13 @@ def _plan(df):
 
 
 def test_history_pushes_window_end_into_scan(spark):
-    plan = _plan(h.wallet_history(E._signed(spark, SF), "2024-01-03", "2024-01-09"))
+    plan = _plan(h.wallet_history(E._signed(E._events(spark, SF)), "2024-01-03", "2024-01-09"))
     assert "PushedFilters: [Or(IsNull(ts),LessThan(ts,2024-01-10T00:00))" in plan
 
 
 def test_history_has_no_cartesian_product(spark):
     for mode in ("zero", "carry"):
-        plan = _plan(h.wallet_history(E._signed(spark, SF), "2024-01-03", "2024-01-09", quiet_days=mode))
+        plan = _plan(h.wallet_history(E._signed(E._events(spark, SF)), "2024-01-03", "2024-01-09", quiet_days=mode))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
@@ -30,7 +30,7 @@ def test_history_reads_only_needed_columns(spark):
 
 
 def test_quality_rules_are_one_scan(spark):
-    df = cdc_ops.quality_report(standins.dirty_cdc(E._cdc(spark, SF)))
+    df = cdc_ops.quality_report(standins.dirty_cdc(E._cdc(E._events(spark, SF))))
     plan = _plan(df)
     assert plan.count("FileScan parquet") == 1
     assert plan.count("Exchange") <= 1
