@@ -1,0 +1,78 @@
+"""Random feeds against a straight-Python model of the history semantics."""
+
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from ledgerline.operators import cdc as cdc_ops
+from ledgerline.operators import history as h
+from tests.helpers import cdc
+
+TYPES = ["WALLET_CREATED", "DEPOSIT", "TRANSFER_IN", "WITHDRAWAL", "TRANSFER_OUT", "OTHER"]
+BASE = dt.date(2024, 1, 1)
+
+events = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["u1", "u2"]),
+              st.sampled_from(TYPES), st.integers(-300, 300), st.integers(0, 9), st.integers(0, 23)),
+    min_size=1, max_size=25)
+
+
+def model(rows, start, end, netting, carry):
+    """Expected history per (account, user, day)."""
+    per_day = {}
+    for acct, _u, kind, amount, day, _hour in rows:
+        n = -abs(amount) if kind in ("WITHDRAWAL", "TRANSFER_OUT") else abs(amount)
+        d = per_day.setdefault((acct, BASE + dt.timedelta(days=day)), {"net": 0, "dep": None, "wd": None, "cnt": 0})
+        d["net"] += n
+        d["cnt"] += 1
+        if n > 0:
+            d["dep"] = (d["dep"] or 0) + n
+        if n < 0:
+            d["wd"] = (d["wd"] or 0) + n
+    out = {}
+    pairs = {(r[0], r[1]) for r in rows}
+    days = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
+    for acct in {p[0] for p in pairs}:
+        moving = sorted(d for (a, d) in per_day if a == acct)
+        balance, values, prev_bal = 0, {}, 0
+        for d in moving:
+            v = per_day[(acct, d)]
+            prev_bal = balance
+            balance += v["net"]
+            wd, dep = v["wd"], v["dep"]
+            if netting == "full":
+                wd, dep = wd or 0, dep or 0
+            if wd is None or dep is None:
+                imm = max(prev_bal, 0)
+            else:
+                imm = max(prev_bal - max(abs(wd) - dep, 0), 0)
+            values[d] = (balance, prev_bal, imm, v["dep"] or 0, v["wd"] or 0, v["cnt"])
+        for day in days:
+            if day in values:
+                val = values[day]
+            elif carry:
+                before = [d for d in moving if d < day]
+                b = values[before[-1]][0] if before else 0
+                val = (b, b, max(b, 0), 0, 0, 0)
+            else:
+                val = (0, 0, 0, 0, 0, 0)
+            for (a, u) in pairs:
+                if a == acct:
+                    out[(a, u, day)] = tuple(float(x) for x in val[:5]) + (val[5],)
+    return out
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=events, start=st.integers(0, 6), length=st.integers(0, 4),
+       netting=st.sampled_from(["observed", "full"]), carry=st.booleans())
+def test_history_matches_model(spark, rows, start, length, netting, carry):
+    feed = [(a, u, k, m, f"2024-01-{1 + d:02d} {hr:02d}:00") for a, u, k, m, d, hr in rows]
+    s = BASE + dt.timedelta(days=start)
+    e = s + dt.timedelta(days=length)
+    got = h.wallet_history(cdc_ops.signed(cdc(spark, feed)), s.isoformat(), e.isoformat(),
+                           netting=netting, quiet_days="carry" if carry else "zero")
+    cols = ("balance", "balance_previous", "immovable_balance", "total_deposits",
+            "total_withdrawals", "transactions_count")
+    actual = {(r.account_id, r.user_id, r.partition_date): tuple(r[c] for c in cols) for r in got.collect()}
+    assert actual == model(rows, s, e, netting, carry)
