@@ -150,32 +150,30 @@ def wallet_history(sg: DataFrame, start: str, end: str | None = None,
             DAY)
         return out.select(*HISTORY_COLUMNS)
 
-    # carry: per account, grid days FULL JOIN days with movement, then the
-    # last known balance and movement time flow forward into quiet days.
-    acct_grid = (pairs.select(ACCOUNT).distinct()
-                 .select(ACCOUNT, calendar(start, end).alias(DAY), F.lit(True).alias("_grid")))
-    merged = acct_grid.join(days, [ACCOUNT, DAY], "full")
+    # carry: grid rows FULL JOIN the account's days up to ``end`` (opening
+    # row included); in a window per account the last known balance and
+    # movement time flow forward into quiet grid rows. Users of a shared
+    # account see the same account rows, so their values are equal.
+    grid = pairs.select(ACCOUNT, USER, calendar(start, end).alias(DAY))
+    merged = grid.join(days, [ACCOUNT, DAY], "full")
     w = Window.partitionBy(ACCOUNT).orderBy(DAY).rowsBetween(Window.unboundedPreceding, 0)
-    carried_balance = F.coalesce(F.last("balance", ignorenulls=True).over(w), F.lit(0))
+    carried = F.coalesce(F.last("balance", ignorenulls=True).over(w), F.lit(0))
     carried_ts = F.last("last_movement_ts", ignorenulls=True).over(w)
-    merged = merged.withColumns({"_carry": carried_balance, "_carry_ts": carried_ts})
     moved = F.col("transactions_count").isNotNull()
-    per_account = merged.filter(F.col("_grid")).select(
-        ACCOUNT, DAY,
-        F.when(moved, F.col("balance")).otherwise(F.col("_carry")).alias("balance"),
-        F.when(moved, F.col("balance_previous")).otherwise(F.col("_carry")).alias("balance_previous"),
-        F.when(moved, F.col("immovable_balance"))
-         .otherwise(F.greatest(F.col("_carry"), F.lit(0))).alias("immovable_balance"),
-        F.when(moved, F.col("last_movement_ts")).otherwise(F.col("_carry_ts")).alias("last_movement_ts"),
-        F.coalesce("total_deposits", F.lit(0)).alias("total_deposits"),
-        F.coalesce("total_withdrawals", F.lit(0)).alias("total_withdrawals"),
-        F.coalesce("transactions_count", F.lit(0)).cast("bigint").alias("transactions_count"),
-    )
-    out = pairs.join(per_account, ACCOUNT)
+    out = merged.select(
+        ACCOUNT, USER, DAY, "balance", "balance_previous", "immovable_balance", "last_movement_ts",
+        "total_deposits", "total_withdrawals", "transactions_count",
+        carried.alias("_carry"), carried_ts.alias("_carry_ts"))
+    out = out.filter(F.col(USER).isNotNull() & in_window)
     return out.select(
         ACCOUNT, USER,
-        *[from_minor(c, scale).alias(c) for c in MONEY_OUT[:3]],
-        "last_movement_ts",
-        *[from_minor(c, scale).alias(c) for c in MONEY_OUT[3:]],
-        "transactions_count", DAY,
-    )
+        from_minor(F.when(moved, F.col("balance")).otherwise(F.col("_carry")), scale).alias("balance"),
+        from_minor(F.when(moved, F.col("balance_previous")).otherwise(F.col("_carry")), scale)
+        .alias("balance_previous"),
+        from_minor(F.when(moved, F.col("immovable_balance"))
+                   .otherwise(F.greatest(F.col("_carry"), F.lit(0))), scale).alias("immovable_balance"),
+        F.when(moved, F.col("last_movement_ts")).otherwise(F.col("_carry_ts")).alias("last_movement_ts"),
+        from_minor(F.coalesce("total_deposits", F.lit(0)), scale).alias("total_deposits"),
+        from_minor(F.coalesce("total_withdrawals", F.lit(0)), scale).alias("total_withdrawals"),
+        F.coalesce("transactions_count", F.lit(0)).cast("bigint").alias("transactions_count"),
+        DAY)

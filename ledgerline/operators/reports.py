@@ -77,24 +77,26 @@ def interest_histogram(pay: DataFrame, start: str, end: str,
     the count, empty bins included. The top edge belongs to the last bin;
     a constant column puts everything in bin 1.
 
-    Two aggregates over the data: the global min/max (one row, broadcast)
-    and the per-bin counts (at most ``bins`` rows).
+    Equal widths need the range before binning, so the data is read twice:
+    one global min/max (partial aggregates, one row to the driver), then one
+    aggregation into at most ``bins`` rows with the edges as literals.
     """
     v = _window(pay, start, end).select(F.col("interest_amount").alias("v")).filter(F.col("v").isNotNull())
-    stats = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    width = F.col("hi") - F.col("lo")
-    raw_bin = F.floor((F.col("v") - F.col("lo")) * F.lit(float(bins)) / width) + F.lit(1)
+    lo, hi = v.agg(F.min("v"), F.max("v")).first()
+    spark = pay.sparkSession
+    if lo is None:
+        return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, count bigint")
+    lo_c, hi_c, n = F.lit(float(lo)), F.lit(float(hi)), F.lit(float(bins))
+    width = hi_c - lo_c
+    raw_bin = F.floor((F.col("v") - lo_c) * n / width) + F.lit(1)
     bin_of = F.when(width == 0, F.lit(1)).otherwise(F.least(raw_bin, F.lit(bins))).cast("int")
-    counts = (v.crossJoin(F.broadcast(stats)).select(bin_of.alias("bin"))
-              .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
-    edges = stats.filter(F.col("lo").isNotNull()).select(
-        F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "lo", "hi")
-    step = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    edges = edges.select(
-        F.col("bin").cast("int").alias("bin"),
-        (F.col("lo") + (F.col("bin") - 1) * step).alias("bin_lo"),
-        (F.col("lo") + F.col("bin") * step).alias("bin_hi"))
-    return (edges.join(counts, "bin", "left")
+    counts = v.groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    step = width / n
+    axis = spark.range(1, bins + 1, numPartitions=1).select(
+        F.col("id").cast("int").alias("bin"),
+        (lo_c + (F.col("id").cast("int") - 1) * step).alias("bin_lo"),
+        (lo_c + F.col("id").cast("int") * step).alias("bin_hi"))
+    return (axis.join(F.broadcast(counts), "bin", "left")
             .select("bin", "bin_lo", "bin_hi",
                     F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
             .orderBy("bin"))

@@ -23,6 +23,29 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executor_cores_total: int,
+                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings sized for a large input, to pass to the session builder.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least two waves of the cluster's cores) and AQE coalesces them
+    by run-time size; scans split at 256 MiB; skewed shuffle partitions above
+    five times the median and 512 MiB are split by AQE's skew-join handling.
+    Broadcasts are left to explicit, size-checked hints plus AQE's run-time
+    threshold.
+    """
+    partitions = max(2 * executor_cores_total, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 ** 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 ** 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        **BASE_CONF,
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "ledgerline", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
