@@ -65,18 +65,39 @@ class RunResult:
 
 
 def build_history(cdc: DataFrame, start: str, end: str | None, sink: Sink,
-                  netting: str = "observed", quiet_days: str = "zero") -> RunResult:
+                  netting: str = "observed", quiet_days: str = "zero",
+                  state_path: str | None = None) -> RunResult:
     """Quality rules, then the dense history of the window into ``sink``.
 
     Raises ValueError with every rule message when the feed is invalid.
     Writes nothing when the feed has no events (the history would be
-    empty: it has one row per account ever seen and day)."""
+    empty: it has one row per account ever seen and day).
+
+    With ``state_path``, balances are carried between runs: when the state of
+    the day before ``start`` is there, only events from ``start`` on are
+    checked and read (the feed's older days are skipped by a pushed filter),
+    and the state through ``end`` is written for the next run. Without a
+    stored state the whole feed is used and the state is written.
+    """
     start, end = validate_dates(start, end)
-    cdc_ops.require_valid(cdc)
-    if cdc.isEmpty():
+    spark = cdc.sparkSession
+    opening = None
+    if state_path is not None:
+        before = (_dt.date.fromisoformat(start) - _dt.timedelta(days=1)).isoformat()
+        opening = files.read_state(spark, state_path, before)
+    feed = cdc if opening is None else cdc.filter(
+        F.col("event_time").isNull() | (F.to_date("event_time") >= F.lit(start).cast("date")))
+    cdc_ops.require_valid(feed)
+    if feed.isEmpty() and opening is None:
         return RunResult(False)
-    history = hist_ops.wallet_history(cdc_ops.signed(cdc), start, end, netting, quiet_days)
-    return RunResult(True, {"wallet_history": _write_counted(history, sink, "history")})
+    sg = cdc_ops.signed(feed)
+    history = hist_ops.wallet_history(sg, start, end, netting, quiet_days, opening=opening)
+    rows = {"wallet_history": _write_counted(history, sink, "history")}
+    if state_path is not None:
+        state = (hist_ops.account_state(sg, end) if opening is None
+                 else hist_ops.advance_state(opening, sg, end))
+        files.write_state(state, state_path)
+    return RunResult(True, rows)
 
 
 def fetch_rates(spark: SparkSession, raw_path: str, output_path: str,

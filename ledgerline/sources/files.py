@@ -78,6 +78,25 @@ def read_rates(spark: SparkSession, path: str, start: str | None = None,
         .select("partition_date", "cdi_rate")
 
 
+def write_state(state: DataFrame, path: str) -> None:
+    """Balance state partitioned by its ``as_of`` day (dynamic overwrite:
+    rewriting one day's state leaves the others)."""
+    (state.withColumn("as_of", F.col("as_of").cast("string"))
+        .repartition("account_id")
+        .write.option("partitionOverwriteMode", "dynamic")
+        .partitionBy("as_of").mode("overwrite").parquet(path))
+
+
+def read_state(spark: SparkSession, path: str, as_of: str) -> DataFrame | None:
+    """The state of one day, or None when it was never written."""
+    import os
+    if "://" not in path and not os.path.isdir(os.path.join(path, f"as_of={as_of}")):
+        return None
+    df = spark.read.parquet(path).filter(F.col("as_of") == F.lit(as_of).cast("date"))
+    return df.select("account_id", "user_id", "balance", "last_movement_ts",
+                     F.col("as_of").cast("date").alias("as_of"))
+
+
 def data_window(sg: DataFrame) -> tuple[str, str]:
     """First and last event day of a signed feed (one small aggregate)."""
     row = sg.agg(F.min("partition_date").alias("s"), F.max("partition_date").alias("e")).first()
