@@ -159,6 +159,28 @@ def q_history_single_day(spark, d):
     return _Run(spark, d).history(single_day=True)
 
 
+def _mid(r: "_Run") -> str:
+    s, e = _dt.date.fromisoformat(r.start), _dt.date.fromisoformat(r.end)
+    return (s + _dt.timedelta(days=(e - s).days // 2)).isoformat()
+
+
+def q_account_state(spark, d):
+    r = _Run(spark, d)
+    return _money(hist_ops.account_state(r.signed(), r.end), "balance")
+
+
+def q_wallet_history_incremental(spark, d):
+    """Days from mid-span on, from the state of the day before plus only
+    the events from mid-span on."""
+    r = _Run(spark, d)
+    mid = _mid(r)
+    before = (_dt.date.fromisoformat(mid) - _dt.timedelta(days=1)).isoformat()
+    sg = r.signed()
+    state = hist_ops.account_state(sg, before)
+    new = sg.filter(F.col("partition_date") >= F.lit(mid).cast("date"))
+    return hist_ops.wallet_history(new, mid, r.end, opening=state)
+
+
 def q_cdc_quality_report(spark, d):
     return cdc_ops.quality_report(standins.dirty_cdc(_cdc(_events(spark, d))))
 
@@ -255,6 +277,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wallet_history_carry": q_wallet_history_carry,
     "wallet_history_full": q_wallet_history_full,
     "history_single_day": q_history_single_day,
+    "account_state": q_account_state,
+    "wallet_history_incremental": q_wallet_history_incremental,
     "cdc_quality_report": q_cdc_quality_report,
     "rates_normalized": q_rates_normalized,
     "rates_in_range": q_rates_in_range,
@@ -538,6 +562,15 @@ SELECT p.account_id, p.user_id, c.partition_date FROM pairs p CROSS JOIN cal c""
         "wallet_history_carry": _CARRY,
         "wallet_history_full": hist_full + "SELECT * FROM hist",
         "history_single_day": hist_day + "SELECT * FROM hist",
+        "account_state": base + """
+SELECT p.account_id, p.user_id, CAST(b.bal AS DOUBLE) AS balance, b.last_ts AS last_movement_ts,
+       (SELECT e FROM win) AS as_of
+FROM pairs p
+JOIN (SELECT account_id, sum(normalized_amount) AS bal, max(event_ts) AS last_ts
+      FROM sg GROUP BY account_id) b ON b.account_id = p.account_id""",
+        "wallet_history_incremental": _with(
+            _CTE_BASE, _CTE_CAL.format(start="s + CAST((e - s) // 2 AS INTEGER)", end="e"),
+            _CTE_HIST.format(imm="immovable_balance")) + "SELECT * FROM hist",
         "cdc_quality_report": _quality_sql(),
         "rates_normalized": rates + "SELECT partition_date, cdi_rate FROM rates",
         "rates_in_range": rates + "SELECT partition_date, cdi_rate FROM rates",
