@@ -218,46 +218,54 @@ def wallet_history(sg: DataFrame, start: str, end: str | None = None,
         pairs = (opening.select(ACCOUNT, USER)
                  .unionByName(_since(sg, start).select(ACCOUNT, USER)).distinct())
         days = _account_days(ev, start, end, netting, _opening_rows(opening, scale))
-    in_window = F.col(DAY).between(date_lit(start), date_lit(end))
+    return _dense(pairs, days, start, end, scale, quiet_days)
+
+
+def _dense(pairs: DataFrame, days: DataFrame, start: str, end: str, scale: int | None,
+           quiet_days: str) -> DataFrame:
+    """Spread the account's days over the (account, user, day) grid.
+
+    The grid is generated in place from the pairs, which are partitioned by
+    account first (one row per pair, a small exchange). The account days come
+    out of the balance window already partitioned by account, so their union
+    keeps that partitioning and the window below needs no exchange: the grid,
+    the largest intermediate (pairs x days), is never shuffled. In one sort
+    per account by (day, moving row first), ``last(…, ignorenulls)`` carries
+    the latest moving day forward as a struct (its own NULL sides kept); a
+    grid row either finds its own day there or is a quiet day.
+    """
+    grid = (pairs.repartition(ACCOUNT)
+            .select(ACCOUNT, USER, calendar(start, end).alias(DAY), F.lit(True).alias("_grid")))
     if quiet_days == "zero":
-        grid = pairs.select(ACCOUNT, USER, calendar(start, end).alias(DAY))
-        moving = days.filter(in_window).select(
-            ACCOUNT, DAY, "balance", "balance_previous", "immovable_balance",
-            "last_movement_ts", "total_deposits", "total_withdrawals", "transactions_count")
-        out = grid.join(moving, [ACCOUNT, DAY], "left")
-        out = out.select(
-            ACCOUNT, USER,
-            *[from_minor(F.coalesce(F.col(c), F.lit(0)), scale).alias(c) for c in MONEY_OUT[:3]],
-            "last_movement_ts",
-            *[from_minor(F.coalesce(F.col(c), F.lit(0)), scale).alias(c) for c in MONEY_OUT[3:]],
-            F.coalesce(F.col("transactions_count"), F.lit(0)).cast("bigint").alias("transactions_count"),
-            DAY)
-        return out.select(*HISTORY_COLUMNS)
-
-    # carry: grid rows FULL JOIN the account's days up to ``end`` (opening
-    # row included); in a window per account the last known balance and
-    # movement time flow forward into quiet grid rows. Users of a shared
-    # account see the same account rows, so their values are equal.
-    grid = pairs.select(ACCOUNT, USER, calendar(start, end).alias(DAY))
-    merged = grid.join(days, [ACCOUNT, DAY], "full")
-    w = Window.partitionBy(ACCOUNT).orderBy(DAY).rowsBetween(Window.unboundedPreceding, 0)
-    carried = F.coalesce(F.last("balance", ignorenulls=True).over(w), F.lit(0))
-    carried_ts = F.last("last_movement_ts", ignorenulls=True).over(w)
-    moved = F.col("transactions_count").isNotNull()
-    out = merged.select(
-        ACCOUNT, USER, DAY, "balance", "balance_previous", "immovable_balance", "last_movement_ts",
-        "total_deposits", "total_withdrawals", "transactions_count",
-        carried.alias("_carry"), carried_ts.alias("_carry_ts"))
-    out = out.filter(F.col(USER).isNotNull() & in_window)
-    return out.select(
-        ACCOUNT, USER,
-        from_minor(F.when(moved, F.col("balance")).otherwise(F.col("_carry")), scale).alias("balance"),
-        from_minor(F.when(moved, F.col("balance_previous")).otherwise(F.col("_carry")), scale)
-        .alias("balance_previous"),
-        from_minor(F.when(moved, F.col("immovable_balance"))
-                   .otherwise(F.greatest(F.col("_carry"), F.lit(0))), scale).alias("immovable_balance"),
-        F.when(moved, F.col("last_movement_ts")).otherwise(F.col("_carry_ts")).alias("last_movement_ts"),
-        from_minor(F.coalesce("total_deposits", F.lit(0)), scale).alias("total_deposits"),
-        from_minor(F.coalesce("total_withdrawals", F.lit(0)), scale).alias("total_withdrawals"),
-        F.coalesce("transactions_count", F.lit(0)).cast("bigint").alias("transactions_count"),
+        days = days.filter(F.col(DAY).between(date_lit(start), date_lit(end)))
+    values = ("balance", "balance_previous", "immovable_balance", "last_movement_ts",
+              "total_deposits", "total_withdrawals", "transactions_count")
+    moving = days.select(ACCOUNT, F.lit(None).cast("string").alias(USER), DAY,
+                         F.struct(F.col(DAY).alias("day"), *values).alias("_m"),
+                         F.lit(False).alias("_grid"))
+    rows = grid.withColumn("_m", F.lit(None).cast(moving.schema["_m"].dataType)).unionByName(moving)
+    w = (Window.partitionBy(ACCOUNT).orderBy(DAY, "_grid")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.select(ACCOUNT, USER, DAY, "_grid", F.last("_m", ignorenulls=True).over(w).alias("_m"))
+    rows = rows.filter(F.col("_grid"))
+    m = lambda c: F.col("_m").getField(c)
+    moved = F.coalesce(m("day") == F.col(DAY), F.lit(False))
+    zero = F.lit(0)
+    if quiet_days == "zero":
+        quiet = {c: zero for c in MONEY_OUT}
+        quiet_ts = F.lit(None).cast(moving.schema["_m"].dataType["last_movement_ts"].dataType)
+    else:
+        carried = F.coalesce(m("balance"), zero)
+        quiet = {"balance": carried, "balance_previous": carried,
+                 "immovable_balance": F.greatest(carried, zero),
+                 "total_deposits": zero, "total_withdrawals": zero}
+        quiet_ts = m("last_movement_ts")
+    money = {c: from_minor(F.when(moved, F.coalesce(m(c), zero)).otherwise(quiet[c]), scale).alias(c)
+             for c in MONEY_OUT}
+    return rows.select(
+        ACCOUNT, USER, money["balance"], money["balance_previous"], money["immovable_balance"],
+        F.when(moved, m("last_movement_ts")).otherwise(quiet_ts).alias("last_movement_ts"),
+        money["total_deposits"], money["total_withdrawals"],
+        F.when(moved, F.coalesce(m("transactions_count"), zero)).otherwise(zero)
+        .cast("bigint").alias("transactions_count"),
         DAY)

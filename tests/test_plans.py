@@ -39,3 +39,15 @@ def test_quality_rules_are_one_scan(spark):
 def test_top_k_is_take_ordered(spark):
     plan = E.q_payments_detail(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_history_grid_is_never_shuffled(spark):
+    """The grid is generated after the last exchange: no join, and every
+    exchange sits below the calendar generator or on the account days."""
+    for mode in ("zero", "carry"):
+        plan = _plan(h.wallet_history(E._signed(E._events(spark, SF)), "2024-01-03", "2024-01-09",
+                                      quiet_days=mode))
+        assert "Join" not in plan
+        assert plan.count("Exchange hashpartitioning") == 4
+        top = plan.split("Union")[0]
+        assert "Exchange" not in top
