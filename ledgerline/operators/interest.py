@@ -19,13 +19,22 @@ MAX_BROADCAST_RATE_ROWS = 200_000
 
 def decide(history: DataFrame, rates: DataFrame,
            min_balance: float = K.DEFAULT_MIN_BALANCE,
-           decimals: int = K.DEFAULT_DECIMALS) -> DataFrame:
+           decimals: int = K.DEFAULT_DECIMALS,
+           broadcast_rates: bool | None = None) -> DataFrame:
     """Inner join of history and rates on the day (days without a rate get
     no row), then the eligibility decision for every account-day:
     ``qualified``, ``reason`` and ``interest_amount`` (0.0 when not
-    qualified). The decision frame feeds both payments and audit."""
-    rates = broadcast_if_bounded(rates.select("partition_date", "cdi_rate"),
-                                 MAX_BROADCAST_RATE_ROWS)
+    qualified). The decision frame feeds both payments and audit.
+
+    ``broadcast_rates``: None checks the rate rows against
+    ``MAX_BROADCAST_RATE_ROWS`` (one small counting job) and broadcasts them
+    only below it; True/False force the choice without a job.
+    """
+    rates = rates.select("partition_date", "cdi_rate")
+    if broadcast_rates is None:
+        rates = broadcast_if_bounded(rates, MAX_BROADCAST_RATE_ROWS)
+    elif broadcast_rates:
+        rates = F.broadcast(rates)
     joined = history.join(rates, "partition_date", "inner")
     qualified = F.col("immovable_balance") >= F.lit(float(min_balance))
     reason = F.when(qualified, F.lit(K.REASON_QUALIFIED)).otherwise(

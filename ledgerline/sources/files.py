@@ -87,10 +87,17 @@ def write_state(state: DataFrame, path: str) -> None:
         .partitionBy("as_of").mode("overwrite").parquet(path))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through Hadoop's file system API (local, HDFS, object
+    stores alike)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_state(spark: SparkSession, path: str, as_of: str) -> DataFrame | None:
     """The state of one day, or None when it was never written."""
-    import os
-    if "://" not in path and not os.path.isdir(os.path.join(path, f"as_of={as_of}")):
+    if not path_exists(spark, f"{path.rstrip('/')}/as_of={as_of}"):
         return None
     df = spark.read.parquet(path).filter(F.col("as_of") == F.lit(as_of).cast("date"))
     return df.select("account_id", "user_id", "balance", "last_movement_ts",
