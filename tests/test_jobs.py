@@ -79,3 +79,12 @@ def test_daily_runs_carry_state(spark, tmp_path):
     key = lambda r: (r.account_id, r.user_id, r.partition_date)
     assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
     assert a.count() == 6 * feed.select("account_id", "user_id").distinct().count()
+
+
+def test_jdbc_sink_skips_empty_frames_without_connecting(spark):
+    from ledgerline.sources import jdbc
+    empty = spark.createDataFrame([], "a int")
+    assert jdbc.write_table(empty, "jdbc:none://nowhere", "t", {}) is False
+    sink = jobs.jdbc_sink("jdbc:none://nowhere", "t", {})
+    from pyspark.sql import Observation
+    assert sink(empty, Observation("x")) is False
