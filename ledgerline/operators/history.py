@@ -68,11 +68,13 @@ def with_balances(daily: DataFrame) -> DataFrame:
     """End-of-day ``balance`` (sum of daily nets so far) and
     ``balance_previous`` (balance of the previous day *with movement*, 0 on
     the first one). Sorting days, not events: a hot account has at most one
-    row per day here."""
-    w = Window.partitionBy(ACCOUNT).orderBy(DAY)
-    return (daily
-            .withColumn("balance", F.sum("net").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("balance_previous", F.coalesce(F.lag("balance").over(w), F.lit(0))))
+    row per day here. The previous balance is ``balance - net``, the same as
+    ``lag(balance)`` (sums skip NULL nets), in the same window pass."""
+    w = Window.partitionBy(ACCOUNT).orderBy(DAY).rowsBetween(Window.unboundedPreceding, 0)
+    balance = F.sum("net").over(w)
+    return daily.select(
+        "*", balance.alias("balance"),
+        F.coalesce(balance - F.coalesce(F.col("net"), F.lit(0)), F.lit(0)).alias("balance_previous"))
 
 
 def with_immovable(balances: DataFrame, netting: str = "observed") -> DataFrame:
