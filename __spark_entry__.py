@@ -299,11 +299,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: interest earned by each account on each rated day."""
-    return q_interest_payments(spark, SMOKE_DIR)
+    return _dates_as_text(q_interest_payments)(spark, SMOKE_DIR)
+
+
+def _dates_as_text(q: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Registered outputs carry day columns as ISO text (the reference's
+    storage type for them), so both engines render them identically."""
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        df = q(spark, d)
+        dates = [f.name for f in df.schema.fields if f.dataType.typeName() == "date"]
+        return df.withColumns({c: F.col(c).cast("string") for c in dates}) if dates else df
+    run.__name__ = q.__name__
+    run.__doc__ = q.__doc__
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {k: _dates_as_text(q) for k, q in QUERIES.items()}
 
 
 # --- DuckDB side ----------------------------------------------------------------
@@ -512,7 +524,27 @@ def _quality_sql() -> str:
     return head + "\nUNION ALL\n".join(rows)
 
 
+# Day columns of each registered output (rendered as ISO text, see queries()).
+_DATE_COLUMNS = {
+    "cdc_quality_report": (), "audit_summary": (), "audit_reasons": (),
+    "payments_distribution": (), "interest_histogram": (), "eligibility_split": (),
+    "balance_interest_trend": (), "account_state": ("as_of",),
+}
+
+
+def _text_days(key: str, sql: str) -> str:
+    cols = _DATE_COLUMNS.get(key, ("partition_date",))
+    if not cols:
+        return sql
+    repl = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS q"
+
+
 def oracle_sql() -> dict[str, str]:
+    return {k: _text_days(k, v) for k, v in _oracle_sql().items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     base = _with(_CTE_BASE)
     hist_base = _with(_CTE_BASE, _CTE_CAL.format(start="s", end="e"), _CTE_HIST.format(imm="immovable_balance"))
     hist_full = _with(_CTE_BASE, _CTE_CAL.format(start="s", end="e"), _CTE_HIST.format(imm="immovable_full"))

@@ -40,3 +40,9 @@ def test_entry_runs(spark):
     assert df.columns == ["user_id", "account_id", "eligible_balance", "interest_rate",
                           "interest_amount", "is_paid", "payment_date", "partition_date"]
     assert df.count() > 0
+
+
+def test_registered_outputs_carry_days_as_text(spark):
+    for key in ("wallet_history", "account_state", "interest_audit"):
+        types = dict(E.queries()[key](spark, SF).dtypes)
+        assert "date" not in types.values()
