@@ -92,40 +92,9 @@ def _until(sg: DataFrame, end: str) -> DataFrame:
     return sg.filter(F.col("event_ts").isNull() | (F.col("event_ts") < limit))
 
 
-def _account_days(ev: DataFrame, start: str, end: str, netting: str,
-                  opening: DataFrame | None = None) -> DataFrame:
-    """Per-account days up to ``end`` with balance, previous balance and
-    immovable balance, from one aggregation over the feed.
-
-    Every day before ``start`` is folded into ``start - 1``: that row is the
-    opening balance, so the window below sorts at most ``days + 1`` rows
-    per account instead of the account's whole history. Balances belong to
-    the account, so users of a shared account are merged here. With an
-    ``opening`` state, events before ``start`` are not read at all and the
-    state supplies the ``start - 1`` row.
-    """
-    s = date_lit(start)
-    d = F.col(DAY)
-    if opening is None:
-        key = F.when(d < s, F.date_sub(s, 1)).otherwise(d)
-        rows = _until(ev, end)
-    else:
-        key = d
-        rows = _until(_since(ev, start), end)
-    daily = rows.groupBy(ACCOUNT, key.alias(DAY)).agg(*_rollup_measures(F.col(MINOR)))
-    if opening is not None:
-        daily = daily.unionByName(opening.select(
-            ACCOUNT, F.date_sub(s, 1).alias(DAY), F.col(MINOR).alias("net"),
-            F.lit(None).cast("long").alias("total_deposits"),
-            F.lit(None).cast("long").alias("total_withdrawals"),
-            F.lit(None).cast("long").alias("transactions_count"),
-            "last_movement_ts"))
-    return with_immovable(with_balances(daily), netting)
-
-
 def _since(sg: DataFrame, start: str) -> DataFrame:
     """Events from the start of ``start`` on (pushed to the scan like
-    ``_until``)."""
+    ``_until``): incremental runs read only the new days."""
     ts_type = next(f.dataType for f in sg.schema.fields if f.name == "event_ts")
     return sg.filter(F.col("event_ts") >= F.lit(f"{start} 00:00:00").cast(ts_type))
 
@@ -206,56 +175,101 @@ def wallet_history(sg: DataFrame, start: str, end: str | None = None,
     feed is then read from ``start`` on only (a pushed filter), so a daily
     run costs one day of events plus one state row per account instead of
     the whole history; the result is the same.
+
+    Plan: one scan of the feed and two exchanges. Events are rolled up at
+    (account, user, day) grain with map-side partial aggregation, days
+    before ``start`` folded into one opening row and days after ``end``
+    into one closing row (they still name the account's users). That small
+    frame is hashed by account once; everything else happens inside the
+    account's partition with windows: account-day totals, the running
+    balance, the first row of each (account, user) pair, and one
+    ``explode`` that emits each row's moving day plus, for a pair's first
+    row, the pair's calendar. A final window per account carries the latest
+    moving day into every grid row. A hot account costs at most
+    ``users x (days + 2)`` rolled-up rows plus its grid; the grid is never
+    shuffled.
     """
     start, end = validate_dates(start, end)
     if quiet_days not in ("zero", "carry"):
         raise ValueError(f"quiet_days must be 'zero' or 'carry', not {quiet_days!r}")
-    # Pairs come from the whole feed (accounts first seen after ``end``
-    # still get rows); a two-column scan with map-side distinct.
     ev, scale = with_minor_units(sg)
+    s, e = date_lit(start), date_lit(end)
+    d = F.col(DAY)
+    after = F.when(d > e, F.date_add(e, 1))
     if opening is None:
-        pairs = sg.select(ACCOUNT, USER).distinct()
-        days = _account_days(ev, start, end, netting)
+        key = after.when(d < s, F.date_sub(s, 1)).otherwise(d)
+        src = ev
     else:
-        pairs = (opening.select(ACCOUNT, USER)
-                 .unionByName(_since(sg, start).select(ACCOUNT, USER)).distinct())
-        days = _account_days(ev, start, end, netting, _opening_rows(opening, scale))
-    return _dense(pairs, days, start, end, scale, quiet_days)
-
-
-def _dense(pairs: DataFrame, days: DataFrame, start: str, end: str, scale: int | None,
-           quiet_days: str) -> DataFrame:
-    """Spread the account's days over the (account, user, day) grid.
-
-    The grid is generated in place from the pairs, which are partitioned by
-    account first (one row per pair, a small exchange). The account days come
-    out of the balance window already partitioned by account, so their union
-    keeps that partitioning and the window below needs no exchange: the grid,
-    the largest intermediate (pairs x days), is never shuffled. In one sort
-    per account by (day, moving row first), ``last(…, ignorenulls)`` carries
-    the latest moving day forward as a struct (its own NULL sides kept); a
-    grid row either finds its own day there or is a quiet day.
-    """
-    grid = (pairs.repartition(ACCOUNT)
-            .select(ACCOUNT, USER, calendar(start, end).alias(DAY), F.lit(True).alias("_grid")))
-    if quiet_days == "zero":
-        days = days.filter(F.col(DAY).between(date_lit(start), date_lit(end)))
+        key = after.otherwise(d)
+        src = _since(ev, start)
+    rolled = (src.groupBy(ACCOUNT, USER, key.alias(DAY))
+              .agg(*_rollup_measures(F.col(MINOR)))
+              .withColumn("_pair", F.lit(True)))
+    if opening is not None:
+        rolled = rolled.unionByName(_opening_pairs(opening, start, scale))
+    return _one_pass(rolled.repartition(ACCOUNT), start, end, netting, quiet_days, scale)
+
+
+def _opening_pairs(opening: DataFrame, start: str, scale: int | None) -> DataFrame:
+    """State rows at ``start - 1``: every pair (no money), plus one row per
+    account (not a pair) that holds the opening balance."""
+    day = F.date_sub(date_lit(start), 1).alias(DAY)
+    none = F.lit(None).cast("long")
+    ts_type = opening.schema["last_movement_ts"].dataType
+    pairs = opening.select(ACCOUNT, USER, day, none.alias("net"), none.alias("total_deposits"),
+                           none.alias("total_withdrawals"), none.alias("transactions_count"),
+                           F.lit(None).cast(ts_type).alias("last_movement_ts"), F.lit(True).alias("_pair"))
+    accounts = _opening_rows(opening, scale).select(
+        ACCOUNT, F.lit(None).cast("string").alias(USER), day, F.col(MINOR).alias("net"),
+        none.alias("total_deposits"), none.alias("total_withdrawals"),
+        none.alias("transactions_count"), "last_movement_ts", F.lit(False).alias("_pair"))
+    return pairs.unionByName(accounts)
+
+
+def _one_pass(rolled: DataFrame, start: str, end: str, netting: str, quiet_days: str,
+              scale: int | None) -> DataFrame:
+    """Everything after the account exchange; see ``wallet_history``."""
+    day_w = Window.partitionBy(ACCOUNT, DAY)
+    run_w = (Window.partitionBy(ACCOUNT).orderBy(DAY)
+             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    pair_w = Window.partitionBy(ACCOUNT, USER, "_pair").orderBy(DAY)
+    day_net = F.sum("net").over(day_w)
+    balance = F.sum("net").over(run_w)      # every row of the account up to this day
+    rows = rolled.select(
+        ACCOUNT, USER, DAY,
+        balance.alias("balance"),
+        F.coalesce(balance - F.coalesce(day_net, F.lit(0)), F.lit(0)).alias("balance_previous"),
+        F.sum("total_deposits").over(day_w).alias("total_deposits"),
+        F.sum("total_withdrawals").over(day_w).alias("total_withdrawals"),
+        F.sum("transactions_count").over(day_w).alias("transactions_count"),
+        F.max("last_movement_ts").over(day_w).alias("last_movement_ts"),
+        (F.col("_pair") & (F.row_number().over(pair_w) == 1)).alias("_first"))
+    rows = rows.withColumn("immovable_balance", immovable(
+        "balance_previous", "total_withdrawals", "total_deposits", netting))
     values = ("balance", "balance_previous", "immovable_balance", "last_movement_ts",
               "total_deposits", "total_withdrawals", "transactions_count")
-    moving = days.select(ACCOUNT, F.lit(None).cast("string").alias(USER), DAY,
-                         F.struct(F.col(DAY).alias("day"), *values).alias("_m"),
-                         F.lit(False).alias("_grid"))
-    rows = grid.withColumn("_m", F.lit(None).cast(moving.schema["_m"].dataType)).unionByName(moving)
-    w = (Window.partitionBy(ACCOUNT).orderBy(DAY, "_grid")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = rows.select(ACCOUNT, USER, DAY, "_grid", F.last("_m", ignorenulls=True).over(w).alias("_m"))
-    rows = rows.filter(F.col("_grid"))
+    moving = F.struct(F.col(DAY).alias("day"), *values)
+    entry = lambda day, grid: F.struct(day.alias("d"), F.lit(grid).alias("g"))
+    calendar_entries = F.transform(F.sequence(date_lit(start), date_lit(end)),
+                                   lambda x: entry(x, True))
+    entries = F.concat(F.array(entry(F.col(DAY), False)),
+                       F.when(F.col("_first"), calendar_entries)
+                       .otherwise(F.array().cast("array<struct<d:date,g:boolean>>")))
+    exploded = rows.select(ACCOUNT, USER, moving.alias("_m"), F.explode(entries).alias("_e"))
+    exploded = exploded.select(
+        ACCOUNT, USER, F.col("_e.d").alias(DAY), F.col("_e.g").alias("_grid"),
+        F.when(F.col("_e.g"), F.lit(None)).otherwise(F.col("_m")).alias("_m"))
+    last_w = (Window.partitionBy(ACCOUNT).orderBy(DAY, "_grid")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = (exploded.select(ACCOUNT, USER, DAY, "_grid",
+                           F.last("_m", ignorenulls=True).over(last_w).alias("_m"))
+           .filter(F.col("_grid")))
     m = lambda c: F.col("_m").getField(c)
     moved = F.coalesce(m("day") == F.col(DAY), F.lit(False))
     zero = F.lit(0)
     if quiet_days == "zero":
         quiet = {c: zero for c in MONEY_OUT}
-        quiet_ts = F.lit(None).cast(moving.schema["_m"].dataType["last_movement_ts"].dataType)
+        quiet_ts = F.when(F.lit(False), m("last_movement_ts"))
     else:
         carried = F.coalesce(m("balance"), zero)
         quiet = {"balance": carried, "balance_previous": carried,
@@ -264,7 +278,7 @@ def _dense(pairs: DataFrame, days: DataFrame, start: str, end: str, scale: int |
         quiet_ts = m("last_movement_ts")
     money = {c: from_minor(F.when(moved, F.coalesce(m(c), zero)).otherwise(quiet[c]), scale).alias(c)
              for c in MONEY_OUT}
-    return rows.select(
+    return out.select(
         ACCOUNT, USER, money["balance"], money["balance_previous"], money["immovable_balance"],
         F.when(moved, m("last_movement_ts")).otherwise(quiet_ts).alias("last_movement_ts"),
         money["total_deposits"], money["total_withdrawals"],

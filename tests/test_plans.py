@@ -13,8 +13,8 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_history_pushes_window_end_into_scan(spark):
-    plan = _plan(h.wallet_history(E._signed(E._events(spark, SF)), "2024-01-03", "2024-01-09"))
+def test_state_pushes_its_day_into_scan(spark):
+    plan = _plan(h.account_state(E._signed(E._events(spark, SF)), "2024-01-09"))
     assert "PushedFilters: [Or(IsNull(ts),LessThan(ts,2024-01-10T00:00))" in plan
 
 
@@ -42,12 +42,13 @@ def test_top_k_is_take_ordered(spark):
 
 
 def test_history_grid_is_never_shuffled(spark):
-    """The grid is generated after the last exchange: no join, and every
-    exchange sits below the calendar generator or on the account days."""
+    """One scan, two exchanges (the partial rollup, then the account hash),
+    no join; the calendar is generated above both exchanges."""
     for mode in ("zero", "carry"):
         plan = _plan(h.wallet_history(E._signed(E._events(spark, SF)), "2024-01-03", "2024-01-09",
                                       quiet_days=mode))
         assert "Join" not in plan
-        assert plan.count("Exchange hashpartitioning") == 4
-        top = plan.split("Union")[0]
+        assert plan.count("FileScan parquet") == 1
+        assert plan.count("Exchange hashpartitioning") == 2
+        top = plan.split("Generate")[0]
         assert "Exchange" not in top
