@@ -108,13 +108,15 @@ def account_state(sg: DataFrame, as_of: str) -> DataFrame:
     """Balance state through the end of ``as_of``: one row per (account,
     user) pair seen so far, with the account's balance and last movement
     time. A later run starting the day after ``as_of`` can begin from it
-    instead of re-reading the whole feed (see ``wallet_history(opening=)``)."""
+    instead of re-reading the whole feed (see ``wallet_history(opening=)``).
+
+    One scan: a partial aggregate per pair, then a window per account."""
     (as_of, _) = validate_dates(as_of)
     ev, scale = with_minor_units(sg)
-    ev = _until(ev, as_of)
-    per_account = ev.groupBy(ACCOUNT).agg(F.sum(MINOR).alias(MINOR),
-                                           F.max("event_ts").alias("last_movement_ts"))
-    return _state(ev.select(ACCOUNT, USER).distinct(), per_account, scale, as_of)
+    per_pair = _until(ev, as_of).groupBy(ACCOUNT, USER).agg(
+        F.sum(MINOR).alias(MINOR), F.max("event_ts").alias("last_movement_ts"))
+    return _state(per_pair.withColumn("_open", F.lit(None).cast(per_pair.schema[MINOR].dataType)),
+                  scale, as_of)
 
 
 def advance_state(state: DataFrame, sg_new: DataFrame, through: str) -> DataFrame:
@@ -123,21 +125,34 @@ def advance_state(state: DataFrame, sg_new: DataFrame, through: str) -> DataFram
     state (one row per pair) and the new events only."""
     (through, _) = validate_dates(through)
     ev, scale = with_minor_units(sg_new)
-    ev = _until(ev, through)
-    old = _opening_rows(state, scale)
-    new = ev.groupBy(ACCOUNT).agg(F.sum(MINOR).alias(MINOR),
-                                  F.max("event_ts").alias("last_movement_ts"))
-    per_account = old.unionByName(new).groupBy(ACCOUNT).agg(
-        F.sum(MINOR).alias(MINOR), F.max("last_movement_ts").alias("last_movement_ts"))
-    pairs = state.select(ACCOUNT, USER).unionByName(ev.select(ACCOUNT, USER)).distinct()
-    return _state(pairs, per_account, scale, through)
-
-
-def _state(pairs: DataFrame, per_account: DataFrame, scale: int | None, as_of: str) -> DataFrame:
-    return pairs.join(per_account, ACCOUNT, "left").select(
-        ACCOUNT, USER,
-        minor_to_decimal(F.coalesce(F.col(MINOR), F.lit(0)), scale).alias("balance"),
-        "last_movement_ts", date_lit(as_of).alias("as_of"))
+    new = _until(ev, through).groupBy(ACCOUNT, USER).agg(
+        F.sum(MINOR).alias(MINOR), F.max("event_ts").alias("last_movement_ts"))
+    m_type = new.schema[MINOR].dataType
+    opening, _ = minor_units("balance", state.schema["balance"].dataType)
+    if scale is None:
+        opening = F.col("balance").cast("double")
+    old = state.select(ACCOUNT, USER, F.lit(None).cast(m_type).alias(MINOR),
+                       F.col("last_movement_ts").cast(new.schema["last_movement_ts"].dataType)
+                       .alias("last_movement_ts"),
+                       opening.cast(m_type).alias("_open"))
+    per_pair = (new.withColumn("_open", F.lit(None).cast(m_type)).unionByName(old)
+                .groupBy(ACCOUNT, USER).agg(F.sum(MINOR).alias(MINOR),
+                                            F.max("last_movement_ts").alias("last_movement_ts"),
+                                            F.max("_open").alias("_open")))
+    return _state(per_pair, scale, through)
+
+
+def _state(per_pair: DataFrame, scale: int | None, as_of: str) -> DataFrame:
+    """Account balance and last movement on every pair row: sums of the
+    account's pair rows (plus the earlier state's balance, the same on each
+    of them) in a window per account."""
+    w = Window.partitionBy(ACCOUNT)
+    zero = F.lit(0)
+    balance = F.coalesce(F.sum(MINOR).over(w), zero) + F.coalesce(F.max("_open").over(w), zero)
+    return per_pair.select(
+        ACCOUNT, USER, minor_to_decimal(balance, scale).alias("balance"),
+        F.max("last_movement_ts").over(w).alias("last_movement_ts"),
+        date_lit(as_of).alias("as_of"))
 
 
 def _opening_rows(state: DataFrame, scale: int | None) -> DataFrame:
