@@ -19,6 +19,10 @@ OUTFLOW_TYPES = (WITHDRAWAL, TRANSFER_OUT)
 # Types that must never carry a negative amount.
 INFLOW_TYPES = (DEPOSIT, TRANSFER_IN)
 
+# Run window
+MSG_INVALID_DATES = "❌ Fechas inválidas: {error}"
+MSG_START_AFTER_END = "La fecha de inicio no puede ser posterior a la de fin"
+
 # Data-quality rules
 REQUIRED_FIELDS = ("account_id", "event_time", "amount")
 CREATED_AMOUNT_TOLERANCE = 0.001

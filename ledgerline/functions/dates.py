@@ -7,6 +7,8 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerline import constants as K
+
 
 def validate_dates(start: str, end: str | None = None) -> tuple[str, str]:
     """ISO dates in, ISO dates out; ``end`` defaults to ``start``.
@@ -17,10 +19,10 @@ def validate_dates(start: str, end: str | None = None) -> tuple[str, str]:
     try:
         s = _dt.datetime.strptime(str(start), "%Y-%m-%d").date()
         e = _dt.datetime.strptime(str(end or start), "%Y-%m-%d").date()
+        if s > e:
+            raise ValueError(K.MSG_START_AFTER_END)
     except ValueError as exc:
-        raise ValueError(f"invalid dates: {exc}") from exc
-    if s > e:
-        raise ValueError(f"invalid dates: start {s} lies after end {e}")
+        raise ValueError(K.MSG_INVALID_DATES.format(error=exc)) from exc
     return s.isoformat(), e.isoformat()
 
 

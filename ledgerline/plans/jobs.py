@@ -101,10 +101,15 @@ def build_history(cdc: DataFrame, start: str, end: str | None, sink: Sink,
 
 
 def fetch_rates(spark: SparkSession, raw_path: str, output_path: str,
+                start: str | None = None, end: str | None = None,
                 dynamic: bool = True) -> RunResult:
-    """Landed feed files -> normalised rates -> day-partitioned Parquet.
-    Returns ``written=False`` when no row survives normalisation."""
+    """Landed feed files -> normalised rates -> day-partitioned Parquet,
+    optionally only the days of ``start``..``end``. Returns
+    ``written=False`` when no row survives."""
     rates = rate_ops.normalize(files.read_rates_json(spark, raw_path))
+    if start is not None:
+        start, end = validate_dates(start, end)
+        rates = rate_ops.in_range(rates, start, end)
     if rates.isEmpty():
         return RunResult(False)
     obs = Observation("rates")

@@ -88,3 +88,11 @@ def test_jdbc_sink_skips_empty_frames_without_connecting(spark):
     sink = jobs.jdbc_sink("jdbc:none://nowhere", "t", {})
     from pyspark.sql import Observation
     assert sink(empty, Observation("x")) is False
+
+
+def test_fetch_rates_keeps_the_requested_days(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    (feed / "a.json").write_text(json.dumps([{"data": f"0{d}/01/2024", "valor": "10"} for d in (1, 2, 3, 4)]))
+    res = jobs.fetch_rates(spark, str(feed), str(tmp_path / "r"), "2024-01-02", "2024-01-03")
+    assert res.rows == {"rates": 2}
