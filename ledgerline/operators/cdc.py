@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import constants as K
 from ledgerline.functions import event_timestamp, from_minor, minor_units, signed_amount
+from ledgerline.operators.history import opening_balances
 
 ACCOUNT = "account_id"
 
@@ -88,7 +89,8 @@ def require_valid(cdc: DataFrame) -> DataFrame:
 # Bucket units must nest inside a day, so a bucket never spans two days.
 BUCKET_UNITS = ("day", "hour", "minute", "second")
 
-def running_balance(sg: DataFrame, tie: str, bucket: str = "minute") -> DataFrame:
+def running_balance(sg: DataFrame, tie: str, bucket: str = "minute",
+                    opening: DataFrame | None = None) -> DataFrame:
     """Running balance after every event, ordered by ``(event_ts, tie)``.
 
     A window partitioned by account alone would put a hot account (up to a
@@ -105,6 +107,10 @@ def running_balance(sg: DataFrame, tie: str, bucket: str = "minute") -> DataFram
     ``date_trunc`` unit no coarser than a day; finer units cut hot accounts
     into smaller pieces. Sums run on exact LONG minor units; the balance is
     returned as a double. Requires a validated feed (no NULL account or time).
+
+    ``opening``: a balance state (``history.account_state``) as of the day
+    before the first event of ``sg``; its balance starts every account's
+    prefix, so statement lines of new events need no older events.
     """
     if tie not in sg.columns:
         raise ValueError(f"tie column {tie!r} not in input")
@@ -115,7 +121,13 @@ def running_balance(sg: DataFrame, tie: str, bucket: str = "minute") -> DataFram
     ev = sg.withColumns({"_minor": m, "_bucket": F.date_trunc(bucket, "event_ts")})
     before = Window.unboundedPreceding
     w_bucket = Window.partitionBy(ACCOUNT).orderBy("_bucket").rowsBetween(before, -1)
-    offsets = (ev.groupBy(ACCOUNT, "_bucket").agg(F.sum(n).alias("_bsum"))
+    buckets = ev.groupBy(ACCOUNT, "_bucket").agg(F.sum(n).alias("_bsum"))
+    if opening is not None:
+        # a NULL bucket sorts first and matches no event
+        buckets = buckets.unionByName(opening_balances(opening, scale).select(
+            ACCOUNT, F.lit(None).cast(buckets.schema["_bucket"].dataType).alias("_bucket"),
+            F.col("_minor").cast(buckets.schema["_bsum"].dataType).alias("_bsum")))
+    offsets = (buckets
                .select(ACCOUNT, "_bucket",
                        F.coalesce(F.sum("_bsum").over(w_bucket), F.lit(0)).alias("_offset")))
     w_row = (Window.partitionBy(ACCOUNT, "_bucket").orderBy("event_ts", tie)

@@ -155,9 +155,10 @@ def _state(per_pair: DataFrame, scale: int | None, as_of: str) -> DataFrame:
         date_lit(as_of).alias("as_of"))
 
 
-def _opening_rows(state: DataFrame, scale: int | None) -> DataFrame:
-    """One row per account from a state (all pairs of an account carry the
-    same balance)."""
+def opening_balances(state: DataFrame, scale: int | None) -> DataFrame:
+    """One row per account from a state: the balance as minor units of the
+    feed's ``scale`` (column ``_minor``) and the last movement time (all
+    pairs of an account carry the same balance)."""
     m, _ = minor_units("balance", state.schema["balance"].dataType)
     if scale is None:
         m = F.col("balance").cast("double")
@@ -234,7 +235,7 @@ def _opening_pairs(opening: DataFrame, start: str, scale: int | None) -> DataFra
     pairs = opening.select(ACCOUNT, USER, day, none.alias("net"), none.alias("total_deposits"),
                            none.alias("total_withdrawals"), none.alias("transactions_count"),
                            F.lit(None).cast(ts_type).alias("last_movement_ts"), F.lit(True).alias("_pair"))
-    accounts = _opening_rows(opening, scale).select(
+    accounts = opening_balances(opening, scale).select(
         ACCOUNT, F.lit(None).cast("string").alias(USER), day, F.col(MINOR).alias("net"),
         none.alias("total_deposits"), none.alias("total_withdrawals"),
         none.alias("transactions_count"), "last_movement_ts", F.lit(False).alias("_pair"))

@@ -73,3 +73,15 @@ def test_incremental_matches_full_on_random_feeds(spark, rows, start, carry):
     full = h.wallet_history(sg, s.isoformat(), e.isoformat(), quiet_days=mode)
     inc = h.wallet_history(sg, s.isoformat(), e.isoformat(), quiet_days=mode, opening=state)
     assert _rows(full) == _rows(inc)
+
+
+def test_running_balance_from_state(spark):
+    sg = _signed(spark)
+    full = {r.event_id: r.running_balance
+            for r in cdc_ops.running_balance(sg, tie="event_id")
+            .filter("partition_date >= DATE'2024-01-10'").collect()}
+    new = sg.filter("partition_date >= DATE'2024-01-10'")
+    inc = {r.event_id: r.running_balance
+           for r in cdc_ops.running_balance(new, tie="event_id",
+                                            opening=h.account_state(sg, "2024-01-09")).collect()}
+    assert inc == full
