@@ -65,8 +65,18 @@ def shared_dir(spark: SparkSession) -> str:
 
     When the session names none (local tests), a folder is created and
     registered, so ``checkpoint()`` calls and written tables share one place.
+    Sessions without a SparkContext (Spark Connect) use the setting alone.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="ledgerline-shared-")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
