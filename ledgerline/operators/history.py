@@ -149,10 +149,12 @@ def _state(per_pair: DataFrame, scale: int | None, as_of: str) -> DataFrame:
     w = Window.partitionBy(ACCOUNT)
     zero = F.lit(0)
     balance = F.coalesce(F.sum(MINOR).over(w), zero) + F.coalesce(F.max("_open").over(w), zero)
-    return per_pair.select(
+    is_pair = F.col("_pair") if "_pair" in per_pair.columns else F.lit(True)
+    out = per_pair.select(
         ACCOUNT, USER, minor_to_decimal(balance, scale).alias("balance"),
         F.max("last_movement_ts").over(w).alias("last_movement_ts"),
-        date_lit(as_of).alias("as_of"))
+        date_lit(as_of).alias("as_of"), is_pair.alias("_pair"))
+    return out.filter(F.col("_pair")).drop("_pair")
 
 
 def opening_balances(state: DataFrame, scale: int | None) -> DataFrame:
@@ -208,6 +210,36 @@ def wallet_history(sg: DataFrame, start: str, end: str | None = None,
     start, end = validate_dates(start, end)
     if quiet_days not in ("zero", "carry"):
         raise ValueError(f"quiet_days must be 'zero' or 'carry', not {quiet_days!r}")
+    rolled, scale = _rollup(sg, start, end, opening)
+    return _one_pass(rolled.repartition(ACCOUNT), start, end, netting, quiet_days, scale)
+
+
+def history_with_state(sg: DataFrame, start: str, end: str | None = None,
+                       netting: str = "observed", quiet_days: str = "zero",
+                       opening: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The history of the window and the balance state through ``end``,
+    both from one rollup of the feed. Returns ``(history, state, rollup)``:
+    persist ``rollup`` while writing both outputs and the feed is scanned
+    once. The state equals ``account_state(feed, end)`` (or
+    ``advance_state(opening, feed, end)``)."""
+    start, end = validate_dates(start, end)
+    if quiet_days not in ("zero", "carry"):
+        raise ValueError(f"quiet_days must be 'zero' or 'carry', not {quiet_days!r}")
+    rolled, scale = _rollup(sg, start, end, opening)
+    history = _one_pass(rolled.repartition(ACCOUNT), start, end, netting, quiet_days, scale)
+    upto = rolled.filter(F.col(DAY).isNull() | (F.col(DAY) <= date_lit(end)))
+    per_pair = upto.groupBy(ACCOUNT, USER, "_pair").agg(
+        F.sum("net").alias(MINOR), F.max("last_movement_ts").alias("last_movement_ts"))
+    state = _state(per_pair.withColumn("_open", F.lit(None).cast(per_pair.schema[MINOR].dataType)),
+                   scale, end)
+    return history, state, rolled
+
+
+def _rollup(sg: DataFrame, start: str, end: str,
+            opening: DataFrame | None) -> tuple[DataFrame, int | None]:
+    """(account, user, day) rollup with days before ``start`` folded into
+    ``start - 1`` (or the opening state's rows there) and days after
+    ``end`` into ``end + 1``; ``_pair`` marks rows that name a real pair."""
     ev, scale = with_minor_units(sg)
     s, e = date_lit(start), date_lit(end)
     d = F.col(DAY)
@@ -223,7 +255,7 @@ def wallet_history(sg: DataFrame, start: str, end: str | None = None,
               .withColumn("_pair", F.lit(True)))
     if opening is not None:
         rolled = rolled.unionByName(_opening_pairs(opening, start, scale))
-    return _one_pass(rolled.repartition(ACCOUNT), start, end, netting, quiet_days, scale)
+    return rolled, scale
 
 
 def _opening_pairs(opening: DataFrame, start: str, scale: int | None) -> DataFrame:

@@ -91,12 +91,19 @@ def build_history(cdc: DataFrame, start: str, end: str | None, sink: Sink,
     if feed.isEmpty() and opening is None:
         return RunResult(False)
     sg = cdc_ops.signed(feed)
-    history = hist_ops.wallet_history(sg, start, end, netting, quiet_days, opening=opening)
-    rows = {"wallet_history": _write_counted(history, sink, "history")}
-    if state_path is not None:
-        state = (hist_ops.account_state(sg, end) if opening is None
-                 else hist_ops.advance_state(opening, sg, end))
+    if state_path is None:
+        history = hist_ops.wallet_history(sg, start, end, netting, quiet_days)
+        return RunResult(True, {"wallet_history": _write_counted(history, sink, "history")})
+    # history and next state from one rollup, persisted while both are
+    # written: the feed is scanned once (lost blocks are recomputed)
+    history, state, rollup = hist_ops.history_with_state(sg, start, end, netting, quiet_days,
+                                                         opening=opening)
+    rollup.persist(StorageLevel.DISK_ONLY)
+    try:
+        rows = {"wallet_history": _write_counted(history, sink, "history")}
         files.write_state(state, state_path)
+    finally:
+        rollup.unpersist()
     return RunResult(True, rows)
 
 

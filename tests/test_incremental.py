@@ -85,3 +85,16 @@ def test_running_balance_from_state(spark):
            for r in cdc_ops.running_balance(new, tie="event_id",
                                             opening=h.account_state(sg, "2024-01-09")).collect()}
     assert inc == full
+
+
+def test_history_with_state_matches_separate_runs(spark):
+    sg = _signed(spark)
+    hist, state, _ = h.history_with_state(sg, "2024-01-10", "2024-01-20")
+    assert _rows(hist) == _rows(h.wallet_history(sg, "2024-01-10", "2024-01-20"))
+    as_rows = lambda df: _rows(df.withColumnRenamed("as_of", "partition_date"))
+    assert as_rows(state) == as_rows(h.account_state(sg, "2024-01-20"))
+    opening = h.account_state(sg, "2024-01-09")
+    new = sg.filter("partition_date >= DATE'2024-01-10'")
+    hist2, state2, _ = h.history_with_state(new, "2024-01-10", "2024-01-20", opening=opening)
+    assert _rows(hist2) == _rows(hist)
+    assert as_rows(state2) == as_rows(state)
