@@ -135,15 +135,20 @@ def calculate_interest(history: DataFrame, rates: DataFrame, start: str, end: st
 
     Both outputs are projections of one decision frame. When both sinks
     run, the decision is persisted to executor disk so the history is read
-    once; a lost executor's blocks are recomputed from the plan.
+    once; a lost executor's blocks are recomputed from the plan. ``history``
+    is meant to be a stored table (``read_history``): the emptiness check
+    reads one row of it.
     """
     job_id = job_id or str(uuid.uuid4())
     job_timestamp = job_timestamp or _dt.datetime.now()
     history = history.filter(in_window("partition_date", start, end))
     rates = rate_ops.in_range(rates, start, end)
-    if rates.isEmpty() or history.isEmpty():
+    # one bounded count answers both "any rates?" and "small enough to broadcast?"
+    n_rates = rates.limit(int_ops.MAX_BROADCAST_RATE_ROWS + 1).count()
+    if n_rates == 0 or history.isEmpty():
         return RunResult(False, job_id=job_id)
-    decision = int_ops.decide(history, rates, min_balance, decimals)
+    decision = int_ops.decide(history, rates, min_balance, decimals,
+                              broadcast_rates=n_rates <= int_ops.MAX_BROADCAST_RATE_ROWS)
     rows: dict[str, int] = {}
     if audit_sink is not None:
         decision = decision.persist(StorageLevel.DISK_ONLY)
