@@ -33,16 +33,15 @@ def write_by_day(df: DataFrame, path: str, mode: str = "overwrite",
 
     ``dynamic=True`` replaces only the days present in ``df`` (incremental
     daily runs); ``dynamic=False`` is a static overwrite that wipes every
-    earlier day under ``path``. Rows are range-partitioned by day (and
-    account when present) before the write: each task writes one or a few
-    day folders, and a big day is split over several tasks by the sampled
-    range bounds instead of landing in one.
+    earlier day under ``path``. Rows are rebalanced by day before the write:
+    each task writes one day's folder, and adaptive execution splits a big
+    day over several tasks (and merges small ones) from the shuffle's actual
+    sizes, without a sampling pass over the data.
     """
-    out = df.withColumn("partition_date", F.col("partition_date").cast("string"))
-    keys = ["partition_date"] + (["account_id"] if "account_id" in df.columns else [])
-    out = out.repartitionByRange(*keys)
+    out = (df.withColumn("partition_date", F.col("partition_date").cast("string"))
+           .hint("rebalance", "partition_date"))
     if observation is not None:
-        # after the exchange: the range sampling job must not be counted
+        # above the exchange, so the row count is taken once
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     (out.write
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
@@ -82,7 +81,7 @@ def write_state(state: DataFrame, path: str) -> None:
     """Balance state partitioned by its ``as_of`` day (dynamic overwrite:
     rewriting one day's state leaves the others)."""
     (state.withColumn("as_of", F.col("as_of").cast("string"))
-        .repartition("account_id")
+        .hint("rebalance")
         .write.option("partitionOverwriteMode", "dynamic")
         .partitionBy("as_of").mode("overwrite").parquet(path))
 
