@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline import constants as K
 from ledgerline import schemas
@@ -85,8 +86,7 @@ def build_history(cdc: DataFrame, start: str, end: str | None, sink: Sink,
     if state_path is not None:
         before = (_dt.date.fromisoformat(start) - _dt.timedelta(days=1)).isoformat()
         opening = files.read_state(spark, state_path, before)
-    feed = cdc if opening is None else cdc.filter(
-        F.col("event_time").isNull() | (F.to_date("event_time") >= F.lit(start).cast("date")))
+    feed = cdc if opening is None else cdc.filter(_from_day(cdc, start))
     cdc_ops.require_valid(feed)
     if feed.isEmpty() and opening is None:
         return RunResult(False)
@@ -107,6 +107,17 @@ def build_history(cdc: DataFrame, start: str, end: str | None, sink: Sink,
     return RunResult(True, rows)
 
 
+def _from_day(cdc: DataFrame, start: str):
+    """Events from ``start`` on (and undated ones, which the rules reject),
+    stated on the raw event time so the scan skips older row groups."""
+    ts_type = cdc.schema["event_time"].dataType
+    if isinstance(ts_type, (T.TimestampType, T.TimestampNTZType)):
+        newer = F.col("event_time") >= F.lit(f"{start} 00:00:00").cast(ts_type)
+    else:
+        newer = F.to_date("event_time") >= F.lit(start).cast("date")
+    return F.col("event_time").isNull() | newer
+
+
 def fetch_rates(spark: SparkSession, raw_path: str, output_path: str,
                 start: str | None = None, end: str | None = None,
                 dynamic: bool = True) -> RunResult:

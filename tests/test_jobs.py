@@ -96,3 +96,12 @@ def test_fetch_rates_keeps_the_requested_days(spark, tmp_path):
     (feed / "a.json").write_text(json.dumps([{"data": f"0{d}/01/2024", "valor": "10"} for d in (1, 2, 3, 4)]))
     res = jobs.fetch_rates(spark, str(feed), str(tmp_path / "r"), "2024-01-02", "2024-01-03")
     assert res.rows == {"rates": 2}
+
+
+def test_incremental_feed_filter_reaches_the_scan(spark, tmp_path):
+    import __spark_entry__ as E
+    path = str(tmp_path / "cdc")
+    E._cdc(E._events(spark, "/root/testdata/sf0.001")).write.parquet(path)
+    feed = files.read_cdc(spark, path)
+    plan = feed.filter(jobs._from_day(feed, "2024-01-10"))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(event_time,2024-01-10T00:00)" in plan
