@@ -12,8 +12,10 @@ from ledgerline.functions import daily_interest, first_non_empty
 from ledgerline.plans.broadcast import broadcast_if_bounded
 
 # Upper bound on rate rows that may be broadcast; beyond it the join falls
-# back to a shuffle join (rates hold one row per business day, so a run
-# window of decades stays far below it).
+# back to a shuffle join on the day, whose per-day skew (every account of a
+# day meets one rate row) adaptive execution's skew-join handling splits
+# (``spark.sql.adaptive.skewJoin.enabled``). Rates hold one row per business
+# day, so a run window of decades stays far below the bound.
 MAX_BROADCAST_RATE_ROWS = 200_000
 
 
