@@ -94,3 +94,14 @@ def test_audit_defaults_fill_gaps(spark):
 def test_small_rate_table_is_broadcast(history, rates):
     plan = ops.decide(history, rates)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_shuffle_join_fallback_gives_the_same_rows(spark):
+    import __spark_entry__ as E
+    r = E._Run(spark, "/root/testdata/sf0.001")
+    h, rates = r.history(), r.rates()
+    key = lambda x: (x.account_id, x.user_id, x.partition_date)
+    a = sorted(ops.decide(h, rates, broadcast_rates=True).collect(), key=key)
+    b = sorted(ops.decide(h, rates, broadcast_rates=False).collect(), key=key)
+    c = sorted(ops.decide(h, rates).collect(), key=key)
+    assert a == b == c
