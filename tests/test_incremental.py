@@ -14,7 +14,8 @@ SF = "/root/testdata/sf0.001"
 
 
 def _rows(df):
-    key = lambda r: (r["account_id"], r["user_id"], r["partition_date"])
+    key = lambda r: (r["account_id"], r["user_id"] is None, r["user_id"] or "",
+                     r["partition_date"])
     return sorted(df.collect(), key=key)
 
 
@@ -98,3 +99,18 @@ def test_history_with_state_matches_separate_runs(spark):
     hist2, state2, _ = h.history_with_state(new, "2024-01-10", "2024-01-20", opening=opening)
     assert _rows(hist2) == _rows(hist)
     assert as_rows(state2) == as_rows(state)
+
+
+def test_null_user_is_a_pair_of_its_own(spark):
+    feed = [("a", None, "DEPOSIT", 100, "2024-01-01 10:00"),
+            ("a", "u1", "DEPOSIT", 50, "2024-01-02 10:00"),
+            ("a", None, "WITHDRAWAL", 30, "2024-01-04 10:00")]
+    sg = cdc_ops.signed(cdc(spark, feed))
+    for mode in ("zero", "carry"):
+        full = h.wallet_history(sg, "2024-01-03", "2024-01-04", quiet_days=mode)
+        rows = {(r.user_id, r.partition_date.day): r.balance for r in full.collect()}
+        assert set(rows) == {(None, 3), (None, 4), ("u1", 3), ("u1", 4)}
+        assert rows[(None, 4)] == rows[("u1", 4)] == 120.0
+        inc = h.wallet_history(sg, "2024-01-03", "2024-01-04", quiet_days=mode,
+                               opening=h.account_state(sg, "2024-01-02"))
+        assert _rows(inc) == _rows(full)
