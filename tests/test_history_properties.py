@@ -13,7 +13,7 @@ TYPES = ["WALLET_CREATED", "DEPOSIT", "TRANSFER_IN", "WITHDRAWAL", "TRANSFER_OUT
 BASE = dt.date(2024, 1, 1)
 
 events = st.lists(
-    st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["u1", "u2"]),
+    st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["u1", "u2", None]),
               st.sampled_from(TYPES), st.integers(-300, 300), st.integers(0, 9), st.integers(0, 23)),
     min_size=1, max_size=25)
 

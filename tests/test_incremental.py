@@ -60,7 +60,7 @@ TYPES = ["WALLET_CREATED", "DEPOSIT", "WITHDRAWAL", "TRANSFER_OUT"]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.sampled_from(["u1", "u2"]),
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.sampled_from(["u1", "u2", None]),
                                st.sampled_from(TYPES), st.integers(0, 500), st.integers(0, 9)),
                      min_size=1, max_size=20),
        start=st.integers(1, 8), carry=st.booleans())
