@@ -33,11 +33,12 @@ from ledgerline.sources import files, jdbc
 Sink = Callable[[DataFrame, Observation], bool]
 
 
-def parquet_sink(path: str, dynamic: bool = True) -> Sink:
+def parquet_sink(path: str, dynamic: bool = True, mode: str = "overwrite") -> Sink:
     """Day-partitioned Parquet; dynamic overwrite replaces only the days
-    written."""
+    written. ``mode="append"`` keeps every run's rows (an audit log whose
+    runs are told apart by ``job_id``)."""
     def write(df: DataFrame, obs: Observation) -> bool:
-        files.write_by_day(df, path, dynamic=dynamic, observation=obs)
+        files.write_by_day(df, path, mode=mode, dynamic=dynamic, observation=obs)
         return True
     return write
 

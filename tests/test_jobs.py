@@ -105,3 +105,16 @@ def test_incremental_feed_filter_reaches_the_scan(spark, tmp_path):
     feed = files.read_cdc(spark, path)
     plan = feed.filter(jobs._from_day(feed, "2024-01-10"))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(event_time,2024-01-10T00:00)" in plan
+
+
+def test_audit_log_can_append_runs(spark, tmp_path):
+    import __spark_entry__ as E
+    r = E._Run(spark, "/root/testdata/sf0.001")
+    audit_path = str(tmp_path / "audit")
+    for run in ("run-a", "run-b"):
+        jobs.calculate_interest(r.history(), r.rates(), r.start, r.end,
+                                jobs.parquet_sink(str(tmp_path / "pay")),
+                                jobs.parquet_sink(audit_path, mode="append"), job_id=run)
+    log = spark.read.parquet(audit_path)
+    counts = {x.job_id: x["count"] for x in log.groupBy("job_id").count().collect()}
+    assert set(counts) == {"run-a", "run-b"} and counts["run-a"] == counts["run-b"] > 0
