@@ -24,6 +24,7 @@ from ledgerline.operators import cdc as cdc_ops
 from ledgerline.operators import history as hist_ops
 from ledgerline.operators import interest as int_ops
 from ledgerline.operators import rates as rate_ops
+from ledgerline.operators import reports as rep
 from ledgerline.sources import files, jdbc
 
 # A sink writes a frame, counting the rows it wrote into the observation,
@@ -177,3 +178,40 @@ def calculate_interest(history: DataFrame, rates: DataFrame, start: str, end: st
 def read_history(spark: SparkSession, path: str, start: str, end: str | None = None) -> DataFrame:
     """History written by ``parquet_sink``, pruned to the window."""
     return files.read_by_day(spark, path, schemas.WALLET_HISTORY_STORED, start, end)
+
+
+def read_payments(spark: SparkSession, path: str, start: str, end: str | None = None) -> DataFrame:
+    """Payments written by ``parquet_sink``, pruned to the window."""
+    return files.read_by_day(spark, path, _stored(schemas.INTEREST_PAYMENTS), start, end)
+
+
+def read_audit(spark: SparkSession, path: str, start: str, end: str | None = None) -> DataFrame:
+    """Audit rows written by ``parquet_sink``, pruned to the window."""
+    return files.read_by_day(spark, path, _stored(schemas.AUDIT_LOG), start, end)
+
+
+def _stored(schema: T.StructType) -> T.StructType:
+    """A schema as stored day-partitioned: the day as text, last."""
+    return T.StructType([f for f in schema.fields if f.name != "partition_date"]
+                        + [T.StructField("partition_date", T.StringType(), True)])
+
+
+def reports(payments: DataFrame, audit: DataFrame, start: str, end: str,
+            detail_min_balance: float = K.DETAIL_MIN_BALANCE,
+            detail_min_interest: float = K.DETAIL_MIN_INTEREST,
+            detail_k: int = K.DETAIL_LIMIT, bins: int = K.HISTOGRAM_BINS) -> dict[str, DataFrame]:
+    """Every reporting query of the window, by name (lazy frames; the
+    histogram runs its min/max job when built)."""
+    start, end = validate_dates(start, end)
+    by_day = rep.payments_by_day(payments, start, end)
+    return {
+        "audit_summary": rep.audit_summary(audit, start, end),
+        "audit_reasons": rep.audit_reasons(audit, start, end),
+        "eligibility_split": rep.eligibility_split(audit, start, end),
+        "payments_by_day": by_day,
+        "payments_detail": rep.payments_detail(payments, start, end, detail_min_balance,
+                                               detail_min_interest, detail_k),
+        "payments_distribution": rep.payments_distribution(payments, start, end),
+        "interest_histogram": rep.interest_histogram(payments, start, end, bins),
+        "balance_interest_trend": rep.balance_interest_trend(by_day),
+    }

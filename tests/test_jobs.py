@@ -118,3 +118,18 @@ def test_audit_log_can_append_runs(spark, tmp_path):
     log = spark.read.parquet(audit_path)
     counts = {x.job_id: x["count"] for x in log.groupBy("job_id").count().collect()}
     assert set(counts) == {"run-a", "run-b"} and counts["run-a"] == counts["run-b"] > 0
+
+
+def test_reports_over_stored_tables(spark, tmp_path):
+    import __spark_entry__ as E
+    r = E._Run(spark, "/root/testdata/sf0.001")
+    pay_path, audit_path = str(tmp_path / "pay"), str(tmp_path / "audit")
+    jobs.calculate_interest(r.history(), r.rates(), r.start, r.end,
+                            jobs.parquet_sink(pay_path), jobs.parquet_sink(audit_path), job_id="x")
+    pay = jobs.read_payments(spark, pay_path, r.start, r.end)
+    aud = jobs.read_audit(spark, audit_path, r.start, r.end)
+    out = jobs.reports(pay, aud, r.start, r.end, detail_min_interest=0.0, detail_k=5)
+    assert out["audit_summary"].first().total_registros == aud.count() == pay.count()
+    assert out["payments_detail"].count() == 5
+    assert sum(x["count"] for x in out["interest_histogram"].collect()) == pay.count()
+    assert out["balance_interest_trend"].first().n_days == out["payments_by_day"].count()
