@@ -109,8 +109,9 @@ def exact_money_sum(col: Column | str, scale: int = 2) -> Column:
     LONG minor units of the given scale instead (each value is the double
     nearest an amount with ``scale`` decimals, so ``round(x * 10**scale)``
     recovers it exactly below 2**50 minor units; larger values take the
-    exact decimal cast). LONG sums stay on the fast aggregation path and
-    fail loudly (ANSI) instead of wrapping on overflow."""
+    exact decimal cast). LONG sums stay on the fast aggregation path; an
+    overflow (beyond 9.2e18 minor units) fails the job under ANSI mode, the
+    Spark 4 default."""
     c = _c(col).cast("double")
     factor = 10 ** scale
     fast = F.round(c * F.lit(float(factor))).cast("long")
@@ -120,7 +121,8 @@ def exact_money_sum(col: Column | str, scale: int = 2) -> Column:
 
 
 def exact_money_avg(col: Column | str, scale: int = 2) -> Column:
-    """Average of money as an exact decimal sum divided by the count."""
+    """Average of money: the exact minor-unit sum divided by the count
+    (NULL for no values)."""
     c = _c(col)
     return F.try_divide(exact_money_sum(c, scale), F.count(c).cast("double"))
 
