@@ -317,7 +317,7 @@ def _one_pass(rolled: DataFrame, start: str, end: str, netting: str, quiet_days:
     zero = F.lit(0)
     if quiet_days == "zero":
         quiet = {c: zero for c in MONEY_OUT}
-        quiet_ts = F.when(F.lit(False), m("last_movement_ts"))
+        quiet_ts = F.when(F.lit(False), m("last_movement_ts"))  # a NULL of the column's type
     else:
         carried = F.coalesce(m("balance"), zero)
         quiet = {"balance": carried, "balance_previous": carried,
