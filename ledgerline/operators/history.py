@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,10 +123,15 @@ def account_state(sg: DataFrame, as_of: str) -> DataFrame:
 
 def advance_state(state: DataFrame, sg_new: DataFrame, through: str) -> DataFrame:
     """State through ``through`` from the state of an earlier day and the
-    events after that day (events after ``through`` are ignored). Reads the
+    events after that day; events up to the state's day (already in it) and
+    after ``through`` are ignored, the former by a pushed filter. Reads the
     state (one row per pair) and the new events only."""
     (through, _) = validate_dates(through)
     ev, scale = with_minor_units(sg_new)
+    first = state.select("as_of").first()          # one row: the state's day
+    if first is not None and first["as_of"] is not None:
+        after = (first["as_of"] + _dt.timedelta(days=1)).isoformat()
+        ev = _since(ev, after)                      # events the state already holds are skipped
     new = _until(ev, through).groupBy(ACCOUNT, USER).agg(
         F.sum(MINOR).alias(MINOR), F.max("event_ts").alias("last_movement_ts"))
     m_type = new.schema[MINOR].dataType
@@ -260,8 +267,13 @@ def _rollup(sg: DataFrame, start: str, end: str,
 
 def _opening_pairs(opening: DataFrame, start: str, scale: int | None) -> DataFrame:
     """State rows at ``start - 1``: every pair (no money), plus one row per
-    account (not a pair) that holds the opening balance."""
-    day = F.date_sub(date_lit(start), 1).alias(DAY)
+    account (not a pair) that holds the opening balance. A state of another
+    day fails the run (checked on each state row, no extra job)."""
+    before = F.date_sub(date_lit(start), 1)
+    opening = opening.filter(F.assert_true(
+        F.col("as_of") == before,
+        F.lit(f"opening state must be as of the day before {start}")).isNull())
+    day = before.alias(DAY)
     none = F.lit(None).cast("long")
     ts_type = opening.schema["last_movement_ts"].dataType
     pairs = opening.select(ACCOUNT, USER, day, none.alias("net"), none.alias("total_deposits"),

@@ -114,3 +114,19 @@ def test_null_user_is_a_pair_of_its_own(spark):
         inc = h.wallet_history(sg, "2024-01-03", "2024-01-04", quiet_days=mode,
                                opening=h.account_state(sg, "2024-01-02"))
         assert _rows(inc) == _rows(full)
+
+
+def test_state_of_the_wrong_day_fails_the_run(spark):
+    import pytest
+    sg = _signed(spark)
+    wrong = h.account_state(sg, "2024-01-05")
+    with pytest.raises(Exception, match="opening state must be as of the day before 2024-01-10"):
+        h.wallet_history(sg, "2024-01-10", "2024-01-12", opening=wrong).collect()
+
+
+def test_advance_state_ignores_events_the_state_holds(spark):
+    sg = _signed(spark)
+    early = h.account_state(sg, "2024-01-05")
+    later = h.advance_state(early, sg, "2024-01-12")     # the whole feed, on purpose
+    as_rows = lambda df: _rows(df.withColumnRenamed("as_of", "partition_date"))
+    assert as_rows(later) == as_rows(h.account_state(sg, "2024-01-12"))
