@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -108,14 +109,21 @@ def running_balance(sg: DataFrame, tie: str, bucket: str = "minute",
     into smaller pieces. Sums run on exact LONG minor units; the balance is
     returned as a double. Requires a validated feed (no NULL account or time).
 
-    ``opening``: a balance state (``history.account_state``) as of the day
-    before the first event of ``sg``; its balance starts every account's
-    prefix, so statement lines of new events need no older events.
+    ``opening``: a balance state (``history.account_state``); its balance
+    starts every account's prefix, so statement lines of the events after
+    the state's day need no older events. Events up to the state's day are
+    left out (they are already in the state).
     """
     if tie not in sg.columns:
         raise ValueError(f"tie column {tie!r} not in input")
     if bucket not in BUCKET_UNITS:
         raise ValueError(f"bucket must be one of {BUCKET_UNITS}, not {bucket!r}")
+    if opening is not None:
+        first = opening.select("as_of").first()     # one row: the state's day
+        if first is not None and first["as_of"] is not None:
+            after = (first["as_of"] + _dt.timedelta(days=1)).isoformat()
+            sg = sg.filter(F.col("event_ts") >= F.lit(f"{after} 00:00:00").cast(
+                sg.schema["event_ts"].dataType))
     m, scale = minor_units("normalized_amount", sg.schema["normalized_amount"].dataType)
     n = F.col("_minor")
     ev = sg.withColumns({"_minor": m, "_bucket": F.date_trunc(bucket, "event_ts")})

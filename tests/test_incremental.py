@@ -130,3 +130,12 @@ def test_advance_state_ignores_events_the_state_holds(spark):
     later = h.advance_state(early, sg, "2024-01-12")     # the whole feed, on purpose
     as_rows = lambda df: _rows(df.withColumnRenamed("as_of", "partition_date"))
     assert as_rows(later) == as_rows(h.account_state(sg, "2024-01-12"))
+
+
+def test_running_balance_from_state_skips_old_events(spark):
+    sg = _signed(spark)
+    state = h.account_state(sg, "2024-01-09")
+    lines = cdc_ops.running_balance(sg, tie="event_id", opening=state)   # whole feed, on purpose
+    full = cdc_ops.running_balance(sg, tie="event_id").filter("partition_date >= DATE'2024-01-10'")
+    assert {r.event_id: r.running_balance for r in lines.collect()} == \
+        {r.event_id: r.running_balance for r in full.collect()}
