@@ -76,23 +76,30 @@ def build_history(cdc: DataFrame, start: str, end: str | None, sink: Sink,
     Writes nothing when the feed has no events (the history would be
     empty: it has one row per account ever seen and day).
 
-    With ``state_path``, balances are carried between runs: when the state of
-    the day before ``start`` is there, only events from ``start`` on are
-    checked and read (the feed's older days are skipped by a pushed filter),
-    and the state through ``end`` is written for the next run. Without a
-    stored state the whole feed is used and the state is written.
+    With ``state_path``, balances are carried between runs: from the latest
+    stored state before ``start`` (advanced over any skipped days), only
+    events after that state's day are checked and read (older days are
+    skipped by a pushed filter), and the state through ``end`` is written
+    for the next run. Without any earlier state the whole feed is used and
+    the state is written.
     """
     start, end = validate_dates(start, end)
     spark = cdc.sparkSession
-    opening = None
+    opening, since = None, start
     if state_path is not None:
         before = (_dt.date.fromisoformat(start) - _dt.timedelta(days=1)).isoformat()
-        opening = files.read_state(spark, state_path, before)
-    feed = cdc if opening is None else cdc.filter(_from_day(cdc, start))
+        earlier = [d for d in files.state_days(spark, state_path) if d <= before]
+        if earlier:
+            opening = files.read_state(spark, state_path, earlier[-1])
+            since = (_dt.date.fromisoformat(earlier[-1]) + _dt.timedelta(days=1)).isoformat()
+    feed = cdc if opening is None else cdc.filter(_from_day(cdc, since))
     cdc_ops.require_valid(feed)
     if feed.isEmpty() and opening is None:
         return RunResult(False)
     sg = cdc_ops.signed(feed)
+    if opening is not None and since != start:
+        # days skipped since the stored state: bring it up to the day before start
+        opening = hist_ops.advance_state(opening, sg, before)
     if state_path is None:
         history = hist_ops.wallet_history(sg, start, end, netting, quiet_days)
         return RunResult(True, {"wallet_history": _write_counted(history, sink, "history")})

@@ -94,6 +94,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def state_days(spark: SparkSession, path: str) -> list[str]:
+    """Days for which a state was written (folder listing, no data read)."""
+    if not path_exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith("as_of="))
+
+
 def read_state(spark: SparkSession, path: str, as_of: str) -> DataFrame | None:
     """The state of one day, or None when it was never written."""
     if not path_exists(spark, f"{path.rstrip('/')}/as_of={as_of}"):

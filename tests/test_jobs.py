@@ -133,3 +133,22 @@ def test_reports_over_stored_tables(spark, tmp_path):
     assert out["payments_detail"].count() == 5
     assert sum(x["count"] for x in out["interest_histogram"].collect()) == pay.count()
     assert out["balance_interest_trend"].first().n_days == out["payments_by_day"].count()
+
+
+def test_skipped_days_advance_the_latest_state(spark, tmp_path):
+    import __spark_entry__ as E
+    feed = E._cdc(E._events(spark, "/root/testdata/sf0.001")).drop("event_id")
+    state, out = str(tmp_path / "state"), str(tmp_path / "hist")
+    jobs.build_history(feed.filter("event_time < TIMESTAMP_NTZ'2024-01-06 00:00:00'"),
+                       "2024-01-05", None, jobs.parquet_sink(out), state_path=state)
+    # no runs for 01-06 .. 01-08; the 01-09 run reads 01-06 onwards only
+    jobs.build_history(feed.filter("event_time < TIMESTAMP_NTZ'2024-01-10 00:00:00'"),
+                       "2024-01-09", None, jobs.parquet_sink(out), state_path=state)
+    full = str(tmp_path / "full")
+    jobs.build_history(feed.filter("event_time < TIMESTAMP_NTZ'2024-01-10 00:00:00'"),
+                       "2024-01-09", None, jobs.parquet_sink(full))
+    key = lambda r: (r.account_id, r.user_id, r.partition_date)
+    a = sorted(jobs.read_history(spark, out, "2024-01-09").collect(), key=key)
+    b = sorted(jobs.read_history(spark, full, "2024-01-09").collect(), key=key)
+    assert a == b and len(a) > 0
+    assert files.state_days(spark, state) == ["2024-01-05", "2024-01-09"]
