@@ -325,17 +325,21 @@ def _one_pass(rolled: DataFrame, start: str, end: str, netting: str, quiet_days:
                            F.last("_m", ignorenulls=True).over(last_w).alias("_m"))
            .filter(F.col("_grid")))
     m = lambda c: F.col("_m").getField(c)
-    moved = F.coalesce(m("day") == F.col(DAY), F.lit(False))
+    # a NULL account never matches its days (an equi-join on the account would
+    # not either): its grid rows stay quiet
+    known = F.col(ACCOUNT).isNotNull()
+    moved = F.coalesce(m("day") == F.col(DAY), F.lit(False)) & known
+    m_known = lambda c: F.when(known, m(c))
     zero = F.lit(0)
     if quiet_days == "zero":
         quiet = {c: zero for c in MONEY_OUT}
         quiet_ts = F.when(F.lit(False), m("last_movement_ts"))  # a NULL of the column's type
     else:
-        carried = F.coalesce(m("balance"), zero)
+        carried = F.coalesce(m_known("balance"), zero)
         quiet = {"balance": carried, "balance_previous": carried,
                  "immovable_balance": F.greatest(carried, zero),
                  "total_deposits": zero, "total_withdrawals": zero}
-        quiet_ts = m("last_movement_ts")
+        quiet_ts = m_known("last_movement_ts")
     money = {c: from_minor(F.when(moved, F.coalesce(m(c), zero)).otherwise(quiet[c]), scale).alias(c)
              for c in MONEY_OUT}
     return out.select(
