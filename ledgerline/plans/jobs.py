@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import constants as K
-from ledgerline import schemas
 from ledgerline.functions import in_window, validate_dates
 from ledgerline.operators import cdc as cdc_ops
 from ledgerline.operators import history as hist_ops
@@ -183,24 +182,19 @@ def calculate_interest(history: DataFrame, rates: DataFrame, start: str, end: st
 
 
 def read_history(spark: SparkSession, path: str, start: str, end: str | None = None) -> DataFrame:
-    """History written by ``parquet_sink``, pruned to the window."""
-    return files.read_by_day(spark, path, schemas.WALLET_HISTORY_STORED, start, end)
+    """History written by ``parquet_sink``, pruned to the window (the files'
+    own schema, so zoned and local movement times both read back)."""
+    return files.read_by_day(spark, path, None, start, end)
 
 
 def read_payments(spark: SparkSession, path: str, start: str, end: str | None = None) -> DataFrame:
     """Payments written by ``parquet_sink``, pruned to the window."""
-    return files.read_by_day(spark, path, _stored(schemas.INTEREST_PAYMENTS), start, end)
+    return files.read_by_day(spark, path, None, start, end)
 
 
 def read_audit(spark: SparkSession, path: str, start: str, end: str | None = None) -> DataFrame:
     """Audit rows written by ``parquet_sink``, pruned to the window."""
-    return files.read_by_day(spark, path, _stored(schemas.AUDIT_LOG), start, end)
-
-
-def _stored(schema: T.StructType) -> T.StructType:
-    """A schema as stored day-partitioned: the day as text, last."""
-    return T.StructType([f for f in schema.fields if f.name != "partition_date"]
-                        + [T.StructField("partition_date", T.StringType(), True)])
+    return files.read_by_day(spark, path, None, start, end)
 
 
 def reports(payments: DataFrame, audit: DataFrame, start: str, end: str,

@@ -25,11 +25,6 @@ WALLET_HISTORY = T.StructType([
     T.StructField("partition_date", T.DateType(), True),
 ])
 
-# The same as stored in day-partitioned Parquet (partition value as text).
-WALLET_HISTORY_STORED = T.StructType(
-    [f for f in WALLET_HISTORY.fields if f.name != "partition_date"]
-    + [T.StructField("partition_date", T.StringType(), True)])
-
 # Raw rate feed rows: day-first date text and a percent as text.
 RATES_RAW = T.StructType([
     T.StructField("data", T.StringType(), True),

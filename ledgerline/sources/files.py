@@ -50,19 +50,24 @@ def write_by_day(df: DataFrame, path: str, mode: str = "overwrite",
         .parquet(path, compression=compression))
 
 
-def read_by_day(spark: SparkSession, path: str, schema: StructType,
+def read_by_day(spark: SparkSession, path: str, schema: StructType | None = None,
                 start: str | None = None, end: str | None = None) -> DataFrame:
-    """Read a day-partitioned table. The window is applied to the string
-    partition column first, so it becomes a ``PartitionFilters`` entry and
-    only the needed day folders are listed and read; the key is returned
-    as DATE."""
-    df = spark.read.schema(schema).parquet(path)
+    """Read a day-partitioned table, pruned to a day or an inclusive range.
+
+    The window is a predicate on the partition column only, so it becomes a
+    ``PartitionFilters`` entry and only the needed day folders are listed
+    and read, whatever type the partition column is read as. With no
+    ``schema`` the files' own schema is used (it keeps zoned or local
+    timestamps as written); the day comes back as DATE.
+    """
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    day = F.col("partition_date").cast("date")
     if start is not None:
         if end is None:
-            df = df.filter(F.col("partition_date") == F.lit(start))
+            df = df.filter(day == F.lit(start).cast("date"))
         else:
-            df = df.filter(F.col("partition_date").between(F.lit(start), F.lit(end)))
-    return df.withColumn("partition_date", F.col("partition_date").cast("date"))
+            df = df.filter(day.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    return df.withColumn("partition_date", day)
 
 
 def write_rates(rates: DataFrame, path: str, dynamic: bool = True,

@@ -152,3 +152,16 @@ def test_skipped_days_advance_the_latest_state(spark, tmp_path):
     b = sorted(jobs.read_history(spark, full, "2024-01-09").collect(), key=key)
     assert a == b and len(a) > 0
     assert files.state_days(spark, state) == ["2024-01-05", "2024-01-09"]
+
+
+def test_zoned_event_times_round_trip(spark, tmp_path):
+    """A feed with zoned TIMESTAMP event times writes and reads back its history."""
+    from pyspark.sql import functions as F
+    import __spark_entry__ as E
+    feed = (E._cdc(E._events(spark, "/root/testdata/sf0.001")).drop("event_id")
+            .withColumn("event_time", F.col("event_time").cast("timestamp")))
+    out = str(tmp_path / "h")
+    jobs.build_history(feed, "2024-01-05", "2024-01-06", jobs.parquet_sink(out))
+    back = jobs.read_history(spark, out, "2024-01-06")
+    assert dict(back.dtypes)["last_movement_ts"] == "timestamp"
+    assert back.count() == feed.select("account_id", "user_id").distinct().count()
