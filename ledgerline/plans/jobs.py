@@ -80,7 +80,9 @@ def build_history(cdc: DataFrame, start: str, end: str | None, sink: Sink,
     events after that state's day are checked and read (older days are
     skipped by a pushed filter), and the state through ``end`` is written
     for the next run. Without any earlier state the whole feed is used and
-    the state is written.
+    the state is written. Runs are idempotent per day (dynamic overwrite);
+    after re-running an earlier day with corrected events, the later days
+    must be re-run too, since their balances build on it.
     """
     start, end = validate_dates(start, end)
     spark = cdc.sparkSession
