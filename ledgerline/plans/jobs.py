@@ -130,11 +130,13 @@ def _from_day(cdc: DataFrame, start: str):
 
 def fetch_rates(spark: SparkSession, raw_path: str, output_path: str,
                 start: str | None = None, end: str | None = None,
-                dynamic: bool = True) -> RunResult:
+                dynamic: bool = True, multiline: bool = True) -> RunResult:
     """Landed feed files -> normalised rates -> day-partitioned Parquet,
     optionally only the days of ``start``..``end``. Returns
-    ``written=False`` when no row survives."""
-    rates = rate_ops.normalize(files.read_rates_json(spark, raw_path))
+    ``written=False`` when no row survives. ``multiline=True`` reads files
+    that each hold one JSON array (the feed's response as delivered);
+    ``False`` reads JSON Lines, one object per line."""
+    rates = rate_ops.normalize(files.read_rates_json(spark, raw_path, multiline))
     if start is not None:
         start, end = validate_dates(start, end)
         rates = rate_ops.in_range(rates, start, end)

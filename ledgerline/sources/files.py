@@ -21,8 +21,11 @@ def read_cdc(spark: SparkSession, path: str, schema: StructType | None = None) -
 
 
 def read_rates_json(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Landed rate-feed files: a JSON array (or JSON lines with
-    ``multiline=False``) of ``{"data": "dd/MM/yyyy", "valor": "10.40"}``."""
+    """Landed rate-feed files of ``{"data": "dd/MM/yyyy", "valor": "10.40"}``
+    objects: one JSON array per file (``multiline=True``, the feed's
+    response as delivered) or JSON Lines (``multiline=False``). The flag
+    must match the files: Spark reads only the first object of a JSON Lines
+    file in multi-line mode."""
     return spark.read.schema(schemas.RATES_RAW).option("multiLine", multiline).json(path)
 
 

@@ -69,3 +69,11 @@ def test_window_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(partition_date" in plan
     assert sorted(r.partition_date.day for r in df.collect()) == [2, 3]
     assert [r.partition_date.day for r in files.read_rates(spark, path, "2024-01-04").collect()] == [4]
+
+
+def test_json_lines_feed(spark, tmp_path):
+    from ledgerline.plans import jobs
+    d = tmp_path / "feed"
+    d.mkdir()
+    (d / "a.json").write_text("\n".join(json.dumps({"data": f"0{i}/01/2024", "valor": "10"}) for i in (1, 2, 3)))
+    assert jobs.fetch_rates(spark, str(d), str(tmp_path / "r"), multiline=False).rows == {"rates": 3}
