@@ -8,6 +8,7 @@ of event days, computed from the data, so every query covers every row.
 from __future__ import annotations
 
 import datetime as _dt
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -318,7 +319,17 @@ def _dates_as_text(q: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spa
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _dates_as_text(q) for k, q in QUERIES.items()}
+    return {k: _dates_as_text(q) for k, q in QUERIES.items()} | _llm("QUERIES")
+
+
+def _llm(name: str) -> dict:
+    """The queries or SQL of the ``llm`` subpackage and its pipeline, where they
+    are installed. Only their absence is tolerated, never a failing import."""
+    if importlib.util.find_spec("ledgerline.llm") is None:
+        return {}
+    from ledgerline.llm import queries as llm_queries
+
+    return dict(getattr(llm_queries, name))
 
 
 # --- DuckDB side ----------------------------------------------------------------
@@ -544,7 +555,7 @@ def _text_days(key: str, sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _text_days(k, v) for k, v in _oracle_sql().items()}
+    return {k: _text_days(k, v) for k, v in _oracle_sql().items()} | _llm("ORACLE_SQL")
 
 
 def _oracle_sql() -> dict[str, str]:

@@ -22,10 +22,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E.QUERIES))
 def test_query_matches_oracle(spark, con, key):
     sdf = E.queries()[key](spark, SF)
     got = sdf.toPandas()
