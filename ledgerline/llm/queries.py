@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, sentencepiece_codec, simhash_dedup, source_mixing
+from ledgerline.llm import (exact_dedup, pu_quality, quality_rules, sentencepiece_codec, simhash_dedup,
+                            source_mixing)
 
 
 def _documents(spark, d):
     return spark.read.parquet(f"{d}/documents.parquet")
 
 
+def _labels(spark, d):
+    return spark.read.parquet(f"{d}/labels.parquet")
+
+
 def op1_exact_dedup(spark, d):
     return exact_dedup.exact_dedup(_documents(spark, d)).withColumnRenamed("id", "doc_id")
 
@@ -23,6 +28,18 @@ def op5_source_mixing(spark, d):
     return source_mixing.mix_sources(_documents(spark, d)).withColumnRenamed("id", "doc_id")
 
 
+def op6_pu_quality(spark, d):
+    docs = _documents(spark, d)
+    model = pu_quality.train(docs, _labels(spark, d))
+    return pu_quality.score(docs, model).withColumnRenamed("id", "doc_id")
+
+
+def op9_quality_rules(spark, d):
+    docs = _documents(spark, d)
+    model = quality_rules.train(docs, _labels(spark, d))
+    return quality_rules.apply_rules(docs, model).withColumnRenamed("id", "doc_id")
+
+
 def op10_simhash_dedup(spark, d):
     out = simhash_dedup.near_duplicates(_documents(spark, d))
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -58,7 +75,8 @@ def _op5_sql() -> str:
     return rf"""
 WITH sizes AS (
   SELECT doc_id AS id, source,
-         CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS size FROM documents),
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS BIGINT) AS size FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS words, count(*) AS n_docs FROM sizes GROUP BY source),
 s1 AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS rank FROM s0),
 s2 AS (SELECT *, words * {repeats} AS cap, CAST([{', '.join(map(str, source_mixing.WEIGHTS))}][rank % {len(source_mixing.WEIGHTS)} + 1] AS BIGINT) AS weight
@@ -98,7 +116,8 @@ SELECT id AS doc_id, size, source_size, target,
 FROM n"""
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op5_source_mixing, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op5_source_mixing, op6_pu_quality, op9_quality_rules,
+                                   op10_simhash_dedup)}
 
 
 ORACLE_SQL = {
