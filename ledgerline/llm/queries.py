@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (exact_dedup, pu_quality, quality_rules, sentencepiece_codec, simhash_dedup,
-                            source_mixing)
+                            source_mixing, toxicity)
 
 
 def _documents(spark, d):
@@ -34,6 +34,11 @@ def op6_pu_quality(spark, d):
     return pu_quality.score(docs, model).withColumnRenamed("id", "doc_id")
 
 
+def op8_toxicity(spark, d):
+    docs = _documents(spark, d)
+    return toxicity.score(docs, toxicity.train(docs, _labels(spark, d))).withColumnRenamed("id", "doc_id")
+
+
 def op9_quality_rules(spark, d):
     docs = _documents(spark, d)
     model = quality_rules.train(docs, _labels(spark, d))
@@ -116,7 +121,7 @@ SELECT id AS doc_id, size, source_size, target,
 FROM n"""
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op5_source_mixing, op6_pu_quality, op9_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op5_source_mixing, op6_pu_quality, op8_toxicity, op9_quality_rules,
                                    op10_simhash_dedup)}
 
 
