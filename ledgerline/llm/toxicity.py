@@ -1,10 +1,10 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
 Examples are a bounded sample of labelled rows of the training folds. The
-terms are words without outer punctuation and their leading stems; the
-terms that tell the two labels apart (chi-squared on the sample, p < 0.001; the
-``VOCABULARY`` best) are indexed. Document frequencies are counted over all documents. The
-inverted index keeps, per term, the examples in blocks with the largest weight
+terms are words without outer punctuation, their leading stems, and stems that
+come twice or three times; those that tell the two labels apart
+(chi-squared on the sample, p < 0.001; the ``VOCABULARY`` best) are indexed.
+Document frequencies are counted over all documents. The inverted index keeps, per term, the examples in blocks with the largest weight
 of each block. A query adds up block bounds first and opens blocks from the
 highest bound down until no unopened block can beat the k-th best similarity:
 the result is the exact top k.
@@ -42,6 +42,7 @@ PER_CLASS = 2_000     # bound of the examples, per label
 VOCABULARY = 4_096    # bound of the indexed terms
 MIN_EXAMPLES = 3      # a term must occur in so many examples
 STEMS = (4, 5, 6, 7, 8)
+REPEATS = (2, 3)      # a stem that comes so often in a text is a further term
 NEIGHBOURS = 15
 BLOCK = 64            # examples of a block of the index
 OPENED = 4            # blocks opened together
@@ -58,33 +59,52 @@ def terms_of(word: str) -> list[str]:
     return [bare] + [bare[:n] + "-" for n in STEMS if len(bare) >= n] if bare else []
 
 
-def counted(text: str | None) -> Counter:
+def repeats(term: str) -> list[str]:
+    """The terms that say a stem comes twice, three times."""
+    return [f"{term}+{n}" for n in REPEATS] if term.endswith("-") else []
+
+
+def counted(text: str | None) -> dict[str, int]:
     out: Counter = Counter()
     for word, n in Counter((text or "").split()).items():
         for term in terms_of(word):
             out[term] += n
-    return out
+    more = {r: 1 for t, n in out.items() if n >= REPEATS[0] for r, k in zip(repeats(t), REPEATS, strict=False) if n >= k}
+    return out | more
 
 
 class Vectors:
     """Texts to term numbers and weights, (1 + log tf) * idf, unit length."""
 
     def __init__(self, terms: list[str], idf: np.ndarray):
-        self.number, self.idf, self.known = {t: i for i, t in enumerate(terms)}, idf, {}
-
-    def numbers(self, word: str) -> tuple[int, ...]:
+        self.idf, self.known = idf, {}
+        number = {t: i for i, t in enumerate(terms)}
+        # Per plain term with itself or a repeat in the index: their numbers.
+        plain = {t.split("+")[0] if "-+" in t else t for t in terms}
+        self.cells = {t: (number.get(t, -1), [(k, number[r]) for k, r in zip(REPEATS, repeats(t), strict=False)
+                                              if r in number]) for t in plain}
+
+    def plain(self, word: str) -> tuple[str, ...]:
         got = self.known.get(word)
         if got is None:
             if len(self.known) > _CACHE:
                 self.known.clear()
-            got = self.known[word] = tuple(self.number[t] for t in terms_of(word) if t in self.number)
+            got = self.known[word] = tuple(t for t in terms_of(word) if t in self.cells)
         return got
 
     def counts(self, text: str | None) -> dict[int, int]:
-        out: dict[int, int] = {}
+        found: dict[str, int] = {}
         for word, n in Counter((text or "").split()).items():
-            for i in self.numbers(word):
-                out[i] = out.get(i, 0) + n
+            for t in self.plain(word):
+                found[t] = found.get(t, 0) + n
+        out = {}
+        for t, n in found.items():
+            own, more = self.cells[t]
+            if own >= 0:
+                out[own] = n
+            for k, i in more:
+                if n >= k:
+                    out[i] = 1
         return out
 
     def of(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
