@@ -19,6 +19,7 @@ a text are ordinary text; repeated rows repeat; an empty table gives none.
 
 from __future__ import annotations
 
+import functools
 import os
 import struct
 from collections.abc import Iterator
@@ -34,7 +35,8 @@ from ledgerline.llm.common import text_of
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE_PARTS = 300_000  # distinct parts remembered by a task: memory, not a limit
+CACHE_PARTS = 250_000  # distinct parts remembered by a worker: memory, not a limit
+CALL_PARTS = 4_096     # parts of one call of the library
 _PARTS = regex.compile(" *[^ ]+| +")
 # Fixed values of the public model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -132,50 +134,63 @@ def tokenizer(model: Model, whole: bool):
 
 
 class Codec:
-    """Encoder, decoder and parity check of one task."""
+    """Encoder, decoder and parity check of one worker."""
 
     def __init__(self, data: bytes):
         import sentencepiece
 
         self.model = Model(data)
-        self.texts = tokenizer(self.model, whole=True)
         self.parts = tokenizer(self.model, whole=False) if self.model.by_parts else None
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.known: dict[str, tuple[list[int], bool, bool]] = {}
+        self.known: dict[str, bytes] = {}   # part to its ids, as int32 bytes
+        self.unlike: set[str] = set()       # parts whose ids differ from the library's
+        self.lossy: set[str] = set()        # parts that decoding does not give back
 
-    def _check(self, tok, units: list[str], plain: list[str]) -> list[tuple[list[int], bool, bool]]:
+    @functools.cached_property
+    def texts(self):
+        return tokenizer(self.model, whole=True)
+
+    def _check(self, tok, units: list[str], plain: list[str]) -> list[tuple[bytes, bool, bool]]:
         """(ids, parity, round trip) of each unit; ``plain``: the texts that the
         SentencePiece library gets for them."""
         ids = [e.ids for e in tok.encode_batch_fast(units, add_special_tokens=False)]
         back = tok.decode_batch(ids, skip_special_tokens=False)
         same = self.reference.encode(plain)
-        return [(i, i == s, t == b) for i, s, t, b in zip(ids, same, plain, back, strict=True)]
+        return [(np.array(i, np.int32).tobytes(), i == s, t == b)
+                for i, s, t, b in zip(ids, same, plain, back, strict=True)]
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], bool, bool]]:
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
+        """Per text its ids as int32 bytes, parity and round trip."""
         if self.parts is None:
-            return [x if t else ([], True, True) for t, x in zip(texts, self._check(self.texts, texts, texts), strict=True)]
+            full = iter(self._check(self.texts, [t for t in texts if t], [t for t in texts if t]))
+            return [next(full) if t else (b"", True, True) for t in texts]
         split = [_PARTS.findall(" " + t) if t else [] for t in texts]
-        known = self.known
-        if len(known) > CACHE_PARTS:
-            known.clear()
-        new = [p for p in dict.fromkeys(chain.from_iterable(split)) if p not in known]
-        known.update(zip(new, self._check(self.parts, new, [p[1:] for p in new]), strict=True))
-        out = []
-        for parts in split:
-            got = [known[p] for p in parts]
-            out.append((list(chain.from_iterable([g[0] for g in got])), all([g[1] for g in got]), all([g[2] for g in got])))
-        return out
+        if len(self.known) > CACHE_PARTS:
+            self.known.clear()
+        known, new = self.known, sorted(set(chain.from_iterable(split)).difference(self.known))
+        for at in range(0, len(new), CALL_PARTS):
+            some = new[at: at + CALL_PARTS]
+            for part, (ids, same, back) in zip(some, self._check(self.parts, some, [p[1:] for p in some]), strict=True):
+                known[part] = ids
+                if not same:
+                    self.unlike.add(part)
+                if not back:
+                    self.lossy.add(part)
+        return [(b"".join(map(known.__getitem__, parts)), not self.unlike or self.unlike.isdisjoint(parts),
+                 not self.lossy or self.lossy.isdisjoint(parts)) for parts in split]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.texts.decode_batch(ids, skip_special_tokens=False)
 
 
-def _codec(data) -> Codec:
+@functools.lru_cache(maxsize=1)
+def _codec(data: bytes) -> Codec:
+    """One per worker: later tasks find its parts encoded."""
     os.environ["TOKENIZERS_PARALLELISM"] = "true"
-    return Codec(data.value)
+    return Codec(data)
 
 
-def encode(df: DataFrame, id_col="doc_id", text_col="text", model_path=MODEL_PATH, batch_chars=2_000_000) -> DataFrame:
+def encode(df: DataFrame, id_col="doc_id", text_col="text", model_path=MODEL_PATH, batch_chars=1_000_000) -> DataFrame:
     """One row per input row: id, n_tokens, ids, parity (the SentencePiece
     library gives the same ids) and round_trip (decoding gives the text)."""
     with open(model_path, "rb") as f:
@@ -183,7 +198,7 @@ def encode(df: DataFrame, id_col="doc_id", text_col="text", model_path=MODEL_PAT
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(data)
+        codec = _codec(data.value)
         for batch in batches:
             at, texts = 0, batch.column(1).to_pylist()
             lengths = np.cumsum([len(t) for t in texts])
@@ -191,8 +206,8 @@ def encode(df: DataFrame, id_col="doc_id", text_col="text", model_path=MODEL_PAT
                 so_far = lengths[at - 1] if at else 0
                 to = max(at + 1, int(np.searchsorted(lengths, so_far + batch_chars, "right")))
                 got = codec.encode(texts[at:to])
-                sizes = [len(g[0]) for g in got]
-                flat = np.fromiter(chain.from_iterable(g[0] for g in got), np.int32, sum(sizes))
+                sizes = [len(g[0]) // 4 for g in got]
+                flat = np.frombuffer(b"".join([g[0] for g in got]), np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
                 yield pa.record_batch([batch.column(0).slice(at, to - at), pa.array(sizes, pa.int64()), ids,
                                        pa.array([g[1] for g in got]), pa.array([g[2] for g in got])],
@@ -210,7 +225,7 @@ def decode(df: DataFrame, id_col="id", ids_col="ids", model_path=MODEL_PATH) ->
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(data)
+        codec = _codec(data.value)
         for batch in batches:
             texts = codec.decode([[i for i in x or () if i is not None] for x in batch.column(1).to_pylist()])
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
