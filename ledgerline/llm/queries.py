@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (exact_dedup, pu_quality, quality_rules, sentencepiece_codec, simhash_dedup,
-                            source_mixing, toxicity)
+from ledgerline.llm import (context_mixing, exact_dedup, pu_quality, quality_rules, sentencepiece_codec,
+                            simhash_dedup, source_mixing, toxicity)
 
 
 def _documents(spark, d):
@@ -24,6 +24,10 @@ def op3_sentencepiece(spark, d):
     return sentencepiece_codec.encode(_documents(spark, d)).withColumnRenamed("id", "doc_id")
 
 
+def op4_lm_scoring(spark, d):
+    return context_mixing.score(_documents(spark, d)).withColumnRenamed("id", "doc_id")
+
+
 def op5_source_mixing(spark, d):
     return source_mixing.mix_sources(_documents(spark, d)).withColumnRenamed("id", "doc_id")
 
@@ -121,7 +125,7 @@ SELECT id AS doc_id, size, source_size, target,
 FROM n"""
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op5_source_mixing, op6_pu_quality, op8_toxicity, op9_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op4_lm_scoring, op5_source_mixing, op6_pu_quality, op8_toxicity, op9_quality_rules,
                                    op10_simhash_dedup)}
 
 
