@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (context_mixing, exact_dedup, pu_quality, quality_rules, sentencepiece_codec,
+from ledgerline.llm import (chat_format, context_mixing, exact_dedup, pu_quality, quality_rules, sentencepiece_codec,
                             simhash_dedup, source_mixing, toxicity)
 
 
@@ -20,6 +20,11 @@ def op1_exact_dedup(spark, d):
     return exact_dedup.exact_dedup(_documents(spark, d)).withColumnRenamed("id", "doc_id")
 
 
+def op2_chat_format(spark, d):
+    turns = spark.read.parquet(f"{d}/conversations.parquet")
+    return chat_format.repair_conversations(turns).withColumnRenamed("id", "conv_id")
+
+
 def op3_sentencepiece(spark, d):
     return sentencepiece_codec.encode(_documents(spark, d)).withColumnRenamed("id", "doc_id")
 
@@ -125,7 +130,7 @@ SELECT id AS doc_id, size, source_size, target,
 FROM n"""
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op4_lm_scoring, op5_source_mixing, op6_pu_quality, op8_toxicity, op9_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_sentencepiece, op4_lm_scoring, op5_source_mixing, op6_pu_quality, op8_toxicity, op9_quality_rules,
                                    op10_simhash_dedup)}
 
 
