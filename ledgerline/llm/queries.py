@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (chat_format, context_mixing, exact_dedup, pu_quality, quality_rules, sentencepiece_codec,
+from ledgerline.llm import (chat_format, context_mixing, exact_dedup, line_dedup, pu_quality, quality_rules, sentencepiece_codec,
                             simhash_dedup, source_mixing, toxicity)
 
 
@@ -43,6 +43,10 @@ def op6_pu_quality(spark, d):
     return pu_quality.score(docs, model).withColumnRenamed("id", "doc_id")
 
 
+def op7_line_dedup(spark, d):
+    return line_dedup.dedup_lines(_documents(spark, d)).withColumnRenamed("id", "doc_id")
+
+
 def op8_toxicity(spark, d):
     docs = _documents(spark, d)
     return toxicity.score(docs, toxicity.train(docs, _labels(spark, d))).withColumnRenamed("id", "doc_id")
@@ -130,7 +134,7 @@ SELECT id AS doc_id, size, source_size, target,
 FROM n"""
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_sentencepiece, op4_lm_scoring, op5_source_mixing, op6_pu_quality, op8_toxicity, op9_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_sentencepiece, op4_lm_scoring, op5_source_mixing, op6_pu_quality, op7_line_dedup, op8_toxicity, op9_quality_rules,
                                    op10_simhash_dedup)}
 
 
