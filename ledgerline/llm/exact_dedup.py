@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline.llm.common import SPACE_CLASS, partitions, stored, text_of
 
@@ -158,8 +159,8 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def distinct_rows(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """The rows that stay, whole, with the columns of ``df``."""
     rows = _sorted(df, id_col, text_col, carry=True).withColumn("sha", F.sha2("norm", 256))
-    row_type = rows.schema["row"].dataType.simpleString()
-    heads = stored(rows.mapInArrow(_heads, f"row {row_type}, sha string, edge boolean, pid int"), "content-heads")
+    schema = StructType([rows.schema["row"], *StructType.fromDDL("sha string, edge boolean, pid int").fields])
+    heads = stored(rows.mapInArrow(_heads, schema), "content-heads")
     marks = heads.select("sha", "edge", "pid")
     edges = marks.where("edge").select("sha", F.col("pid").alias("edge_pid"))
     # A run goes on here when an earlier partition has a head of the same text.

@@ -134,8 +134,14 @@ SELECT id AS doc_id, size, source_size, target,
 FROM n"""
 
 
+def pipeline(spark, d):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, d)
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_sentencepiece, op4_lm_scoring, op5_source_mixing, op6_pu_quality, op7_line_dedup, op8_toxicity, op9_quality_rules,
-                                   op10_simhash_dedup)}
+                                   op10_simhash_dedup, pipeline)}
 
 
 ORACLE_SQL = {

@@ -232,8 +232,8 @@ def representatives(df: DataFrame, id_col="doc_id", text_col="text", shingle=SHI
                     max_bits=MAX_BITS) -> DataFrame:
     """The rows of ``df`` that represent their component, with all its columns.
     Rows equal in id and text stay together."""
-    keep = (near_duplicates(df, id_col, text_col, shingle, max_bits).where("keeper")
-            .select(F.col("id").alias("keep_id"), F.col("text_hash").alias("keep_hash")).distinct())
-    same = df[id_col].eqNullSafe(keep["keep_id"]) & (F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit("")))
-                                                     == keep["keep_hash"])
-    return df.join(keep, same, "left_semi")
+    gone = (near_duplicates(df, id_col, text_col, shingle, max_bits).where("not keeper")
+            .select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct())
+    same = df[id_col].eqNullSafe(gone["gone_id"]) & (F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit("")))
+                                                     == gone["gone_hash"])
+    return df.join(gone, same, "left_anti")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stored, text_of, word_count
+from ledgerline.llm.common import WORD_CLASS, stored, text_of, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5        # of all words
@@ -96,46 +96,81 @@ def _number(digest: Column, digits: int = 12) -> Column:
     return F.conv(F.substring(digest, 1, digits), 16, 10).cast("long")
 
 
-def mix_sources(df: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS,
-                share=SHARE, max_repeats=MAX_REPEATS, block_words=BLOCK_WORDS) -> DataFrame:
-    """One row per input row: id, size, source_size, target, taken, and
-    taken_from (the place in the document where a part taken once more begins)."""
-    sizes = stored(df.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-                             word_count(text_of(text_col)).alias("size")), "mix-sizes")
+def _placed(df: DataFrame, id_col: str, text_col: str, source_col: str, weights, share, max_repeats: int,
+            block_words: int, carry: bool) -> DataFrame:
+    """Per input row: id, size, source_size, target, passes (whole takes), and
+    the words [run_from, run_to) and [0, wrap_to) that are taken once more."""
+    text, source = text_of(text_col), F.col(source_col).cast("string")
+    rows = df.select(F.col(id_col).alias("id"), source.alias("source"), word_count(text).alias("size"),
+                     F.xxhash64(text).alias("text_hash"), *([F.struct("*").alias("row")] if carry else []))
+    sizes = rows.select("id", "source", "size", "text_hash")
+    sizes = stored(sizes, "mix-sizes")
+    rows = rows if carry else sizes
     # The table of sources: one row each, small next to the documents and read often.
     sources = stored(source_targets(sizes, weights, share, max_repeats), "mix-sources")
-    quotas = (sources.withColumns({"one": F.lit(1), "weight": F.col("target"),
-                                   "seats": F.floor(F.sum("target").over(Window.orderBy(F.lit(1)).rowsBetween(
-                                       Window.unboundedPreceding, Window.unboundedFollowing)) / block_words + 0.5),
-                                   "cap": (F.ceil(F.col("words") / block_words) * max_repeats).cast("long")}))
-    quotas = sainte_lague(quotas, "one", "rank").select(
-        "source", "rank", F.col("words").alias("source_size"), "target", F.col("quota").alias("source_quota"),
-        F.ceil(F.sqrt("n_docs")).cast("long").alias("n_shards"))
-    key = F.coalesce(F.col("id").cast("string"), F.lit(""))
-    docs = sizes.alias("d").join(quotas.alias("q"), F.col("d.source").eqNullSafe(F.col("q.source"))).select(
-        "id", "size", "rank", "source_size", "target", "source_quota", "n_shards", _digest(key).alias("place"))
-    docs = docs.withColumn("shard", F.pmod(_number(F.col("place")), F.col("n_shards")))
-    in_shard = Window.partitionBy("rank", "shard")
-    order = in_shard.orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (docs.withColumn("end", F.sum("size").over(order))
-              .withColumn("shard_words", F.sum("size").over(in_shard)))
-    shards = (docs.groupBy("rank", "shard").agg(F.sum("size").alias("weight"), F.first("source_quota").alias("seats"))
+    every = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    quotas = sources.withColumns({"one": F.lit(1), "weight": F.col("target"),
+                                  "seats": F.floor(F.sum("target").over(every) / block_words + 0.5),
+                                  "cap": (F.ceil(F.col("words") / block_words) * max_repeats).cast("long")})
+    quotas = stored(sainte_lague(quotas, "one", "rank").select(
+        F.col("source").alias("of_source"), "rank", F.col("words").alias("source_size"), "target",
+        F.col("quota").alias("source_quota"), F.ceil(F.sqrt("n_docs")).cast("long").alias("n_shards")), "mix-quotas")
+
+    def dealt(frame: DataFrame) -> DataFrame:
+        key = F.coalesce(F.col("id").cast("string"), F.lit(""))
+        frame = frame.join(quotas, F.col("source").eqNullSafe(F.col("of_source"))).withColumn("place", _digest(key))
+        return frame.withColumn("shard", F.pmod(_number(F.col("place")), F.col("n_shards")))
+
+    shards = (dealt(sizes).groupBy("rank", "shard").agg(F.sum("size").alias("weight"), F.first("source_quota").alias("seats"))
               .withColumn("cap", (F.ceil(F.col("weight") / block_words) * max_repeats).cast("long")))
-    shards = sainte_lague(shards, "rank", "shard").select("rank", "shard", "quota")
-    out = placed.join(shards, ["rank", "shard"])
-    m = F.ceil(F.col("shard_words") / block_words)
-    out = (out.withColumn("m", F.greatest(m, F.lit(1)).cast("long"))
-           .withColumn("start", F.col("end") - F.col("size"))
-           .withColumn("passes", F.floor(F.col("quota") / F.col("m")).cast("long"))
-           .withColumn("extra", F.pmod("quota", "m"))
-           .withColumn("first", F.pmod(_number(_digest(F.col("rank").cast("string"), F.col("shard").cast("string"))),
-                                       F.col("m"))))
+    m = F.greatest(F.ceil(F.col("weight") / block_words), F.lit(1)).cast("long")
+    shards = sainte_lague(shards, "rank", "shard").select("rank", "shard", "quota", m.alias("m"))
+    order = (Window.partitionBy("rank", "shard").orderBy("place", "id", "size", "text_hash")
+             .rowsBetween(Window.unboundedPreceding, 0))
+    placed = dealt(rows).withColumn("end", F.sum("size").over(order)).join(shards, ["rank", "shard"])
+    placed = (placed.withColumn("start", F.col("end") - F.col("size"))
+              .withColumn("passes", F.floor(F.col("quota") / F.col("m")).cast("long"))
+              .withColumn("extra", F.pmod("quota", "m"))
+              .withColumn("first", F.pmod(_number(_digest(F.col("rank").cast("string"), F.col("shard").cast("string"))),
+                                          F.col("m"))))
     last = F.col("first") + F.col("extra")
 
-    def overlap(lo: Column, hi: Column) -> Column:
-        return F.greatest(F.least(F.col("end"), hi) - F.greatest(F.col("start"), lo), F.lit(0))
+    def inside(place: Column) -> Column:
+        """A place along the shard as one in the document."""
+        return F.least(F.greatest(place - F.col("start"), F.lit(0)), F.col("size")).cast("long")
+
+    return placed.select(
+        "id", "size", "source_size", "target", "passes", inside(F.col("first") * block_words).alias("run_from"),
+        inside(F.least(last, F.col("m")) * block_words).alias("run_to"),
+        inside(F.greatest(last - F.col("m"), F.lit(0)) * block_words).alias("wrap_to"), *(["row"] if carry else []))
 
-    run = overlap(F.col("first") * block_words, F.least(last, F.col("m")) * block_words)
-    wrapped = overlap(F.lit(0), F.greatest(last - F.col("m"), F.lit(0)) * block_words)
-    return out.select("id", "size", "source_size", "target",
-                      (F.col("passes") * F.col("size") + run + wrapped).cast("long").alias("taken"))
+
+def mix_sources(df: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS,
+                share=SHARE, max_repeats=MAX_REPEATS, block_words=BLOCK_WORDS) -> DataFrame:
+    """One row per input row: id, size, source_size, target, taken."""
+    out = _placed(df, id_col, text_col, source_col, weights, share, max_repeats, block_words, carry=False)
+    taken = F.col("passes") * F.col("size") + F.col("run_to") - F.col("run_from") + F.col("wrap_to")
+    return out.select("id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
+def mixed_rows(df: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS,
+               share=SHARE, max_repeats=MAX_REPEATS, block_words=BLOCK_WORDS, chars_col="n_chars") -> DataFrame:
+    """The mix itself, with the columns of ``df``: a row per whole take of a
+    document, and one per part taken once more (its words, joined by spaces; at
+    most two documents of a shard are cut). A document that gives no words goes."""
+    out = _placed(df, id_col, text_col, source_col, weights, share, max_repeats, block_words, carry=True)
+    whole = F.transform(F.sequence(F.lit(1).cast("long"), F.col("passes")),
+                        lambda _: F.struct(F.lit(0).cast("long").alias("a"), F.col("size").alias("b")))
+    parts = F.concat(F.when(F.col("passes") > 0, whole).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>")),
+                     F.array(F.struct(F.col("run_from").alias("a"), F.col("run_to").alias("b")),
+                             F.struct(F.lit(0).cast("long").alias("a"), F.col("wrap_to").alias("b"))))
+    out = out.select("row", "size", F.explode(F.filter(parts, lambda p: p["b"] > p["a"])).alias("part"))
+    words = F.regexp_extract_all(F.col("row")[text_col], F.lit(WORD_CLASS), F.lit(0))
+    cut = F.array_join(F.slice(words, (F.col("part.a") + 1).cast("int"), (F.col("part.b") - F.col("part.a")).cast("int")), " ")
+    is_cut = F.col("part.b") - F.col("part.a") < F.col("size")
+    row = F.col("row")
+    columns = {c: row[c] for c in df.columns}
+    columns[text_col] = F.when(is_cut, cut).otherwise(row[text_col])
+    if chars_col in columns:
+        columns[chars_col] = F.when(is_cut, F.char_length(cut).cast("long")).otherwise(row[chars_col])
+    return out.select(*[v.alias(c) for c, v in columns.items()])
