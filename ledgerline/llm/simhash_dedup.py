@@ -134,14 +134,13 @@ def links_within(fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]
     u = fp.view(np.uint64)
     if n <= max(patterns, 64):
         step = max(1, (1 << 20) // n)
-        a, b = [], []
+        a = b = np.empty(0, np.int64)
         for at in range(0, n, step):
             near = np.bitwise_count(u[at:at + step, None] ^ u[None, :]) <= max_bits
             i, j = np.nonzero(near)
             keep = i + at < j
-            a, b = forest(np.concatenate([a, fp[i[keep] + at]]).astype(np.int64),
-                          np.concatenate([b, fp[j[keep]]]).astype(np.int64))
-        return np.asarray(a, np.int64), np.asarray(b, np.int64)
+            a, b = forest(np.concatenate([a, fp[i[keep] + at]]), np.concatenate([b, fp[j[keep]]]))
+        return a, b
     ordered = np.sort(u)
     a = b = np.empty(0, np.int64)
     for k in range(1, max_bits + 1):
