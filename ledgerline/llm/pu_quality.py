@@ -104,7 +104,7 @@ def _vectors(df: DataFrame) -> np.ndarray:
 
     table = df.select("text").mapInArrow(run, "x array<float>").toArrow()
     flat = table.column("x").combine_chunks().values.to_numpy()
-    return flat.reshape(table.num_rows, -1)
+    return flat.reshape(table.num_rows, len(STATS) + (1 << GRAM_BITS))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality",
