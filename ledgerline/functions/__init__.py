@@ -2,12 +2,10 @@
 
 from ledgerline.functions.dates import calendar, date_lit, in_window, validate_dates
 from ledgerline.functions.money import (
-    daily_interest, event_timestamp, exact_money_avg, exact_money_sum,
-    first_non_empty, from_minor, immovable, minor_to_decimal, minor_units, signed_amount,
+    daily_interest, event_timestamp, first_non_empty, immovable, money_sum, signed_amount, summable,
 )
 
 __all__ = [
-    "calendar", "date_lit", "in_window", "validate_dates", "daily_interest",
-    "event_timestamp", "exact_money_avg", "exact_money_sum", "first_non_empty",
-    "immovable", "signed_amount", "minor_units", "from_minor", "minor_to_decimal",
+    "calendar", "date_lit", "in_window", "validate_dates", "daily_interest", "event_timestamp",
+    "first_non_empty", "immovable", "money_sum", "signed_amount", "summable",
 ]

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import WindowSpec
 
 from ledgerline import constants as K
 
@@ -37,45 +36,25 @@ def event_timestamp(event_time: Column | str, data_type: T.DataType) -> Column:
     return F.try_to_timestamp(c.cast("string"))
 
 
-def minor_units(amount: Column | str, data_type: T.DataType) -> tuple[Column, int | None]:
-    """Exact money as a LONG count of minor units (cents for scale 2), for
-    sums and windows.
-
-    Sums of DECIMAL(18,s) produce DECIMAL(28,s), which Spark cannot keep in a
-    long and aggregates through BigDecimal: several times slower than long
-    sums. Minor units keep the sums exact and on the fast path. The
-    conversion goes through a double, exact while |amount| stays below
-    2**50 minor units; larger amounts take the exact decimal product.
-    Returns ``(column, scale)``; scale None means the input was floating
-    point and is summed as double.
-    """
+def summable(amount: Column | str, data_type: T.DataType) -> tuple[Column, bool]:
+    """Money ready to be summed, and whether sums of it are exact: decimals
+    and integers widened to DECIMAL(38, scale), so a sum has all the digits
+    there are; floating point stays double."""
     a = _c(amount)
     if isinstance(data_type, T.DecimalType):
-        factor = 10 ** data_type.scale
-        as_double = a.cast("double")
-        fast = F.round(as_double * F.lit(float(factor))).cast("long")
-        exact = (a * F.lit(factor)).cast("long")
-        return F.when(F.abs(as_double) < F.lit(float(2 ** 50 // factor)), fast).otherwise(exact), \
-            data_type.scale
+        return a.cast(T.DecimalType(38, data_type.scale)), True
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return a.cast("long"), 0
-    return a.cast("double"), None
-
+        return a.cast(T.DecimalType(38, 0)), True
+    return a.cast("double"), False
 
-def from_minor(minor: Column | str, scale: int | None) -> Column:
-    """Minor units back to a double: the double nearest the exact amount."""
-    c = _c(minor).cast("double")
-    return c if not scale else c / F.lit(float(10 ** scale))
 
-
-def minor_to_decimal(minor: Column | str, scale: int | None) -> Column:
-    """Minor units back to an exact decimal of the input's scale."""
-    c = _c(minor)
-    if scale is None:
-        return c
-    if scale == 0:
-        return c.cast(T.DecimalType(20, 0))
-    return c.cast(T.DecimalType(20, 0)) * F.lit(Decimal(1).scaleb(-scale))
+def money_sum(col: Column | str, over: WindowSpec | None = None) -> Column:
+    """Sum that is NULL only when there is nothing to sum: a sum beyond 38
+    digits fails the job in every ANSI mode instead of turning NULL."""
+    total, n = F.sum(_c(col)), F.count(_c(col))
+    if over is not None:
+        total, n = total.over(over), n.over(over)
+    return F.coalesce(total, F.when(n > 0, F.raise_error(F.lit("a money sum exceeds 38 digits"))))
 
 
 def immovable(previous: Column | str, withdrawals: Column | str,
@@ -102,31 +81,6 @@ def daily_interest(balance: Column | str, annual_rate: Column | str,
     return F.round(_c(balance) * (_c(annual_rate) / F.lit(K.DAYS_PER_YEAR)), decimals)
 
 
-def exact_money_sum(col: Column | str, scale: int = 2) -> Column:
-    """Order-independent sum of money held as double, returned as double.
-
-    Float sums depend on the order partitions arrive in; this sums exact
-    LONG minor units of the given scale instead (each value is the double
-    nearest an amount with ``scale`` decimals, so ``round(x * 10**scale)``
-    recovers it exactly below 2**50 minor units; larger values take the
-    exact decimal cast). LONG sums stay on the fast aggregation path; an
-    overflow (beyond 9.2e18 minor units) fails the job under ANSI mode, the
-    Spark 4 default."""
-    c = _c(col).cast("double")
-    factor = 10 ** scale
-    fast = F.round(c * F.lit(float(factor))).cast("long")
-    exact = (c.cast(T.DecimalType(38, scale)) * F.lit(factor)).cast("long")
-    minor = F.when(F.abs(c) < F.lit(float(2 ** 50 // factor)), fast).otherwise(exact)
-    return F.sum(minor).cast("double") / F.lit(float(factor))
-
-
-def exact_money_avg(col: Column | str, scale: int = 2) -> Column:
-    """Average of money: the exact minor-unit sum divided by the count
-    (NULL for no values)."""
-    c = _c(col)
-    return F.try_divide(exact_money_sum(c, scale), F.count(c).cast("double"))
-
-
 def first_non_empty(col: Column | str, default: str) -> Column:
     """``value or default`` for text: NULL and '' both take the default."""
     return F.coalesce(F.nullif(_c(col), F.lit("")), F.lit(default))

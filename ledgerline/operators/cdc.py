@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
-from ledgerline.functions import event_timestamp, from_minor, minor_units, signed_amount
-from ledgerline.operators.history import opening_balances
+from ledgerline.functions import event_timestamp, money_sum, signed_amount, summable
+from ledgerline.operators.history import MONEY, opening_balances
 
 ACCOUNT = "account_id"
 
@@ -72,12 +72,21 @@ def validate(cdc: DataFrame) -> tuple[bool, list[str]]:
     """``(valid, messages)``; one Spark job, three result rows to the driver."""
     missing = missing_columns(cdc)
     if missing:
-        return False, [K.MSG_MISSING_COLUMNS.format(missing=missing)]
+        cdc = cdc.withColumns({c: F.lit(None).cast("string" if c != "amount" else "double") for c in missing})
     rows = sorted(quality_report(cdc).collect(), key=lambda r: r["rule_id"])  # three rows
-    messages = [r["message"] for r in rows if r["message"] is not None]
+    messages = [r["message"] for r in rows if r["message"] is not None and not (missing and r["rule_id"] == "V4")]
+    if missing:  # the value rules report together with it; nulls cannot be judged
+        messages.append(K.MSG_MISSING_COLUMNS.format(missing=missing))
     return not messages, messages
 
 
+def unparsed_times(cdc: DataFrame) -> DataFrame:
+    """One row: events whose text time is given but does not parse (``events``).
+    They pass the rules and stay in the feed without a day."""
+    ts = event_timestamp("event_time", cdc.schema["event_time"].dataType)
+    return cdc.agg(F.count_if(F.col("event_time").isNotNull() & ts.isNull()).alias("events"))
+
+
 def require_valid(cdc: DataFrame) -> DataFrame:
     ok, messages = validate(cdc)
     if not ok:
@@ -106,8 +115,9 @@ def running_balance(sg: DataFrame, tie: str, bucket: str = "minute",
 
     No task ever holds more than one bucket of one account. ``bucket`` is a
     ``date_trunc`` unit no coarser than a day; finer units cut hot accounts
-    into smaller pieces. Sums run on exact LONG minor units; the balance is
-    returned as a double. Requires a validated feed (no NULL account or time).
+    into smaller pieces. Decimal amounts are summed exactly; the balance is
+    returned as a double. Every event keeps its row: those without a time
+    come first in their account, those without an account are one account.
 
     ``opening``: a balance state (``history.account_state``); its balance
     starts every account's prefix, so statement lines of the events after
@@ -124,23 +134,23 @@ def running_balance(sg: DataFrame, tie: str, bucket: str = "minute",
             after = (first["as_of"] + _dt.timedelta(days=1)).isoformat()
             sg = sg.filter(F.col("event_ts") >= F.lit(f"{after} 00:00:00").cast(
                 sg.schema["event_ts"].dataType))
-    m, scale = minor_units("normalized_amount", sg.schema["normalized_amount"].dataType)
-    n = F.col("_minor")
-    ev = sg.withColumns({"_minor": m, "_bucket": F.date_trunc(bucket, "event_ts")})
+    m, _ = summable("normalized_amount", sg.schema["normalized_amount"].dataType)
+    ev = sg.withColumns({MONEY: m, "_bucket": F.date_trunc(bucket, "event_ts")})
+    money = ev.schema[MONEY].dataType
     before = Window.unboundedPreceding
-    w_bucket = Window.partitionBy(ACCOUNT).orderBy("_bucket").rowsBetween(before, -1)
-    buckets = ev.groupBy(ACCOUNT, "_bucket").agg(F.sum(n).alias("_bsum"))
-    if opening is not None:
-        # a NULL bucket sorts first and matches no event
-        buckets = buckets.unionByName(opening_balances(opening, scale).select(
+    buckets = (ev.groupBy(ACCOUNT, "_bucket").agg(money_sum(MONEY).alias("_bsum"))
+               .withColumn("_event", F.lit(True)))
+    if opening is not None:     # the opening balance precedes every bucket
+        buckets = buckets.unionByName(opening_balances(opening, money).select(
             ACCOUNT, F.lit(None).cast(buckets.schema["_bucket"].dataType).alias("_bucket"),
-            F.col("_minor").cast(buckets.schema["_bsum"].dataType).alias("_bsum")))
-    offsets = (buckets
-               .select(ACCOUNT, "_bucket",
-                       F.coalesce(F.sum("_bsum").over(w_bucket), F.lit(0)).alias("_offset")))
+            F.col(MONEY).cast(buckets.schema["_bsum"].dataType).alias("_bsum"), F.lit(False).alias("_event")))
+    w_bucket = Window.partitionBy(ACCOUNT).orderBy("_event", "_bucket").rowsBetween(before, -1)
+    offsets = (buckets.select(F.col(ACCOUNT).alias("_account"), F.col("_bucket").alias("_of"), "_event",
+                              money_sum("_bsum", w_bucket).alias("_offset")).filter("_event").drop("_event"))
     w_row = (Window.partitionBy(ACCOUNT, "_bucket").orderBy("event_ts", tie)
              .rowsBetween(before, Window.currentRow))
-    out = (ev.join(offsets, [ACCOUNT, "_bucket"])
-           .withColumn("running_balance",
-                       from_minor(F.col("_offset") + F.coalesce(F.sum(n).over(w_row), F.lit(0)), scale)))
-    return out.drop("_bucket", "_offset", "_minor")
+    zero = F.lit(0).cast(money)
+    same = ev[ACCOUNT].eqNullSafe(offsets["_account"]) & ev["_bucket"].eqNullSafe(offsets["_of"])
+    out = ev.join(offsets, same, "left").withColumn("running_balance", (
+        F.coalesce("_offset", zero) + F.coalesce(money_sum(MONEY, w_row), zero)).cast("double"))
+    return out.drop("_bucket", "_offset", "_account", "_of", MONEY)

@@ -7,9 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions import (
-    calendar, date_lit, from_minor, immovable, minor_to_decimal, minor_units, validate_dates,
-)
+from ledgerline.functions import calendar, date_lit, immovable, money_sum, summable, validate_dates
 
 ACCOUNT = "account_id"
 USER = "user_id"
@@ -21,23 +19,22 @@ HISTORY_COLUMNS = ("account_id", "user_id", "balance", "balance_previous",
                    "total_withdrawals", "transactions_count", "partition_date")
 
 
-MINOR = "_minor"
-ROLLUP_MONEY = ("net", "total_deposits", "total_withdrawals")
+MONEY = "_money"
 
 
-def with_minor_units(sg: DataFrame) -> tuple[DataFrame, int | None]:
-    """Adds the signed amount as exact LONG minor units (see ``minor_units``)."""
-    m, scale = minor_units("normalized_amount", sg.schema["normalized_amount"].dataType)
-    return sg.select("*", m.alias(MINOR)), scale
+def with_money(sg: DataFrame) -> DataFrame:
+    """Adds the signed amount ready to be summed (see ``summable``)."""
+    m, _ = summable("normalized_amount", sg.schema["normalized_amount"].dataType)
+    return sg.select("*", m.alias(MONEY))
 
 
 def _rollup_measures(n):
     """Per-day measures. Deposits and withdrawals stay NULL (not 0) for a
     side without movement: the immovable rule depends on it."""
     return [
-        F.sum(n).alias("net"),
-        F.sum(F.when(n > 0, n)).alias("total_deposits"),
-        F.sum(F.when(n < 0, n)).alias("total_withdrawals"),
+        money_sum(n).alias("net"),
+        money_sum(F.when(n > 0, n)).alias("total_deposits"),
+        money_sum(F.when(n < 0, n)).alias("total_withdrawals"),
         F.count(F.lit(1)).alias("transactions_count"),
         F.max("event_ts").alias("last_movement_ts"),
     ]
@@ -48,18 +45,17 @@ def daily_rollup(sg: DataFrame) -> DataFrame:
     withdrawals (<0, a negative sum), ``withdrawals_sum`` (positive, 0 when
     none), the event count over all types and the last event time.
 
-    Hash aggregate with map-side combine, summing LONG minor units: a hot
-    account only ever ships one partial row per map task and day. Money
-    columns come back as exact decimals of the input's scale.
+    Hash aggregate with map-side combine: a hot account only ever ships one
+    partial row per map task and day. Decimal money is summed exactly, with
+    all 38 digits; a sum beyond them fails the job.
     """
-    ev, scale = with_minor_units(sg)
-    n = F.col(MINOR)
-    out = ev.groupBy(ACCOUNT, DAY).agg(
+    ev = with_money(sg)
+    n = F.col(MONEY)
+    zero = F.lit(0).cast(ev.schema[MONEY].dataType)
+    return ev.groupBy(ACCOUNT, DAY).agg(
         *_rollup_measures(n),
-        F.sum(F.when(n < 0, -n).otherwise(F.lit(0))).alias("withdrawals_sum"),
+        F.coalesce(money_sum(F.when(n < 0, -n)), F.when(F.count(n) > 0, zero)).alias("withdrawals_sum"),
     )
-    return out.withColumns({c: minor_to_decimal(c, scale)
-                            for c in (*ROLLUP_MONEY, "withdrawals_sum")})
 
 
 def daily_transaction_counts(sg: DataFrame) -> DataFrame:
@@ -70,13 +66,12 @@ def with_balances(daily: DataFrame) -> DataFrame:
     """End-of-day ``balance`` (sum of daily nets so far) and
     ``balance_previous`` (balance of the previous day *with movement*, 0 on
     the first one). Sorting days, not events: a hot account has at most one
-    row per day here. The previous balance is ``balance - net``, the same as
-    ``lag(balance)`` (sums skip NULL nets), in the same window pass."""
-    w = Window.partitionBy(ACCOUNT).orderBy(DAY).rowsBetween(Window.unboundedPreceding, 0)
-    balance = F.sum("net").over(w)
+    row per day here."""
+    w = Window.partitionBy(ACCOUNT).orderBy(DAY)
+    before, upto = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0)
     return daily.select(
-        "*", balance.alias("balance"),
-        F.coalesce(balance - F.coalesce(F.col("net"), F.lit(0)), F.lit(0)).alias("balance_previous"))
+        "*", money_sum("net", upto).alias("balance"),
+        F.coalesce(money_sum("net", before), F.lit(0).cast(daily.schema["net"].dataType)).alias("balance_previous"))
 
 
 def with_immovable(balances: DataFrame, netting: str = "observed") -> DataFrame:
@@ -110,15 +105,12 @@ def account_state(sg: DataFrame, as_of: str) -> DataFrame:
     """Balance state through the end of ``as_of``: one row per (account,
     user) pair seen so far, with the account's balance and last movement
     time. A later run starting the day after ``as_of`` can begin from it
-    instead of re-reading the whole feed (see ``wallet_history(opening=)``).
-
-    One scan: a partial aggregate per pair, then a window per account."""
+    instead of re-reading the whole feed (see ``wallet_history(opening=)``)."""
     (as_of, _) = validate_dates(as_of)
-    ev, scale = with_minor_units(sg)
+    ev = with_money(sg)
     per_pair = _until(ev, as_of).groupBy(ACCOUNT, USER).agg(
-        F.sum(MINOR).alias(MINOR), F.max("event_ts").alias("last_movement_ts"))
-    return _state(per_pair.withColumn("_open", F.lit(None).cast(per_pair.schema[MINOR].dataType)),
-                  scale, as_of)
+        money_sum(MONEY).alias(MONEY), F.max("event_ts").alias("last_movement_ts"))
+    return _state(per_pair, as_of)
 
 
 def advance_state(state: DataFrame, sg_new: DataFrame, through: str) -> DataFrame:
@@ -127,51 +119,43 @@ def advance_state(state: DataFrame, sg_new: DataFrame, through: str) -> DataFram
     after ``through`` are ignored, the former by a pushed filter. Reads the
     state (one row per pair) and the new events only."""
     (through, _) = validate_dates(through)
-    ev, scale = with_minor_units(sg_new)
+    ev = with_money(sg_new)
     first = state.select("as_of").first()          # one row: the state's day
     if first is not None and first["as_of"] is not None:
         after = (first["as_of"] + _dt.timedelta(days=1)).isoformat()
         ev = _since(ev, after)                      # events the state already holds are skipped
     new = _until(ev, through).groupBy(ACCOUNT, USER).agg(
-        F.sum(MINOR).alias(MINOR), F.max("event_ts").alias("last_movement_ts"))
-    m_type = new.schema[MINOR].dataType
-    opening, _ = minor_units("balance", state.schema["balance"].dataType)
-    if scale is None:
-        opening = F.col("balance").cast("double")
-    old = state.select(ACCOUNT, USER, F.lit(None).cast(m_type).alias(MINOR),
-                       F.col("last_movement_ts").cast(new.schema["last_movement_ts"].dataType)
-                       .alias("last_movement_ts"),
-                       opening.cast(m_type).alias("_open"))
-    per_pair = (new.withColumn("_open", F.lit(None).cast(m_type)).unionByName(old)
-                .groupBy(ACCOUNT, USER).agg(F.sum(MINOR).alias(MINOR),
-                                            F.max("last_movement_ts").alias("last_movement_ts"),
-                                            F.max("_open").alias("_open")))
-    return _state(per_pair, scale, through)
-
-
-def _state(per_pair: DataFrame, scale: int | None, as_of: str) -> DataFrame:
+        money_sum(MONEY).alias(MONEY), F.max("event_ts").alias("last_movement_ts"))
+    money, ts = new.schema[MONEY].dataType, new.schema["last_movement_ts"].dataType
+    old = state.select(ACCOUNT, USER, F.lit(None).cast(money).alias(MONEY),
+                       F.col("last_movement_ts").cast(ts).alias("last_movement_ts"),
+                       F.lit(True).alias("_pair"))
+    accounts = opening_balances(state, money).select(
+        ACCOUNT, F.lit(None).cast("string").alias(USER), MONEY,
+        F.lit(None).cast(ts).alias("last_movement_ts"), F.lit(False).alias("_pair"))
+    return _state(new.withColumn("_pair", F.lit(True)).unionByName(old).unionByName(accounts), through)
+
+
+def _state(per_pair: DataFrame, as_of: str) -> DataFrame:
     """Account balance and last movement on every pair row: sums of the
-    account's pair rows (plus the earlier state's balance, the same on each
-    of them) in a window per account."""
-    w = Window.partitionBy(ACCOUNT)
-    zero = F.lit(0)
-    balance = F.coalesce(F.sum(MINOR).over(w), zero) + F.coalesce(F.max("_open").over(w), zero)
-    is_pair = F.col("_pair") if "_pair" in per_pair.columns else F.lit(True)
-    out = per_pair.select(
-        ACCOUNT, USER, minor_to_decimal(balance, scale).alias("balance"),
-        F.max("last_movement_ts").over(w).alias("last_movement_ts"),
-        date_lit(as_of).alias("as_of"), is_pair.alias("_pair"))
-    return out.filter(F.col("_pair")).drop("_pair")
-
-
-def opening_balances(state: DataFrame, scale: int | None) -> DataFrame:
-    """One row per account from a state: the balance as minor units of the
-    feed's ``scale`` (column ``_minor``) and the last movement time (all
+    account's rows (an earlier state's balance is a row that is no pair),
+    combined map-side, joined back to the pairs. An account with very many
+    users is a join key, which adaptive execution splits."""
+    if "_pair" not in per_pair.columns:
+        per_pair = per_pair.withColumn("_pair", F.lit(True))
+    zero = F.lit(0).cast(per_pair.schema[MONEY].dataType)
+    totals = per_pair.groupBy(F.col(ACCOUNT).alias("_account")).agg(
+        F.coalesce(money_sum(MONEY), zero).alias("balance"), F.max("last_movement_ts").alias("last_movement_ts"))
+    pairs = per_pair.filter("_pair").select(ACCOUNT, USER).distinct()
+    return (pairs.join(totals, pairs[ACCOUNT].eqNullSafe(totals["_account"]))
+            .select(ACCOUNT, USER, "balance", "last_movement_ts", date_lit(as_of).alias("as_of")))
+
+
+def opening_balances(state: DataFrame, money) -> DataFrame:
+    """One row per account from a state: the balance (column ``_money``) as
+    the type ``money`` of the feed's sums, and the last movement time (all
     pairs of an account carry the same balance)."""
-    m, _ = minor_units("balance", state.schema["balance"].dataType)
-    if scale is None:
-        m = F.col("balance").cast("double")
-    return state.groupBy(ACCOUNT).agg(F.max(m).alias(MINOR),
+    return state.groupBy(ACCOUNT).agg(F.max(F.col("balance").cast(money)).alias(MONEY),
                                       F.max("last_movement_ts").alias("last_movement_ts"))
 
 
@@ -201,24 +185,21 @@ def wallet_history(sg: DataFrame, start: str, end: str | None = None,
     run costs one day of events plus one state row per account instead of
     the whole history; the result is the same.
 
-    Plan: one scan of the feed and two exchanges. Events are rolled up at
-    (account, user, day) grain with map-side partial aggregation, days
-    before ``start`` folded into one opening row and days after ``end``
-    into one closing row (they still name the account's users). That small
-    frame is hashed by account once; everything else happens inside the
-    account's partition with windows: account-day totals, the running
-    balance, the first row of each (account, user) pair, and one
-    ``explode`` that emits each row's moving day plus, for a pair's first
-    row, the pair's calendar. A final window per account carries the latest
-    moving day into every grid row. A hot account costs at most
-    ``users x (days + 2)`` rolled-up rows plus its grid; the grid is never
-    shuffled.
+    Plan: the feed is rolled up at (account, user, day) grain with map-side
+    partial aggregation, days before ``start`` folded into one opening row
+    and days after ``end`` into one closing row (they still name the
+    account's users). From that small frame come the account's days (at most
+    days + 2 rows: running balance and the next day with movement, one
+    window) and its distinct pairs. A day's row holds for the interval up to
+    the next one; pairs meet intervals in a join on the account, and the
+    interval is exploded into days last. The grid is never sorted or
+    shuffled, and an account with very many users is a join key, which
+    adaptive execution splits.
     """
     start, end = validate_dates(start, end)
     if quiet_days not in ("zero", "carry"):
         raise ValueError(f"quiet_days must be 'zero' or 'carry', not {quiet_days!r}")
-    rolled, scale = _rollup(sg, start, end, opening)
-    return _one_pass(rolled.repartition(ACCOUNT), start, end, netting, quiet_days, scale)
+    return _intervals(_rollup(sg, start, end, opening), start, end, netting, quiet_days)
 
 
 def history_with_state(sg: DataFrame, start: str, end: str | None = None,
@@ -232,22 +213,18 @@ def history_with_state(sg: DataFrame, start: str, end: str | None = None,
     start, end = validate_dates(start, end)
     if quiet_days not in ("zero", "carry"):
         raise ValueError(f"quiet_days must be 'zero' or 'carry', not {quiet_days!r}")
-    rolled, scale = _rollup(sg, start, end, opening)
-    history = _one_pass(rolled.repartition(ACCOUNT), start, end, netting, quiet_days, scale)
+    rolled = _rollup(sg, start, end, opening)
     upto = rolled.filter(F.col(DAY).isNull() | (F.col(DAY) <= date_lit(end)))
     per_pair = upto.groupBy(ACCOUNT, USER, "_pair").agg(
-        F.sum("net").alias(MINOR), F.max("last_movement_ts").alias("last_movement_ts"))
-    state = _state(per_pair.withColumn("_open", F.lit(None).cast(per_pair.schema[MINOR].dataType)),
-                   scale, end)
-    return history, state, rolled
+        money_sum("net").alias(MONEY), F.max("last_movement_ts").alias("last_movement_ts"))
+    return _intervals(rolled, start, end, netting, quiet_days), _state(per_pair, end), rolled
 
 
-def _rollup(sg: DataFrame, start: str, end: str,
-            opening: DataFrame | None) -> tuple[DataFrame, int | None]:
+def _rollup(sg: DataFrame, start: str, end: str, opening: DataFrame | None) -> DataFrame:
     """(account, user, day) rollup with days before ``start`` folded into
     ``start - 1`` (or the opening state's rows there) and days after
     ``end`` into ``end + 1``; ``_pair`` marks rows that name a real pair."""
-    ev, scale = with_minor_units(sg)
+    ev = with_money(sg)
     s, e = date_lit(start), date_lit(end)
     d = F.col(DAY)
     after = F.when(d > e, F.date_add(e, 1))
@@ -258,14 +235,14 @@ def _rollup(sg: DataFrame, start: str, end: str,
         key = after.otherwise(d)
         src = _since(ev, start)
     rolled = (src.groupBy(ACCOUNT, USER, key.alias(DAY))
-              .agg(*_rollup_measures(F.col(MINOR)))
+              .agg(*_rollup_measures(F.col(MONEY)))
               .withColumn("_pair", F.lit(True)))
     if opening is not None:
-        rolled = rolled.unionByName(_opening_pairs(opening, start, scale))
-    return rolled, scale
+        rolled = rolled.unionByName(_opening_pairs(opening, start, rolled.schema["net"].dataType))
+    return rolled
 
 
-def _opening_pairs(opening: DataFrame, start: str, scale: int | None) -> DataFrame:
+def _opening_pairs(opening: DataFrame, start: str, money) -> DataFrame:
     """State rows at ``start - 1``: every pair (no money), plus one row per
     account (not a pair) that holds the opening balance. A state of another
     day fails the run (checked on each state row, no extra job)."""
@@ -274,63 +251,53 @@ def _opening_pairs(opening: DataFrame, start: str, scale: int | None) -> DataFra
         F.col("as_of") == before,
         F.lit(f"opening state must be as of the day before {start}")).isNull())
     day = before.alias(DAY)
-    none = F.lit(None).cast("long")
+    none = F.lit(None).cast(money)
+    no_count = F.lit(None).cast("long").alias("transactions_count")
     ts_type = opening.schema["last_movement_ts"].dataType
-    pairs = opening.select(ACCOUNT, USER, day, none.alias("net"), none.alias("total_deposits"),
-                           none.alias("total_withdrawals"), none.alias("transactions_count"),
+    sides = (none.alias("total_deposits"), none.alias("total_withdrawals"), no_count)
+    pairs = opening.select(ACCOUNT, USER, day, none.alias("net"), *sides,
                            F.lit(None).cast(ts_type).alias("last_movement_ts"), F.lit(True).alias("_pair"))
-    accounts = opening_balances(opening, scale).select(
-        ACCOUNT, F.lit(None).cast("string").alias(USER), day, F.col(MINOR).alias("net"),
-        none.alias("total_deposits"), none.alias("total_withdrawals"),
-        none.alias("transactions_count"), "last_movement_ts", F.lit(False).alias("_pair"))
+    accounts = opening_balances(opening, money).select(
+        ACCOUNT, F.lit(None).cast("string").alias(USER), day, F.col(MONEY).alias("net"), *sides,
+        "last_movement_ts", F.lit(False).alias("_pair"))
     return pairs.unionByName(accounts)
 
 
-def _one_pass(rolled: DataFrame, start: str, end: str, netting: str, quiet_days: str,
-              scale: int | None) -> DataFrame:
-    """Everything after the account exchange; see ``wallet_history``."""
-    day_w = Window.partitionBy(ACCOUNT, DAY)
-    run_w = (Window.partitionBy(ACCOUNT).orderBy(DAY)
-             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    pair_w = Window.partitionBy(ACCOUNT, USER, "_pair").orderBy(DAY)
-    day_net = F.sum("net").over(day_w)
-    balance = F.sum("net").over(run_w)      # every row of the account up to this day
-    rows = rolled.select(
-        ACCOUNT, USER, DAY,
-        balance.alias("balance"),
-        F.coalesce(balance - F.coalesce(day_net, F.lit(0)), F.lit(0)).alias("balance_previous"),
-        F.sum("total_deposits").over(day_w).alias("total_deposits"),
-        F.sum("total_withdrawals").over(day_w).alias("total_withdrawals"),
-        F.sum("transactions_count").over(day_w).alias("transactions_count"),
-        F.max("last_movement_ts").over(day_w).alias("last_movement_ts"),
-        (F.col("_pair") & (F.row_number().over(pair_w) == 1)).alias("_first"))
-    rows = rows.withColumn("immovable_balance", immovable(
-        "balance_previous", "total_withdrawals", "total_deposits", netting))
+def _intervals(rolled: DataFrame, start: str, end: str, netting: str, quiet_days: str) -> DataFrame:
+    """Pairs times the intervals between their account's moving days; see
+    ``wallet_history``."""
+    s, e = date_lit(start), date_lit(end)
+    days = rolled.groupBy(ACCOUNT, DAY).agg(
+        money_sum("net").alias("net"), money_sum("total_deposits").alias("total_deposits"),
+        money_sum("total_withdrawals").alias("total_withdrawals"),
+        F.sum("transactions_count").alias("transactions_count"),
+        F.max("last_movement_ts").alias("last_movement_ts"))
+    w = Window.partitionBy(ACCOUNT).orderBy(DAY)
+    days = (with_immovable(with_balances(days), netting)
+            .withColumns({"_next": F.lead(DAY).over(w), "_before": F.lag(F.lit(True)).over(w)}))
     values = ("balance", "balance_previous", "immovable_balance", "last_movement_ts",
               "total_deposits", "total_withdrawals", "transactions_count")
     moving = F.struct(F.col(DAY).alias("day"), *values)
-    entry = lambda day, grid: F.struct(day.alias("d"), F.lit(grid).alias("g"))
-    calendar_entries = F.transform(F.sequence(date_lit(start), date_lit(end)),
-                                   lambda x: entry(x, True))
-    entries = F.concat(F.array(entry(F.col(DAY), False)),
-                       F.when(F.col("_first"), calendar_entries)
-                       .otherwise(F.array().cast("array<struct<d:date,g:boolean>>")))
-    exploded = rows.select(ACCOUNT, USER, moving.alias("_m"), F.explode(entries).alias("_e"))
-    exploded = exploded.select(
-        ACCOUNT, USER, F.col("_e.d").alias(DAY), F.col("_e.g").alias("_grid"),
-        F.when(F.col("_e.g"), F.lit(None)).otherwise(F.col("_m")).alias("_m"))
-    last_w = (Window.partitionBy(ACCOUNT).orderBy(DAY, "_grid")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = (exploded.select(ACCOUNT, USER, DAY, "_grid",
-                           F.last("_m", ignorenulls=True).over(last_w).alias("_m"))
-           .filter(F.col("_grid")))
+    own = F.struct(F.greatest(F.col(DAY), s).alias("lo"),
+                   F.least(F.coalesce(F.date_sub("_next", 1), e), e).alias("hi"), moving.alias("m"))
+    # the days before the account's first row, without any movement yet
+    lead_in = F.struct(s.alias("lo"), F.least(F.date_sub(F.col(DAY), 1), e).alias("hi"),
+                       F.when(F.lit(False), moving).alias("m"))
+    both = F.when(F.col("_before").isNull(), F.array(own, lead_in)).otherwise(F.array(own))
+    # an undated row (NULL day) sorts first and holds until the first dated one
+    spans = days.select(F.col(ACCOUNT).alias("_account"), F.explode(both).alias("i")).select(
+        "_account", F.coalesce(F.col("i.lo"), s).alias("_lo"), F.coalesce(F.col("i.hi"), e).alias("_hi"),
+        F.col("i.m").alias("_m")).filter("_lo <= _hi")
+    pairs = rolled.filter("_pair").select(ACCOUNT, USER).distinct()
+    out = pairs.join(spans, pairs[ACCOUNT].eqNullSafe(spans["_account"]))
+    out = out.select(ACCOUNT, USER, "_m", F.explode(F.sequence("_lo", "_hi")).alias(DAY))
     m = lambda c: F.col("_m").getField(c)
     # a NULL account never matches its days (an equi-join on the account would
     # not either): its grid rows stay quiet
     known = F.col(ACCOUNT).isNotNull()
     moved = F.coalesce(m("day") == F.col(DAY), F.lit(False)) & known
     m_known = lambda c: F.when(known, m(c))
-    zero = F.lit(0)
+    zero = F.lit(0).cast(rolled.schema["net"].dataType)
     if quiet_days == "zero":
         quiet = {c: zero for c in MONEY_OUT}
         quiet_ts = F.when(F.lit(False), m("last_movement_ts"))  # a NULL of the column's type
@@ -340,12 +307,12 @@ def _one_pass(rolled: DataFrame, start: str, end: str, netting: str, quiet_days:
                  "immovable_balance": F.greatest(carried, zero),
                  "total_deposits": zero, "total_withdrawals": zero}
         quiet_ts = m_known("last_movement_ts")
-    money = {c: from_minor(F.when(moved, F.coalesce(m(c), zero)).otherwise(quiet[c]), scale).alias(c)
+    money = {c: F.when(moved, F.coalesce(m(c), zero)).otherwise(quiet[c]).cast("double").alias(c)
              for c in MONEY_OUT}
     return out.select(
         ACCOUNT, USER, money["balance"], money["balance_previous"], money["immovable_balance"],
         F.when(moved, m("last_movement_ts")).otherwise(quiet_ts).alias("last_movement_ts"),
         money["total_deposits"], money["total_withdrawals"],
-        F.when(moved, F.coalesce(m("transactions_count"), zero)).otherwise(zero)
+        F.when(moved, F.coalesce(m("transactions_count"), F.lit(0))).otherwise(F.lit(0))
         .cast("bigint").alias("transactions_count"),
         DAY)

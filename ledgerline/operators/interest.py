@@ -22,7 +22,7 @@ MAX_BROADCAST_RATE_ROWS = 200_000
 def decide(history: DataFrame, rates: DataFrame,
            min_balance: float = K.DEFAULT_MIN_BALANCE,
            decimals: int = K.DEFAULT_DECIMALS,
-           broadcast_rates: bool | None = None) -> DataFrame:
+           broadcast_rates: bool | None = None, unique_rates: bool = False) -> DataFrame:
     """Inner join of history and rates on the day (days without a rate get
     no row), then the eligibility decision for every account-day:
     ``qualified``, ``reason`` and ``interest_amount`` (0.0 when not
@@ -31,8 +31,14 @@ def decide(history: DataFrame, rates: DataFrame,
     ``broadcast_rates``: None checks the rate rows against
     ``MAX_BROADCAST_RATE_ROWS`` (one small counting job) and broadcasts them
     only below it; True/False force the choice without a job.
+    ``unique_rates=True`` fails the run when a day has two rate rows; by
+    default each of them pays.
     """
     rates = rates.select("partition_date", "cdi_rate")
+    if unique_rates:
+        one = F.count(F.lit(1)) == 1
+        rates = rates.groupBy("partition_date").agg(F.when(one, F.max("cdi_rate")).otherwise(
+            F.raise_error(F.lit("a day has two rates"))).alias("cdi_rate"))
     if broadcast_rates is None:
         rates = broadcast_if_bounded(rates, MAX_BROADCAST_RATE_ROWS)
     elif broadcast_rates:

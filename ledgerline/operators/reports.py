@@ -7,9 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
-from ledgerline.functions import exact_money_avg, exact_money_sum, in_window
-
-INTEREST_SCALE = 8
+from ledgerline.functions import in_window
 
 
 def _window(df: DataFrame, start: str, end: str) -> DataFrame:
@@ -25,7 +23,7 @@ def audit_summary(audit: DataFrame, start: str, end: str) -> DataFrame:
     return a.agg(
         total.alias("total_registros"),
         F.sum(F.when(F.col("qualified"), 1).otherwise(0)).cast("bigint").alias("cuentas_calificadas"),
-        exact_money_avg("relevant_balance").alias("saldo_promedio"),
+        F.avg("relevant_balance").cast("double").alias("saldo_promedio"),
         F.try_divide(
             F.sum(F.when(F.col("process_status") == K.STATUS_ERROR, 1).otherwise(0)).cast("double")
             * F.lit(100.0),
@@ -41,14 +39,15 @@ def audit_reasons(audit: DataFrame, start: str, end: str) -> DataFrame:
             .orderBy(F.desc("count"), "reason"))
 
 
-def payments_by_day(pay: DataFrame, start: str, end: str) -> DataFrame:
-    """Per day: accounts paid, total interest, average eligible balance."""
-    p = _window(pay, start, end)
-    return (p.groupBy("partition_date").agg(
+def payments_by_day(pay: DataFrame, start: str, end: str, ordered: bool = True) -> DataFrame:
+    """Per day: accounts paid, total interest, average eligible balance; plain
+    sums and averages of the values as they are. ``ordered=False`` leaves out
+    the sort by day, for use below a further aggregate."""
+    p = _window(pay, start, end).groupBy("partition_date").agg(
         F.count("account_id").alias("cuentas"),
-        exact_money_sum("interest_amount", INTEREST_SCALE).alias("interes_total"),
-        exact_money_avg("eligible_balance").alias("saldo_promedio"))
-        .orderBy("partition_date"))
+        F.sum("interest_amount").cast("double").alias("interes_total"),
+        F.avg("eligible_balance").cast("double").alias("saldo_promedio"))
+    return p.orderBy("partition_date") if ordered else p
 
 
 def payments_detail(pay: DataFrame, start: str, end: str,
@@ -77,26 +76,22 @@ def interest_histogram(pay: DataFrame, start: str, end: str,
     the count, empty bins included. The top edge belongs to the last bin;
     a constant column puts everything in bin 1.
 
-    Equal widths need the range before binning, so the data is read twice:
-    one global min/max (partial aggregates, one row to the driver), then one
-    aggregation into at most ``bins`` rows with the edges as literals.
+    One plan: the values meet their own range, a one-row aggregate, by a
+    broadcast of that row; no job runs when the report is built. No values
+    give no rows.
     """
-    v = _window(pay, start, end).select(F.col("interest_amount").alias("v")).filter(F.col("v").isNotNull())
-    lo, hi = v.agg(F.min("v"), F.max("v")).first()
-    spark = pay.sparkSession
-    if lo is None:
-        return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, count bigint")
-    lo_c, hi_c, n = F.lit(float(lo)), F.lit(float(hi)), F.lit(float(bins))
-    width = hi_c - lo_c
-    raw_bin = F.floor((F.col("v") - lo_c) * n / width) + F.lit(1)
+    v = _window(pay, start, end).select(F.col("interest_amount").cast("double").alias("v")).filter(F.col("v").isNotNull())
+    span = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).filter(F.col("lo").isNotNull())
+    one_row = F.broadcast(span)
+    width, n = F.col("hi") - F.col("lo"), F.lit(float(bins))
+    raw_bin = F.floor((F.col("v") - F.col("lo")) * n / F.nullif(width, F.lit(0.0))) + F.lit(1)
     bin_of = F.when(width == 0, F.lit(1)).otherwise(F.least(raw_bin, F.lit(bins))).cast("int")
-    counts = v.groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = v.crossJoin(one_row).groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     step = width / n
-    axis = spark.range(1, bins + 1, numPartitions=1).select(
-        F.col("id").cast("int").alias("bin"),
-        (lo_c + (F.col("id").cast("int") - 1) * step).alias("bin_lo"),
-        (lo_c + F.col("id").cast("int") * step).alias("bin_hi"))
-    return (axis.join(F.broadcast(counts), "bin", "left")
+    axis = (span.select("lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
+            .select("bin", (F.col("lo") + (F.col("bin") - 1) * step).alias("bin_lo"),
+                    (F.col("lo") + F.col("bin") * step).alias("bin_hi")))
+    return (axis.join(counts, "bin", "left")
             .select("bin", "bin_lo", "bin_hi",
                     F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
             .orderBy("bin"))

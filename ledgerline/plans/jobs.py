@@ -24,6 +24,7 @@ from ledgerline.operators import history as hist_ops
 from ledgerline.operators import interest as int_ops
 from ledgerline.operators import rates as rate_ops
 from ledgerline.operators import reports as rep
+from ledgerline.session import require_utc
 from ledgerline.sources import files, jdbc
 
 # A sink writes a frame, counting the rows it wrote into the observation,
@@ -40,18 +41,31 @@ def parquet_sink(path: str, dynamic: bool = True, mode: str = "overwrite") -> Si
     def write(df: DataFrame, obs: Observation) -> bool:
         files.write_by_day(df, path, mode=mode, dynamic=dynamic, observation=obs)
         return True
+
+    def clear(spark: SparkSession, start: str, end: str) -> list[str]:
+        return files.clear_days(spark, path, start, end) if mode == "overwrite" and dynamic else []
+
+    write.clear_days = clear
     return write
 
 
 def jdbc_sink(url: str, table: str, properties: dict[str, str], mode: str = "overwrite",
-              truncate: bool = False, writers: int | None = None) -> Sink:
-    """JDBC table; skipped when the frame is empty."""
+              truncate: bool = False, writers: int = K.MIN_JDBC_WRITERS,
+              decides: DataFrame | None = None) -> Sink:
+    """JDBC table; skipped when ``decides`` is given and empty."""
     def write(df: DataFrame, obs: Observation) -> bool:
         return jdbc.write_table(df, url, table, properties, mode=mode, truncate=truncate,
-                                writers=writers, observation=obs)
+                                writers=writers, observation=obs, decides=decides)
     return write
 
 
+def _clear(sink: Sink | None, spark: SparkSession, start: str, end: str) -> list[str]:
+    """Days of the window that a day-partitioned sink holds from an earlier
+    run are removed first: a rerun replaces them even where it has no rows."""
+    clear = getattr(sink, "clear_days", None)
+    return clear(spark, start, end) if clear else []
+
+
 def _write_counted(df: DataFrame, sink: Sink, name: str) -> int:
     obs = Observation(name)
     if not sink(df, obs):
@@ -64,6 +78,7 @@ class RunResult:
     written: bool
     rows: dict[str, int] = field(default_factory=dict)
     job_id: str | None = None
+    cleared: list[str] = field(default_factory=list)   # days of an earlier run that were removed
 
 
 def build_history(cdc: DataFrame, start: str, end: str | None, sink: Sink,
@@ -82,10 +97,14 @@ def build_history(cdc: DataFrame, start: str, end: str | None, sink: Sink,
     for the next run. Without any earlier state the whole feed is used and
     the state is written. Runs are idempotent per day (dynamic overwrite);
     after re-running an earlier day with corrected events, the later days
-    must be re-run too, since their balances build on it.
+    must be re-run too, since their balances build on it. The number of
+    events a state holds is stored beside it: when the feed has another
+    number up to that day (an event arrived late, or was withdrawn), the run
+    raises instead of leaving it out; run again without the state then.
     """
     start, end = validate_dates(start, end)
     spark = cdc.sparkSession
+    require_utc(spark)
     opening, since = None, start
     if state_path is not None:
         before = (_dt.date.fromisoformat(start) - _dt.timedelta(days=1)).isoformat()
@@ -93,6 +112,10 @@ def build_history(cdc: DataFrame, start: str, end: str | None, sink: Sink,
         if earlier:
             opening = files.read_state(spark, state_path, earlier[-1])
             since = (_dt.date.fromisoformat(earlier[-1]) + _dt.timedelta(days=1)).isoformat()
+            held = files.state_events(spark, state_path, earlier[-1])
+            if held is not None and held != cdc.filter(~_from_day(cdc, since)).count():
+                raise ValueError(f"events up to {earlier[-1]} changed after its state was stored: "
+                                 "rebuild the history without the state")
     feed = cdc if opening is None else cdc.filter(_from_day(cdc, since))
     cdc_ops.require_valid(feed)
     if feed.isEmpty() and opening is None:
@@ -111,7 +134,8 @@ def build_history(cdc: DataFrame, start: str, end: str | None, sink: Sink,
     rollup.persist(StorageLevel.DISK_ONLY)
     try:
         rows = {"wallet_history": _write_counted(history, sink, "history")}
-        files.write_state(state, state_path)
+        after = (_dt.date.fromisoformat(end) + _dt.timedelta(days=1)).isoformat()
+        files.write_state(state, state_path, cdc.filter(~_from_day(cdc, after)).count())
     finally:
         rollup.unpersist()
     return RunResult(True, rows)
@@ -130,13 +154,12 @@ def _from_day(cdc: DataFrame, start: str):
 
 def fetch_rates(spark: SparkSession, raw_path: str, output_path: str,
                 start: str | None = None, end: str | None = None,
-                dynamic: bool = True, multiline: bool = True) -> RunResult:
-    """Landed feed files -> normalised rates -> day-partitioned Parquet,
-    optionally only the days of ``start``..``end``. Returns
-    ``written=False`` when no row survives. ``multiline=True`` reads files
-    that each hold one JSON array (the feed's response as delivered);
-    ``False`` reads JSON Lines, one object per line."""
-    rates = rate_ops.normalize(files.read_rates_json(spark, raw_path, multiline))
+                dynamic: bool = True) -> RunResult:
+    """Landed feed files (JSON arrays or JSON Lines) -> normalised rates ->
+    day-partitioned Parquet, optionally only the days of ``start``..``end``.
+    Returns ``written=False`` when no row survives."""
+    require_utc(spark)
+    rates = rate_ops.normalize(files.read_rates_json(spark, raw_path))
     if start is not None:
         start, end = validate_dates(start, end)
         rates = rate_ops.in_range(rates, start, end)
@@ -162,14 +185,18 @@ def calculate_interest(history: DataFrame, rates: DataFrame, start: str, end: st
     is meant to be a stored table (``read_history``): the emptiness check
     reads one row of it.
     """
+    require_utc(history.sparkSession)
     job_id = job_id or str(uuid.uuid4())
     job_timestamp = job_timestamp or _dt.datetime.now()
+    spark, window = history.sparkSession, validate_dates(start, end)
     history = history.filter(in_window("partition_date", start, end))
     rates = rate_ops.in_range(rates, start, end)
     # one bounded count answers both "any rates?" and "small enough to broadcast?"
     n_rates = rates.limit(int_ops.MAX_BROADCAST_RATE_ROWS + 1).count()
-    if n_rates == 0 or history.isEmpty():
-        return RunResult(False, job_id=job_id)
+    empty = n_rates == 0 or history.isEmpty()
+    cleared = sorted({d for sink in (payments_sink, audit_sink) for d in _clear(sink, spark, *window)})
+    if empty:
+        return RunResult(False, job_id=job_id, cleared=cleared)
     decision = int_ops.decide(history, rates, min_balance, decimals,
                               broadcast_rates=n_rates <= int_ops.MAX_BROADCAST_RATE_ROWS)
     rows: dict[str, int] = {}
@@ -182,7 +209,7 @@ def calculate_interest(history: DataFrame, rates: DataFrame, start: str, end: st
         rows["payments"] = _write_counted(int_ops.payments(decision), payments_sink, "payments")
     finally:
         decision.unpersist()
-    return RunResult(True, rows, job_id)
+    return RunResult(True, rows, job_id, cleared)
 
 
 def read_history(spark: SparkSession, path: str, start: str, end: str | None = None) -> DataFrame:
@@ -205,8 +232,8 @@ def reports(payments: DataFrame, audit: DataFrame, start: str, end: str,
             detail_min_balance: float = K.DETAIL_MIN_BALANCE,
             detail_min_interest: float = K.DETAIL_MIN_INTEREST,
             detail_k: int = K.DETAIL_LIMIT, bins: int = K.HISTOGRAM_BINS) -> dict[str, DataFrame]:
-    """Every reporting query of the window, by name (lazy frames; the
-    histogram runs its min/max job when built)."""
+    """Every reporting query of the window, by name: lazy frames, no job runs
+    until one of them is used."""
     start, end = validate_dates(start, end)
     by_day = rep.payments_by_day(payments, start, end)
     return {
@@ -218,5 +245,5 @@ def reports(payments: DataFrame, audit: DataFrame, start: str, end: str,
                                                detail_min_interest, detail_k),
         "payments_distribution": rep.payments_distribution(payments, start, end),
         "interest_histogram": rep.interest_histogram(payments, start, end, bins),
-        "balance_interest_trend": rep.balance_interest_trend(by_day),
+        "balance_interest_trend": rep.balance_interest_trend(rep.payments_by_day(payments, start, end, ordered=False)),
     }

@@ -6,7 +6,6 @@ are for tests, the benchmark and command-line callers.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -63,28 +62,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as named by ``spark.checkpoint.dir``.
 
-    When the session names none (local tests), a folder is created and
-    registered, so ``checkpoint()`` calls and written tables share one place.
-    Sessions without a SparkContext (Spark Connect) use the setting alone.
+    There is no fallback: a folder made up here would be local to one machine,
+    and on a cluster the other executors would not see what is written to it.
     """
     try:
-        sc = spark.sparkContext
+        current = spark.sparkContext.getCheckpointDir()
     except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
-        sc = None
-    if sc is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if not configured:
-            configured = tempfile.mkdtemp(prefix="ledgerline-shared-")
-            spark.conf.set("spark.checkpoint.dir", configured)
-        return configured.rstrip("/")
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="ledgerline-shared-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir().rstrip("/")
+        current = None
+    current = current or spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return current.rstrip("/")
+
+
+def require_utc(spark: SparkSession) -> None:
+    """One calendar day is a UTC day: jobs refuse a session in another zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "GMT", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from ledgerline import schemas
 from ledgerline.functions import date_lit
@@ -20,13 +20,20 @@ def read_cdc(spark: SparkSession, path: str, schema: StructType | None = None) -
     return reader.parquet(path)
 
 
-def read_rates_json(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_rates_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Landed rate-feed files of ``{"data": "dd/MM/yyyy", "valor": "10.40"}``
-    objects: one JSON array per file (``multiline=True``, the feed's
-    response as delivered) or JSON Lines (``multiline=False``). The flag
-    must match the files: Spark reads only the first object of a JSON Lines
-    file in multi-line mode."""
-    return spark.read.schema(schemas.RATES_RAW).option("multiLine", multiline).json(path)
+    objects, each file one JSON array (the feed's response as delivered) or
+    JSON Lines; the layout is seen from the file itself, so none is read
+    short. Text that is neither fails the read. A feed file is a few kB (one
+    object per business day), so a file is one row."""
+    whole = spark.read.option("wholetext", True).text(path)
+    text = F.regexp_replace("value", r"^[\uFEFF\s]+|\s+$", "")
+    strict = {"mode": "FAILFAST"}
+    row = schemas.RATES_RAW
+    lines = F.filter(F.split(text, r"\r?\n"), lambda x: F.trim(x) != "")
+    objects = F.when(text.startswith("["), F.from_json(text, ArrayType(row), strict)).otherwise(
+        F.transform(lines, lambda x: F.from_json(x, row, strict)))
+    return whole.select(F.explode(objects).alias("o")).where("o is not null").select("o.*")
 
 
 def write_by_day(df: DataFrame, path: str, mode: str = "overwrite",
@@ -90,9 +97,27 @@ def read_rates(spark: SparkSession, path: str, start: str | None = None,
         .select("partition_date", "cdi_rate")
 
 
-def write_state(state: DataFrame, path: str) -> None:
+def _events_path(path: str) -> str:
+    return f"{path.rstrip('/')}_events"
+
+
+def state_events(spark: SparkSession, path: str, as_of: str) -> int | None:
+    """Number of events that the state of a day holds, None when not stored."""
+    if not path_exists(spark, f"{_events_path(path)}/as_of={as_of}"):
+        return None
+    row = spark.read.parquet(_events_path(path)).filter(F.col("as_of") == F.lit(as_of).cast("date")).first()
+    return None if row is None else row["events"]
+
+
+def write_state(state: DataFrame, path: str, events: int | None = None) -> None:
     """Balance state partitioned by its ``as_of`` day (dynamic overwrite:
-    rewriting one day's state leaves the others)."""
+    rewriting one day's state leaves the others). ``events``: number of events
+    it holds, stored beside it for ``state_events``."""
+    if events is not None:
+        (state.agg(F.first("as_of").alias("as_of")).where("as_of is not null")
+         .select(F.lit(events).cast("long").alias("events"), F.col("as_of").cast("string").alias("as_of"))
+         .write.option("partitionOverwriteMode", "dynamic").partitionBy("as_of").mode("overwrite")
+         .parquet(_events_path(path)))
     (state.withColumn("as_of", F.col("as_of").cast("string"))
         .hint("rebalance")
         .write.option("partitionOverwriteMode", "dynamic")
@@ -127,11 +152,37 @@ def read_state(spark: SparkSession, path: str, as_of: str) -> DataFrame | None:
                      F.col("as_of").cast("date").alias("as_of"))
 
 
+def clear_days(spark: SparkSession, path: str, start: str, end: str) -> list[str]:
+    """Removes the day folders of an inclusive range from a day-partitioned
+    table; returns the days removed (folder listing, no data read)."""
+    if not path_exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for status in fs.listStatus(p):
+        name, _, day = status.getPath().getName().partition("=")
+        if name == "partition_date" and start <= day <= end:
+            fs.delete(status.getPath(), True)
+            gone.append(day)
+    return sorted(gone)
+
+
+# The widest span of event days that is taken for real. Every pair of the
+# history has a row for each day of its window, so one stray date centuries
+# away would multiply the result.
+MAX_SPAN_DAYS = 36_600
+
+
 def data_window(sg: DataFrame) -> tuple[str, str]:
-    """First and last event day of a signed feed (one small aggregate)."""
+    """First and last event day of a signed feed (one small aggregate). A span
+    of more than ``MAX_SPAN_DAYS`` days raises; no event is dropped for it."""
     row = sg.agg(F.min("partition_date").alias("s"), F.max("partition_date").alias("e")).first()
     if row is None or row["s"] is None:
         raise ValueError("feed has no dated events")
+    if (row["e"] - row["s"]).days > MAX_SPAN_DAYS:
+        raise ValueError(f"event days span {row['s']} to {row['e']}: over {MAX_SPAN_DAYS} days, check the dates")
     return row["s"].isoformat(), row["e"].isoformat()
 
 

@@ -27,25 +27,33 @@ def read_table(spark: SparkSession, url: str, table: str, properties: dict[str,
     return reader.load()
 
 
+# Most connections one write may open.
+MAX_WRITERS = 64
+
+
 def write_table(df: DataFrame, url: str, table: str, properties: dict[str, str],
                 mode: str = "overwrite", truncate: bool = False,
-                writers: int | None = None,
+                writers: int = K.MIN_JDBC_WRITERS,
                 batch_size: int = K.JDBC_BATCH_SIZE,
-                observation: Observation | None = None) -> bool:
-    """Write ``df`` unless it is empty; returns whether anything was written.
-
-    ``writers`` parallel connections (default: the frame's partitions, at
-    least 8). ``truncate=True`` keeps the target's DDL (keys, partitions) on
+                observation: Observation | None = None,
+                decides: DataFrame | None = None) -> bool:
+    """Write ``df``; returns whether anything was written.
+
+    ``writers`` parallel connections, at most ``MAX_WRITERS``. ``decides``: a
+    cheap frame (an input of ``df``) that is empty exactly when ``df`` is;
+    nothing is written then, and no job runs on ``df`` itself before the
+    write. ``truncate=True`` keeps the target's DDL (keys, partitions) on
     overwrite instead of dropping and recreating the table.
     """
-    if df.isEmpty():
+    if not 1 <= writers <= MAX_WRITERS:
+        raise ValueError(f"writers must be 1 to {MAX_WRITERS}, not {writers}")
+    if decides is not None and decides.isEmpty():
         return False
-    n = writers or max(K.MIN_JDBC_WRITERS, df.rdd.getNumPartitions())
     props = dict(properties)
     props.setdefault("batchsize", str(batch_size))
     props.setdefault("reWriteBatchedInserts", "true")
     props["truncate"] = "true" if truncate else "false"
-    out = df.repartition(n)
+    out = df.repartition(writers)
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     out.write.jdbc(url=url, table=table, mode=mode, properties=props)

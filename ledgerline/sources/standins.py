@@ -1,8 +1,8 @@
 """Stand-in inputs derived from the supplied tables.
 
 There is no wallet table in the supplied data; the ``events`` table maps
-one-to-one onto change events (one account per ``user_id``, five event
-types onto five transaction types). Rates are derived from the calendar the
+one-to-one onto change events (one account per ``user_id``, some with two
+users, five event types onto five transaction types). Rates are derived from the calendar the
 events span, so every input grows with the data it is built from.
 """
 
@@ -22,6 +22,8 @@ EVENT_TYPE_MAP = (
 )
 OTHER_EVENT_TYPE = "TRANSFER_OUT"
 USERS_PER_ACCOUNT_KEY = 50
+# Every fourth account has a second user, on every third of its events.
+SHARED_ACCOUNT_EVERY, SECOND_USER_EVERY = 4, 3
 UNPARSEABLE_RATE_DAY = 17
 
 
@@ -31,10 +33,12 @@ def cdc_from_events(events: DataFrame) -> DataFrame:
     for src, dst in EVENT_TYPE_MAP[1:]:
         kind = kind.when(et == src, dst)
     kind = kind.otherwise(OTHER_EVENT_TYPE)
+    shared = (F.col("user_id") % SHARED_ACCOUNT_EVERY == 0) & (F.col("event_id") % SECOND_USER_EVERY == 0)
+    second = F.when(shared, USERS_PER_ACCOUNT_KEY).otherwise(0)
     amount = F.when(et == "signup", F.lit(0).cast(MONEY)).otherwise(F.col("value").cast(MONEY))
     return events.select(
         F.col("user_id").cast("string").alias("account_id"),
-        F.concat(F.lit("u"), (F.col("user_id") % USERS_PER_ACCOUNT_KEY).cast("string")).alias("user_id"),
+        F.concat(F.lit("u"), (F.col("user_id") % USERS_PER_ACCOUNT_KEY + second).cast("string")).alias("user_id"),
         kind.alias("transaction_type"),
         amount.alias("amount"),
         F.col("ts").alias("event_time"),

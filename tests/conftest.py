@@ -11,7 +11,8 @@ from ledgerline.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = local_session("*", shuffle_partitions=8, app="ledgerline-tests")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    s = local_session("*", shuffle_partitions=8, app="ledgerline-tests", extra={"spark.checkpoint.dir": shared})
     yield s
     s.stop()

@@ -1,4 +1,4 @@
-"""Interest decision, payments and audit on the reference's test inputs."""
+"""Interest decision, payments and audit."""
 
 import datetime as dt
 
@@ -9,39 +9,48 @@ from ledgerline.operators import interest as ops
 JOB_TS = dt.datetime(2024, 5, 2, 3, 4, 5)
 
 
+ROW = "user_id string, account_id string, immovable_balance double, partition_date date"
+DAY = dt.date(2024, 9, 17)
+
+
 @pytest.fixture()
 def history(spark):
     return spark.createDataFrame(
-        [("user1", "acc1", 150.0, dt.date(2024, 5, 1)),
-         ("user2", "acc2", 80.0, dt.date(2024, 5, 1)),
-         ("user3", "acc3", 200.0, dt.date(2024, 5, 1)),
-         ("user1", "acc1", 150.0, dt.date(2024, 5, 4))],     # no rate that day
-        "user_id string, account_id string, immovable_balance double, partition_date date")
+        [("nadia", "w31", 1250.0, DAY), ("omar", "w5", 99.99, DAY), ("lia", "w8", 100.0, DAY),
+         ("lia", "w8", 640.0, dt.date(2024, 9, 18))],     # no rate that day
+        ROW)
 
 
 @pytest.fixture()
 def rates(spark):
-    return spark.createDataFrame([(dt.date(2024, 5, 1), 0.1)], "partition_date date, cdi_rate double")
+    return spark.createDataFrame([(DAY, 0.073)], "partition_date date, cdi_rate double")
 
 
 def _by_acct(df, col):
     return {r["account_id"]: r[col] for r in df.collect()}
 
 
-def test_two_decimals(history, rates):
-    pay = ops.payments(ops.decide(history, rates, 100.0, 2))
-    assert _by_acct(pay, "interest_amount") == {"acc1": 0.04, "acc2": 0.0, "acc3": 0.05}
+@pytest.mark.parametrize("decimals, w31", [(2, 0.25), (8, 0.25)])
+def test_interest_of_a_day(history, rates, decimals, w31):
+    pay = ops.payments(ops.decide(history, rates, 100.0, decimals))
+    assert _by_acct(pay, "interest_amount") == {"w31": w31, "w5": 0.0, "w8": round(0.02, decimals)}
 
 
-def test_eight_decimals(history, rates):
-    pay = ops.payments(ops.decide(history, rates))
-    assert _by_acct(pay, "interest_amount")["acc1"] == 0.04109589
+def test_small_interest_keeps_eight_decimals(spark, rates):
+    h = spark.createDataFrame([("u", "a", 333.33, DAY)], ROW)
+    assert ops.decide(h, rates).first()["interest_amount"] == 0.066666
+
+
+def test_threshold_is_inclusive(history, rates):
+    assert _by_acct(ops.decide(history, rates), "qualified") == {"w31": True, "w5": False, "w8": True}
 
 
-def test_threshold_is_inclusive(spark, rates):
-    h = spark.createDataFrame([("u", "a", 100.0, dt.date(2024, 5, 1))],
-                              "user_id string, account_id string, immovable_balance double, partition_date date")
-    assert ops.decide(h, rates).first()["qualified"] is True
+def test_two_rates_of_a_day(spark, history, rates):
+    twice = rates.union(rates)
+    assert ops.decide(history, twice).count() == 6      # each of them pays
+    assert ops.decide(history, rates, unique_rates=True).count() == 3
+    with pytest.raises(Exception, match="two rates"):
+        ops.decide(history, twice, unique_rates=True).collect()
 
 
 def test_days_without_rate_get_no_row(history, rates):
@@ -52,26 +61,26 @@ def test_payment_columns(history, rates):
     pay = ops.payments(ops.decide(history, rates))
     assert pay.columns == ["user_id", "account_id", "eligible_balance", "interest_rate",
                            "interest_amount", "is_paid", "payment_date", "partition_date"]
-    r = pay.filter("account_id = 'acc1'").first()
-    assert (r.is_paid, r.payment_date, r.interest_rate, r.eligible_balance) == (False, None, 0.1, 150.0)
+    r = pay.filter("account_id = 'w31'").first()
+    assert (r.is_paid, r.payment_date, r.interest_rate, r.eligible_balance) == (False, None, 0.073, 1250.0)
 
 
 def test_audit_rows(history, rates):
     a = ops.audit(ops.decide(history, rates), "job-1", JOB_TS)
     rows = {r.account_id: r for r in a.collect()}
-    assert rows["acc2"].qualified is False
-    assert rows["acc2"].reason == "Saldo inmovilizado menor a $100.0"
-    assert rows["acc1"].reason == "Califica para interés"
-    assert rows["acc1"].process_status == "success" and rows["acc1"].error_description is None
+    assert rows["w5"].qualified is False
+    assert rows["w5"].reason == "Saldo inmovilizado menor a $100.0"
+    assert rows["w31"].reason == "Califica para interés"
+    assert rows["w31"].process_status == "success" and rows["w31"].error_description is None
     assert {r.job_id for r in rows.values()} == {"job-1"}
     assert {r.job_timestamp for r in rows.values()} == {JOB_TS}
     assert ops.audit(ops.decide(history, rates, min_balance=50), "j", JOB_TS) \
-        .filter("account_id = 'acc2'").first().reason == "Califica para interés"
+        .filter("account_id = 'w5'").first().reason == "Califica para interés"
 
 
 def test_reason_label_follows_threshold(history, rates):
-    a = ops.audit(ops.decide(history, rates, min_balance=175), "j", JOB_TS)
-    assert _by_acct(a, "reason")["acc1"] == "Saldo inmovilizado menor a $175.0"
+    a = ops.audit(ops.decide(history, rates, min_balance=2000), "j", JOB_TS)
+    assert _by_acct(a, "reason")["w31"] == "Saldo inmovilizado menor a $2000.0"
 
 
 def test_audit_defaults_fill_gaps(spark):

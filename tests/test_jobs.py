@@ -84,12 +84,68 @@ def test_daily_runs_carry_state(spark, tmp_path):
 def test_jdbc_sink_skips_empty_frames_without_connecting(spark):
     from ledgerline.sources import jdbc
     empty = spark.createDataFrame([], "a int")
-    assert jdbc.write_table(empty, "jdbc:none://nowhere", "t", {}) is False
-    sink = jobs.jdbc_sink("jdbc:none://nowhere", "t", {})
+    assert jdbc.write_table(empty, "jdbc:none://nowhere", "t", {}, decides=empty) is False
+    sink = jobs.jdbc_sink("jdbc:none://nowhere", "t", {}, decides=empty)
     from pyspark.sql import Observation
     assert sink(empty, Observation("x")) is False
 
 
+def test_jdbc_write_runs_no_job_on_the_frame_first(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+    from ledgerline.sources import jdbc
+    written = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, **kw: written.append((self, kw)))
+    ran = spark.sparkContext.accumulator(0)
+    frame = spark.range(10).mapInPandas(lambda parts: (ran.add(1) or p for p in parts), "id long")
+    assert jdbc.write_table(frame, "jdbc:none://x", "t", {}, writers=3)
+    assert len(written) == 1 and ran.value == 0
+    for writers in (0, jdbc.MAX_WRITERS + 1):
+        with pytest.raises(ValueError, match="writers"):
+            jdbc.write_table(frame, "jdbc:none://x", "t", {}, writers=writers)
+
+
+def test_a_rerun_removes_days_without_rows(spark, tmp_path):
+    day = dt.date(2024, 3, 5)
+    history = spark.createDataFrame([("u", "a", 500.0, day)], "user_id string, account_id string, "
+                                    "immovable_balance double, partition_date date")
+    rates = spark.createDataFrame([(day, 0.2)], "partition_date date, cdi_rate double")
+    sink = jobs.parquet_sink(str(tmp_path / "p"))
+    args = ("2024-03-05", "2024-03-05", sink)
+    assert jobs.calculate_interest(history, rates, *args).written
+    again = jobs.calculate_interest(history, rates.where("false"), *args)
+    assert not again.written and again.cleared == ["2024-03-05"]
+    assert not list((tmp_path / "p").glob("partition_date=*"))
+
+
+def test_late_events_fail_an_incremental_run(spark, tmp_path):
+    from tests.helpers import cdc
+    rows = [("w1", "k1", "DEPOSIT", 40, "2024-03-01 08:00"), ("w1", "k1", "DEPOSIT", 60, "2024-03-02 08:00")]
+    late = [*rows, ("w1", "k1", "DEPOSIT", 7, "2024-03-01 23:00")]
+    sink, state = jobs.parquet_sink(str(tmp_path / "h")), str(tmp_path / "s")
+    jobs.build_history(cdc(spark, rows), "2024-03-01", "2024-03-01", sink, state_path=state)
+    with pytest.raises(ValueError, match="rebuild"):
+        jobs.build_history(cdc(spark, late), "2024-03-02", "2024-03-02", sink, state_path=state)
+    assert jobs.build_history(cdc(spark, rows), "2024-03-02", "2024-03-02", sink, state_path=state).written
+
+
+def test_jobs_refuse_another_time_zone(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/Bogota")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            jobs.fetch_rates(spark, str(tmp_path), str(tmp_path / "r"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_scratch_needs_a_shared_folder():
+    from types import SimpleNamespace
+    from ledgerline.session import shared_dir
+    none = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None),
+                           conf=SimpleNamespace(get=lambda key, default=None: default))
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(none)
+
+
 def test_fetch_rates_keeps_the_requested_days(spark, tmp_path):
     feed = tmp_path / "feed"
     feed.mkdir()
@@ -175,12 +231,12 @@ def test_job_flow_through_storage_equals_registered_queries(spark, tmp_path):
     from ledgerline.sources import standins
     sf, out = "/root/testdata/sf0.001", str(tmp_path)
     ev = E._events(spark, sf)
-    start, end = E._span(ev, sf)
+    start, end = files.data_window(E._signed(ev))
     standins.cdc_from_events(ev).write.parquet(f"{out}/cdc")
     standins.rates_raw_from_events(ev).coalesce(1).write.json(f"{out}/feed")
     jobs.build_history(files.read_cdc(spark, f"{out}/cdc"), start, end,
                        jobs.parquet_sink(f"{out}/h"), state_path=f"{out}/s")
-    jobs.fetch_rates(spark, f"{out}/feed", f"{out}/r", start, end, multiline=False)
+    jobs.fetch_rates(spark, f"{out}/feed", f"{out}/r", start, end)
     jobs.calculate_interest(jobs.read_history(spark, f"{out}/h", start, end),
                             files.read_rates(spark, f"{out}/r", start, end), start, end,
                             jobs.parquet_sink(f"{out}/p"), jobs.parquet_sink(f"{out}/a"),

@@ -5,6 +5,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from ledgerline.operators import rates as ops
 from ledgerline.sources import files
 
@@ -76,4 +78,14 @@ def test_json_lines_feed(spark, tmp_path):
     d = tmp_path / "feed"
     d.mkdir()
     (d / "a.json").write_text("\n".join(json.dumps({"data": f"0{i}/01/2024", "valor": "10"}) for i in (1, 2, 3)))
-    assert jobs.fetch_rates(spark, str(d), str(tmp_path / "r"), multiline=False).rows == {"rates": 3}
+    assert jobs.fetch_rates(spark, str(d), str(tmp_path / "r")).rows == {"rates": 3}
+
+
+def test_layouts_mix_and_bad_text_fails(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"data": "01/01/2024", "valor": "1"},\n {"data": "02/01/2024", "valor": 2.5}]')
+    (tmp_path / "b.json").write_text('\n{"data": "03/01/2024", "valor": "3"}\r\n{"data": "04/01/2024", "valor": "4"}\n')
+    got = files.read_rates_json(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [("01/01/2024", "1"), ("02/01/2024", "2.5"), ("03/01/2024", "3"), ("04/01/2024", "4")]
+    (tmp_path / "c.json").write_text("{not json")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_rates_json(spark, str(tmp_path)).collect()
