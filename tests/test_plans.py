@@ -42,13 +42,33 @@ def test_top_k_is_take_ordered(spark):
 
 
 def test_history_grid_is_never_shuffled(spark):
-    """One scan, two exchanges (the partial rollup, then the account hash),
-    no join; the calendar is generated above both exchanges."""
+    """Pairs meet intervals in a join; the days are generated above every
+    exchange, sort and window."""
     for mode in ("zero", "carry"):
         plan = _plan(h.wallet_history(E._signed(E._events(spark, SF)), "2024-01-03", "2024-01-09",
                                       quiet_days=mode))
-        assert "Join" not in plan
-        assert plan.count("FileScan parquet") == 1
-        assert plan.count("Exchange hashpartitioning") == 2
-        top = plan.split("Generate")[0]
-        assert "Exchange" not in top
+        top = plan.split("Generate explode(sequence")[0]
+        assert not any(x in top for x in ("Exchange", "Window", "Sort "))
+        assert "CartesianProduct" not in plan
+
+
+def test_reports_start_no_job_when_built(spark):
+    import datetime as dt
+    from ledgerline.plans import jobs
+    pay = E._Run(spark, SF).payments()
+    audit = E._Run(spark, SF).audit()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("reports-built", "no job expected")
+    try:
+        made = jobs.reports(pay, audit, "2024-01-03", dt.date(2024, 1, 9).isoformat())
+        assert len(tracker.getJobIdsForGroup("reports-built")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "RangePartitioning" not in made["balance_interest_trend"]._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in made["balance_interest_trend"]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_queries_without_a_window_look_for_no_span(spark, monkeypatch):
+    monkeypatch.setattr(E.files, "data_window", lambda sg: 1 / 0)
+    for key in ("signed_amounts", "running_balance", "daily_rollup", "previous_balance", "rates_normalized"):
+        E.QUERIES[key](spark, SF)

@@ -6,6 +6,7 @@ import pytest
 
 from ledgerline.operators import cdc as ops
 from tests.helpers import cdc
+from tests.helpers import cdc
 
 
 def _fixture(spark):
@@ -50,7 +51,7 @@ def test_no_task_holds_a_whole_account(spark):
     """The event-level window is partitioned by account and bucket."""
     out = ops.running_balance(ops.signed(_fixture(spark)), tie="event_id")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    windows = [ln for ln in plan.splitlines() if "Window [sum(_minor" in ln and "event_ts" in ln]
+    windows = [ln for ln in plan.splitlines() if " Window [" in ln and "sum(_money" in ln and "event_ts" in ln]
     assert windows and all("[account_id" in w and "_bucket" in w.split("], [")[1] for w in windows)
 
 
@@ -60,3 +61,10 @@ def test_rejects_unknown_tie_or_unit(spark):
         ops.running_balance(sg, tie="nope")
     with pytest.raises(ValueError):
         ops.running_balance(sg, tie="event_id", bucket="week")
+
+
+def test_events_without_account_or_time_keep_their_rows(spark):
+    rows = [("w1", "u", "DEPOSIT", 10, "2024-03-01 10:00"), ("w1", "u", "DEPOSIT", 5, None),
+            (None, "u", "DEPOSIT", 3, "2024-03-01 11:00"), (None, "u", "WITHDRAWAL", 1, None)]
+    out = ops.running_balance(ops.signed(cdc(spark, rows)), tie="event_id")
+    assert {r["event_id"]: r["running_balance"] for r in out.collect()} == {0: 15.0, 1: 5.0, 2: 2.0, 3: -1.0}
