@@ -220,7 +220,10 @@ def near_duplicates(df: DataFrame, id_col="doc_id", text_col="text", shingle=SHI
     # The hot component's fingerprints are combined map-side before the shuffle.
     tops = joined.groupBy("root").agg(F.min("least").alias("top"))
     linked = joined.select("fp", "root").join(tops, "root").select("fp", "top")
-    tops = distinct.join(linked, "fp", "left").select("fp", F.coalesce("top", "least").alias("top"))
+    # Written, so that the join with the documents has two plain shuffles, of
+    # which adaptive execution can split the hot fingerprint's.
+    tops = stored(distinct.join(linked, "fp", "left").select("fp", F.coalesce("top", "least").alias("top")),
+                  "simhash-tops")
     out = docs.join(tops, "fp")
     return out.select("id", "text_hash", "fp", F.col("top.id").alias("component_id"),
                       (F.col("id").eqNullSafe(F.col("top.id"))
