@@ -274,6 +274,9 @@ def dropped_lines(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     linked = linked.select("node", "root").join(tops, "root").select("node", "top")
     groups = (distinct.join(linked, "node", "left").where("top is not null or first != last")
               .select("node", F.coalesce("top", "first").alias("top")))
+    # Written, so that the join with the lines has two plain shuffles, of which
+    # adaptive execution can split a very common line's.
+    groups = stored(groups, "lines-groups")
     gone = lines.select("id", "text_hash", "line", "node").join(groups, "node").where(_place() != F.col("top"))
     return gone.groupBy("id", "text_hash").agg(F.collect_set("line").alias("lines"))
 
