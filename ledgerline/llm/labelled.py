@@ -21,6 +21,12 @@ def bounded(df: DataFrame, rows: int, salt: int, *key: str) -> DataFrame:
     return df.orderBy(F.xxhash64(*key, F.lit(salt)), *key).limit(rows)
 
 
+def label_counts(labels: DataFrame, id_col: str, label_col: str) -> tuple[int, int]:
+    """Rows of the training folds labelled 0 and 1."""
+    taught = labels.where(F.col(id_col).isNotNull() & training_fold(id_col))
+    return tuple(taught.agg(*[F.count(F.when(F.col(label_col) == c, 1)) for c in (0, 1)]).first())
+
+
 def sample_labels(labels: DataFrame, id_col: str, label_col: str, per_class: int, salt: int) -> DataFrame:
     """(id, label): up to ``per_class`` ids of each of the labels 0 and 1, from
     the training fold. Rows without id or label teach nothing; an id labelled

@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import fold_of, text_of
 from ledgerline.llm.features import STATS, Adam, char_grams, root_shares, sigmoid, stats
-from ledgerline.llm.labelled import HELD_OUT_FOLDS, bounded, sample_labels, training_fold, with_texts
+from ledgerline.llm.labelled import (HELD_OUT_FOLDS, bounded, label_counts, sample_labels, training_fold,
+                                     with_texts)
 
 POSITIVES = 4_000    # bound of the sample of trusted positives
 UNLABELLED = 8_000   # bound of the sample of unlabelled documents
@@ -109,8 +110,7 @@ def _vectors(df: DataFrame) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality",
           positives=POSITIVES, unlabelled=UNLABELLED) -> PUModel:
-    taught = labels.where(training_fold(id_col) & F.col(id_col).isNotNull())
-    ones, zeros = taught.agg(F.count(F.when(F.col(label_col) == 1, 1)), F.count(F.when(F.col(label_col) == 0, 1))).first()
+    zeros, ones = label_counts(labels, id_col, label_col)
     prior = min(max(ones / (ones + zeros), 0.01), 0.99) if ones + zeros else 0.5
     trusted = sample_labels(labels, id_col, label_col, positives, salt=6).where("label = 1")
     web = bounded(docs.where(training_fold(id_col) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"))

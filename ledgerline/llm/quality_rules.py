@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import text_of
 from ledgerline.llm.features import Adam, char_grams, sigmoid, word_grams
-from ledgerline.llm.labelled import sample_labels, with_texts
+from ledgerline.llm.labelled import label_counts, sample_labels, with_texts
 
 PER_CLASS = 3_000   # bound of the labelled sample, per label
 MIN_WORDS = 50
@@ -146,7 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
                                    pa.array([r[1] for r in rows], pa.list_(pa.float32()))],
                                   names=["h", "label", "ids", "vals"])
 
-    ones, zeros = labels.agg(F.count(F.when(F.col(label_col) == 1, 1)), F.count(F.when(F.col(label_col) == 0, 1))).first()
+    zeros, ones = label_counts(labels, id_col, label_col)
     sample = with_texts(sample_labels(labels, id_col, label_col, per_class, salt=9), docs, id_col, text_col)
     table = (sample.select(F.xxhash64("id").alias("h"), "label", "text")
              .mapInArrow(run, "h long, label int, ids array<int>, vals array<float>").toArrow().sort_by("h"))

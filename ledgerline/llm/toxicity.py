@@ -36,7 +36,7 @@ from pyspark.sql.types import StructType
 
 from ledgerline.llm.common import fold_of, text_of
 from ledgerline.llm.features import sigmoid
-from ledgerline.llm.labelled import HELD_OUT_FOLDS, sample_labels, with_texts
+from ledgerline.llm.labelled import HELD_OUT_FOLDS, label_counts, sample_labels, with_texts
 
 PER_CLASS = 2_000     # bound of the examples, per label
 VOCABULARY = 4_096    # bound of the indexed terms
@@ -228,7 +228,7 @@ def fit(vectors: Vectors, rows: list[dict[int, int]], labels: np.ndarray, ids: l
 def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic",
           per_class=PER_CLASS, vocabulary=VOCABULARY) -> KnnModel | None:
     """None without labelled rows of both kinds."""
-    zeros, ones = labels.agg(F.count(F.when(F.col(label_col) == 0, 1)), F.count(F.when(F.col(label_col) == 1, 1))).first()
+    zeros, ones = label_counts(labels, id_col, label_col)
 
     def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
