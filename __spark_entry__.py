@@ -353,7 +353,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def _llm(name: str) -> dict:
     """The queries or SQL of the ``llm`` subpackage and its pipeline, where they
     are installed. Only their absence is tolerated, never a failing import."""
-    if importlib.util.find_spec("ledgerline.llm") is None:
+    if not importlib.util.find_spec("ledgerline.llm") or not importlib.util.find_spec("ledgerline.llm.queries"):
         return {}
     from ledgerline.llm import queries as llm_queries
 

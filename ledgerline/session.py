@@ -6,6 +6,7 @@ are for tests, the benchmark and command-line callers.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -52,6 +53,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
+    if "spark.checkpoint.dir" not in conf:  # one machine: any folder is shared
+        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="ledgerline-local-")
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
