@@ -87,13 +87,15 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed=0)
     for _ in range(STEPS):
         p = positive[rng.integers(0, len(positive), BATCH)]
         u = unlabelled[rng.integers(0, len(unlabelled), BATCH)]
-        gp, gu = p @ w, u @ w
+        narrow = w.astype(np.float32)  # else both matrices are widened for every product
+        gp, gu = (p @ narrow).astype(float), (u @ narrow).astype(float)
         negative_risk = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        negative = u.T @ sigmoid(gu) / BATCH - prior * (p.T @ sigmoid(gp)) / BATCH
+        up = u.T @ (sigmoid(gu) / BATCH).astype(np.float32)
+        down = p.T @ (prior * sigmoid(gp) / BATCH).astype(np.float32)
         if negative_risk >= 0:
-            step.step(w, negative - prior * (p.T @ sigmoid(-gp)) / BATCH + DECAY * w)
+            step.step(w, up - down - p.T @ (prior * sigmoid(-gp) / BATCH).astype(np.float32) + DECAY * w)
         else:
-            step.step(w, -negative)
+            step.step(w, down - up)
     return PUModel(mean, scale, w[:-1].astype(np.float32), float(w[-1]), prior)
 
 
