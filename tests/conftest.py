@@ -1,6 +1,10 @@
 import os
 import sys
 
+# Many small products: threads of the linear algebra library only get in each other's way.
+os.environ.setdefault("OMP_NUM_THREADS", "1")
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
+
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
