@@ -172,6 +172,9 @@ class Codec:
             some = new[at: at + CALL_PARTS]
             for part, (ids, same, back) in zip(some, self._check(self.parts, some, [p[1:] for p in some]), strict=True):
                 known[part] = ids
+                if not part.strip(" "):  # spaces at a text's end: the library is asked behind a letter
+                    alone = len(self.reference.encode("a"))
+                    same = ids == np.array(self.reference.encode("a" + part)[alone:], np.int32).tobytes()
                 if not same:
                     self.unlike.add(part)
                 if not back:
