@@ -22,6 +22,7 @@ from __future__ import annotations
 import functools
 import os
 import struct
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -35,7 +36,7 @@ from ledgerline.llm.common import text_of
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE_PARTS = 250_000  # distinct parts remembered by a worker: memory, not a limit
+CACHE_PARTS = 400_000  # distinct parts remembered by a worker: memory, not a limit
 CALL_PARTS = 4_096     # parts of one call of the library
 _PARTS = regex.compile(" *[^ ]+| +")
 # Fixed values of the public model format: piece types and model types.
@@ -154,10 +155,16 @@ class Codec:
         """(ids, parity, round trip) of each unit; ``plain``: the texts that the
         SentencePiece library gets for them."""
         ids = [e.ids for e in tok.encode_batch_fast(units, add_special_tokens=False)]
-        back = tok.decode_batch(ids, skip_special_tokens=False)
         same = self.reference.encode(plain)
-        return [(np.array(i, np.int32).tobytes(), i == s, t == b)
-                for i, s, t, b in zip(ids, same, plain, back, strict=True)]
+        surface, lead = self.surface, " " if self.model.prefix else ""
+        return [(array("i", i).tobytes(), i == s, b"".join([surface[k] for k in i]) == (lead + t).encode("utf-8", "surrogatepass"))
+                for i, s, t in zip(ids, same, plain, strict=True)]
+
+    @functools.cached_property
+    def surface(self) -> list[bytes]:
+        """What each id decodes to, in bytes: spaces for markers, one byte for a byte piece."""
+        return [bytes([int(t[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else t.replace(MARK, " ").encode("utf-8")
+                for t, _, k in self.model.pieces]
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
         """Per text its ids as int32 bytes, parity and round trip."""
