@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerline.llm.common import SPACE_CLASS, partitions, stored, text_of
+from ledgerline.llm.common import SPACE_CLASS, batches_of, partitions, stored, text_of
 
 PREFIX_BYTES = 32
 
@@ -137,30 +137,39 @@ def exact_dedup(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
         F.col("sha").alias("text_sha256"))
 
 
-def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of every run, with the same edge mark."""
-    pid = TaskContext.get().partitionId()
-    before = first_hash = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        norm, hashes = batch.column("norm"), np.asarray(batch.column("hash"))
-        if first_hash is None:
-            first_hash = hashes[0]
-        starts = np.flatnonzero(_starts(norm, before))
-        before = norm[batch.num_rows - 1]
-        if len(starts):
-            kept = batch.select(["row", "sha"]).take(pa.array(starts))
-            yield pa.record_batch([*kept.columns, pa.array(hashes[starts] == first_hash),
-                                   pa.array(np.full(len(starts), pid, np.int32))],
-                                  names=["row", "sha", "edge", "pid"])
+_DELETED = bytes([0x20, *range(0x09, 0x0E)])
+
+
+def _heads(text_col: str):
+    """The first row of every run, with the same edge mark. The texts are
+    normalised again here, so that a row crosses to Python once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pid, before, first_hash = TaskContext.get().partitionId(), None, None
+        for batch in (part for whole in batches for part in batches_of(whole, 1_000)):
+            hashes = np.asarray(batch.column("hash"))
+            if first_hash is None:
+                first_hash = hashes[0]
+            starts = []
+            for i, text in enumerate(batch.column("row").field(text_col)):
+                norm = ("" if (t := text.as_py()) is None else str(t)).encode("utf-8", "surrogatepass").translate(None, _DELETED)
+                if norm != before:
+                    starts.append(i)
+                before = norm
+            if starts:
+                kept = batch.select(["row", "sha"]).take(pa.array(starts))
+                yield pa.record_batch([*kept.columns, pa.array(hashes[starts] == first_hash),
+                                       pa.array(np.full(len(starts), pid, np.int32))],
+                                      names=["row", "sha", "edge", "pid"])
+
+    return run
 
 
 def distinct_rows(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """The rows that stay, whole, with the columns of ``df``."""
-    rows = _sorted(df, id_col, text_col, carry=True).withColumn("sha", F.sha2("norm", 256))
+    rows = _sorted(df, id_col, text_col, carry=True).select("row", "hash", F.sha2("norm", 256).alias("sha"))
     schema = StructType([rows.schema["row"], *StructType.fromDDL("sha string, edge boolean, pid int").fields])
-    heads = stored(rows.mapInArrow(_heads, schema), "content-heads")
+    heads = stored(rows.mapInArrow(_heads(text_col), schema), "content-heads")
     marks = heads.select("sha", "edge", "pid")
     edges = marks.where("edge").select("sha", F.col("pid").alias("edge_pid"))
     # A run goes on here when an earlier partition has a head of the same text.

@@ -36,7 +36,7 @@ from ledgerline.llm.common import text_of
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE_PARTS = 400_000  # distinct parts remembered by a worker: memory, not a limit
+CACHE_PARTS = 250_000  # distinct parts remembered by a task: memory, not a limit
 CALL_PARTS = 4_096     # parts of one call of the library
 _PARTS = regex.compile(" *[^ ]+| +")
 # Fixed values of the public model format: piece types and model types.
@@ -195,7 +195,7 @@ class Codec:
 
 @functools.lru_cache(maxsize=1)
 def _codec(data: bytes) -> Codec:
-    """One per worker: later tasks find its parts encoded."""
+    """One per worker; building it takes most of a second."""
     os.environ["TOKENIZERS_PARALLELISM"] = "true"
     return Codec(data)
 
@@ -223,6 +223,7 @@ def encode(df: DataFrame, id_col="doc_id", text_col="text", model_path=MODEL_PAT
                                        pa.array([g[1] for g in got]), pa.array([g[2] for g in got])],
                                       names=["id", "n_tokens", "ids", "parity", "round_trip"])
                 at = to
+        codec.known.clear()  # a worker lives on for other stages' tasks
 
     return df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(
         run, f"id {id_type}, n_tokens long, ids array<int>, parity boolean, round_trip boolean")
