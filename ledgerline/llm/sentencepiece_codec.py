@@ -156,15 +156,8 @@ class Codec:
         SentencePiece library gets for them."""
         ids = [e.ids for e in tok.encode_batch_fast(units, add_special_tokens=False)]
         same = self.reference.encode(plain)
-        surface, lead = self.surface, " " if self.model.prefix else ""
-        return [(array("i", i).tobytes(), i == s, b"".join([surface[k] for k in i]) == (lead + t).encode("utf-8", "surrogatepass"))
-                for i, s, t in zip(ids, same, plain, strict=True)]
-
-    @functools.cached_property
-    def surface(self) -> list[bytes]:
-        """What each id decodes to, in bytes: spaces for markers, one byte for a byte piece."""
-        return [bytes([int(t[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else t.replace(MARK, " ").encode("utf-8")
-                for t, _, k in self.model.pieces]
+        back = tok.decode_batch(ids, skip_special_tokens=False)
+        return [(array("i", i).tobytes(), i == s, b == t) for i, s, b, t in zip(ids, same, back, plain, strict=True)]
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
         """Per text its ids as int32 bytes, parity and round trip."""

@@ -115,6 +115,18 @@ def test_codec_by_whole_texts(reference):
     assert all(g[1] and g[2] for g in got)
 
 
+def test_round_trip_runs_the_decoder():
+    """A decoder that gives another text shows, in parts and in whole texts."""
+    from tokenizers import decoders
+
+    with open(sentencepiece_codec.MODEL_PATH, "rb") as f:
+        codec = sentencepiece_codec.Codec(f.read())
+    codec.parts.decoder = codec.texts.decoder = decoders.Replace("a", "b")
+    assert [g[1:] for g in codec.encode(["some data", ""])] == [(True, False), (True, True)]
+    codec.parts = None
+    assert [g[1:] for g in codec.encode(["some data", ""])] == [(True, False), (True, True)]
+
+
 def test_unigram_model_file():
     """A tiny model file written by hand: the best path by unigram scores, and byte fallback."""
     import struct
