@@ -2,55 +2,55 @@
 
 Examples are a bounded sample of labelled rows of the training folds. The
 terms are words without outer punctuation, their leading stems, and stems that
-come twice or three times; those that tell the two labels apart
-(chi-squared on the sample, p < 1e-7; the ``VOCABULARY`` best) are indexed.
-Document frequencies are counted over all documents. The inverted index keeps, per term, the examples in blocks with the largest weight
-of each block. A query adds up block bounds first and opens blocks from the
-highest bound down until no unopened block can beat the k-th best similarity:
-the result is the exact top k.
+come twice or three times, each known by a 64-bit hash; every term of the
+examples is indexed. Document frequencies are counted over all documents, and a
+text's norm covers all its terms: those of no example are counted in Spark by
+term and joined back to the texts. The inverted index keeps, per term, the
+examples in blocks with the largest weight of each block. A query adds up block
+bounds first and opens blocks from the highest bound down until no unopened
+block can beat the k-th best similarity: the result is the exact top k.
 
 The neighbours vote with the square of their similarity, examples of either
 label weighted back to that label's number of rows; a curve fitted to the
 examples' own votes (each left out of its own neighbours) calibrates the
-share. ``evidence`` lists the nearest examples. The index has a fixed bound
-(examples x terms) and is broadcast; everything else is one pass per statistic.
+share. ``evidence`` lists the nearest examples. The index is bounded by the
+examples' texts and is broadcast; everything else is one pass per statistic.
 
-Defined results: a text without indexed terms (empty and null ones too) gets
-the calibrated rate of toxic rows among examples without any; without labels
-every score is 0; ties in similarity go to the example with the lower number;
-rows repeat as they come; an empty table gives an empty result.
+Defined results: a text without any term of the examples (empty and null ones
+too) gets the calibrated rate of toxic rows among examples without neighbours;
+without labels every score is 0; ties in similarity go to the example with the
+lower number; rows repeat as they come; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ledgerline.llm.common import fold_of, text_of
+from ledgerline.llm.common import fold_of, stored, text_of
 from ledgerline.llm.features import sigmoid
 from ledgerline.llm.labelled import HELD_OUT_FOLDS, label_counts, sample_labels, with_texts
 
 PER_CLASS = 2_000     # bound of the examples, per label
-VOCABULARY = 4_096    # bound of the indexed terms
-MIN_EXAMPLES = 3      # a term must occur in so many examples
 STEMS = (4, 5, 6, 7, 8)
 REPEATS = (2, 3)      # a stem that comes so often in a text is a further term
 NEIGHBOURS = 15
 BLOCK = 64            # examples of a block of the index
-OPENED = 4            # blocks opened together
-SIGNIFICANT = 30.0    # chi-squared with one degree of freedom: p = 4e-8, for many thousand terms tried
+OPENED = 4            # blocks opened together at first, then twice as many each time
 THRESHOLD = 0.5
 EVIDENCE = 3
 _OUTER = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-_CACHE = 400_000      # remembered words and queries of a task: memory, not a limit
+_CACHE = 150_000      # remembered words of a task: memory, not a limit
+_FLUSH = 1_000_000    # terms counted by a task before it hands them on
 
 
 def terms_of(word: str) -> list[str]:
@@ -59,59 +59,69 @@ def terms_of(word: str) -> list[str]:
     return [bare] + [bare[:n] + "-" for n in STEMS if len(bare) >= n] if bare else []
 
 
-def repeats(term: str) -> list[str]:
-    """The terms that say a stem comes twice, three times."""
-    return [f"{term}+{n}" for n in REPEATS] if term.endswith("-") else []
+class Terms:
+    """Texts to the hashes of their terms and how often each comes. Hashes of
+    stems are odd, those of words and repeats even."""
+
+    def __init__(self):
+        self.row, self.table = {}, np.zeros((1024, 1 + len(STEMS)), np.int64)
+
+    def _add(self, word: str) -> int:
+        at = self.row[word] = len(self.row)
+        if at == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        hashes = [xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in terms_of(word)]
+        full = np.array([h | 1 if i else h >> 1 << 1 for i, h in enumerate(hashes)], np.uint64).view(np.int64)
+        self.table[at] = 0
+        self.table[at, : len(full)] = full
+        return at
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        words = Counter((text or "").split())
+        if len(self.row) > _CACHE:
+            self.row.clear()
+        get = self.row.get
+        rows = [self._add(w) if (at := get(w)) is None else at for w in words]
+        found = self.table[rows].ravel() if rows else np.empty(0, np.int64)
+        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), self.table.shape[1])
+        some = found != 0
+        terms, at = np.unique(found[some], return_inverse=True)
+        n = np.bincount(at, times[some], minlength=len(terms)).astype(np.int64)
+        stems = terms & 1 == 1
+        more = [_repeat(terms[stems & (n >= k)], k) for k in REPEATS]
+        return np.concatenate([terms, *more]), np.concatenate([n, *[np.ones(len(m), np.int64) for m in more]])
+
+
+def _repeat(stems: np.ndarray, times: int) -> np.ndarray:
+    """The hashes of the terms that say a stem comes so often."""
+    z = (stems.view(np.uint64) ^ np.uint64(times)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((z ^ (z >> np.uint64(29))) << np.uint64(1)).view(np.int64)
 
 
-def counted(text: str | None) -> dict[str, int]:
-    out: Counter = Counter()
-    for word, n in Counter((text or "").split()).items():
-        for term in terms_of(word):
-            out[term] += n
-    more = {r: 1 for t, n in out.items() if n >= REPEATS[0] for r, k in zip(repeats(t), REPEATS, strict=False) if n >= k}
-    return out | more
+class Vectors:
+    """Terms to their numbers and weights, (1 + log tf) * idf."""
 
+    def __init__(self, terms: np.ndarray, idf: np.ndarray):
+        self.terms, self.idf = terms, idf  # sorted hashes
 
-class Vectors:
-    """Texts to term numbers and weights, (1 + log tf) * idf, unit length."""
-
-    def __init__(self, terms: list[str], idf: np.ndarray):
-        self.idf, self.known = idf, {}
-        number = {t: i for i, t in enumerate(terms)}
-        # Per plain term with itself or a repeat in the index: their numbers.
-        plain = {t.split("+")[0] if "-+" in t else t for t in terms}
-        self.cells = {t: (number.get(t, -1), [(k, number[r]) for k, r in zip(REPEATS, repeats(t), strict=False)
-                                              if r in number]) for t in plain}
-
-    def plain(self, word: str) -> tuple[str, ...]:
-        got = self.known.get(word)
-        if got is None:
-            if len(self.known) > _CACHE:
-                self.known.clear()
-            got = self.known[word] = tuple(t for t in terms_of(word) if t in self.cells)
-        return got
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        found: dict[str, int] = {}
-        for word, n in Counter((text or "").split()).items():
-            for t in self.plain(word):
-                found[t] = found.get(t, 0) + n
-        out = {}
-        for t, n in found.items():
-            own, more = self.cells[t]
-            if own >= 0:
-                out[own] = n
-            for k, i in more:
-                if n >= k:
-                    out[i] = 1
-        return out
-
-    def of(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array(sorted(counts), np.int64)
-        w = (1 + np.log([counts[i] for i in ids.tolist()])) * self.idf[ids] if len(ids) else np.empty(0)
-        norm = np.sqrt((w * w).sum())
-        return (ids, w / norm) if norm > 0 else (ids[:0], w[:0])
+    def split(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each term, and whether it is indexed at all."""
+        at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
+        return at, self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
+
+    def of(self, numbers: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Term numbers in order, weights of unit length, and the length squared."""
+        order = np.argsort(numbers)
+        ids = numbers[order]
+        w = (1 + np.log(n[order])) * self.idf[ids]
+        square = float((w * w).sum())
+        return (ids, w / np.sqrt(square), square) if square > 0 else (ids[:0], w[:0], 0.0)
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All of [start, start + size), one after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
 
 
 class BlockMaxIndex:
@@ -119,47 +129,52 @@ class BlockMaxIndex:
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.n = len(rows)
-        blocks = -(-self.n // BLOCK) or 1
+        self.blocks = -(-self.n // BLOCK) or 1
         term = np.concatenate([r[0] for r in rows] or [np.empty(0, np.int64)])
         weight = np.concatenate([r[1] for r in rows] or [np.empty(0)])
         row = np.repeat(np.arange(self.n), [len(r[0]) for r in rows])
         order = np.lexsort((row, term))
         self.row, self.weight = row[order].astype(np.int32), weight[order]
-        cell = term[order] * blocks + row[order] // BLOCK
-        self.start = np.searchsorted(cell, np.arange(n_terms * blocks + 1))
-        self.top = np.zeros(n_terms * blocks)
-        np.maximum.at(self.top, cell, self.weight)
-        self.blocks, self.top = blocks, self.top.reshape(n_terms, blocks)
+        # A cell: the postings of one term in one block; only those with any are kept.
+        cells, start = np.unique(term[order] * self.blocks + row[order] // BLOCK, return_index=True)
+        self.start = np.append(start, len(order)).astype(np.int32)
+        self.top = np.maximum.reduceat(self.weight, start) if len(start) else np.empty(0)
+        self.block = (cells % self.blocks).astype(np.int32)
+        self.of_term = np.searchsorted(cells, np.arange(n_terms + 1) * self.blocks).astype(np.int32)
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Rows and similarities of the k nearest (similarity above 0), best first."""
-        bound = weights @ self.top[ids]
+        sizes = self.of_term[ids + 1] - self.of_term[ids]
+        cells, weights = _ranges(self.of_term[ids], sizes), np.repeat(weights, sizes)
+        block = self.block[cells]
+        bound = np.bincount(block, weights * self.top[cells], minlength=self.blocks)
         found, sims = np.empty(0, np.int64), np.empty(0)
         order = np.argsort(-bound, kind="stable")
-        for at in range(0, len(order), OPENED):
-            some = order[at: at + OPENED]
+        at, opened = 0, OPENED
+        while at < len(order):
+            some = order[at: at + opened]
             # A little slack: bounds and similarities are sums of rounded products.
             if bound[some[0]] <= 0 or len(sims) >= k and bound[some[0]] < sims[k - 1] - 1e-9:
                 break
-            rows, near = self._opened(ids, weights, some)
+            chosen = np.zeros(self.blocks, bool)
+            chosen[some] = True
+            chosen = chosen[block]
+            rows, near = self._opened(cells[chosen], weights[chosen])
             if skip >= 0:
                 rows, near = rows[rows != skip], near[rows != skip]
             found, sims = np.append(found, rows), np.append(sims, near)
             best = np.lexsort((found, -np.round(sims, 9)))[:k]
             found, sims = found[best], sims[best]
+            at, opened = at + opened, 2 * opened
         return found, sims
 
-    def _opened(self, ids: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of some blocks with their similarities, from the postings."""
-        cells = ids[:, None] * self.blocks + blocks
-        sizes = (self.start[cells + 1] - self.start[cells]).ravel()
-        ends = np.cumsum(sizes)
-        at = np.arange(ends[-1]) + np.repeat(self.start[cells].ravel() - ends + sizes, sizes)
-        place = np.repeat(np.tile(np.arange(len(blocks)), len(ids)), sizes) * BLOCK + self.row[at] % BLOCK
-        near = np.bincount(place, np.repeat(np.repeat(weights, len(blocks)), sizes) * self.weight[at],
-                           minlength=len(blocks) * BLOCK)
+    def _opened(self, cells: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of some cells with their similarities, from the postings."""
+        sizes = self.start[cells + 1] - self.start[cells]
+        at = _ranges(self.start[cells], sizes)
+        near = np.bincount(self.row[at], np.repeat(weights, sizes) * self.weight[at], minlength=self.n)
         hit = np.flatnonzero(near)
-        return blocks[hit // BLOCK] * BLOCK + hit % BLOCK, near[hit]
+        return hit, near[hit]
 
 
 @dataclass
@@ -172,7 +187,8 @@ class KnnModel:
     slope: float = 1.0
     shift: float = 0.0
     none_score: float = 0.0
-    seen: dict = field(default_factory=dict)
+    n_docs: int = 0
+    others: DataFrame | None = None  # document frequencies of the terms of no example
 
     def share(self, rows: np.ndarray, sims: np.ndarray) -> float:
         votes = sims ** 2 * np.where(self.labels[rows] == 1, self.class_weight[1], self.class_weight[0])
@@ -181,24 +197,19 @@ class KnnModel:
     def calibrated(self, share: float) -> float:
         return float(sigmoid(np.array(self.slope * (2 * share - 1) + self.shift)))
 
-    def score(self, text: str | None) -> tuple[float, list[dict]]:
-        counts = self.vectors.counts(text)
-        key = tuple(sorted(counts.items()))
-        got = self.seen.get(key)
-        if got is None:
-            if len(self.seen) > _CACHE // 20:
-                self.seen.clear()
-            rows, sims = self.index.nearest(*self.vectors.of(counts), NEIGHBOURS)
-            value = self.calibrated(self.share(rows, sims)) if len(rows) else self.none_score
-            got = self.seen[key] = (value, [{"id": self.ids[r], "similarity": float(s), "label": int(self.labels[r])}
-                                            for r, s in zip(rows[:EVIDENCE].tolist(), sims.tolist(), strict=False)])
-        return got
-
-
-def fit(vectors: Vectors, rows: list[dict[int, int]], labels: np.ndarray, ids: list,
+    def score(self, numbers: np.ndarray, n: np.ndarray) -> tuple[float, list[dict], float]:
+        """Score, evidence and squared length of a text, all from its indexed terms."""
+        ids, weights, square = self.vectors.of(numbers, n)
+        rows, sims = self.index.nearest(ids, weights, NEIGHBOURS)
+        value = self.calibrated(self.share(rows, sims)) if len(rows) else self.none_score
+        return value, [{"id": self.ids[r], "similarity": float(s), "label": int(self.labels[r])}
+                       for r, s in zip(rows[:EVIDENCE].tolist(), sims.tolist(), strict=False)], square
+
+
+def fit(vectors: Vectors, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: list,
         class_rows: tuple[int, int]) -> KnnModel:
     """Index and calibration from the examples' term counts."""
-    vecs = [vectors.of(c) for c in rows]
+    vecs = [vectors.of(*c)[:2] for c in rows]
     sampled = [max(1, int((labels == c).sum())) for c in (0, 1)]
     weight = tuple(class_rows[c] / sampled[c] for c in (0, 1))
     model = KnnModel(vectors, BlockMaxIndex(vecs, len(vectors.idf)), labels, ids, weight)
@@ -226,80 +237,114 @@ def fit(vectors: Vectors, rows: list[dict[int, int]], labels: np.ndarray, ids: l
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic",
-          per_class=PER_CLASS, vocabulary=VOCABULARY) -> KnnModel | None:
+          per_class=PER_CLASS) -> KnnModel | None:
     """None without labelled rows of both kinds."""
     zeros, ones = label_counts(labels, id_col, label_col)
 
     def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms()
         for batch in batches:
-            rows = [counted(t) for t in batch.column(2).to_pylist()]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([list(r) for r in rows], pa.list_(pa.string())),
-                                   pa.array([list(r.values()) for r in rows], pa.list_(pa.int64()))],
-                                  names=["id", "label", "terms", "n"])
+            rows = [terms.counts(t) for t in batch.column(2).to_pylist()]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([r[0] for r in rows], pa.list_(pa.int64())),
+                                   pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["id", "label", "terms", "n"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     sample = with_texts(sample_labels(labels, id_col, label_col, per_class, salt=8), docs, id_col, text_col)
     # One text per id, so that an example counts once.
     sample = sample.groupBy("id", "label").agg(F.min("text").alias("text"))
-    sample = sample.mapInArrow(term_counts, f"id {id_type}, label int, terms array<string>, n array<long>").persist()
-    try:
-        of_class = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-        n0, n1 = of_class.get(0, 0), of_class.get(1, 0)
-        if not n0 or not n1:
-            return None
-        by_term = sample.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
-            F.sum("label").alias("a"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_EXAMPLES)
-        rate, gap = F.col("n") / (n0 + n1), F.col("a") / n1 - (F.col("n") - F.col("a")) / n0
-        chi = gap * gap * n0 * n1 / ((n0 + n1) * (rate * (1 - rate) + 1e-9))
-        told = by_term.withColumn("chi", chi).where(F.col("chi") > SIGNIFICANT)
-        terms = sorted(r["term"] for r in told.orderBy(F.desc("chi"), "term").limit(vocabulary).collect())
-        examples = sample.orderBy(F.xxhash64("id"), "id").toArrow()
-    finally:
-        sample.unpersist()
-    number = {t: i for i, t in enumerate(terms)}
-    rows = [{number[t]: n for t, n in zip(ts, ns, strict=True) if t in number}
-            for ts, ns in zip(examples.column("terms").to_pylist(), examples.column("n").to_pylist(), strict=True)]
-    n_docs, df = document_frequencies(docs, terms, text_col)
+    sample = sample.mapInArrow(term_counts, f"id {id_type}, label int, terms array<long>, n array<long>")
+    examples = sample.orderBy(F.xxhash64("id"), "id", "label").toArrow().combine_chunks()
+    of_row = examples.column("label").to_numpy()
+    if not 0 < of_row.sum() < len(of_row):
+        return None
+    found, n = (examples.column(c).combine_chunks() for c in ("terms", "n"))
+    cuts = np.cumsum(found.value_lengths().to_numpy())[:-1]
+    terms, number = np.unique(found.flatten().to_numpy(), return_inverse=True)
+    rows = list(zip(np.split(number, cuts), np.split(n.flatten().to_numpy(), cuts), strict=True))
+    n_docs, df, others = document_frequencies(docs, terms, text_col)
     idf = np.log((n_docs + 1) / (df + 1))
-    return fit(Vectors(terms, idf), rows, examples.column("label").to_numpy(), examples.column("id").to_pylist(),
-               (zeros, ones))
+    model = fit(Vectors(terms, idf), rows, of_row, examples.column("id").to_pylist(), (zeros, ones))
+    return replace(model, n_docs=n_docs, others=others)
+
 
+def document_frequencies(docs: DataFrame, terms: np.ndarray, text_col="text") -> tuple[int, np.ndarray, DataFrame]:
+    """Number of documents, of those with each of the terms, and a table (term,
+    df) of all other terms, over all documents: partial counts per task, summed
+    by term."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
 
-def document_frequencies(docs: DataFrame, terms: list[str], text_col="text") -> tuple[int, np.ndarray]:
-    """Number of documents, and of those with each term, over all documents:
-    one partial count per task, summed by term."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, total = Vectors(terms, np.zeros(len(terms))), np.zeros(len(terms) + 1, np.int64)
+        reader, vectors = Terms(), Vectors(shared.value, np.empty(0))
+        total, other, held = np.zeros(len(vectors.terms) + 1, np.int64), [np.empty(0, np.int64)], 0
+
+        def rows(term, n, indexed):
+            return pa.record_batch([pa.array(term), pa.array(n), pa.array(np.full(len(n), indexed))], names=["term", "n", "indexed"])
+
         for batch in batches:
             total[-1] += batch.num_rows
             for t in batch.column(0).to_pylist():
-                for i in vectors.counts(t):
-                    total[i] += 1
+                found = reader.counts(t)[0]
+                at, known = vectors.split(found)
+                total[at[known]] += 1
+                other.append(found[~known])
+                held += len(other[-1])
+                if held > _FLUSH:
+                    yield rows(*np.unique(np.concatenate(other), return_counts=True), False)
+                    other, held = [np.empty(0, np.int64)], 0
+        yield rows(*np.unique(np.concatenate(other), return_counts=True), False)
         hit = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(hit), pa.array(total[hit])], names=["i", "n"])
+        yield rows(hit, total[hit], True)
 
-    found = docs.select(text_of(text_col).alias("text")).mapInArrow(count, "i long, n long").groupBy("i").agg(
-        F.sum("n").alias("n")).toArrow()
+    found = docs.select(text_of(text_col).alias("text")).mapInArrow(count, "term long, n long, indexed boolean")
+    found = stored(found.groupBy("indexed", "term").agg(F.sum("n").alias("df")), "toxicity-terms")
+    indexed = found.where("indexed").toArrow()
     df = np.zeros(len(terms) + 1, np.int64)
-    df[found.column("i").to_numpy()] = found.column("n").to_numpy()
-    return int(df[-1]), df[:-1]
+    df[indexed.column("term").to_numpy()] = indexed.column("df").to_numpy()
+    return int(df[-1]), df[:-1], found.where("not indexed").select("term", "df")
 
 
 def score(docs: DataFrame, model: KnnModel | None, id_col="doc_id", text_col="text", threshold=THRESHOLD) -> DataFrame:
     """One row per input row: id, held_out, score, predicted, evidence."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model and replace(model, others=None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model, reader = shared.value, Terms()
         for batch in batches:
-            got = [(0.0, []) if model is None else model.score(t) for t in batch.column(2).to_pylist()]
+            got, others, times = [], [], []
+            for t in batch.column(2).to_pylist():
+                if model is None:
+                    got.append((0.0, [], 0.0))
+                    others.append(())
+                    times.append(())
+                    continue
+                terms, n = reader.counts(t)
+                at, known = model.vectors.split(terms)
+                got.append(model.score(at[known], n[known]))
+                others.append(terms[~known])
+                times.append(n[~known])
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array([g[0] for g in got], pa.float64()),
-                                   pa.array([g[1] for g in got], kind)], names=["id", "held_out", "score", "evidence"])
+                                   pa.array([g[1] for g in got], kind), pa.array([g[2] for g in got], pa.float64()),
+                                   pa.array(others, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
+                                  names=["id", "held_out", "score", "evidence", "square", "others", "times"])
 
     item = f"struct<id:{id_type},similarity:double,label:int>"
-    schema = f"id {id_type}, held_out boolean, score double, evidence array<{item}>"
+    schema = (f"id {id_type}, held_out boolean, score double, evidence array<{item}>, square double, "
+              "others array<long>, times array<long>")
     kind = to_arrow_schema(StructType.fromDDL(schema)).field("evidence").type
     rows = docs.select(F.col(id_col).alias("id"), (fold_of(id_col, HELD_OUT_FOLDS) == 0).alias("held_out"),
                        text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    out = rows.mapInArrow(run, schema)
+    if model is not None:
+        # The terms of no example add to a text's length alone, so they lower its
+        # similarities in proportion and leave order and shares of the votes.
+        out = stored(out.withColumn("row", F.monotonically_increasing_id()), "toxicity-scored")
+        each = out.select("row", F.explode(F.arrays_zip("others", "times")).alias("o")).select(
+            "row", F.col("o.others").alias("term"), F.col("o.times").alias("n"))
+        weight = (1 + F.log("n")) * F.log((model.n_docs + 1) / (F.coalesce("df", F.lit(0)) + 1))
+        more = each.join(model.others, "term", "left").groupBy("row").agg(F.sum(weight * weight).alias("more"))
+        part = F.sqrt(F.col("square") / (F.col("square") + F.coalesce("more", F.lit(0.0))))
+        out = out.join(more, "row", "left").withColumn("part", part).withColumn("evidence", F.transform(
+            "evidence", lambda e: F.struct(e["id"].alias("id"), (e["similarity"] * F.col("part")).alias("similarity"),
+                                           e["label"].alias("label"))))
+    return out.select("id", "held_out", "score", "evidence").withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -1,5 +1,6 @@
 """Source mixing, PU quality, toxicity and the pipeline."""
 
+import math
 import random
 from collections import Counter
 
@@ -163,6 +164,38 @@ def test_toxicity(spark):
     assert toxicity.score(df, None).where("predicted = 1").count() == 0
 
 
+def test_toxicity_counts_every_term(spark):
+    """Toxic words seen in few examples decide, and similarities equal a
+    brute-force cosine over all terms, those of no example too."""
+    clean = prose(400)
+    rows = [(i, t + (f" {i // 4 % 50:02d}slur" if i >= 200 else ""), *_) for i, t, *_ in clean]
+    rows += [(1000 + k, f"{k:02d}slur " + " ".join(f"{a}{k}{b}qx" for a in "hjv" for b in "hjv"), None, None, 0) for k in range(8)]
+    df = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(i, int(i >= 200)) for i in range(400)], "doc_id long, toxic int")
+    model = toxicity.train(df, labels)
+    got = {r["id"]: r for r in toxicity.score(df, model).collect()}
+
+    def terms(text):
+        out = Counter()
+        for w in text.split():
+            out.update(toxicity.terms_of(w))
+        return {**out, **{(t, k): 1 for t, n in out.items() if t.endswith("-") for k in (2, 3) if n >= k}}
+
+    counts = {r[0]: terms(r[1]) for r in rows}
+    seen = Counter(t for c in counts.values() for t in c)
+
+    def vector(c):
+        w = {t: (1 + math.log(n)) * math.log((len(rows) + 1) / (seen[t] + 1)) for t, n in c.items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        return {t: x / norm for t, x in w.items()}
+
+    vectors = {i: vector(c) for i, c in counts.items()}
+    for i in [*range(1000, 1008), *range(0, 400, 40)]:
+        near = sorted((round(sum(x * vectors[e].get(t, 0) for t, x in vectors[i].items()), 9) for e in model.ids), reverse=True)[:3]
+        assert [e["similarity"] for e in got[i]["evidence"]] == pytest.approx(near[: len(got[i]["evidence"])], abs=1e-8)
+    assert all(got[i]["predicted"] == 1 and got[i]["evidence"][0]["label"] == 1 for i in range(1000, 1008))
+
+
 def test_block_max_index_is_exact():
     rng = np.random.default_rng(1)
     rows = []
