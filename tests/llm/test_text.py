@@ -207,6 +207,54 @@ def test_lm_scores(spark):
     assert context_mixing.score(empty(spark)).count() == 0
 
 
+def test_lm_scores_know_word_order(spark):
+    """The same words score higher in an order seen in training."""
+    phrase = "red fox ran over the old stone bridge".split()
+    held = [i for i in range(200) if fold(i, 7) == 2]
+    rows = [(i, " ".join(phrase if i % 2 else random.Random(i).sample(prose(1, seed=i)[0][1].split(), 30)), "en") for i in range(200)]
+    rows[held[0]] = (held[0], " ".join(phrase), "en")
+    rows[held[1]] = (held[1], " ".join(phrase[::-1]), "en")
+    got = {r["id"]: r for r in context_mixing.score(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[held[0]]["held_out"] and got[held[0]]["base_score"] == pytest.approx(got[held[1]]["base_score"])
+    assert got[held[0]]["score"] > got[held[1]]["score"] + 4
+
+
+def test_contexts_across_words_equal_brute_force(spark):
+    rng = random.Random(5)
+    texts = [(r, rng.random() < .8, [rng.randrange(8) for _ in range(rng.randrange(1, 12))]) for r in range(40)]
+    logs = {w: -rng.random() * 3 for w in range(8)}
+    logs[7] = -5000.0
+    pairs = {1: Counter(), 2: Counter()}
+
+    def contexts(tokens, i):
+        padded = [None, None, *tokens]
+        return {1: (padded[i + 1],), 2: (padded[i], padded[i + 1])}
+
+    for _, train, tokens in texts:
+        for i, w in enumerate(tokens):
+            for order, c in contexts(tokens, i).items():
+                pairs[order][c, w] += train
+    want = {}
+    for row, train, tokens in texts:
+        sum_ = 0.0
+        for i, w in enumerate(tokens):
+            own, rest = 0.0, 1.0
+            for order, c in contexts(tokens, i).items():
+                mine = {v: n - (train and v == w) for (x, v), n in pairs[order].items() if x == c}
+                total = sum(mine.values())
+                if total > 0:
+                    one, two = (sum(n == k for n in pairs[order].values()) for k in (1, 2))
+                    d = min(max(one / (one + 2 * two), .05), .95) if one else .5
+                    freed = d * sum(n > 0 for n in mine.values()) / total
+                    own, rest = max(mine[w] - d, 0) / total + freed * own, freed * rest
+            sum_ += math.log10(own + rest * 10 ** logs[w]) - logs[w] if own else math.log10(rest)
+        want[row] = sum_
+    got = context_mixing.across_words(spark.createDataFrame(texts, "row long, train boolean, tokens array<long>"),
+                                      spark.createDataFrame(list(logs.items()), "hash long, s0 float"), 1).collect()
+    assert {r["row"]: r["o0"] for r in got} == pytest.approx({r: x for r, x in want.items() if r in {g["row"] for g in got}}, abs=1e-4)
+    assert all(abs(want[r]) < 1e-9 for r in want.keys() - {g["row"] for g in got})
+
+
 def test_word_probabilities_sum_to_one_over_each_byte():
     """The code tree is complete: the bits' probabilities of all bytes add up to one."""
     coder = context_mixing.Coder(np.arange(256.0))
