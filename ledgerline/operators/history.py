@@ -80,7 +80,7 @@ def with_immovable(balances: DataFrame, netting: str = "observed") -> DataFrame:
         immovable("balance_previous", "total_withdrawals", "total_deposits", netting))
 
 
-def _until(sg: DataFrame, end: str) -> DataFrame:
+def until_day(sg: DataFrame, end: str) -> DataFrame:
     """Events up to the end of ``end``. Stated on the raw event time with a
     literal of the same type, so Parquet gets it as a pushed filter and
     skips row groups of later events."""
@@ -91,7 +91,7 @@ def _until(sg: DataFrame, end: str) -> DataFrame:
 
 def _since(sg: DataFrame, start: str) -> DataFrame:
     """Events from the start of ``start`` on (pushed to the scan like
-    ``_until``): incremental runs read only the new days."""
+    ``until_day``): incremental runs read only the new days."""
     ts_type = next(f.dataType for f in sg.schema.fields if f.name == "event_ts")
     return sg.filter(F.col("event_ts") >= F.lit(f"{start} 00:00:00").cast(ts_type))
 
@@ -108,7 +108,7 @@ def account_state(sg: DataFrame, as_of: str) -> DataFrame:
     instead of re-reading the whole feed (see ``wallet_history(opening=)``)."""
     (as_of, _) = validate_dates(as_of)
     ev = with_money(sg)
-    per_pair = _until(ev, as_of).groupBy(ACCOUNT, USER).agg(
+    per_pair = until_day(ev, as_of).groupBy(ACCOUNT, USER).agg(
         money_sum(MONEY).alias(MONEY), F.max("event_ts").alias("last_movement_ts"))
     return _state(per_pair, as_of)
 
@@ -124,7 +124,7 @@ def advance_state(state: DataFrame, sg_new: DataFrame, through: str) -> DataFram
     if first is not None and first["as_of"] is not None:
         after = (first["as_of"] + _dt.timedelta(days=1)).isoformat()
         ev = _since(ev, after)                      # events the state already holds are skipped
-    new = _until(ev, through).groupBy(ACCOUNT, USER).agg(
+    new = until_day(ev, through).groupBy(ACCOUNT, USER).agg(
         money_sum(MONEY).alias(MONEY), F.max("event_ts").alias("last_movement_ts"))
     money, ts = new.schema[MONEY].dataType, new.schema["last_movement_ts"].dataType
     old = state.select(ACCOUNT, USER, F.lit(None).cast(money).alias(MONEY),
@@ -169,9 +169,15 @@ def calendar_accounts(sg: DataFrame, start: str, end: str | None = None) -> Data
     return pairs.select(ACCOUNT, USER, calendar(start, end).alias(DAY))
 
 
+def pair_dictionary(sg: DataFrame) -> DataFrame:
+    """The distinct (account, user) pairs of a feed, to be stored and passed to
+    ``wallet_history(pairs=)``; combined map-side."""
+    return sg.select(ACCOUNT, USER).distinct()
+
+
 def wallet_history(sg: DataFrame, start: str, end: str | None = None,
                    netting: str = "observed", quiet_days: str = "zero",
-                   opening: DataFrame | None = None) -> DataFrame:
+                   opening: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """Dense daily history: one row per (account, user, day) of the window.
 
     ``quiet_days="zero"`` gives days without movement 0 for every amount and
@@ -185,6 +191,10 @@ def wallet_history(sg: DataFrame, start: str, end: str | None = None,
     run costs one day of events plus one state row per account instead of
     the whole history; the result is the same.
 
+    ``pairs``: a ``pair_dictionary``. It names the pairs first seen after
+    ``end``, so no event after ``end`` is read (a pushed filter); with the
+    dictionary of the whole feed the result is the same.
+
     Plan: the feed is rolled up at (account, user, day) grain with map-side
     partial aggregation, days before ``start`` folded into one opening row
     and days after ``end`` into one closing row (they still name the
@@ -199,12 +209,13 @@ def wallet_history(sg: DataFrame, start: str, end: str | None = None,
     start, end = validate_dates(start, end)
     if quiet_days not in ("zero", "carry"):
         raise ValueError(f"quiet_days must be 'zero' or 'carry', not {quiet_days!r}")
-    return _intervals(_rollup(sg, start, end, opening), start, end, netting, quiet_days)
+    return _intervals(_rollup(sg, start, end, opening, pairs), start, end, netting, quiet_days)
 
 
 def history_with_state(sg: DataFrame, start: str, end: str | None = None,
                        netting: str = "observed", quiet_days: str = "zero",
-                       opening: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                       opening: DataFrame | None = None,
+                       pairs: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The history of the window and the balance state through ``end``,
     both from one rollup of the feed. Returns ``(history, state, rollup)``:
     persist ``rollup`` while writing both outputs and the feed is scanned
@@ -213,18 +224,20 @@ def history_with_state(sg: DataFrame, start: str, end: str | None = None,
     start, end = validate_dates(start, end)
     if quiet_days not in ("zero", "carry"):
         raise ValueError(f"quiet_days must be 'zero' or 'carry', not {quiet_days!r}")
-    rolled = _rollup(sg, start, end, opening)
+    rolled = _rollup(sg, start, end, opening, pairs)
     upto = rolled.filter(F.col(DAY).isNull() | (F.col(DAY) <= date_lit(end)))
     per_pair = upto.groupBy(ACCOUNT, USER, "_pair").agg(
         money_sum("net").alias(MONEY), F.max("last_movement_ts").alias("last_movement_ts"))
     return _intervals(rolled, start, end, netting, quiet_days), _state(per_pair, end), rolled
 
 
-def _rollup(sg: DataFrame, start: str, end: str, opening: DataFrame | None) -> DataFrame:
+def _rollup(sg: DataFrame, start: str, end: str, opening: DataFrame | None,
+            known: DataFrame | None = None) -> DataFrame:
     """(account, user, day) rollup with days before ``start`` folded into
     ``start - 1`` (or the opening state's rows there) and days after
-    ``end`` into ``end + 1``; ``_pair`` marks rows that name a real pair."""
-    ev = with_money(sg)
+    ``end`` into ``end + 1``; ``_pair`` marks rows that name a real pair.
+    ``known`` pairs are rows of ``end + 1``; no event after ``end`` is read then."""
+    ev = with_money(sg if known is None else until_day(sg, end))
     s, e = date_lit(start), date_lit(end)
     d = F.col(DAY)
     after = F.when(d > e, F.date_add(e, 1))
@@ -239,6 +252,11 @@ def _rollup(sg: DataFrame, start: str, end: str, opening: DataFrame | None) -> D
               .withColumn("_pair", F.lit(True)))
     if opening is not None:
         rolled = rolled.unionByName(_opening_pairs(opening, start, rolled.schema["net"].dataType))
+    if known is not None:
+        empty = [F.lit(None).cast(rolled.schema[c].dataType).alias(c) for c in (
+            "net", "total_deposits", "total_withdrawals", "transactions_count", "last_movement_ts")]
+        rolled = rolled.unionByName(known.select(ACCOUNT, USER, F.date_add(e, 1).alias(DAY), *empty,
+                                                 F.lit(True).alias("_pair")))
     return rolled
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import constants as K
-from ledgerline.functions import in_window, validate_dates
+from ledgerline.functions import event_timestamp, in_window, validate_dates
 from ledgerline.operators import cdc as cdc_ops
 from ledgerline.operators import history as hist_ops
 from ledgerline.operators import interest as int_ops
@@ -34,19 +34,41 @@ from ledgerline.sources import files, jdbc
 Sink = Callable[[DataFrame, Observation], bool]
 
 
-def parquet_sink(path: str, dynamic: bool = True, mode: str = "overwrite") -> Sink:
-    """Day-partitioned Parquet; dynamic overwrite replaces only the days
-    written. ``mode="append"`` keeps every run's rows (an audit log whose
-    runs are told apart by ``job_id``)."""
-    def write(df: DataFrame, obs: Observation) -> bool:
-        files.write_by_day(df, path, mode=mode, dynamic=dynamic, observation=obs)
+@dataclass
+class ParquetSink:
+    """Day-partitioned Parquet table as a sink. With ``replaces`` a run writes
+    its window's days to a staging folder first (``stage``) and puts them in
+    place when everything is written (``commit``): a run that fails before
+    leaves the table as it was, and a commit that was interrupted is finished
+    by the next write."""
+    path: str
+    dynamic: bool = True
+    mode: str = "overwrite"
+
+    @property
+    def replaces(self) -> bool:
+        return self.mode == "overwrite" and self.dynamic
+
+    def __call__(self, df: DataFrame, obs: Observation) -> bool:
+        files.write_by_day(df, self.path, mode=self.mode, dynamic=self.dynamic, observation=obs)
         return True
 
-    def clear(spark: SparkSession, start: str, end: str) -> list[str]:
-        return files.clear_days(spark, path, start, end) if mode == "overwrite" and dynamic else []
+    def stage(self, df: DataFrame, obs: Observation) -> str:
+        files.finish_commits(df.sparkSession, self.path)
+        return files.stage_by_day(df, self.path, observation=obs)
+
+    def commit(self, spark: SparkSession, staged: str | None, start: str, end: str) -> list[str]:
+        return files.commit_days(spark, self.path, staged, start, end)
+
+    def drop(self, spark: SparkSession, staged: str) -> None:
+        files.drop_staged(spark, self.path, staged)
 
-    write.clear_days = clear
-    return write
+
+def parquet_sink(path: str, dynamic: bool = True, mode: str = "overwrite") -> ParquetSink:
+    """Day-partitioned Parquet; ``dynamic`` overwrite replaces only the days of
+    the run's window, by a staged commit. ``mode="append"`` keeps every run's
+    rows (an audit log whose runs are told apart by ``job_id``)."""
+    return ParquetSink(path, dynamic, mode)
 
 
 def jdbc_sink(url: str, table: str, properties: dict[str, str], mode: str = "overwrite",
@@ -59,18 +81,27 @@ def jdbc_sink(url: str, table: str, properties: dict[str, str], mode: str = "ove
     return write
 
 
-def _clear(sink: Sink | None, spark: SparkSession, start: str, end: str) -> list[str]:
-    """Days of the window that a day-partitioned sink holds from an earlier
-    run are removed first: a rerun replaces them even where it has no rows."""
-    clear = getattr(sink, "clear_days", None)
-    return clear(spark, start, end) if clear else []
-
-
-def _write_counted(df: DataFrame, sink: Sink, name: str) -> int:
-    obs = Observation(name)
-    if not sink(df, obs):
-        return 0
-    return int(obs.get.get("rows", 0))
+def _write_window(spark: SparkSession, frames: list[tuple[str, DataFrame, Sink]], start: str,
+                  end: str) -> tuple[dict[str, int], list[str]]:
+    """Writes each (name, frame, sink). Sinks that replace days are staged
+    first and committed once all frames are written, so a failure before that
+    leaves every such table as it was. Returns the rows written by name and
+    the earlier days replaced or removed."""
+    rows: dict[str, int] = {}
+    staged: list[tuple[ParquetSink, str]] = []
+    try:
+        for name, df, sink in frames:
+            obs, wrote = Observation(name), True
+            if getattr(sink, "replaces", False):
+                staged.append((sink, sink.stage(df, obs)))
+            else:
+                wrote = sink(df, obs)
+            rows[name] = int(obs.get.get("rows", 0)) if wrote else 0
+    except Exception:
+        for sink, folder in staged:
+            sink.drop(spark, folder)
+        raise
+    return rows, sorted({d for sink, folder in staged for d in sink.commit(spark, folder, start, end)})
 
 
 @dataclass
@@ -78,78 +109,146 @@ class RunResult:
     written: bool
     rows: dict[str, int] = field(default_factory=dict)
     job_id: str | None = None
-    cleared: list[str] = field(default_factory=list)   # days of an earlier run that were removed
+    cleared: list[str] = field(default_factory=list)   # days of an earlier run that were replaced or removed
+    undated: int = 0    # events whose text time does not parse: they have no day
 
 
 def build_history(cdc: DataFrame, start: str, end: str | None, sink: Sink,
                   netting: str = "observed", quiet_days: str = "zero",
-                  state_path: str | None = None) -> RunResult:
+                  state_path: str | None = None, pairs_path: str | None = None,
+                  day_column: str | None = None) -> RunResult:
     """Quality rules, then the dense history of the window into ``sink``.
 
     Raises ValueError with every rule message when the feed is invalid.
     Writes nothing when the feed has no events (the history would be
-    empty: it has one row per account ever seen and day).
+    empty: it has one row per account ever seen and day). Events whose text
+    time does not parse are counted in ``RunResult.undated``.
 
     With ``state_path``, balances are carried between runs: from the latest
     stored state before ``start`` (advanced over any skipped days), only
     events after that state's day are checked and read (older days are
     skipped by a pushed filter), and the state through ``end`` is written
     for the next run. Without any earlier state the whole feed is used and
-    the state is written. Runs are idempotent per day (dynamic overwrite);
-    after re-running an earlier day with corrected events, the later days
-    must be re-run too, since their balances build on it. The number of
-    events a state holds is stored beside it: when the feed has another
-    number up to that day (an event arrived late, or was withdrawn), the run
-    raises instead of leaving it out; run again without the state then.
+    the state is written. Runs are idempotent per day; after re-running an
+    earlier day with corrected events, the later days must be re-run too,
+    since their balances build on it.
+
+    Late events: a ledger of events per day is stored beside the state. The
+    feed may hold only the new days, or older ones too. Its row count, which
+    Parquet footers give without reading a row, less the new events says how
+    many older ones it has: none, or exactly as many as the ledger holds, is
+    right. Otherwise the feed's older days are counted one by one, from the
+    event time alone; a day with another number than the ledger's raises (an
+    event arrived late, or was withdrawn) and nothing is written: run again
+    without the state then.
+
+    ``pairs_path``: stored dictionary of (account, user) pairs. It names the
+    grid rows of accounts not seen up to ``end``, so events after ``end`` are
+    skipped by a pushed filter; the first run builds it from two columns of
+    the feed, every run adds the new pairs of the events it read.
+
+    ``day_column``: partition column of the feed that equals the event's day;
+    older partitions are pruned then. An event in another day's partition
+    counts as a late one.
     """
     start, end = validate_dates(start, end)
     spark = cdc.sparkSession
     require_utc(spark)
-    opening, since = None, start
+    opening, since, ledger = None, start, {}
     if state_path is not None:
         before = (_dt.date.fromisoformat(start) - _dt.timedelta(days=1)).isoformat()
         earlier = [d for d in files.state_days(spark, state_path) if d <= before]
         if earlier:
             opening = files.read_state(spark, state_path, earlier[-1])
             since = (_dt.date.fromisoformat(earlier[-1]) + _dt.timedelta(days=1)).isoformat()
-            held = files.state_events(spark, state_path, earlier[-1])
-            if held is not None and held != cdc.filter(~_from_day(cdc, since)).count():
-                raise ValueError(f"events up to {earlier[-1]} changed after its state was stored: "
-                                 "rebuild the history without the state")
-    feed = cdc if opening is None else cdc.filter(_from_day(cdc, since))
+            ledger = files.read_day_ledger(spark, state_path, earlier[-1])
+    feed = cdc if opening is None else cdc.filter(_from_day(cdc, since, day_column))
     cdc_ops.require_valid(feed)
-    if feed.isEmpty() and opening is None:
+    new: dict[str | None, int] = {}
+    if state_path is not None:
+        new = _events_by_day(feed)
+        if opening is not None and ledger is not None:
+            _require_ledger(cdc, since, day_column, new, ledger, earlier[-1])
+    if opening is None and (not new if state_path is not None else feed.isEmpty()):
         return RunResult(False)
+    undated = 0 if _is_timestamp(cdc) else cdc_ops.unparsed_times(feed).first()["events"]
     sg = cdc_ops.signed(feed)
+    pairs = None
+    if pairs_path is not None:
+        pairs = files.read_pairs(spark, pairs_path)
+        if pairs is None:
+            files.write_pairs(hist_ops.pair_dictionary(cdc_ops.signed(cdc)), pairs_path)
+            pairs = files.read_pairs(spark, pairs_path)
     if opening is not None and since != start:
         # days skipped since the stored state: bring it up to the day before start
         opening = hist_ops.advance_state(opening, sg, before)
     if state_path is None:
-        history = hist_ops.wallet_history(sg, start, end, netting, quiet_days)
-        return RunResult(True, {"wallet_history": _write_counted(history, sink, "history")})
-    # history and next state from one rollup, persisted while both are
-    # written: the feed is scanned once (lost blocks are recomputed)
-    history, state, rollup = hist_ops.history_with_state(sg, start, end, netting, quiet_days,
-                                                         opening=opening)
-    rollup.persist(StorageLevel.DISK_ONLY)
-    try:
-        rows = {"wallet_history": _write_counted(history, sink, "history")}
-        after = (_dt.date.fromisoformat(end) + _dt.timedelta(days=1)).isoformat()
-        files.write_state(state, state_path, cdc.filter(~_from_day(cdc, after)).count())
-    finally:
-        rollup.unpersist()
-    return RunResult(True, rows)
-
-
-def _from_day(cdc: DataFrame, start: str):
-    """Events from ``start`` on (and undated ones, which the rules reject),
-    stated on the raw event time so the scan skips older row groups."""
+        history = hist_ops.wallet_history(sg, start, end, netting, quiet_days, pairs=pairs)
+        rows, cleared = _write_window(spark, [("wallet_history", history, sink)], start, end)
+    else:
+        # history and next state from one rollup, persisted while both are
+        # written: the feed is scanned once for them (lost blocks are recomputed)
+        history, state, rollup = hist_ops.history_with_state(sg, start, end, netting, quiet_days,
+                                                             opening=opening, pairs=pairs)
+        rollup.persist(StorageLevel.DISK_ONLY)
+        try:
+            rows, cleared = _write_window(spark, [("wallet_history", history, sink)], start, end)
+            if ledger is not None:
+                held = ledger | {d: n + ledger.get(d, 0) for d, n in new.items() if d is None or d <= end}
+                files.write_day_ledger(spark, state_path, end, held)
+            files.write_state(state, state_path)
+        finally:
+            rollup.unpersist()
+    if pairs is not None:
+        # only rows of two columns of the events read; an append of what is new
+        seen = hist_ops.pair_dictionary(hist_ops.until_day(sg, end))
+        same = pairs["account_id"].eqNullSafe(seen["account_id"]) & pairs["user_id"].eqNullSafe(seen["user_id"])
+        files.write_pairs(seen.join(pairs, same, "left_anti"), pairs_path)
+    return RunResult(True, rows, cleared=cleared, undated=undated)
+
+
+def _is_timestamp(cdc: DataFrame) -> bool:
+    return isinstance(cdc.schema["event_time"].dataType, (T.TimestampType, T.TimestampNTZType))
+
+
+def _event_ts(cdc: DataFrame):
+    return event_timestamp("event_time", cdc.schema["event_time"].dataType)
+
+
+def _events_by_day(cdc: DataFrame) -> dict[str | None, int]:
+    """Events per day (None: undated) from the event time alone; one row per
+    calendar day comes back."""
+    day = F.to_date(_event_ts(cdc)).cast("string").alias("day")
+    return {r["day"]: r["events"] for r in cdc.groupBy(day).agg(F.count(F.lit(1)).alias("events")).collect()}
+
+
+def _require_ledger(cdc: DataFrame, since: str, day_column: str | None, new: dict, ledger: dict, as_of: str) -> None:
+    """Raises when the feed's events before ``since`` are not those of the ledger."""
+    # no column is asked for, so the count comes from the files' footers
+    older = cdc.count() - sum(n for d, n in new.items() if d is not None)
+    if older in (0, sum(ledger.values())):
+        return
+    changed = {d: n for d, n in _events_by_day(cdc.filter(~_from_day(cdc, since, day_column))).items()
+               if ledger.get(d) != n}
+    if changed:
+        raise ValueError(f"events up to {as_of} changed after its state was stored, on "
+                         f"{', '.join(sorted(map(str, changed)))}: rebuild the history without the state")
+
+
+def _from_day(cdc: DataFrame, start: str, day_column: str | None = None):
+    """Events from ``start`` on (and those without a time, which the rules
+    reject), stated on the raw event time so the scan skips older row groups,
+    and on the partition column, if there is one, so it skips older folders.
+    Text times that do not parse belong to no day and count as older."""
     ts_type = cdc.schema["event_time"].dataType
-    if isinstance(ts_type, (T.TimestampType, T.TimestampNTZType)):
+    if _is_timestamp(cdc):
         newer = F.col("event_time") >= F.lit(f"{start} 00:00:00").cast(ts_type)
     else:
-        newer = F.to_date("event_time") >= F.lit(start).cast("date")
-    return F.col("event_time").isNull() | newer
+        newer = F.coalesce(F.to_date(_event_ts(cdc)) >= F.lit(start).cast("date"), F.lit(False))
+    newer = F.col("event_time").isNull() | newer
+    if day_column is not None:
+        newer &= F.col(day_column).cast("date") >= F.lit(start).cast("date")
+    return newer
 
 
 def fetch_rates(spark: SparkSession, raw_path: str, output_path: str,
@@ -193,20 +292,18 @@ def calculate_interest(history: DataFrame, rates: DataFrame, start: str, end: st
     rates = rate_ops.in_range(rates, start, end)
     # one bounded count answers both "any rates?" and "small enough to broadcast?"
     n_rates = rates.limit(int_ops.MAX_BROADCAST_RATE_ROWS + 1).count()
-    empty = n_rates == 0 or history.isEmpty()
-    cleared = sorted({d for sink in (payments_sink, audit_sink) for d in _clear(sink, spark, *window)})
-    if empty:
+    if n_rates == 0 or history.isEmpty():
+        sinks = [s for s in (payments_sink, audit_sink) if getattr(s, "replaces", False)]
+        cleared = sorted({d for s in sinks for d in s.commit(spark, None, *window)})
         return RunResult(False, job_id=job_id, cleared=cleared)
     decision = int_ops.decide(history, rates, min_balance, decimals,
                               broadcast_rates=n_rates <= int_ops.MAX_BROADCAST_RATE_ROWS)
-    rows: dict[str, int] = {}
     if audit_sink is not None:
         decision = decision.persist(StorageLevel.DISK_ONLY)
+    frames = [("audit", int_ops.audit(decision, job_id, job_timestamp), audit_sink)] if audit_sink is not None else []
     try:
-        if audit_sink is not None:
-            rows["audit"] = _write_counted(int_ops.audit(decision, job_id, job_timestamp),
-                                           audit_sink, "audit")
-        rows["payments"] = _write_counted(int_ops.payments(decision), payments_sink, "payments")
+        rows, cleared = _write_window(spark, [*frames, ("payments", int_ops.payments(decision), payments_sink)],
+                                      *window)
     finally:
         decision.unpersist()
     return RunResult(True, rows, job_id, cleared)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -26,7 +29,7 @@ def read_rates_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
     JSON Lines; the layout is seen from the file itself, so none is read
     short. Text that is neither fails the read. A feed file is a few kB (one
     object per business day), so a file is one row."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     text = F.regexp_replace("value", r"^[\uFEFF\s]+|\s+$", "")
     strict = {"mode": "FAILFAST"}
     row = schemas.RATES_RAW
@@ -97,50 +100,69 @@ def read_rates(spark: SparkSession, path: str, start: str | None = None,
         .select("partition_date", "cdi_rate")
 
 
-def _events_path(path: str) -> str:
-    return f"{path.rstrip('/')}_events"
+def _ledger_path(path: str) -> str:
+    return f"{path.rstrip('/')}_days"
+
+
+def write_day_ledger(spark: SparkSession, path: str, as_of: str, days: dict[str | None, int]) -> None:
+    """Number of events of each day (None: undated) that the state of ``as_of``
+    holds, stored beside it. One row per calendar day."""
+    (spark.createDataFrame(sorted(days.items(), key=str), "day string, events long").coalesce(1)
+     .withColumn("as_of", F.lit(as_of))
+     .write.option("partitionOverwriteMode", "dynamic").partitionBy("as_of").mode("overwrite")
+     .parquet(_ledger_path(path)))
 
 
-def state_events(spark: SparkSession, path: str, as_of: str) -> int | None:
-    """Number of events that the state of a day holds, None when not stored."""
-    if not path_exists(spark, f"{_events_path(path)}/as_of={as_of}"):
+def read_day_ledger(spark: SparkSession, path: str, as_of: str) -> dict[str | None, int] | None:
+    """What ``write_day_ledger`` stored for a day's state, None when nothing was."""
+    if not path_exists(spark, f"{_ledger_path(path)}/as_of={as_of}"):
         return None
-    row = spark.read.parquet(_events_path(path)).filter(F.col("as_of") == F.lit(as_of).cast("date")).first()
-    return None if row is None else row["events"]
+    rows = spark.read.parquet(_ledger_path(path)).filter(F.col("as_of") == F.lit(as_of).cast("date"))
+    return {r["day"]: r["events"] for r in rows.collect()}      # one row per calendar day
 
 
-def write_state(state: DataFrame, path: str, events: int | None = None) -> None:
+def write_state(state: DataFrame, path: str) -> None:
     """Balance state partitioned by its ``as_of`` day (dynamic overwrite:
-    rewriting one day's state leaves the others). ``events``: number of events
-    it holds, stored beside it for ``state_events``."""
-    if events is not None:
-        (state.agg(F.first("as_of").alias("as_of")).where("as_of is not null")
-         .select(F.lit(events).cast("long").alias("events"), F.col("as_of").cast("string").alias("as_of"))
-         .write.option("partitionOverwriteMode", "dynamic").partitionBy("as_of").mode("overwrite")
-         .parquet(_events_path(path)))
+    rewriting one day's state leaves the others)."""
     (state.withColumn("as_of", F.col("as_of").cast("string"))
         .hint("rebalance")
         .write.option("partitionOverwriteMode", "dynamic")
         .partitionBy("as_of").mode("overwrite").parquet(path))
 
 
+def write_pairs(pairs: DataFrame, path: str) -> None:
+    """Adds (account, user) pairs to a stored dictionary."""
+    pairs.select("account_id", "user_id").hint("rebalance").write.mode("append").parquet(path)
+
+
+def read_pairs(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored (account, user) pairs, or None when there is no dictionary."""
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema("account_id string, user_id string").parquet(path).distinct()
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop's file system of a path (local, HDFS, object stores alike) and
+    a maker of its path objects."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's file system API (local, HDFS, object
-    stores alike)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, make = _fs(spark, path)
+    return fs.exists(make(path))
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of a folder's entries; none when it is not there."""
+    fs, make = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(make(path))] if fs.exists(make(path)) else []
 
 
 def state_days(spark: SparkSession, path: str) -> list[str]:
     """Days for which a state was written (folder listing, no data read)."""
-    if not path_exists(spark, path):
-        return []
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith("as_of="))
+    return sorted(n.split("=", 1)[1] for n in _folders(spark, path) if n.startswith("as_of="))
 
 
 def read_state(spark: SparkSession, path: str, as_of: str) -> DataFrame | None:
@@ -152,21 +174,78 @@ def read_state(spark: SparkSession, path: str, as_of: str) -> DataFrame | None:
                      F.col("as_of").cast("date").alias("as_of"))
 
 
-def clear_days(spark: SparkSession, path: str, start: str, end: str) -> list[str]:
-    """Removes the day folders of an inclusive range from a day-partitioned
-    table; returns the days removed (folder listing, no data read)."""
-    if not path_exists(spark, path):
-        return []
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    gone = []
-    for status in fs.listStatus(p):
-        name, _, day = status.getPath().getName().partition("=")
-        if name == "partition_date" and start <= day <= end:
-            fs.delete(status.getPath(), True)
-            gone.append(day)
-    return sorted(gone)
+# --- staged commit of a window's days -----------------------------------------
+# Names with a leading underscore are not read as data by Spark.
+_STAGED, _MARKER = "_staged-", "_commit-"
+
+
+def _days(spark: SparkSession, path: str) -> list[str]:
+    prefix = "partition_date="
+    return sorted(n[len(prefix):] for n in _folders(spark, path) if n.startswith(prefix))
+
+
+def stage_by_day(df: DataFrame, path: str, observation: Observation | None = None) -> str:
+    """Writes the frame, by day, to a new staging folder inside the table
+    ``path`` and returns the folder's name. The table's days are untouched."""
+    name = f"{_STAGED}{uuid.uuid4().hex}"
+    write_by_day(df, f"{path.rstrip('/')}/{name}", dynamic=False, observation=observation)
+    return name
+
+
+def commit_days(spark: SparkSession, path: str, staged: str | None, start: str, end: str) -> list[str]:
+    """Puts the staged days in place of the table's days from ``start`` to
+    ``end`` (and of any other day that was staged); days of the window that
+    were not staged go. Returns the earlier days replaced or removed.
+
+    A marker holding the whole intent is put down first, by one rename. Until
+    then nothing has changed; from then on the swap is repeatable, and
+    ``finish_commits`` ends one that was interrupted. One writer at a time
+    per table; a reader during a swap may miss the day being renamed.
+    """
+    path = path.rstrip("/")
+    new = _days(spark, f"{path}/{staged}") if staged else []
+    old = _days(spark, path)
+    replaced = [d for d in old if start <= d <= end or d in new]
+    fs, make = _fs(spark, path)
+    if staged or replaced:
+        name = f"{_MARKER}{uuid.uuid4().hex}"
+        out = fs.create(make(f"{path}/{name}.tmp"))
+        out.write(json.dumps({"staged": staged, "gone": [d for d in replaced if d not in new]}).encode())
+        out.close()
+        if not fs.rename(make(f"{path}/{name}.tmp"), make(f"{path}/{name}")):
+            raise OSError(f"could not put down the commit marker in {path}")
+        finish_commits(spark, path)
+    return replaced
+
+
+def finish_commits(spark: SparkSession, path: str) -> int:
+    """Carries out every commit whose marker is there; returns how many. Each
+    step can be repeated: a staged day leaves the staging folder only by the
+    rename that puts it in place."""
+    path = path.rstrip("/")
+    fs, make = _fs(spark, path)
+    markers = sorted(n for n in _folders(spark, path) if n.startswith(_MARKER) and not n.endswith(".tmp"))
+    for name in markers:
+        stream = fs.open(make(f"{path}/{name}"))
+        intent = json.loads(bytes(stream.readAllBytes()).decode())
+        stream.close()
+        for day in intent["gone"]:
+            fs.delete(make(f"{path}/partition_date={day}"), True)
+        staged = intent["staged"] and f"{path}/{intent['staged']}"
+        for day in _days(spark, staged) if staged else []:
+            fs.delete(make(f"{path}/partition_date={day}"), True)
+            if not fs.rename(make(f"{staged}/partition_date={day}"), make(f"{path}/partition_date={day}")):
+                raise OSError(f"could not move day {day} into {path}; the next write goes on with it")
+        if staged:
+            fs.delete(make(staged), True)
+        fs.delete(make(f"{path}/{name}"), False)
+    return len(markers)
+
+
+def drop_staged(spark: SparkSession, path: str, staged: str) -> None:
+    """Removes a staging folder that will not be committed."""
+    fs, make = _fs(spark, path)
+    fs.delete(make(f"{path.rstrip('/')}/{staged}"), True)
 
 
 # The widest span of event days that is taken for real. Every pair of the
