@@ -113,12 +113,6 @@ class _Run:
         return int_ops.audit(self.decision(), JOB_ID, JOB_TS)
 
 
-def _rounded(df: DataFrame, *cols: str) -> DataFrame:
-    """Results of floating-point sums, which depend on their order, to six
-    places; the twins round the result alike."""
-    return df.withColumns({c: F.round(c, 6) for c in cols})
-
-
 def q_signed_amounts(spark, d):
     sg = _Run(spark, d).signed()
     return _money(sg.select("account_id", "user_id", "transaction_type", "amount", "event_time",
@@ -256,7 +250,7 @@ def q_audit_defaults(spark, d):
 
 def q_audit_summary(spark, d):
     r = _Run(spark, d)
-    return _rounded(rep.audit_summary(r.audit(), *r.window), "saldo_promedio")
+    return rep.audit_summary(r.audit(), *r.window)
 
 
 def q_audit_reasons(spark, d):
@@ -266,7 +260,7 @@ def q_audit_reasons(spark, d):
 
 def q_payments_by_day(spark, d):
     r = _Run(spark, d)
-    return _rounded(rep.payments_by_day(r.payments(), *r.window), "interes_total", "saldo_promedio")
+    return rep.payments_by_day(r.payments(), *r.window)
 
 
 def q_payments_detail(spark, d):
@@ -295,6 +289,22 @@ def q_balance_interest_trend(spark, d):
     return rep.balance_interest_trend(rep.payments_by_day(r.payments(), *r.window, ordered=False))
 
 
+def q_balance_interest_lowess(spark, d):
+    """The fit alone to six places: its sums run in another order in the twin."""
+    r = _Run(spark, d)
+    out = rep.balance_interest_lowess(rep.payments_by_day(r.payments(), *r.window, ordered=False))
+    return out.withColumn("tendencia", F.round("tendencia", 6))
+
+
+def q_wallet_history_pairs(spark, d):
+    """Days up to mid-span, from the events up to mid-span and a stored
+    dictionary of all pairs."""
+    r = _Run(spark, d)
+    sg, path = r.signed(), fresh_path(spark, "pairs")
+    files.write_pairs(hist_ops.pair_dictionary(sg), path)
+    return hist_ops.wallet_history(sg, r.start, r.mid, pairs=files.read_pairs(spark, path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "signed_amounts": q_signed_amounts,
     "running_balance": q_running_balance,
@@ -326,6 +336,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interest_histogram": q_interest_histogram,
     "eligibility_split": q_eligibility_split,
     "balance_interest_trend": q_balance_interest_trend,
+    "balance_interest_lowess": q_balance_interest_lowess,
+    "wallet_history_pairs": q_wallet_history_pairs,
 }
 
 
@@ -487,12 +499,24 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
 
+def _free_sum(x: str) -> str:
+    """Sum on two binary grids, free of row order (``functions.order_free_sum``)."""
+    coarse = f"round_even(({x}) * 1048576.0, 0)"
+    fine = f"round_even((({x}) * 1048576.0 - {coarse}) * 1099511627776.0, 0)"
+    return (f"(CAST(sum(CAST({coarse} AS DECIMAL(38,0))) AS DOUBLE) * CAST({2.0 ** -20!r} AS DOUBLE)"
+            f" + CAST(sum(CAST({fine} AS DECIMAL(20,0))) AS DOUBLE) * CAST({2.0 ** -60!r} AS DOUBLE))")
+
+
+def _free_avg(x: str) -> str:
+    return f"{_free_sum(x)} / nullif(CAST(count({x}) AS DOUBLE), CAST(0 AS DOUBLE))"
+
+
 def _pipeline(imm: str = "immovable_balance") -> str:
     return _with(_CTE_BASE, _CTE_CAL.format(start="s", end="e"), _CTE_HIST.format(imm=imm),
                  _CTE_RATES, _CTE_DECISION, "audit AS (" + _AUDIT_SELECT + " FROM audit_raw)",
                  f"""by_day AS (
   SELECT partition_date, count(account_id) AS cuentas,
-         sum(interest_amount) AS interes_total, avg(eligible_balance) AS saldo_promedio
+         {_free_sum('interest_amount')} AS interes_total, {_free_avg('eligible_balance')} AS saldo_promedio
   FROM payments WHERE {_IN_WIN} GROUP BY partition_date)""")
 
 
@@ -661,7 +685,7 @@ FROM rates, espan""",
         "audit_summary": pipe + f"""
 SELECT count(*) AS total_registros,
        CAST(sum(CASE WHEN qualified THEN 1 ELSE 0 END) AS BIGINT) AS cuentas_calificadas,
-       round(avg(relevant_balance), 6) AS saldo_promedio,
+       {_free_avg('relevant_balance')} AS saldo_promedio,
        CAST(sum(CASE WHEN process_status = 'error' THEN 1 ELSE 0 END) AS DOUBLE) * CAST(100.0 AS DOUBLE)
          / CAST(nullif(count(*), 0) AS DOUBLE) AS tasa_error
 FROM audit WHERE {_IN_WIN}""",
@@ -669,7 +693,7 @@ FROM audit WHERE {_IN_WIN}""",
 SELECT reason, count(*) AS count FROM audit WHERE {_IN_WIN} AND NOT qualified
 GROUP BY reason ORDER BY count DESC, reason""",
         "payments_by_day": pipe + """
-SELECT partition_date, cuentas, round(interes_total, 6) AS interes_total, round(saldo_promedio, 6) AS saldo_promedio
+SELECT partition_date, cuentas, interes_total, saldo_promedio
 FROM by_day ORDER BY partition_date""",
         "payments_detail": pipe + f"""
 SELECT user_id, account_id, eligible_balance, interest_rate, interest_amount, partition_date
@@ -701,10 +725,55 @@ SELECT 'Calificadas' AS estado, CAST(coalesce(yes, 0) AS BIGINT) AS cantidad,
 UNION ALL
 SELECT 'No Calificadas' AS estado, CAST(total - coalesce(yes, 0) AS BIGINT) AS cantidad,
        CAST(total - coalesce(yes, 0) AS DOUBLE) / CAST(nullif(total, 0) AS DOUBLE) AS share FROM t""",
-        "balance_interest_trend": pipe + """
-SELECT count(*) AS n_days,
-       round(corr(saldo_promedio, interes_total), 6) AS correlation,
-       round(regr_slope(interes_total, saldo_promedio), 6) AS slope,
-       round(regr_intercept(interes_total, saldo_promedio), 6) AS intercept
-FROM by_day""",
+        "balance_interest_trend": _with(pipe[len("WITH "):], f"""
+pts AS (SELECT * FROM by_day WHERE saldo_promedio IS NOT NULL AND interes_total IS NOT NULL),
+means AS (SELECT {_free_avg('saldo_promedio')} AS mx, {_free_avg('interes_total')} AS my FROM pts),
+sums AS (SELECT max(mx) AS mx, max(my) AS my,
+                {_free_sum('(saldo_promedio - mx) * (saldo_promedio - mx)')} AS sxx,
+                {_free_sum('(interes_total - my) * (interes_total - my)')} AS syy,
+                {_free_sum('(saldo_promedio - mx) * (interes_total - my)')} AS sxy
+         FROM pts, means)""") + """
+SELECT (SELECT count(*) FROM by_day) AS n_days,
+       sxy / nullif(sqrt(sxx * syy), 0) AS correlation, sxy / nullif(sxx, 0) AS slope,
+       my - sxy / nullif(sxx, 0) * mx AS intercept
+FROM sums""",
+        "balance_interest_lowess": pipe + _lowess_sql(rounds=3),
+        "wallet_history_pairs": _with(
+            _CTE_BASE, _CTE_CAL.format(start="s", end="mid"),
+            _CTE_HIST.format(imm="immovable_balance")) + "SELECT * FROM hist",
     }
+
+
+def _lowess_sql(rounds: int) -> str:
+    """Local lines through the nearest two thirds of the days, ``rounds`` times
+    reweighted by the residuals."""
+    ctes = ["""
+lw_pt AS (SELECT partition_date, saldo_promedio AS x, interes_total AS y,
+                 row_number() OVER (ORDER BY saldo_promedio, interes_total, partition_date) AS i,
+                 count(*) OVER () AS n
+          FROM by_day WHERE saldo_promedio IS NOT NULL AND interes_total IS NOT NULL),
+lw_k AS (SELECT *, greatest(CAST(floor(n * CAST(2 AS DOUBLE) / 3 + 1e-10) AS INTEGER), least(n, 2)) AS k FROM lw_pt),
+lw_mid AS (SELECT a.i, (a.x + b.x) / 2 AS m FROM lw_k a JOIN lw_k b ON b.i = a.i + a.k),
+lw_first AS (SELECT p.*, 1 + (SELECT count(*) FROM lw_mid WHERE p.x > m) AS first FROM lw_k p),
+lw_near AS (SELECT p.i, p.x, q.i AS j, q.x AS xj, q.y AS yj,
+                   max(abs(q.x - p.x)) OVER (PARTITION BY p.i) AS h
+            FROM lw_first p JOIN lw_k q ON q.i BETWEEN p.first AND p.first + p.k - 1),
+lw_w0 AS (SELECT i, CAST(1 AS DOUBLE) AS w FROM lw_pt)"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""
+lw_t{r} AS (SELECT a.*, w * CASE WHEN h > 0 THEN pow(1 - pow(least(abs(xj - x) / h, 1), 3), 3) ELSE 1 END AS t
+            FROM lw_near a JOIN lw_w{r} b ON b.i = a.j),
+lw_m{r} AS (SELECT i, x, sum(t) AS sw, sum(t * xj) / nullif(sum(t), 0) AS mx, sum(t * yj) / nullif(sum(t), 0) AS my
+            FROM lw_t{r} GROUP BY i, x),
+lw_s{r} AS (SELECT m.i, m.x, m.sw, m.mx, m.my, sum(t * (xj - mx) * (xj - mx)) / nullif(sw, 0) AS sxx,
+                   sum(t * (xj - mx) * (yj - my)) / nullif(sw, 0) AS sxy
+            FROM lw_t{r} t JOIN lw_m{r} m ON m.i = t.i GROUP BY m.i, m.x, m.sw, m.mx, m.my),
+lw_f{r} AS (SELECT p.*, CASE WHEN sw > 0 THEN my + CASE WHEN sxx > 1e-12 THEN (s.x - mx) * sxy / sxx ELSE 0 END
+                             ELSE p.y END AS fit
+            FROM lw_pt p JOIN lw_s{r} s ON s.i = p.i),
+lw_w{r + 1} AS (SELECT i, pow(1 - pow(least(CASE WHEN six > 0 THEN res / six ELSE sign(res) END, 1), 2), 2) AS w
+            FROM (SELECT i, abs(y - fit) AS res, 6 * median(abs(y - fit)) OVER () AS six FROM lw_f{r}))""")
+    return ",".join([""] + ctes) + f"""
+SELECT partition_date, x AS saldo_promedio, y AS interes_total, round(fit, 6) AS tendencia FROM lw_f{rounds}"""
+
+

@@ -2,10 +2,10 @@
 
 from ledgerline.functions.dates import calendar, date_lit, in_window, validate_dates
 from ledgerline.functions.money import (
-    daily_interest, event_timestamp, first_non_empty, immovable, money_sum, signed_amount, summable,
+    daily_interest, event_timestamp, first_non_empty, immovable, money_sum, order_free_avg, order_free_sum, signed_amount, summable,
 )
 
 __all__ = [
     "calendar", "date_lit", "in_window", "validate_dates", "daily_interest", "event_timestamp",
-    "first_non_empty", "immovable", "money_sum", "signed_amount", "summable",
+    "first_non_empty", "immovable", "money_sum", "order_free_avg", "order_free_sum", "signed_amount", "summable",
 ]

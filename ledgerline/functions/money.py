@@ -57,6 +57,29 @@ def money_sum(col: Column | str, over: WindowSpec | None = None) -> Column:
     return F.coalesce(total, F.when(n > 0, F.raise_error(F.lit("a money sum exceeds 38 digits"))))
 
 
+# Grids of ``order_free_sum``: doubles are split into multiples of 2^-20 and of 2^-60.
+COARSE_BITS, FINE_BITS = 20, 40
+
+
+def order_free_sum(value: Column | str) -> Column:
+    """Sum of doubles that is the same bit for bit in whatever order and
+    partitions the rows come: each value is split into whole multiples of
+    2^-20 and, of the rest, of 2^-60 (what is below goes); both are summed
+    exactly as decimals and put together once. NULLs are skipped, the sum of
+    none is NULL; values of 1e31 and more, infinite or NaN, fail the cast."""
+    v = _c(value).cast("double")
+    coarse = F.rint(v * F.lit(2.0 ** COARSE_BITS))
+    fine = F.rint((v * F.lit(2.0 ** COARSE_BITS) - coarse) * F.lit(2.0 ** FINE_BITS))
+    total = lambda x, digits: F.sum(x.cast(T.DecimalType(digits, 0))).cast("double")
+    return (total(coarse, 38) * F.lit(2.0 ** -COARSE_BITS)
+            + total(fine, 20) * F.lit(2.0 ** -(COARSE_BITS + FINE_BITS)))
+
+
+def order_free_avg(value: Column | str) -> Column:
+    """``order_free_sum`` by the number of values; NULL for none."""
+    return F.try_divide(order_free_sum(value), F.count(_c(value)).cast("double"))
+
+
 def immovable(previous: Column | str, withdrawals: Column | str,
               deposits: Column | str, netting: str = "observed") -> Column:
     """Part of yesterday's balance that today's movement did not touch.

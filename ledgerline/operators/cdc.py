@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline import constants as K
 from ledgerline.functions import event_timestamp, money_sum, signed_amount, summable
@@ -106,18 +107,22 @@ def running_balance(sg: DataFrame, tie: str, bucket: str = "minute",
     A window partitioned by account alone would put a hot account (up to a
     third of all events) into one task. The prefix sum is split in two:
 
-    1. per (account, time bucket) sums, aggregated map-side, and their
-       exclusive prefix per account. That window sorts one row per active
-       bucket, so a hot account costs at most one row per minute of its
-       life, however many events it has;
-    2. the events, hashed by (account, bucket), get the bucket's offset by
-       an equi-join and a running sum inside their bucket.
-
-    No task ever holds more than one bucket of one account. ``bucket`` is a
-    ``date_trunc`` unit no coarser than a day; finer units cut hot accounts
-    into smaller pieces. Decimal amounts are summed exactly; the balance is
-    returned as a double. Every event keeps its row: those without a time
-    come first in their account, those without an account are one account.
+    1. the events, dealt once by (account, time bucket), get a running sum
+       inside their bucket; its last value is the bucket's sum;
+    2. the buckets' sums, one row each, get their exclusive prefix per account
+       and come back to their events by an equi-join. That window sorts one
+       row per active bucket, so a hot account costs at most one row per
+       minute of its life, however many events it has.
+
+    One scan and one exchange of the events: both sides of the join read it
+    (the local sort names every column, so that both sides need the same
+    ones; columns that cannot be sorted would make it two). Select the columns
+    you need before. No task ever holds more than one bucket of one account.
+    ``bucket`` is a ``date_trunc`` unit no coarser than a day; finer units cut
+    hot accounts into smaller pieces. Decimal amounts are summed exactly; the
+    balance is returned as a double. Every event keeps its row: those without
+    a time come first in their account, those without an account are one
+    account.
 
     ``opening``: a balance state (``history.account_state``); its balance
     starts every account's prefix, so statement lines of the events after
@@ -135,22 +140,27 @@ def running_balance(sg: DataFrame, tie: str, bucket: str = "minute",
             sg = sg.filter(F.col("event_ts") >= F.lit(f"{after} 00:00:00").cast(
                 sg.schema["event_ts"].dataType))
     m, _ = summable("normalized_amount", sg.schema["normalized_amount"].dataType)
-    ev = sg.withColumns({MONEY: m, "_bucket": F.date_trunc(bucket, "event_ts")})
-    money = ev.schema[MONEY].dataType
-    before = Window.unboundedPreceding
-    buckets = (ev.groupBy(ACCOUNT, "_bucket").agg(money_sum(MONEY).alias("_bsum"))
-               .withColumn("_event", F.lit(True)))
+    # one key for exchange, windows and join; NULL accounts and times are equal in it
+    key = F.struct(F.col(ACCOUNT).alias("account"), F.date_trunc(bucket, "event_ts").alias("bucket"))
+    ev = sg.withColumns({MONEY: m, "_key": key})
+    money, before = ev.schema[MONEY].dataType, Window.unboundedPreceding
+    rest = [f.name for f in ev.schema.fields if f.name not in ("_key", "event_ts", tie) and isinstance(
+        f.dataType, (T.AtomicType, T.NullType))]
+    dealt = ev.repartition("_key").sortWithinPartitions("_key", "event_ts", tie, *rest)
+    in_bucket = Window.partitionBy("_key").orderBy("event_ts", tie)
+    lines = dealt.withColumns({
+        "_sum": money_sum(MONEY, in_bucket.rowsBetween(before, Window.currentRow)),
+        "_more": F.lead(F.lit(True)).over(in_bucket)})
+    buckets = lines.filter("_more IS NULL").select("_key", "_sum", F.lit(True).alias("_event"))
     if opening is not None:     # the opening balance precedes every bucket
+        none = F.lit(None).cast(ev.schema["_key"].dataType["bucket"].dataType)
         buckets = buckets.unionByName(opening_balances(opening, money).select(
-            ACCOUNT, F.lit(None).cast(buckets.schema["_bucket"].dataType).alias("_bucket"),
-            F.col(MONEY).cast(buckets.schema["_bsum"].dataType).alias("_bsum"), F.lit(False).alias("_event")))
-    w_bucket = Window.partitionBy(ACCOUNT).orderBy("_event", "_bucket").rowsBetween(before, -1)
-    offsets = (buckets.select(F.col(ACCOUNT).alias("_account"), F.col("_bucket").alias("_of"), "_event",
-                              money_sum("_bsum", w_bucket).alias("_offset")).filter("_event").drop("_event"))
-    w_row = (Window.partitionBy(ACCOUNT, "_bucket").orderBy("event_ts", tie)
-             .rowsBetween(before, Window.currentRow))
+            F.struct(F.col(ACCOUNT).alias("account"), none.alias("bucket")).alias("_key"),
+            F.col(MONEY).cast(lines.schema["_sum"].dataType).alias("_sum"), F.lit(False).alias("_event")))
+    earlier = Window.partitionBy("_key.account").orderBy("_event", "_key.bucket").rowsBetween(before, -1)
+    offsets = (buckets.withColumn("_offset", money_sum("_sum", earlier)).filter("_event")
+               .select("_key", "_offset"))
     zero = F.lit(0).cast(money)
-    same = ev[ACCOUNT].eqNullSafe(offsets["_account"]) & ev["_bucket"].eqNullSafe(offsets["_of"])
-    out = ev.join(offsets, same, "left").withColumn("running_balance", (
-        F.coalesce("_offset", zero) + F.coalesce(money_sum(MONEY, w_row), zero)).cast("double"))
-    return out.drop("_bucket", "_offset", "_account", "_of", MONEY)
+    out = lines.join(offsets, "_key", "left").withColumn("running_balance", (
+        F.coalesce("_offset", zero) + F.coalesce("_sum", zero)).cast("double"))
+    return out.select(*sg.columns, "running_balance")

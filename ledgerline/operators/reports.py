@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
-from ledgerline.functions import in_window
+from ledgerline.functions import in_window, order_free_avg, order_free_sum
 
 
 def _window(df: DataFrame, start: str, end: str) -> DataFrame:
@@ -23,7 +23,7 @@ def audit_summary(audit: DataFrame, start: str, end: str) -> DataFrame:
     return a.agg(
         total.alias("total_registros"),
         F.sum(F.when(F.col("qualified"), 1).otherwise(0)).cast("bigint").alias("cuentas_calificadas"),
-        F.avg("relevant_balance").cast("double").alias("saldo_promedio"),
+        order_free_avg("relevant_balance").alias("saldo_promedio"),
         F.try_divide(
             F.sum(F.when(F.col("process_status") == K.STATUS_ERROR, 1).otherwise(0)).cast("double")
             * F.lit(100.0),
@@ -40,13 +40,13 @@ def audit_reasons(audit: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def payments_by_day(pay: DataFrame, start: str, end: str, ordered: bool = True) -> DataFrame:
-    """Per day: accounts paid, total interest, average eligible balance; plain
-    sums and averages of the values as they are. ``ordered=False`` leaves out
+    """Per day: accounts paid, total interest, average eligible balance, by
+    sums that do not depend on the order of the rows. ``ordered=False`` leaves out
     the sort by day, for use below a further aggregate."""
     p = _window(pay, start, end).groupBy("partition_date").agg(
         F.count("account_id").alias("cuentas"),
-        F.sum("interest_amount").cast("double").alias("interes_total"),
-        F.avg("eligible_balance").cast("double").alias("saldo_promedio"))
+        order_free_sum("interest_amount").alias("interes_total"),
+        order_free_avg("eligible_balance").alias("saldo_promedio"))
     return p.orderBy("partition_date") if ordered else p
 
 
@@ -115,12 +115,86 @@ def eligibility_split(audit: DataFrame, start: str, end: str) -> DataFrame:
         F.try_divide(F.col("cantidad").cast("double"), F.col("total").cast("double")).alias("share"))
 
 
-def balance_interest_trend(by_day: DataFrame, digits: int = 6) -> DataFrame:
+def balance_interest_trend(by_day: DataFrame) -> DataFrame:
     """Correlation and least-squares line of total interest against average
-    balance over the days of ``payments_by_day`` (one row)."""
+    balance over the days of ``payments_by_day`` (one row); days without
+    either are left out of them. Sums about the means, free of row order;
+    NULL where they are not defined."""
     x, y = F.col("saldo_promedio"), F.col("interes_total")
-    return by_day.agg(
-        F.count(F.lit(1)).alias("n_days"),
-        F.round(F.corr(x, y), digits).alias("correlation"),
-        F.round(F.regr_slope(y, x), digits).alias("slope"),
-        F.round(F.regr_intercept(y, x), digits).alias("intercept"))
+    both = x.isNotNull() & y.isNotNull()
+    means = by_day.agg(F.count(F.lit(1)).alias("n_days"), order_free_avg(F.when(both, x)).alias("mx"),
+                       order_free_avg(F.when(both, y)).alias("my"))
+    dx, dy = F.when(both, x) - F.col("mx"), F.when(both, y) - F.col("my")
+    sums = by_day.select(x, y).crossJoin(F.broadcast(means)).agg(       # the means are one row
+        F.coalesce(F.max("n_days"), F.lit(0)).alias("n_days"), F.max("mx").alias("mx"), F.max("my").alias("my"),
+        order_free_sum(dx * dx).alias("sxx"), order_free_sum(dy * dy).alias("syy"),
+        order_free_sum(dx * dy).alias("sxy"))
+    slope = F.try_divide("sxy", "sxx")
+    return sums.select(
+        "n_days", F.try_divide(F.col("sxy"), F.sqrt(F.col("sxx") * F.col("syy"))).alias("correlation"),
+        slope.alias("slope"), (F.col("my") - slope * F.col("mx")).alias("intercept"))
+
+
+def _total(values):
+    return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+
+
+def balance_interest_lowess(by_day: DataFrame, fraction: float = 2 / 3, rounds: int = 3) -> DataFrame:
+    """The scatter plot's trend line: locally weighted regression (LOWESS) of
+    total interest on average balance over the days of ``payments_by_day``:
+    day, balance, interest and the fitted interest (``tendencia``).
+
+    Each day is fitted by a line through its nearest ``fraction`` of the days
+    in balance, with tricube weights by distance; ``rounds`` times, days far
+    from their fit lose weight (bisquare of the residual by six times the
+    median residual) and all are fitted again. Neighbours are a slice of the
+    days sorted by balance. Equal balances share neighbours; where all
+    neighbours have one balance the fit is their mean, where none has any
+    weight it is the day's own interest. Days without balance or interest are
+    left out.
+
+    The days travel as one sorted array (at most ``files.MAX_SPAN_DAYS`` days).
+    """
+    point = F.struct(F.col("saldo_promedio").cast("double").alias("x"), F.col("interes_total").cast("double").alias("y"),
+                     F.col("partition_date").alias("day"))
+    days = by_day.where("saldo_promedio IS NOT NULL AND interes_total IS NOT NULL")
+    one = days.agg(F.array_sort(F.collect_list(point)).alias("p")).withColumn(
+        "w", F.transform("p", lambda _: F.lit(1.0)))
+    for round_ in range(rounds + 1):
+        fitted = _local_lines(one, fraction)
+        if round_ < rounds:
+            one = fitted.agg(F.array_sort(F.collect_list(F.struct("i", "q", "fit"))).alias("r")).select(
+                F.transform("r", lambda r: r["q"]).alias("p"),
+                F.transform("r", lambda r: F.abs(r["q"]["y"] - r["fit"])).alias("res"))
+            ordered = one.withColumns({"s": F.array_sort("res"), "n": F.size("res")})
+            middle = (F.get("s", F.floor((F.col("n") - 1) / 2).cast("int")) + F.get("s", F.floor(F.col("n") / 2).cast("int"))) / 2
+            one = ordered.withColumn("six", 6 * middle).withColumn("w", F.transform("res", lambda r: F.pow(
+                1 - F.pow(F.least(F.when(F.col("six") > 0, r / F.col("six")).otherwise(F.signum(r)), F.lit(1.0)), 2), 2)))
+    return fitted.select(F.col("q.day").alias("partition_date"), F.col("q.x").alias("saldo_promedio"),
+                         F.col("q.y").alias("interes_total"), F.col("fit").alias("tendencia"))
+
+
+def _local_lines(one: DataFrame, fraction: float) -> DataFrame:
+    """(i, q, fit) for every point q of the sorted array ``p`` with weights ``w``."""
+    rows = one.select("p", "w", F.size("p").alias("n"), F.posexplode("p").alias("i", "q"))
+    x = F.col("q.x")
+    k, left = F.col("k"), F.col("first")
+    rows = rows.withColumn("k", F.greatest(F.floor(F.col("n") * fraction + 1e-10).cast("int"),
+                                           F.least(F.col("n"), F.lit(2))))
+    # the slice moves right while its next point is nearer than its first one
+    passed = F.filter(F.sequence(F.lit(0), F.col("n") - k - 1), lambda i: x > (
+        F.get(F.col("p"), i)["x"] + F.get(F.col("p"), i + k)["x"]) / 2)
+    rows = rows.withColumn("first", F.when(F.col("n") > k, F.size(passed)).otherwise(0))
+    rows = rows.withColumns({"near": F.slice("p", left + 1, k), "nw": F.slice("w", left + 1, k)})
+    rows = rows.withColumn("h", F.greatest(x - F.element_at("near", 1)["x"], F.element_at("near", -1)["x"] - x))
+    rows = rows.withColumn("t", F.zip_with("near", "nw", lambda p, w: w * F.when(F.col("h") > 0, F.pow(
+        1 - F.pow(F.least(F.abs(p["x"] - x) / F.col("h"), F.lit(1.0)), 3), 3)).otherwise(1.0)))
+    mean = lambda f: _total(F.zip_with("near", "t", lambda p, t: t * f(p))) / F.col("sw")
+    rows = rows.withColumn("sw", _total(F.col("t")))
+    rows = rows.withColumns({"mx": F.when(F.col("sw") > 0, mean(lambda p: p["x"])),
+                             "my": F.when(F.col("sw") > 0, mean(lambda p: p["y"]))})
+    rows = rows.withColumns({
+        "sxx": F.when(F.col("sw") > 0, mean(lambda p: (p["x"] - F.col("mx")) * (p["x"] - F.col("mx")))),
+        "sxy": F.when(F.col("sw") > 0, mean(lambda p: (p["x"] - F.col("mx")) * (p["y"] - F.col("my"))))})
+    line = F.col("my") + F.when(F.col("sxx") > 1e-12, (x - F.col("mx")) * F.col("sxy") / F.col("sxx")).otherwise(0.0)
+    return rows.select("i", "q", F.when(F.col("sw") > 0, line).otherwise(F.col("q.y")).alias("fit"))

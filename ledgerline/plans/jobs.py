@@ -343,4 +343,5 @@ def reports(payments: DataFrame, audit: DataFrame, start: str, end: str,
         "payments_distribution": rep.payments_distribution(payments, start, end),
         "interest_histogram": rep.interest_histogram(payments, start, end, bins),
         "balance_interest_trend": rep.balance_interest_trend(rep.payments_by_day(payments, start, end, ordered=False)),
+        "balance_interest_lowess": rep.balance_interest_lowess(rep.payments_by_day(payments, start, end, ordered=False)),
     }

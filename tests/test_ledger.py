@@ -1,0 +1,120 @@
+"""Late events against the day ledger, the stored pair dictionary, and their plans."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.operators import cdc as cdc_ops
+from ledgerline.operators import history as h
+from ledgerline.plans import jobs
+from ledgerline.sources import files
+from tests.helpers import cdc
+
+ROWS = [("w1", "k1", "DEPOSIT", 40, "2024-03-01 08:00"), ("w2", "k2", "DEPOSIT", 10, "2024-03-01 09:00"),
+        ("w1", "k1", "DEPOSIT", 60, "2024-03-02 08:00"), ("w3", "k3", "DEPOSIT", 5, "2024-03-03 08:00")]
+
+
+def _run(spark, tmp_path, rows, day, **more):
+    feed = rows if not isinstance(rows, list) else cdc(spark, rows)
+    return jobs.build_history(feed, day, None, jobs.parquet_sink(str(tmp_path / "h")), state_path=str(tmp_path / "s"), **more)
+
+
+def test_ledger_holds_the_events_of_every_day(spark, tmp_path):
+    _run(spark, tmp_path, ROWS[:2], "2024-03-01")
+    _run(spark, tmp_path, ROWS[2:3], "2024-03-02")       # a feed of the new day alone
+    assert files.read_day_ledger(spark, str(tmp_path / "s"), "2024-03-01") == {"2024-03-01": 2}
+    assert files.read_day_ledger(spark, str(tmp_path / "s"), "2024-03-02") == {"2024-03-01": 2, "2024-03-02": 1}
+    assert _run(spark, tmp_path, ROWS, "2024-03-03").written     # the whole feed
+    assert _run(spark, tmp_path, ROWS[2:], "2024-03-03").written     # its last days: older ones are counted by day
+
+
+@pytest.mark.parametrize("feed", [
+    [*ROWS, ("w1", "k1", "DEPOSIT", 7, "2024-03-01 23:00")],          # whole feed, one late event
+    [ROWS[3], ("w9", "k9", "DEPOSIT", 7, "2024-02-27 23:00")],        # new day, an event of a day without any
+    [ROWS[1], ROWS[3]],                                               # an event was withdrawn
+])
+def test_changed_days_raise_and_write_nothing(spark, tmp_path, feed):
+    _run(spark, tmp_path, ROWS[:3], "2024-03-02")
+    with pytest.raises(ValueError, match="rebuild"):
+        _run(spark, tmp_path, feed, "2024-03-03")
+    assert files.state_days(spark, str(tmp_path / "s")) == ["2024-03-02"]
+    assert not (tmp_path / "h" / "partition_date=2024-03-03").exists()
+
+
+def test_late_events_are_looked_for_in_footers(spark, tmp_path, monkeypatch):
+    """Of the older days only row counts are asked for; with a day column their
+    folders are pruned from every other scan."""
+    path = str(tmp_path / "feed")
+    cdc(spark, ROWS).withColumn("day", F.to_date("event_time")).write.partitionBy("day").parquet(path)
+    feed = files.read_cdc(spark, path)
+    plans = []
+    from pyspark.sql.classic.dataframe import DataFrame as D
+    real = D.count
+    monkeypatch.setattr(D, "count", lambda self: plans.append(self._jdf.groupBy(
+        self.sparkSession._jvm.PythonUtils.toSeq([])).count().queryExecution().executedPlan().toString()) or real(self))
+    _run(spark, tmp_path, feed, "2024-03-01", day_column="day")
+    _run(spark, tmp_path, feed, "2024-03-02", day_column="day")
+    assert any("ReadSchema: struct<>" in p and "PartitionFilters: []" in p for p in plans)
+    new = feed.filter(jobs._from_day(feed, "2024-03-02", "day")).groupBy("account_id").count()
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "day#" in plan.split("PartitionFilters: [")[1].split("]")[0] and "2024-03-02" in plan
+    with pytest.raises(ValueError, match="rebuild"):     # an event in another day's folder is a late one
+        cdc(spark, [("w1", "k1", "DEPOSIT", 1, "2024-03-03 10:00")]).withColumn("day", F.lit(dt.date(2024, 3, 1))) \
+            .write.partitionBy("day").mode("append").parquet(path)
+        _run(spark, tmp_path, files.read_cdc(spark, path), "2024-03-03", day_column="day")
+
+
+def test_a_matching_count_reads_no_older_row(spark, tmp_path, monkeypatch):
+    _run(spark, tmp_path, ROWS[:3], "2024-03-02")
+    asked = []
+    real = jobs._events_by_day
+    monkeypatch.setattr(jobs, "_events_by_day", lambda df: asked.append(df) or real(df))
+    _run(spark, tmp_path, ROWS, "2024-03-03")
+    assert len(asked) == 1      # the new events alone
+
+
+def test_text_times_that_do_not_parse_are_reported(spark, tmp_path):
+    feed = cdc(spark, ROWS).withColumn("event_time", F.when(F.col("account_id") == "w2", "soon").otherwise(
+        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")))
+    assert _run(spark, tmp_path, feed, "2024-03-02").undated == 1
+    assert files.read_day_ledger(spark, str(tmp_path / "s"), "2024-03-02") == {None: 1, "2024-03-01": 1, "2024-03-02": 1}
+
+
+def _rows(df):
+    return sorted(df.collect(), key=lambda r: (r.account_id or "", r.user_id or "", r.partition_date))
+
+
+@pytest.mark.parametrize("quiet", ["zero", "carry"])
+def test_a_dictionary_stands_for_later_events(spark, quiet):
+    sg = cdc_ops.signed(cdc(spark, [*ROWS, (None, "k5", "DEPOSIT", 1, "2024-03-04 08:00"), ("w1", None, "DEPOSIT", 1, "2024-03-04 08:00")]))
+    pairs = h.pair_dictionary(sg)
+    for start, end in (("2024-03-01", "2024-03-02"), ("2024-02-20", "2024-02-21"), ("2024-03-02", "2024-03-09")):
+        assert _rows(h.wallet_history(sg, start, end, quiet_days=quiet, pairs=pairs)) == _rows(
+            h.wallet_history(sg, start, end, quiet_days=quiet))
+
+
+def test_both_ends_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    cdc(spark, ROWS).write.parquet(path)
+    sg = cdc_ops.signed(files.read_cdc(spark, path))
+    state = h.account_state(cdc_ops.signed(cdc(spark, ROWS[:2])), "2024-03-01")
+    pairs = h.pair_dictionary(cdc_ops.signed(cdc(spark, ROWS)))
+    df = h.wallet_history(sg, "2024-03-02", "2024-03-02", opening=state, pairs=pairs)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    try:
+        pushed = df._jdf.queryExecution().executedPlan().toString().split("PushedFilters: [")[1].split("]")[0]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(event_time,2024-03-02" in pushed and "LessThan(event_time,2024-03-03" in pushed
+
+
+def test_runs_keep_the_dictionary(spark, tmp_path):
+    pairs = str(tmp_path / "pairs")
+    _run(spark, tmp_path, ROWS, "2024-03-01", pairs_path=pairs)      # built from the whole feed
+    known = jobs.read_history(spark, str(tmp_path / "h"), "2024-03-01")
+    assert {r.account_id for r in known.collect()} == {"w1", "w2", "w3"}
+    _run(spark, tmp_path, [("w8", "k8", "DEPOSIT", 5, "2024-03-02 08:00")], "2024-03-02", pairs_path=pairs)
+    assert {r.account_id for r in files.read_pairs(spark, pairs).collect()} == {"w1", "w2", "w3", "w8"}
+    assert files.read_pairs(spark, pairs).count() == 4
+    assert {r.account_id for r in jobs.read_history(spark, str(tmp_path / "h"), "2024-03-02").collect()} == {"w1", "w2", "w3", "w8"}

@@ -72,3 +72,11 @@ def test_queries_without_a_window_look_for_no_span(spark, monkeypatch):
     monkeypatch.setattr(E.files, "data_window", lambda sg: 1 / 0)
     for key in ("signed_amounts", "running_balance", "daily_rollup", "previous_balance", "rates_normalized"):
         E.QUERIES[key](spark, SF)
+
+
+def test_running_balance_is_one_scan_and_one_exchange_of_the_events(spark):
+    """Both sides of the join read the same dealt events."""
+    df = E.q_running_balance(spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") == 1 and plan.count("ReusedExchange") == 1
