@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (chat_format, context_mixing, exact_dedup, line_dedup, pu_quality, quality_rules, sentencepiece_codec,
-                            simhash_dedup, source_mixing, toxicity)
+from ledgerline.llm import (chat_format, context_mixing, exact_dedup, license_scan, line_dedup, periodic_runs, pu_quality,
+                            quality_rules, sentencepiece_codec, simhash_dedup, source_mixing, subvector_kmeans, toxicity)
+from ledgerline.llm.common import WORD_CLASS, text_of
 
 
 def _documents(spark, d):
@@ -64,6 +65,90 @@ def op10_simhash_dedup(spark, d):
                       "component_id")
 
 
+def with_planted_runs(docs):
+    """The contract's input: with h = crc32 of the id as text and g = h // 10,
+    every text of h % 10 = 0 is periodic from its word g % n on."""
+    h = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8"))
+    g, words = F.floor(h / 10), F.regexp_extract_all("text", F.lit(f"({WORD_CLASS})"), F.lit(1))
+    n = F.size("_words").cast("long")
+    a = F.col("_g") % n
+    p = F.floor((n - a) / (F.col("_g") % 8 + 3)) + 1
+    place = lambda i: F.when(i < F.col("_a"), i).otherwise(F.col("_a") + (i - F.col("_a")) % F.col("_p"))
+    planted = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(
+        "_words", place(i).cast("int"))), " ")
+    return (docs.select("doc_id", text_of("text").alias("text"), h.alias("_h"), g.alias("_g"))
+            .withColumn("_words", F.when(F.col("_h") % 10 == 0, words).otherwise(F.array().cast("array<string>")))
+            .withColumns({"_a": F.when(n > 0, a), "_p": F.when(n > 0, p)})
+            .select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text")))
+
+
+def op11_periodic_runs(spark, d):
+    out = periodic_runs.periodic_runs(with_planted_runs(_documents(spark, d)))
+    # exact comparison of length / period: cross products of whole numbers
+    higher = lambda a, b: b["length"] * a["period"] - a["length"] * b["period"]
+    top = F.get(F.array_sort("runs", lambda a, b: F.when(higher(a, b) != 0, F.signum(higher(a, b)).cast("int"))
+                             .when(a["start"] != b["start"], F.signum(a["start"] - b["start"]).cast("int"))
+                             .otherwise(F.signum(a["period"] - b["period"]).cast("int"))), F.lit(0))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return out.withColumn("_top", top).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"_top.{c}").alias(c) for c in ("start", "length", "period")],
+        F.floor(F.col("_top.length") * 1000 / F.col("_top.period")).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_subvector_kmeans(spark, d):
+    return subvector_kmeans.cluster(spark.read.parquet(f"{d}/embeddings.parquet")).withColumnRenamed("id", "vec_id")
+
+
+def op13_license_scan(spark, d):
+    """The base columns from the exact places; labels and score with the fuzzy matches."""
+    out = license_scan.scan_licenses(_documents(spark, d))
+    starts, base = F.transform("places", lambda p: p["word"]), F.transform("places", lambda p: p["label"])
+    joined = lambda labels: F.array_join(F.sort_array(F.array_distinct(labels)), ",")
+    return out.select(
+        F.col("id").alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, F.transform("matches", lambda m: m["label"]))).alias("labels"), "score")
+
+
+def _kmeans_sql() -> str:
+    """Lloyd's rounds as one list of CTEs: cN centroids, aN assignments."""
+    k = subvector_kmeans
+    dist = "list_sum(list_transform(list_zip(v.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    ctes = [f"""
+v AS (SELECT row_number() OVER () AS row, vec_id,
+             list_transform(embedding, lambda x: CAST(floor({k.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+      FROM embeddings
+      WHERE len(embedding) = {k.DIMENSIONS}
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY h, e) - 1 AS cluster, e
+       FROM (SELECT e, sha256('{k.SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM v ORDER BY h, e LIMIT {k.CLUSTERS}))"""]
+    for r in range(k.ROUNDS + 1):
+        ctes.append(f"""
+a{r} AS (SELECT row, vec_id, e, best.cluster AS cluster, best.d AS distance FROM (
+           SELECT v.row, any_value(v.vec_id) AS vec_id, any_value(v.e) AS e,
+                  min({{'d': CAST({dist} AS BIGINT), 'cluster': c.cluster}}) AS best
+           FROM v, c{r} c GROUP BY v.row))""")
+        if r < k.ROUNDS:
+            ctes.append(f"""
+m{r} AS (SELECT cluster, list(floor_mean ORDER BY place) AS e FROM (
+           SELECT cluster, place, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS floor_mean FROM (
+             SELECT cluster, place, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (
+               SELECT cluster, unnest(e) AS x, unnest(range({k.DIMENSIONS})) AS place FROM a{r}) GROUP BY cluster, place))
+         GROUP BY cluster),
+c{r + 1} AS (SELECT c.cluster, coalesce(m.e, c.e) AS e FROM c{r} c LEFT JOIN m{r} m ON m.cluster = c.cluster)""")
+    last = k.ROUNDS
+    return f"""
+WITH {','.join(ctes)}
+SELECT a.vec_id, CAST(a.cluster AS INTEGER) AS cluster, a.distance,
+       CAST(sum(a.distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.distance) OVER () AS BIGINT) AS inertia, sha256(list_aggregate(c.e, 'string_agg', ',')) AS centroid_sha256
+FROM a{last} a JOIN c{last} c ON c.cluster = a.cluster"""
+
+
 def _sainte_lague_sql(name: str, rows: str) -> str:
     """Quotas of ``rows`` (grp, item, weight, seats, cap), as CTEs ending in ``name``."""
     return f"""
@@ -141,7 +226,7 @@ def pipeline(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_sentencepiece, op4_lm_scoring, op5_source_mixing, op6_pu_quality, op7_line_dedup, op8_toxicity, op9_quality_rules,
-                                   op10_simhash_dedup, pipeline)}
+                                   op10_simhash_dedup, op11_periodic_runs, op12_subvector_kmeans, op13_license_scan, pipeline)}
 
 
 ORACLE_SQL = {
@@ -156,4 +241,5 @@ w AS (
   FROM t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM w""",
     "op5_source_mixing": _op5_sql(),
+    "op12_subvector_kmeans": _kmeans_sql(),
 }
