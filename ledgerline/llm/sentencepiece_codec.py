@@ -37,7 +37,8 @@ from ledgerline.llm.common import text_of
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CACHE_PARTS = 250_000  # distinct parts remembered by a task: memory, not a limit
-CALL_PARTS = 4_096     # parts of one call of the library
+CALL_PARTS = 32_768    # parts of one call of the library
+THREADS = 2            # of a call: an executor's other cores run other tasks
 _PARTS = regex.compile(" *[^ ]+| +")
 # Fixed values of the public model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -134,6 +135,14 @@ def tokenizer(model: Model, whole: bool):
     return out
 
 
+def _keys(text: str) -> list[str]:
+    """The space-led parts of a text that is not empty. A word led by its one
+    space goes by the word alone; all other parts begin with a space."""
+    if "  " not in text and text[0] != " " and text[-1] != " ":
+        return text.split(" ")
+    return [p[1:] if len(p) > 1 and p[1] != " " else p for p in _PARTS.findall(" " + text)]
+
+
 class Codec:
     """Encoder, decoder and parity check of one worker."""
 
@@ -164,23 +173,30 @@ class Codec:
         if self.parts is None:
             full = iter(self._check(self.texts, [t for t in texts if t], [t for t in texts if t]))
             return [next(full) if t else (b"", True, True) for t in texts]
-        split = [_PARTS.findall(" " + t) if t else [] for t in texts]
+        split = [_keys(t) if t else [] for t in texts]
+        here = set().union(*split)
         if len(self.known) > CACHE_PARTS:
-            self.known.clear()
-        known, new = self.known, sorted(set(chain.from_iterable(split)).difference(self.known))
+            self.forget(here)
+        known, new = self.known, sorted(here.difference(self.known))
         for at in range(0, len(new), CALL_PARTS):
             some = new[at: at + CALL_PARTS]
-            for part, (ids, same, back) in zip(some, self._check(self.parts, some, [p[1:] for p in some]), strict=True):
-                known[part] = ids
-                if not part.strip(" "):  # spaces at a text's end: the library is asked behind a letter
+            units = [k if k[0] == " " else " " + k for k in some]
+            for key, unit, (ids, same, back) in zip(some, units, self._check(self.parts, units, [u[1:] for u in units]), strict=True):
+                known[key] = ids
+                if not unit.strip(" "):  # spaces at a text's end: the library is asked behind a letter
                     alone = len(self.reference.encode("a"))
-                    same = ids == np.array(self.reference.encode("a" + part)[alone:], np.int32).tobytes()
+                    same = ids == np.array(self.reference.encode("a" + unit)[alone:], np.int32).tobytes()
                 if not same:
-                    self.unlike.add(part)
+                    self.unlike.add(key)
                 if not back:
-                    self.lossy.add(part)
-        return [(b"".join(map(known.__getitem__, parts)), not self.unlike or self.unlike.isdisjoint(parts),
-                 not self.lossy or self.lossy.isdisjoint(parts)) for parts in split]
+                    self.lossy.add(key)
+        get = known.__getitem__
+        return [(b"".join(map(get, keys)), not self.unlike or self.unlike.isdisjoint(keys),
+                 not self.lossy or self.lossy.isdisjoint(keys)) for keys in split]
+
+    def forget(self, but: set[str] = frozenset()) -> None:
+        """Drops remembered parts but for the given ones."""
+        self.known = {k: self.known[k] for k in but if k in self.known}
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.texts.decode_batch(ids, skip_special_tokens=False)
@@ -190,6 +206,7 @@ class Codec:
 def _codec(data: bytes) -> Codec:
     """One per worker; building it takes most of a second."""
     os.environ["TOKENIZERS_PARALLELISM"] = "true"
+    os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
     return Codec(data)
 
 
@@ -216,7 +233,7 @@ def encode(df: DataFrame, id_col="doc_id", text_col="text", model_path=MODEL_PAT
                                        pa.array([g[1] for g in got]), pa.array([g[2] for g in got])],
                                       names=["id", "n_tokens", "ids", "parity", "round_trip"])
                 at = to
-        codec.known.clear()  # a worker lives on for other stages' tasks
+        codec.forget()  # a worker lives on for other stages' tasks
 
     return df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(
         run, f"id {id_type}, n_tokens long, ids array<int>, parity boolean, round_trip boolean")
