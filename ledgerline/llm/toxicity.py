@@ -2,19 +2,25 @@
 
 Examples are a bounded sample of labelled rows of the training folds. The
 terms are words without outer punctuation, their leading stems, and stems that
-come twice or three times, each known by a 64-bit hash; every term of the
-examples is indexed. Document frequencies are counted over all documents, and a
-text's norm covers all its terms: those of no example are counted in Spark by
-term and joined back to the texts. The inverted index keeps, per term, the
-examples in blocks with the largest weight of each block. A query adds up block
-bounds first and opens blocks from the highest bound down until no unopened
-block can beat the k-th best similarity: the result is the exact top k.
+come twice or three times, each known by a 64-bit hash. Every term of the
+examples is indexed; document frequencies are those of the indexed collection,
+and a term of no example has the largest idf there is, so a text's norm covers
+all its terms in the same pass. (Such terms scale all similarities of a text
+alike: order, votes and score do not depend on them, ``evidence`` does.)
+
+The inverted index keeps the examples in blocks of alike ones. Terms of few
+examples have their postings, which are added up first, for all examples.
+Terms of many examples are kept by block with each block's largest weight: the
+postings so far and these maxima bound what a block can reach. The blocks with
+the highest bounds are opened first, then all that the k-th best similarity
+found does not rule out, for many texts in one product of matrices: the result
+is the exact top k.
 
 The neighbours vote with the square of their similarity, examples of either
 label weighted back to that label's number of rows; a curve fitted to the
 examples' own votes (each left out of its own neighbours) calibrates the
 share. ``evidence`` lists the nearest examples. The index is bounded by the
-examples' texts and is broadcast; everything else is one pass per statistic.
+examples' texts and is broadcast; scoring is one pass over the texts.
 
 Defined results: a text without any term of the examples (empty and null ones
 too) gets the calibrated rate of toxic rows among examples without neighbours;
@@ -26,7 +32,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ledgerline.llm.common import fold_of, stored, text_of
+from ledgerline.llm.common import batches_of, fold_of, text_of
 from ledgerline.llm.features import sigmoid
 from ledgerline.llm.labelled import HELD_OUT_FOLDS, label_counts, sample_labels, with_texts
 
@@ -45,12 +51,15 @@ STEMS = (4, 5, 6, 7, 8)
 REPEATS = (2, 3)      # a stem that comes so often in a text is a further term
 NEIGHBOURS = 15
 BLOCK = 64            # examples of a block of the index
-OPENED = 4            # blocks opened together at first, then twice as many each time
+OPENED = 4            # blocks of each text opened before the bounds decide
+DENSE_SHARE = 1 / 14  # a term of more examples than this is bounded by block
+SEEDS = 24            # examples that the others are grouped around for the order of blocks
+TEXTS = 128           # texts scored together
 THRESHOLD = 0.5
 EVIDENCE = 3
 _OUTER = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-_CACHE = 150_000      # remembered words of a task: memory, not a limit
-_FLUSH = 1_000_000    # terms counted by a task before it hands them on
+_CACHE = 400_000      # remembered words of a task: memory, not a limit
+_NONE = np.iinfo(np.int64).min
 
 
 def terms_of(word: str) -> list[str]:
@@ -59,6 +68,12 @@ def terms_of(word: str) -> list[str]:
     return [bare] + [bare[:n] + "-" for n in STEMS if len(bare) >= n] if bare else []
 
 
+def _hashes(word: str) -> list[int]:
+    """64-bit hashes of ``terms_of(word)``: even for the word, odd for stems."""
+    digest, data = xxhash.xxh64_intdigest, [t.encode("utf-8", "surrogatepass") for t in terms_of(word)]
+    return [digest(data[0]) >> 1 << 1, *[digest(d) | 1 for d in data[1:]]] if data else []
+
+
 class Terms:
     """Texts to the hashes of their terms and how often each comes. Hashes of
     stems are odd, those of words and repeats even."""
@@ -70,8 +85,7 @@ class Terms:
         at = self.row[word] = len(self.row)
         if at == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        hashes = [xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in terms_of(word)]
-        full = np.array([h | 1 if i else h >> 1 << 1 for i, h in enumerate(hashes)], np.uint64).view(np.int64)
+        full = np.array(_hashes(word), np.uint64).view(np.int64)
         self.table[at] = 0
         self.table[at, : len(full)] = full
         return at
@@ -99,33 +113,81 @@ def _repeat(stems: np.ndarray, times: int) -> np.ndarray:
 
 
 class Vectors:
-    """Terms to their numbers and weights, (1 + log tf) * idf."""
-
-    def __init__(self, terms: np.ndarray, idf: np.ndarray):
-        self.terms, self.idf = terms, idf  # sorted hashes
-
-    def split(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The number of each term, and whether it is indexed at all."""
-        at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-        return at, self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-
-    def of(self, numbers: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """Term numbers in order, weights of unit length, and the length squared."""
+    """Indexed terms with their numbers and weights, (1 + log tf) * idf."""
+
+    def __init__(self, terms: np.ndarray, idf: np.ndarray, unseen_idf: float):
+        self.terms, self.idf, self.unseen_idf = terms, idf, unseen_idf  # sorted hashes
+        self.stem = terms & 1 == 1
+        self.repeats = {k: np.where(self.stem, self.numbers(_repeat(terms, k)), -1) for k in REPEATS}
+
+    def numbers(self, terms: np.ndarray) -> np.ndarray:
+        """The number of each term, -1 for a term of no example."""
+        if not len(self.terms):
+            return np.full(len(terms), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        return np.where(self.terms[at] == terms, at, -1)
+
+    def of(self, numbers: np.ndarray, n: np.ndarray, unseen: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers in order and weights of a vector of unit length, of
+        which ``unseen`` (squared, in units of the unseen idf) is not indexed."""
         order = np.argsort(numbers)
         ids = numbers[order]
         w = (1 + np.log(n[order])) * self.idf[ids]
         square = float((w * w).sum())
-        return (ids, w / np.sqrt(square), square) if square > 0 else (ids[:0], w[:0], 0.0)
-
-
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """All of [start, start + size), one after another."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+        whole = square + unseen * self.unseen_idf ** 2
+        return (ids, w / np.sqrt(whole)) if square > 0 else (ids[:0], w[:0])
+
+
+class Reader:
+    """Texts to the numbers of their indexed terms, how often each comes, and
+    the squared weight of the terms of no example (without their idf)."""
+
+    def __init__(self, vectors: Vectors):
+        self.vectors, self.row = vectors, {}
+        self.table = np.full((1024, 1 + len(STEMS)), _NONE, np.int64)
+
+    def _add(self, words: list[str]) -> None:
+        """Remembers words: per term its number, or a negative code that keeps
+        whether it is a stem."""
+        first = len(self.row)
+        while first + len(words) > len(self.table):
+            self.table = np.concatenate([self.table, np.full_like(self.table, _NONE)])
+        flat = [_hashes(w) for w in words]
+        hashes = np.array([h for f in flat for h in f], np.uint64)
+        signed = hashes.view(np.int64)
+        numbers = self.vectors.numbers(signed)
+        codes = np.where(numbers >= 0, numbers, -1 - ((hashes >> np.uint64(2) << np.uint64(1)) | hashes & np.uint64(1)).view(np.int64))
+        sizes = np.array([len(f) for f in flat], np.int64)
+        at = np.repeat(np.arange(len(words)), sizes)
+        self.table[first: first + len(words)] = _NONE
+        self.table[first + at, np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = codes
+        self.row.update(zip(words, range(first, first + len(words))))
+
+    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, float]:
+        words = Counter((text or "").split())
+        if len(self.row) > _CACHE:
+            self.row.clear()
+        new = [w for w in words if w not in self.row]
+        if new:
+            self._add(new)
+        found = self.table[[self.row[w] for w in words]].ravel() if words else np.empty(0, np.int64)
+        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), self.table.shape[1])
+        some = found != _NONE
+        codes, at = np.unique(found[some], return_inverse=True)
+        n = np.bincount(at, times[some], minlength=len(codes)).astype(np.int64)
+        known = codes >= 0
+        numbers, tf, other, other_tf = codes[known], n[known], -1 - codes[~known], n[~known]
+        unseen = float(((1 + np.log(other_tf)) ** 2).sum())
+        more, stem = [], self.vectors.stem[numbers]
+        for k in REPEATS:
+            repeat = self.vectors.repeats[k][numbers[stem & (tf >= k)]]
+            more.append(repeat[repeat >= 0])
+            unseen += int((repeat < 0).sum()) + int(((other & 1 == 1) & (other_tf >= k)).sum())
+        return (np.concatenate([numbers, *more]), np.concatenate([tf, *[np.ones(len(m), np.int64) for m in more]]), unseen)
 
 
 class BlockMaxIndex:
-    """Postings by term and block with block maxima; exact top-k by cosine."""
+    """Postings of rare terms, blocks with maxima of the others; exact top-k by cosine."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.n = len(rows)
@@ -133,48 +195,78 @@ class BlockMaxIndex:
         term = np.concatenate([r[0] for r in rows] or [np.empty(0, np.int64)])
         weight = np.concatenate([r[1] for r in rows] or [np.empty(0)])
         row = np.repeat(np.arange(self.n), [len(r[0]) for r in rows])
-        order = np.lexsort((row, term))
-        self.row, self.weight = row[order].astype(np.int32), weight[order]
-        # A cell: the postings of one term in one block; only those with any are kept.
-        cells, start = np.unique(term[order] * self.blocks + row[order] // BLOCK, return_index=True)
-        self.start = np.append(start, len(order)).astype(np.int32)
-        self.top = np.maximum.reduceat(self.weight, start) if len(start) else np.empty(0)
-        self.block = (cells % self.blocks).astype(np.int32)
-        self.of_term = np.searchsorted(cells, np.arange(n_terms + 1) * self.blocks).astype(np.int32)
-
-    def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and similarities of the k nearest (similarity above 0), best first."""
-        sizes = self.of_term[ids + 1] - self.of_term[ids]
-        cells, weights = _ranges(self.of_term[ids], sizes), np.repeat(weights, sizes)
-        block = self.block[cells]
-        bound = np.bincount(block, weights * self.top[cells], minlength=self.blocks)
-        found, sims = np.empty(0, np.int64), np.empty(0)
-        order = np.argsort(-bound, kind="stable")
-        at, opened = 0, OPENED
-        while at < len(order):
-            some = order[at: at + opened]
-            # A little slack: bounds and similarities are sums of rounded products.
-            if bound[some[0]] <= 0 or len(sims) >= k and bound[some[0]] < sims[k - 1] - 1e-9:
-                break
-            chosen = np.zeros(self.blocks, bool)
-            chosen[some] = True
-            chosen = chosen[block]
-            rows, near = self._opened(cells[chosen], weights[chosen])
-            if skip >= 0:
-                rows, near = rows[rows != skip], near[rows != skip]
-            found, sims = np.append(found, rows), np.append(sims, near)
-            best = np.lexsort((found, -np.round(sims, 9)))[:k]
-            found, sims = found[best], sims[best]
-            at, opened = at + opened, 2 * opened
-        return found, sims
-
-    def _opened(self, cells: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of some cells with their similarities, from the postings."""
-        sizes = self.start[cells + 1] - self.start[cells]
-        at = _ranges(self.start[cells], sizes)
-        near = np.bincount(self.row[at], np.repeat(weights, sizes) * self.weight[at], minlength=self.n)
-        hit = np.flatnonzero(near)
-        return hit, near[hit]
+        df = np.bincount(term, minlength=n_terms)
+        dense = df > max(DENSE_SHARE * self.n, 1)
+        self.column = np.where(dense, np.cumsum(dense) - 1, -1).astype(np.int32)
+        matrix = np.zeros((self.blocks * BLOCK, int(dense.sum())))
+        often = dense[term]
+        matrix[row[often], self.column[term[often]]] = weight[often]
+        # Alike examples side by side: by the nearest seed, then by nearness.
+        seeds = matrix[np.linspace(0, max(self.n - 1, 0), min(SEEDS, self.n)).astype(int)] if self.n else matrix[:0]
+        near = matrix[: self.n] @ seeds.T
+        self.place = np.lexsort((-near.max(1), near.argmax(1))) if near.size else np.arange(self.n)  # example at each place
+        at = np.empty(self.n, np.int64)
+        at[self.place] = np.arange(self.n)
+        self.matrix = np.zeros_like(matrix)
+        self.matrix[: self.n] = matrix[self.place]
+        self.top = self.matrix.reshape(self.blocks, BLOCK, -1).max(1)
+        rare = ~often
+        order = np.argsort(term[rare], kind="stable")
+        self.posting, self.weight = at[row[rare][order]], weight[rare][order]
+        self.of_term = np.searchsorted(term[rare][order], np.arange(n_terms + 1)).astype(np.int64)
+
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None
+                ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query (term numbers, weights) the rows and similarities of its k
+        nearest (similarity above 0), best first; ``skip``: a row to leave out of each."""
+        many, width = len(queries), self.blocks * BLOCK
+        dense = np.zeros((many, self.matrix.shape[1]))
+        near = np.zeros((many, width))      # by the rare terms
+        for i, (ids, weights) in enumerate(queries):
+            column = self.column[ids]
+            dense[i, column[column >= 0]] = weights[column >= 0]
+            few, w = ids[column < 0], weights[column < 0]
+            start = self.of_term[few]
+            sizes = self.of_term[few + 1] - start
+            ends = np.cumsum(sizes)
+            if len(ends) and ends[-1]:
+                at = np.arange(ends[-1]) + np.repeat(start - ends + sizes, sizes)
+                near[i] = np.bincount(self.posting[at], np.repeat(w, sizes) * self.weight[at], minlength=width)
+        # A little slack: bounds and similarities are sums of rounded products.
+        bound = dense @ self.top.T + near.reshape(many, self.blocks, BLOCK).max(2) + 1e-9
+        first = np.zeros((many, self.blocks), bool)
+        np.put_along_axis(first, np.argsort(-bound, axis=1, kind="stable")[:, :OPENED], True, 1)
+        opened = np.full((many, width), -1.0)
+        self._open(first, dense, near, opened)
+        if skip is not None:
+            gone = np.empty(self.n, np.int64)
+            gone[self.place] = np.arange(self.n)
+            gone = gone[skip]
+            opened[np.arange(many), gone] = -1
+        least = self._kth(opened, k)
+        self._open((bound >= least[:, None]) & ~first, dense, near, opened)
+        if skip is not None:
+            opened[np.arange(many), gone] = -1
+        out = []
+        for sims, least in zip(opened, self._kth(opened, k) - 1e-9, strict=True):
+            places = np.flatnonzero((sims >= least) & (sims > 1e-12))
+            places = places[places < self.n]
+            rows, sims = self.place[places], sims[places]
+            best = np.lexsort((rows, -np.round(sims, 9)))[:k]
+            out.append((rows[best], sims[best]))
+        return out
+
+    @staticmethod
+    def _kth(opened: np.ndarray, k: int) -> np.ndarray:
+        """The k-th best similarity of each query so far, 0 for fewer."""
+        if opened.shape[1] < k:
+            return np.zeros(len(opened))
+        return np.maximum(np.partition(opened, -k, axis=1)[:, -k], 0)
+
+    def _open(self, wanted: np.ndarray, dense: np.ndarray, near: np.ndarray, out: np.ndarray) -> None:
+        for b in np.flatnonzero(wanted.any(0)).tolist():
+            who, part = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+            out[who, part] = near[who, part] + dense[who] @ self.matrix[part].T
 
 
 @dataclass
@@ -187,8 +279,6 @@ class KnnModel:
     slope: float = 1.0
     shift: float = 0.0
     none_score: float = 0.0
-    n_docs: int = 0
-    others: DataFrame | None = None  # document frequencies of the terms of no example
 
     def share(self, rows: np.ndarray, sims: np.ndarray) -> float:
         votes = sims ** 2 * np.where(self.labels[rows] == 1, self.class_weight[1], self.class_weight[0])
@@ -197,26 +287,28 @@ class KnnModel:
     def calibrated(self, share: float) -> float:
         return float(sigmoid(np.array(self.slope * (2 * share - 1) + self.shift)))
 
-    def score(self, numbers: np.ndarray, n: np.ndarray) -> tuple[float, list[dict], float]:
-        """Score, evidence and squared length of a text, all from its indexed terms."""
-        ids, weights, square = self.vectors.of(numbers, n)
-        rows, sims = self.index.nearest(ids, weights, NEIGHBOURS)
-        value = self.calibrated(self.share(rows, sims)) if len(rows) else self.none_score
-        return value, [{"id": self.ids[r], "similarity": float(s), "label": int(self.labels[r])}
-                       for r, s in zip(rows[:EVIDENCE].tolist(), sims.tolist(), strict=False)], square
+    def score(self, texts: list[tuple[np.ndarray, np.ndarray, float]]) -> list[tuple[float, list[dict]]]:
+        """Score and evidence of texts given as a reader reads them."""
+        out = []
+        for rows, sims in self.index.nearest([self.vectors.of(*t) for t in texts], NEIGHBOURS):
+            value = self.calibrated(self.share(rows, sims)) if len(rows) else self.none_score
+            out.append((value, [{"id": self.ids[r], "similarity": float(s), "label": int(self.labels[r])}
+                                for r, s in zip(rows[:EVIDENCE].tolist(), sims.tolist(), strict=False)]))
+        return out
 
 
 def fit(vectors: Vectors, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: list,
         class_rows: tuple[int, int]) -> KnnModel:
     """Index and calibration from the examples' term counts."""
-    vecs = [vectors.of(*c)[:2] for c in rows]
+    vecs = [vectors.of(*c) for c in rows]
     sampled = [max(1, int((labels == c).sum())) for c in (0, 1)]
     weight = tuple(class_rows[c] / sampled[c] for c in (0, 1))
     model = KnnModel(vectors, BlockMaxIndex(vecs, len(vectors.idf)), labels, ids, weight)
     x, y, w = [], [], []
     none = np.zeros(2)
-    for i, (at, v) in enumerate(vecs):
-        near, sims = model.index.nearest(at, v, NEIGHBOURS, skip=i) if len(at) else (at, v)
+    found = [n for at in range(0, len(vecs), TEXTS) for n in model.index.nearest(
+        vecs[at: at + TEXTS], NEIGHBOURS, skip=list(range(at, min(at + TEXTS, len(vecs)))))]
+    for i, (near, sims) in enumerate(found):
         if len(near):
             x.append(2 * model.share(near, sims) - 1)
             y.append(labels[i])
@@ -261,90 +353,31 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     cuts = np.cumsum(found.value_lengths().to_numpy())[:-1]
     terms, number = np.unique(found.flatten().to_numpy(), return_inverse=True)
     rows = list(zip(np.split(number, cuts), np.split(n.flatten().to_numpy(), cuts), strict=True))
-    n_docs, df, others = document_frequencies(docs, terms, text_col)
-    idf = np.log((n_docs + 1) / (df + 1))
-    model = fit(Vectors(terms, idf), rows, of_row, examples.column("id").to_pylist(), (zeros, ones))
-    return replace(model, n_docs=n_docs, others=others)
-
-
-def document_frequencies(docs: DataFrame, terms: np.ndarray, text_col="text") -> tuple[int, np.ndarray, DataFrame]:
-    """Number of documents, of those with each of the terms, and a table (term,
-    df) of all other terms, over all documents: partial counts per task, summed
-    by term."""
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, vectors = Terms(), Vectors(shared.value, np.empty(0))
-        total, other, held = np.zeros(len(vectors.terms) + 1, np.int64), [np.empty(0, np.int64)], 0
-
-        def rows(term, n, indexed):
-            return pa.record_batch([pa.array(term), pa.array(n), pa.array(np.full(len(n), indexed))], names=["term", "n", "indexed"])
-
-        for batch in batches:
-            total[-1] += batch.num_rows
-            for t in batch.column(0).to_pylist():
-                found = reader.counts(t)[0]
-                at, known = vectors.split(found)
-                total[at[known]] += 1
-                other.append(found[~known])
-                held += len(other[-1])
-                if held > _FLUSH:
-                    yield rows(*np.unique(np.concatenate(other), return_counts=True), False)
-                    other, held = [np.empty(0, np.int64)], 0
-        yield rows(*np.unique(np.concatenate(other), return_counts=True), False)
-        hit = np.flatnonzero(total)
-        yield rows(hit, total[hit], True)
-
-    found = docs.select(text_of(text_col).alias("text")).mapInArrow(count, "term long, n long, indexed boolean")
-    found = stored(found.groupBy("indexed", "term").agg(F.sum("n").alias("df")), "toxicity-terms")
-    indexed = found.where("indexed").toArrow()
-    df = np.zeros(len(terms) + 1, np.int64)
-    df[indexed.column("term").to_numpy()] = indexed.column("df").to_numpy()
-    return int(df[-1]), df[:-1], found.where("not indexed").select("term", "df")
+    idf = np.log((len(of_row) + 1) / (np.bincount(number, minlength=len(terms)) + 1))
+    vectors = Vectors(terms, idf, float(np.log(len(of_row) + 1)))
+    return fit(vectors, rows, of_row, examples.column("id").to_pylist(), (zeros, ones))
 
 
 def score(docs: DataFrame, model: KnnModel | None, id_col="doc_id", text_col="text", threshold=THRESHOLD) -> DataFrame:
     """One row per input row: id, held_out, score, predicted, evidence."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model and replace(model, others=None))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, reader = shared.value, Terms()
-        for batch in batches:
-            got, others, times = [], [], []
-            for t in batch.column(2).to_pylist():
+        model = shared.value
+        reader = Reader(model.vectors) if model else None
+        for whole in batches:
+            for batch in batches_of(whole, TEXTS):
                 if model is None:
-                    got.append((0.0, [], 0.0))
-                    others.append(())
-                    times.append(())
-                    continue
-                terms, n = reader.counts(t)
-                at, known = model.vectors.split(terms)
-                got.append(model.score(at[known], n[known]))
-                others.append(terms[~known])
-                times.append(n[~known])
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([g[0] for g in got], pa.float64()),
-                                   pa.array([g[1] for g in got], kind), pa.array([g[2] for g in got], pa.float64()),
-                                   pa.array(others, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
-                                  names=["id", "held_out", "score", "evidence", "square", "others", "times"])
-
-    item = f"struct<id:{id_type},similarity:double,label:int>"
-    schema = (f"id {id_type}, held_out boolean, score double, evidence array<{item}>, square double, "
-              "others array<long>, times array<long>")
+                    got = [(0.0, [])] * batch.num_rows
+                else:
+                    got = model.score([reader.read(t) for t in batch.column(2).to_pylist()])
+                yield pa.record_batch([batch.column(0), batch.column(1), pa.array([g[0] for g in got], pa.float64()),
+                                       pa.array([g[1] for g in got], kind)], names=["id", "held_out", "score", "evidence"])
+
+    schema = (f"id {id_type}, held_out boolean, score double, "
+              f"evidence array<struct<id:{id_type},similarity:double,label:int>>")
     kind = to_arrow_schema(StructType.fromDDL(schema)).field("evidence").type
     rows = docs.select(F.col(id_col).alias("id"), (fold_of(id_col, HELD_OUT_FOLDS) == 0).alias("held_out"),
                        text_of(text_col).alias("text"))
-    out = rows.mapInArrow(run, schema)
-    if model is not None:
-        # The terms of no example add to a text's length alone, so they lower its
-        # similarities in proportion and leave order and shares of the votes.
-        out = stored(out.withColumn("row", F.monotonically_increasing_id()), "toxicity-scored")
-        each = out.select("row", F.explode(F.arrays_zip("others", "times")).alias("o")).select(
-            "row", F.col("o.others").alias("term"), F.col("o.times").alias("n"))
-        weight = (1 + F.log("n")) * F.log((model.n_docs + 1) / (F.coalesce("df", F.lit(0)) + 1))
-        more = each.join(model.others, "term", "left").groupBy("row").agg(F.sum(weight * weight).alias("more"))
-        part = F.sqrt(F.col("square") / (F.col("square") + F.coalesce("more", F.lit(0.0))))
-        out = out.join(more, "row", "left").withColumn("part", part).withColumn("evidence", F.transform(
-            "evidence", lambda e: F.struct(e["id"].alias("id"), (e["similarity"] * F.col("part")).alias("similarity"),
-                                           e["label"].alias("label"))))
-    return out.select("id", "held_out", "score", "evidence").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -182,10 +182,10 @@ def test_toxicity_counts_every_term(spark):
         return {**out, **{(t, k): 1 for t, n in out.items() if t.endswith("-") for k in (2, 3) if n >= k}}
 
     counts = {r[0]: terms(r[1]) for r in rows}
-    seen = Counter(t for c in counts.values() for t in c)
+    seen = Counter(t for i in model.ids for t in counts[i])     # of the indexed collection
 
     def vector(c):
-        w = {t: (1 + math.log(n)) * math.log((len(rows) + 1) / (seen[t] + 1)) for t, n in c.items()}
+        w = {t: (1 + math.log(n)) * math.log((len(model.ids) + 1) / (seen[t] + 1)) for t, n in c.items()}
         norm = math.sqrt(sum(x * x for x in w.values()))
         return {t: x / norm for t, x in w.items()}
 
@@ -207,9 +207,10 @@ def test_block_max_index_is_exact():
     dense = np.zeros((500, 60))
     for i, (ids, w) in enumerate(rows):
         dense[i, ids] = w
-    for q in range(100):
-        ids, w = rows[q]
-        found, sims = index.nearest(ids, w, 15, skip=q)
+    together = index.nearest(rows[:100], 15, skip=list(range(100)))
+    for q, (found, sims) in enumerate(together):
+        alone, _ = index.nearest([rows[q]], 15, skip=[q])[0]
+        assert alone.tolist() == found.tolist()
         want = dense @ dense[q]
         want[q] = 0
         order = [i for i in np.lexsort((np.arange(500), -np.round(want, 9))) if want[i] > 0][:15]
