@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +57,32 @@ def batches_of(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of one text column, one
+    row at least: what a task makes of a batch is bounded by that, not by rows."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def tidy(run: Callable) -> Callable:
+    """The task function, giving freed memory back to the system at the task's
+    end: the worker lives on for tasks of other stages."""
+    def whole(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:      # another C library
+            pass
+    return whole
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A star forest with the same connected components as the links a-b:
     pairs (node, root) for every node that is not its component's root, which

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerline.llm.common import SPACE_CLASS, batches_of, partitions, stored, text_of
+from ledgerline.llm.common import SPACE_CLASS, batches_of, partitions, stored, text_of, tidy
 
 PREFIX_BYTES = 32
 
@@ -146,7 +146,7 @@ def _heads(text_col: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pid, before, first_hash = TaskContext.get().partitionId(), None, None
-        for batch in (part for whole in batches for part in batches_of(whole, 1_000)):
+        for batch in (part for whole in batches for part in batches_of(whole, 500)):
             hashes = np.asarray(batch.column("hash"))
             if first_hash is None:
                 first_hash = hashes[0]
@@ -169,7 +169,7 @@ def distinct_rows(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """The rows that stay, whole, with the columns of ``df``."""
     rows = _sorted(df, id_col, text_col, carry=True).select("row", "hash", F.sha2("norm", 256).alias("sha"))
     schema = StructType([rows.schema["row"], *StructType.fromDDL("sha string, edge boolean, pid int").fields])
-    heads = stored(rows.mapInArrow(_heads(text_col), schema), "content-heads")
+    heads = stored(rows.mapInArrow(tidy(_heads(text_col)), schema), "content-heads")
     marks = heads.select("sha", "edge", "pid")
     edges = marks.where("edge").select("sha", F.col("pid").alias("edge_pid"))
     # A run goes on here when an earlier partition has a head of the same text.

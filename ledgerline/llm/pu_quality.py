@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import fold_of, text_of
+from ledgerline.llm.common import by_bytes, fold_of, text_of, tidy
 from ledgerline.llm.features import STATS, Adam, char_grams, root_shares, sigmoid, stats
 from ledgerline.llm.labelled import (HELD_OUT_FOLDS, bounded, label_counts, sample_labels, training_fold,
                                      with_texts)
@@ -107,7 +107,9 @@ def _vectors(df: DataFrame) -> np.ndarray:
 
     table = df.select("text").mapInArrow(run, "x array<float>").toArrow()
     flat = table.column("x").combine_chunks().values.to_numpy()
-    return flat.reshape(table.num_rows, len(STATS) + (1 << GRAM_BITS))
+    x = flat.reshape(table.num_rows, len(STATS) + (1 << GRAM_BITS))
+    # in one order, however the table was split: minibatches are drawn by place
+    return x[np.lexsort(x.T[: len(STATS) + 8])]
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality",
@@ -126,22 +128,22 @@ def score(docs: DataFrame, model: PUModel, id_col="doc_id", text_col="text", thr
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, 2):
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(model.score(batch.column(2).to_pylist()))],
                                   names=["id", "held_out", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), (fold_of(id_col, HELD_OUT_FOLDS) == 0).alias("held_out"),
                        text_of(text_col).alias("text"))
-    out = rows.mapInArrow(run, f"id {id_type}, held_out boolean, score double")
+    out = rows.mapInArrow(tidy(run), f"id {id_type}, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def good_rows(docs: DataFrame, model: PUModel, text_col="text", threshold=THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose text scores at least ``threshold``, whole."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, text_at):
             texts = batch.column(text_at).to_pylist()
             yield batch.filter(pa.array(model.score(texts) >= threshold, pa.bool_()))
 
     text_at = docs.columns.index(text_col)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import forest, lowered_words, partitions, stored, text_of
+from ledgerline.llm.common import by_bytes, forest, lowered_words, partitions, stored, text_of, tidy
 from ledgerline.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -68,13 +68,13 @@ def fingerprints(df: DataFrame, id_col="doc_id", text_col="text", shingle=SHINGL
     text = text_of(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, 2):
             fp = np.array([simhash(t.as_py(), shingle) for t in batch.column(2)], np.uint64)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fp.view(np.int64))],
                                   names=["id", "text_hash", "fp"])
 
     return df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
-        run, f"id {id_type}, text_hash long, fp long")
+        tidy(run), f"id {id_type}, text_hash long, fp long")
 
 
 def anchors_of(values: np.ndarray, r: int) -> np.ndarray:
@@ -203,9 +203,9 @@ def fingerprint_links(distinct: DataFrame, max_bits=MAX_BITS) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints (column fp) at most
     ``max_bits`` apart: a spanning forest per task."""
     n = partitions(distinct.sparkSession)
-    at = distinct.select("fp").mapInArrow(_to_anchors(max_bits), "block byte, anchor long, fp long")
+    at = distinct.select("fp").mapInArrow(tidy(_to_anchors(max_bits)), "block byte, anchor long, fp long")
     at = at.repartition(n, "block", "anchor").sortWithinPartitions("block", "anchor")
-    return at.mapInArrow(_compare(max_bits), "a long, b long")
+    return at.mapInArrow(tidy(_compare(max_bits)), "a long, b long")
 
 
 def near_duplicates(df: DataFrame, id_col="doc_id", text_col="text", shingle=SHINGLE_WORDS,

@@ -98,11 +98,13 @@ def test_mixing_runs_no_python_on_executors(spark):
 @pytest.mark.parametrize("key", sorted(queries.ORACLE_SQL))
 def test_sql_twins(spark, key):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     got = queries.QUERIES[key](spark, SF).toPandas()
     want = con.execute(queries.ORACLE_SQL[key]).df()[list(got.columns)]
-    assert got.sort_values("doc_id").reset_index(drop=True).equals(
-        want.sort_values("doc_id").reset_index(drop=True).astype(got.dtypes.to_dict()))
+    key_col = next(c for c in ("doc_id", "vec_id") if c in got.columns)
+    assert got.sort_values(key_col).reset_index(drop=True).equals(
+        want.sort_values(key_col).reset_index(drop=True).astype(got.dtypes.to_dict()))
 
 
 def labelled(spark, spoil, column):

@@ -195,15 +195,6 @@ def test_components_beyond_exact_distances_fail(spark):
         subvector_kmeans.cluster(df).collect()
 
 
-def test_op12_sql_is_the_same(spark):
-    import duckdb
-    d = "/root/testdata/sf0.001"
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{d}/embeddings.parquet')")
-    want = con.execute(queries.ORACLE_SQL["op12_subvector_kmeans"]).fetchall()
-    assert sorted(map(tuple, queries.op12_subvector_kmeans(spark, d).collect())) == sorted(want)
-
-
 # --- licence scan -----------------------------------------------------------------
 
 
