@@ -32,12 +32,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import text_of
+from ledgerline.llm.common import by_bytes, text_of, tidy
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CACHE_PARTS = 250_000  # distinct parts remembered by a task: memory, not a limit
-CALL_PARTS = 32_768    # parts of one call of the library
+CALL_PARTS = 32_768    # parts of one call of the library,
+GROUP = 64             # and words put into one text of it
 THREADS = 2            # of a call: an executor's other cores run other tasks
 _PARTS = regex.compile(" *[^ ]+| +")
 # Fixed values of the public model format: piece types and model types.
@@ -152,6 +153,7 @@ class Codec:
         self.model = Model(data)
         self.parts = tokenizer(self.model, whole=False) if self.model.by_parts else None
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+        self.leads = np.array([t.startswith(MARK) for t, *_ in self.model.pieces])
         self.known: dict[str, bytes] = {}   # part to its ids, as int32 bytes
         self.unlike: set[str] = set()       # parts whose ids differ from the library's
         self.lossy: set[str] = set()        # parts that decoding does not give back
@@ -168,6 +170,37 @@ class Codec:
         back = tok.decode_batch(ids, skip_special_tokens=False)
         return [(array("i", i).tobytes(), i == s, b == t) for i, s, b, t in zip(ids, same, back, plain, strict=True)]
 
+    def _check_words(self, words: list[str]) -> list[tuple[str, tuple[bytes, bool, bool]]]:
+        """The checks of words led by one space, many words a text: the pieces
+        that begin with the marker say where the next word begins. A text that
+        is not in order in every way is checked word by word."""
+        groups = [words[i: i + GROUP] for i in range(0, len(words), GROUP)]
+        texts = [" ".join(g) for g in groups]
+        ids = [e.ids for e in self.parts.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        same = self.reference.encode(texts)
+        back = self.parts.decode_batch(ids, skip_special_tokens=False)
+        out, rest = [], []
+        for group, text, mine, theirs, decoded in zip(groups, texts, ids, same, back, strict=True):
+            found = np.array(mine, np.int32)
+            starts = np.flatnonzero(self.leads[found])
+            if len(starts) == len(group) and mine == theirs and decoded == text:
+                data, cuts = found.tobytes(), [*(starts * 4).tolist(), 4 * len(found)]
+                out += [(w, (data[a:b], True, True)) for w, a, b in zip(group, cuts, cuts[1:], strict=False)]
+            else:
+                rest += group
+        return out + self._check_parts(rest)
+
+    def _check_parts(self, keys: list[str]) -> list[tuple[str, tuple[bytes, bool, bool]]]:
+        """The checks of single parts."""
+        units = [k if k[0] == " " else " " + k for k in keys]
+        out = []
+        for key, unit, (ids, same, back) in zip(keys, units, self._check(self.parts, units, [u[1:] for u in units]), strict=True):
+            if not unit.strip(" "):  # spaces at a text's end: the library is asked behind a letter
+                alone = len(self.reference.encode("a"))
+                same = ids == np.array(self.reference.encode("a" + unit)[alone:], np.int32).tobytes()
+            out.append((key, (ids, same, back)))
+        return out
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
         """Per text its ids as int32 bytes, parity and round trip."""
         if self.parts is None:
@@ -180,12 +213,9 @@ class Codec:
         known, new = self.known, sorted(here.difference(self.known))
         for at in range(0, len(new), CALL_PARTS):
             some = new[at: at + CALL_PARTS]
-            units = [k if k[0] == " " else " " + k for k in some]
-            for key, unit, (ids, same, back) in zip(some, units, self._check(self.parts, units, [u[1:] for u in units]), strict=True):
+            for key, (ids, same, back) in self._check_words([k for k in some if k[0] != " "]) + self._check_parts(
+                    [k for k in some if k[0] == " "]):
                 known[key] = ids
-                if not unit.strip(" "):  # spaces at a text's end: the library is asked behind a letter
-                    alone = len(self.reference.encode("a"))
-                    same = ids == np.array(self.reference.encode("a" + unit)[alone:], np.int32).tobytes()
                 if not same:
                     self.unlike.add(key)
                 if not back:
@@ -210,7 +240,7 @@ def _codec(data: bytes) -> Codec:
     return Codec(data)
 
 
-def encode(df: DataFrame, id_col="doc_id", text_col="text", model_path=MODEL_PATH, batch_chars=1_000_000) -> DataFrame:
+def encode(df: DataFrame, id_col="doc_id", text_col="text", model_path=MODEL_PATH, batch_bytes=1 << 20) -> DataFrame:
     """One row per input row: id, n_tokens, ids, parity (the SentencePiece
     library gives the same ids) and round_trip (decoding gives the text)."""
     with open(model_path, "rb") as f:
@@ -219,24 +249,18 @@ def encode(df: DataFrame, id_col="doc_id", text_col="text", model_path=MODEL_PAT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(data.value)
-        for batch in batches:
-            at, texts = 0, batch.column(1).to_pylist()
-            lengths = np.cumsum([len(t) for t in texts])
-            while at < batch.num_rows:  # as many texts as make batch_chars, one at least
-                so_far = lengths[at - 1] if at else 0
-                to = max(at + 1, int(np.searchsorted(lengths, so_far + batch_chars, "right")))
-                got = codec.encode(texts[at:to])
-                sizes = [len(g[0]) // 4 for g in got]
-                flat = np.frombuffer(b"".join([g[0] for g in got]), np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
-                yield pa.record_batch([batch.column(0).slice(at, to - at), pa.array(sizes, pa.int64()), ids,
-                                       pa.array([g[1] for g in got]), pa.array([g[2] for g in got])],
-                                      names=["id", "n_tokens", "ids", "parity", "round_trip"])
-                at = to
+        for batch in by_bytes(batches, 1, batch_bytes):
+            got = codec.encode(batch.column(1).to_pylist())
+            sizes = [len(g[0]) // 4 for g in got]
+            flat = np.frombuffer(b"".join([g[0] for g in got]), np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
+            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), ids,
+                                   pa.array([g[1] for g in got]), pa.array([g[2] for g in got])],
+                                  names=["id", "n_tokens", "ids", "parity", "round_trip"])
         codec.forget()  # a worker lives on for other stages' tasks
 
     return df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(
-        run, f"id {id_type}, n_tokens long, ids array<int>, parity boolean, round_trip boolean")
+        tidy(run), f"id {id_type}, n_tokens long, ids array<int>, parity boolean, round_trip boolean")
 
 
 def decode(df: DataFrame, id_col="id", ids_col="ids", model_path=MODEL_PATH) -> DataFrame:
