@@ -269,6 +269,10 @@ class BlockMaxIndex:
             out[who, part] = near[who, part] + dense[who] @ self.matrix[part].T
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
 @dataclass
 class KnnModel:
     vectors: Vectors
@@ -276,10 +280,27 @@ class KnnModel:
     labels: np.ndarray
     ids: list
     class_weight: tuple[float, float]
+    rows: list[tuple[np.ndarray, np.ndarray]]   # term numbers and counts of the examples
     slope: float = 1.0
     shift: float = 0.0
     none_score: float = 0.0
 
+    def __getstate__(self) -> dict:
+        """What the index is made of; a worker builds it once, so that a
+        broadcast has eight bytes for each term of an example, not the index."""
+        small = {k: v for k, v in self.__dict__.items() if k not in ("vectors", "index", "rows")}
+        return small | {"terms": self.vectors.terms, "sizes": np.array([len(r[0]) for r in self.rows]),
+                        "numbers": np.concatenate([r[0] for r in self.rows]).astype(np.int32),
+                        "counts": _narrow(np.concatenate([r[1] for r in self.rows]))}
+
+    def __setstate__(self, state: dict) -> None:
+        terms, sizes, numbers, counts = (state.pop(k) for k in ("terms", "sizes", "numbers", "counts"))
+        cuts = np.cumsum(sizes)[:-1]
+        self.__dict__.update(state)
+        self.rows = list(zip(np.split(numbers.astype(np.int64), cuts), np.split(counts.astype(np.int64), cuts), strict=True))
+        self.vectors = vectors_of(terms, numbers, len(sizes))
+        self.index = BlockMaxIndex([self.vectors.of(*r) for r in self.rows], len(terms))
+
     def share(self, rows: np.ndarray, sims: np.ndarray) -> float:
         votes = sims ** 2 * np.where(self.labels[rows] == 1, self.class_weight[1], self.class_weight[0])
         return float(votes[self.labels[rows] == 1].sum() / votes.sum())
@@ -297,13 +318,20 @@ class KnnModel:
         return out
 
 
+def vectors_of(terms: np.ndarray, numbers: np.ndarray, n: int) -> Vectors:
+    """Vectors of a collection of n examples, given its terms and the numbers
+    of every example's terms, one after another."""
+    idf = np.log((n + 1) / (np.bincount(numbers, minlength=len(terms)) + 1))
+    return Vectors(terms, idf, float(np.log(n + 1)))
+
+
 def fit(vectors: Vectors, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: list,
         class_rows: tuple[int, int]) -> KnnModel:
     """Index and calibration from the examples' term counts."""
     vecs = [vectors.of(*c) for c in rows]
     sampled = [max(1, int((labels == c).sum())) for c in (0, 1)]
     weight = tuple(class_rows[c] / sampled[c] for c in (0, 1))
-    model = KnnModel(vectors, BlockMaxIndex(vecs, len(vectors.idf)), labels, ids, weight)
+    model = KnnModel(vectors, BlockMaxIndex(vecs, len(vectors.idf)), labels, ids, weight, rows)
     x, y, w = [], [], []
     none = np.zeros(2)
     found = [n for at in range(0, len(vecs), TEXTS) for n in model.index.nearest(
@@ -353,9 +381,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     cuts = np.cumsum(found.value_lengths().to_numpy())[:-1]
     terms, number = np.unique(found.flatten().to_numpy(), return_inverse=True)
     rows = list(zip(np.split(number, cuts), np.split(n.flatten().to_numpy(), cuts), strict=True))
-    idf = np.log((len(of_row) + 1) / (np.bincount(number, minlength=len(terms)) + 1))
-    vectors = Vectors(terms, idf, float(np.log(len(of_row) + 1)))
-    return fit(vectors, rows, of_row, examples.column("id").to_pylist(), (zeros, ones))
+    return fit(vectors_of(terms, number, len(of_row)), rows, of_row, examples.column("id").to_pylist(), (zeros, ones))
 
 
 def score(docs: DataFrame, model: KnnModel | None, id_col="doc_id", text_col="text", threshold=THRESHOLD) -> DataFrame:
