@@ -70,15 +70,35 @@ def test_rendered_turns_are_legal(spark):
     assert chat_format.repair_conversations(df.where("false")).count() == 0
 
 
-def test_a_conversation_longer_than_a_partition(spark):
+def test_a_conversation_longer_than_a_row(spark):
+    """Parts are cut by characters, however the rows are partitioned; a
+    conversation that fits is one row, also over a partition's border."""
     df = spark.range(4000).selectExpr("7L AS conv_id", "id AS turn", "if(id % 3 = 0, 'user', 'assistant') AS role",
-                                      "cast(id AS string) AS text").repartition(6)
-    got = sorted(chat_format.repair_conversations(df).collect(), key=lambda r: r["part"])
+                                      "cast(id AS string) AS text")
     roles = ["user" if i % 3 == 0 else "assistant" for i in range(4000)]
     whole = chat_format.result(roles, [str(i) for i in range(4000)])
-    assert len(got) > 2 and sum(r["cost"] for r in got) == pytest.approx(whole[-2])
-    text = "".join(r["rendered"] for r in got)
-    assert [int(x) for x in re.findall(r"\d+", text)] == list(range(4000))
+    for row_chars in (500, chat_format.ROW_CHARS):
+        got = sorted(chat_format.repair_conversations(df.repartition(6), row_chars=row_chars).collect(), key=lambda r: r["part"])
+        assert [r["part"] for r in got] == list(range(len(got))) and len(got) == (38 if row_chars == 500 else 1)
+        assert sum(r["cost"] for r in got) == pytest.approx(whole[-2])
+        text = "".join(r["rendered"] for r in got)
+        assert [int(x) for x in re.findall(r"\d+", text)] == list(range(4000)) and (len(got) > 1 or text == whole[-1])
+
+
+def test_rows_do_not_depend_on_partitions(spark):
+    rng = random.Random(3)
+    rows = [(c, t % 5 if c == 3 else t, rng.choice(["system", "user", "assistant", None]), f"{c} {t} " + "x" * rng.randint(0, 40))
+            for c in range(40) for t in range(rng.randint(1, 12) if c % 9 else 200)]
+    rows += [(9, 1, "user", "again")] * 300 + [(None, None, "user", "n")] * 40
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (1, 8, 32):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            seen.append(sorted(map(str, chat_format.repair_conversations(df.repartition(n + 1), row_chars=900).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) > 41
 
 
 @pytest.fixture(scope="module")
