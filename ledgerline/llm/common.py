@@ -69,17 +69,22 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20
             at = to
 
 
+def release() -> None:
+    """Gives freed memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:      # another C library
+        pass
+
+
 def tidy(run: Callable) -> Callable:
-    """The task function, giving freed memory back to the system at the task's
-    end: the worker lives on for tasks of other stages."""
+    """The task function, giving freed memory back at the task's end: the
+    worker lives on for tasks of other stages."""
     def whole(batches):
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except AttributeError:      # another C library
-            pass
+        release()
     return whole
 
 

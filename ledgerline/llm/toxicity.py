@@ -36,13 +36,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ledgerline.llm.common import batches_of, fold_of, text_of
+from ledgerline.llm.common import batches_of, fold_of, release, text_of
 from ledgerline.llm.features import sigmoid
 from ledgerline.llm.labelled import HELD_OUT_FOLDS, label_counts, sample_labels, with_texts
 
@@ -143,24 +144,30 @@ class Reader:
     the squared weight of the terms of no example (without their idf)."""
 
     def __init__(self, vectors: Vectors):
-        self.vectors, self.row = vectors, {}
+        self.vectors, self.row, self.code = vectors, {}, {}
         self.table = np.full((1024, 1 + len(STEMS)), _NONE, np.int64)
 
     def _add(self, words: list[str]) -> None:
         """Remembers words: per term its number, or a negative code that keeps
-        whether it is a stem."""
+        whether it is a stem. Stems, which many words share, are remembered too."""
         first = len(self.row)
         while first + len(words) > len(self.table):
             self.table = np.concatenate([self.table, np.full_like(self.table, _NONE)])
-        flat = [_hashes(w) for w in words]
-        hashes = np.array([h for f in flat for h in f], np.uint64)
-        signed = hashes.view(np.int64)
-        numbers = self.vectors.numbers(signed)
-        codes = np.where(numbers >= 0, numbers, -1 - ((hashes >> np.uint64(2) << np.uint64(1)) | hashes & np.uint64(1)).view(np.int64))
-        sizes = np.array([len(f) for f in flat], np.int64)
-        at = np.repeat(np.arange(len(words)), sizes)
-        self.table[first: first + len(words)] = _NONE
-        self.table[first + at, np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = codes
+        if len(self.code) > _CACHE:
+            self.code.clear()
+        terms = [terms_of(w) for w in words]
+        code = self.code
+        new = list({t for some in terms for t in some if t not in code})
+        if new:
+            digest = xxhash.xxh64_intdigest
+            hashes = np.array([digest(t.encode("utf-8", "surrogatepass")) for t in new], np.uint64)
+            stem = np.array([t[-1] == "-" for t in new], np.uint64)     # a bare word has no outer mark
+            hashes = (hashes >> np.uint64(1) << np.uint64(1)) | stem
+            numbers = self.vectors.numbers(hashes.view(np.int64))
+            other = -1 - ((hashes >> np.uint64(2) << np.uint64(1)) | stem).view(np.int64)
+            code.update(zip(new, np.where(numbers >= 0, numbers, other).tolist()))
+        pad = [_NONE] * (1 + len(STEMS))
+        self.table[first: first + len(words)] = [([code[t] for t in some] + pad)[: len(pad)] for some in terms]
         self.row.update(zip(words, range(first, first + len(words))))
 
     def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, float]:
@@ -192,9 +199,9 @@ class BlockMaxIndex:
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.n = len(rows)
         self.blocks = -(-self.n // BLOCK) or 1
-        term = np.concatenate([r[0] for r in rows] or [np.empty(0, np.int64)])
+        term = np.concatenate([r[0].astype(np.int32) for r in rows] or [np.empty(0, np.int32)])
         weight = np.concatenate([r[1] for r in rows] or [np.empty(0)])
-        row = np.repeat(np.arange(self.n), [len(r[0]) for r in rows])
+        row = np.repeat(np.arange(self.n, dtype=np.int32), [len(r[0]) for r in rows])
         df = np.bincount(term, minlength=n_terms)
         dense = df > max(DENSE_SHARE * self.n, 1)
         self.column = np.where(dense, np.cumsum(dense) - 1, -1).astype(np.int32)
@@ -207,13 +214,13 @@ class BlockMaxIndex:
         self.place = np.lexsort((-near.max(1), near.argmax(1))) if near.size else np.arange(self.n)  # example at each place
         at = np.empty(self.n, np.int64)
         at[self.place] = np.arange(self.n)
-        self.matrix = np.zeros_like(matrix)
-        self.matrix[: self.n] = matrix[self.place]
-        self.top = self.matrix.reshape(self.blocks, BLOCK, -1).max(1)
-        rare = ~often
-        order = np.argsort(term[rare], kind="stable")
-        self.posting, self.weight = at[row[rare][order]], weight[rare][order]
-        self.of_term = np.searchsorted(term[rare][order], np.arange(n_terms + 1)).astype(np.int64)
+        matrix[: self.n] = matrix[self.place]
+        self.matrix = matrix
+        self.top = matrix.reshape(self.blocks, BLOCK, -1).max(1)
+        rare = np.flatnonzero(~often)
+        rare = rare[np.argsort(term[rare], kind="stable")]
+        self.posting, self.weight = at[row[rare]], weight[rare]
+        self.of_term = np.searchsorted(term[rare], np.arange(n_terms + 1)).astype(np.int64)
 
     def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None
                 ) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -276,7 +283,7 @@ def _narrow(x: np.ndarray) -> np.ndarray:
 @dataclass
 class KnnModel:
     vectors: Vectors
-    index: BlockMaxIndex
+    index: BlockMaxIndex | None
     labels: np.ndarray
     ids: list
     class_weight: tuple[float, float]
@@ -288,7 +295,7 @@ class KnnModel:
     def __getstate__(self) -> dict:
         """What the index is made of; a worker builds it once, so that a
         broadcast has eight bytes for each term of an example, not the index."""
-        small = {k: v for k, v in self.__dict__.items() if k not in ("vectors", "index", "rows")}
+        small = {k: v for k, v in self.__dict__.items() if k not in ("vectors", "index", "rows", "_reader")}
         return small | {"terms": self.vectors.terms, "sizes": np.array([len(r[0]) for r in self.rows]),
                         "numbers": np.concatenate([r[0] for r in self.rows]).astype(np.int32),
                         "counts": _narrow(np.concatenate([r[1] for r in self.rows]))}
@@ -301,6 +308,12 @@ class KnnModel:
         self.vectors = vectors_of(terms, numbers, len(sizes))
         self.index = BlockMaxIndex([self.vectors.of(*r) for r in self.rows], len(terms))
 
+    def reader(self) -> Reader:
+        """One for all tasks of a worker."""
+        if "_reader" not in self.__dict__:
+            self._reader = Reader(self.vectors)
+        return self._reader
+
     def share(self, rows: np.ndarray, sims: np.ndarray) -> float:
         votes = sims ** 2 * np.where(self.labels[rows] == 1, self.class_weight[1], self.class_weight[0])
         return float(votes[self.labels[rows] == 1].sum() / votes.sum())
@@ -366,22 +379,28 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
         for batch in batches:
             rows = [terms.counts(t) for t in batch.column(2).to_pylist()]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array([r[0] for r in rows], pa.list_(pa.int64())),
-                                   pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["id", "label", "terms", "n"])
+                                   pa.array([r[1] for r in rows], pa.list_(pa.int32()))], names=["id", "label", "terms", "n"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     sample = with_texts(sample_labels(labels, id_col, label_col, per_class, salt=8), docs, id_col, text_col)
     # One text per id, so that an example counts once.
     sample = sample.groupBy("id", "label").agg(F.min("text").alias("text"))
-    sample = sample.mapInArrow(term_counts, f"id {id_type}, label int, terms array<long>, n array<long>")
-    examples = sample.orderBy(F.xxhash64("id"), "id", "label").toArrow().combine_chunks()
-    of_row = examples.column("label").to_numpy()
+    sample = sample.mapInArrow(term_counts, f"id {id_type}, label int, terms array<long>, n array<int>")
+    examples = sample.orderBy(F.xxhash64("id"), "id", "label").toArrow()
+    of_row, ids = examples.column("label").to_numpy(), examples.column("id").to_pylist()
     if not 0 < of_row.sum() < len(of_row):
         return None
-    found, n = (examples.column(c).combine_chunks() for c in ("terms", "n"))
-    cuts = np.cumsum(found.value_lengths().to_numpy())[:-1]
-    terms, number = np.unique(found.flatten().to_numpy(), return_inverse=True)
-    rows = list(zip(np.split(number, cuts), np.split(n.flatten().to_numpy(), cuts), strict=True))
-    return fit(vectors_of(terms, number, len(of_row)), rows, of_row, examples.column("id").to_pylist(), (zeros, ones))
+    cuts = np.cumsum(pc.list_value_length(examples.column("terms")).to_numpy())[:-1]
+    terms, number = np.unique(pc.list_flatten(examples.column("terms")).to_numpy(), return_inverse=True)
+    n = pc.list_flatten(examples.column("n")).to_numpy()
+    del examples
+    release()
+    number = number.astype(np.int32)
+    rows = list(zip(np.split(number, cuts), np.split(n, cuts), strict=True))
+    model = fit(vectors_of(terms, number, len(of_row)), rows, of_row, ids, (zeros, ones))
+    model.index = None      # workers build it from the counts
+    release()
+    return model
 
 
 def score(docs: DataFrame, model: KnnModel | None, id_col="doc_id", text_col="text", threshold=THRESHOLD) -> DataFrame:
@@ -391,7 +410,7 @@ def score(docs: DataFrame, model: KnnModel | None, id_col="doc_id", text_col="te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        reader = Reader(model.vectors) if model else None
+        reader = model.reader() if model else None
         for whole in batches:
             for batch in batches_of(whole, TEXTS):
                 if model is None:
