@@ -21,6 +21,7 @@ from ledgerline.operators import history as hist_ops
 from ledgerline.operators import interest as int_ops
 from ledgerline.operators import rates as rate_ops
 from ledgerline.operators import reports as rep
+from ledgerline.plans import jobs
 from ledgerline.session import fresh_path
 from ledgerline.sources import files, standins
 
@@ -305,6 +306,56 @@ def q_wallet_history_pairs(spark, d):
     return hist_ops.wallet_history(sg, r.start, r.mid, pairs=files.read_pairs(spark, path))
 
 
+def q_history_daily_runs(spark, d):
+    """Two days after mid-span, each run with its own day of a stored feed
+    alone, on the state of the days before."""
+    r = _Run(spark, d)
+    path = fresh_path(spark, "daily")
+    day = lambda i: (_dt.date.fromisoformat(r.mid) + _dt.timedelta(days=i)).isoformat()
+    _cdc(r.ev).withColumn("day", F.to_date("event_time")).write.partitionBy("day").parquet(f"{path}/cdc")
+    feed, sink = files.read_cdc(spark, f"{path}/cdc"), jobs.parquet_sink(f"{path}/history")
+    jobs.build_history(feed.filter(F.col("day") <= r.mid).drop("day"), r.start, r.mid, sink, state_path=f"{path}/state")
+    for i in (1, 2):
+        today = feed.filter(F.col("day") == day(i))
+        jobs.build_history(today, day(i), None, sink, state_path=f"{path}/state", day_column="day")
+    return jobs.read_history(spark, f"{path}/history", day(1), day(2))
+
+
+def _stored_runs(spark, d, path):
+    """History, rates, payments and audit of the whole span through the job API."""
+    r = _Run(spark, d)
+    built = jobs.build_history(_cdc(r.ev), r.start, r.end, jobs.parquet_sink(f"{path}/history"))
+    files.write_rates(r.rates(), f"{path}/rates")
+    history, rates = jobs.read_history(spark, f"{path}/history", r.start, r.end), files.read_rates(spark, f"{path}/rates")
+    run = lambda start, end, **kw: jobs.calculate_interest(
+        history, rates, start, end, jobs.parquet_sink(f"{path}/payments"), jobs.parquet_sink(f"{path}/audit"),
+        job_id=JOB_ID, job_timestamp=JOB_TS, decimals=DECIMALS, **kw)
+    return r, built, run
+
+
+def q_job_row_counts(spark, d):
+    """Rows that the jobs report to have written."""
+    r, built, run = _stored_runs(spark, d, fresh_path(spark, "runs"))
+    counts = built.rows | run(r.start, r.end, min_balance=MIN_BALANCE).rows
+    return spark.createDataFrame(sorted(counts.items()), "name string, rows long")
+
+
+def q_interest_rerun(spark, d):
+    """A run in which no account qualifies, then one of the window with the
+    usual threshold: it replaces the window's days alone."""
+    path = fresh_path(spark, "rerun")
+    r, _, run = _stored_runs(spark, d, path)
+    run(r.start, r.end, min_balance=1e15)
+    run(*r.window, min_balance=MIN_BALANCE)
+    return jobs.read_payments(spark, f"{path}/payments", r.start, r.end)
+
+
+def q_cdc_verdict(spark, d):
+    """The verdict and the messages of a feed that breaks the rules."""
+    ok, messages = cdc_ops.validate(standins.dirty_cdc(_cdc(_events(spark, d))))
+    return spark.createDataFrame([(ok, "\n".join(messages))], "valid boolean, messages string")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "signed_amounts": q_signed_amounts,
     "running_balance": q_running_balance,
@@ -338,6 +389,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balance_interest_trend": q_balance_interest_trend,
     "balance_interest_lowess": q_balance_interest_lowess,
     "wallet_history_pairs": q_wallet_history_pairs,
+    "history_daily_runs": q_history_daily_runs,
+    "job_row_counts": q_job_row_counts,
+    "interest_rerun": q_interest_rerun,
+    "cdc_verdict": q_cdc_verdict,
 }
 
 
@@ -595,7 +650,7 @@ def _quality_sql() -> str:
 _DATE_COLUMNS = {
     "cdc_quality_report": (), "audit_summary": (), "audit_reasons": (),
     "payments_distribution": (), "interest_histogram": (), "eligibility_split": (),
-    "balance_interest_trend": (), "account_state": ("as_of",),
+    "balance_interest_trend": (), "account_state": ("as_of",), "job_row_counts": (), "cdc_verdict": (),
 }
 
 
@@ -741,6 +796,21 @@ FROM sums""",
         "wallet_history_pairs": _with(
             _CTE_BASE, _CTE_CAL.format(start="s", end="mid"),
             _CTE_HIST.format(imm="immovable_balance")) + "SELECT * FROM hist",
+        "history_daily_runs": _with(
+            _CTE_BASE, _CTE_CAL.format(start="mid + 1", end="mid + 2"),
+            _CTE_HIST.format(imm="immovable_balance")) + """
+SELECT h.* FROM hist h
+JOIN (SELECT account_id, user_id, min(partition_date) AS first FROM sg GROUP BY account_id, user_id) f
+  ON f.account_id = h.account_id AND f.user_id = h.user_id AND f.first <= h.partition_date""",
+        "job_row_counts": pipe + """
+SELECT 'audit' AS name, count(*) AS rows FROM audit UNION ALL
+SELECT 'payments' AS name, count(*) AS rows FROM payments UNION ALL
+SELECT 'wallet_history' AS name, count(*) AS rows FROM hist""",
+        "interest_rerun": pipe + f"""
+SELECT * REPLACE (CASE WHEN {_IN_WIN} THEN interest_amount ELSE CAST(0 AS DOUBLE) END AS interest_amount) FROM payments""",
+        "cdc_verdict": f"""
+SELECT count(message) = 0 AS valid, coalesce(string_agg(message, chr(10) ORDER BY rule_id), '') AS messages
+FROM ({_quality_sql()}) AS r""",
     }
 
 
