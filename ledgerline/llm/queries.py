@@ -177,7 +177,7 @@ def _op5_sql() -> str:
                                    source_mixing.MAX_REPEATS)
     return rf"""
 WITH sizes AS (
-  SELECT doc_id AS id, source,
+  SELECT doc_id AS id, source, md5(coalesce(text, '')) AS text_hash,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
 ]+')) AS BIGINT) AS size FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS words, count(*) AS n_docs FROM sizes GROUP BY source),
@@ -199,7 +199,7 @@ s7 AS (SELECT *, target AS weight, floor(sum(target) OVER () / {block} + 0.5) AS
 docs AS (
   SELECT d.id, d.size, q.item AS rank, q.words AS source_size, q.target, q.quota AS source_quota,
          CAST(ceil(sqrt(n_docs)) AS BIGINT) AS n_shards,
-         md5('{seed}:' || coalesce(CAST(d.id AS VARCHAR), '')) AS place
+         md5('{seed}:' || coalesce(CAST(d.id AS VARCHAR), '') || ':' || d.text_hash) AS place
   FROM sizes d JOIN src q ON d.source IS NOT DISTINCT FROM q.source),
 dealt AS (SELECT *, CAST('0x' || substr(place, 1, 12) AS BIGINT) % n_shards AS shard FROM docs),
 placed AS (

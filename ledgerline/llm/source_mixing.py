@@ -102,7 +102,7 @@ def _placed(df: DataFrame, id_col: str, text_col: str, source_col: str, weights,
     the words [run_from, run_to) and [0, wrap_to) that are taken once more."""
     text, source = text_of(text_col), F.col(source_col).cast("string")
     rows = df.select(F.col(id_col).alias("id"), source.alias("source"), word_count(text).alias("size"),
-                     F.xxhash64(text).alias("text_hash"), *([F.struct("*").alias("row")] if carry else []))
+                     F.md5(text.cast("binary")).alias("text_hash"), *([F.struct("*").alias("row")] if carry else []))
     sizes = rows.select("id", "source", "size", "text_hash")
     sizes = stored(sizes, "mix-sizes")
     rows = rows if carry else sizes
@@ -118,7 +118,7 @@ def _placed(df: DataFrame, id_col: str, text_col: str, source_col: str, weights,
 
     def dealt(frame: DataFrame) -> DataFrame:
         key = F.coalesce(F.col("id").cast("string"), F.lit(""))
-        frame = frame.join(quotas, F.col("source").eqNullSafe(F.col("of_source"))).withColumn("place", _digest(key))
+        frame = frame.join(quotas, F.col("source").eqNullSafe(F.col("of_source"))).withColumn("place", _digest(key, F.col("text_hash")))
         return frame.withColumn("shard", F.pmod(_number(F.col("place")), F.col("n_shards")))
 
     shards = (dealt(sizes).groupBy("rank", "shard").agg(F.sum("size").alias("weight"), F.first("source_quota").alias("seats"))

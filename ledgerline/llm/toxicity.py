@@ -35,6 +35,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -53,7 +54,7 @@ REPEATS = (2, 3)      # a stem that comes so often in a text is a further term
 NEIGHBOURS = 15
 BLOCK = 64            # examples of a block of the index
 OPENED = 4            # blocks of each text opened before the bounds decide
-DENSE_SHARE = 1 / 14  # a term of more examples than this is bounded by block
+DENSE_SHARE = 1 / 18  # a term of more examples than this is bounded by block
 SEEDS = 24            # examples that the others are grouped around for the order of blocks
 TEXTS = 128           # texts scored together
 THRESHOLD = 0.5
@@ -129,14 +130,12 @@ class Vectors:
         return np.where(self.terms[at] == terms, at, -1)
 
     def of(self, numbers: np.ndarray, n: np.ndarray, unseen: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers in order and weights of a vector of unit length, of
-        which ``unseen`` (squared, in units of the unseen idf) is not indexed."""
-        order = np.argsort(numbers)
-        ids = numbers[order]
-        w = (1 + np.log(n[order])) * self.idf[ids]
+        """Term numbers and weights of a vector of unit length, of which
+        ``unseen`` (squared, in units of the unseen idf) is not indexed."""
+        w = (1 + np.log(n)) * self.idf[numbers]
         square = float((w * w).sum())
         whole = square + unseen * self.unseen_idf ** 2
-        return (ids, w / np.sqrt(whole)) if square > 0 else (ids[:0], w[:0])
+        return (numbers, w / np.sqrt(whole)) if square > 0 else (numbers[:0], w[:0])
 
 
 class Reader:
@@ -180,7 +179,7 @@ class Reader:
         found = self.table[[self.row[w] for w in words]].ravel() if words else np.empty(0, np.int64)
         times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), self.table.shape[1])
         some = found != _NONE
-        codes, at = np.unique(found[some], return_inverse=True)
+        at, codes = pd.factorize(found[some])
         n = np.bincount(at, times[some], minlength=len(codes)).astype(np.int64)
         known = codes >= 0
         numbers, tf, other, other_tf = codes[known], n[known], -1 - codes[~known], n[~known]
