@@ -61,7 +61,7 @@ def money_sum(col: Column | str, over: WindowSpec | None = None) -> Column:
 COARSE_BITS, FINE_BITS = 20, 40
 
 
-def order_free_sum(value: Column | str) -> Column:
+def order_free_sum(value: Column | str, over: WindowSpec | None = None) -> Column:
     """Sum of doubles that is the same bit for bit in whatever order and
     partitions the rows come: each value is split into whole multiples of
     2^-20 and, of the rest, of 2^-60 (what is below goes); both are summed
@@ -70,14 +70,19 @@ def order_free_sum(value: Column | str) -> Column:
     v = _c(value).cast("double")
     coarse = F.rint(v * F.lit(2.0 ** COARSE_BITS))
     fine = F.rint((v * F.lit(2.0 ** COARSE_BITS) - coarse) * F.lit(2.0 ** FINE_BITS))
-    total = lambda x, digits: F.sum(x.cast(T.DecimalType(digits, 0))).cast("double")
+
+    def total(x: Column, digits: int) -> Column:
+        s = F.sum(x.cast(T.DecimalType(digits, 0)))
+        return (s if over is None else s.over(over)).cast("double")
+
     return (total(coarse, 38) * F.lit(2.0 ** -COARSE_BITS)
             + total(fine, 20) * F.lit(2.0 ** -(COARSE_BITS + FINE_BITS)))
 
 
-def order_free_avg(value: Column | str) -> Column:
+def order_free_avg(value: Column | str, over: WindowSpec | None = None) -> Column:
     """``order_free_sum`` by the number of values; NULL for none."""
-    return F.try_divide(order_free_sum(value), F.count(_c(value)).cast("double"))
+    n = F.count(_c(value))
+    return F.try_divide(order_free_sum(value, over), (n if over is None else n.over(over)).cast("double"))
 
 
 def immovable(previous: Column | str, withdrawals: Column | str,

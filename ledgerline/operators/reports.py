@@ -3,7 +3,7 @@ dashboard did in the browser, done as Spark aggregates instead."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
@@ -122,11 +122,12 @@ def balance_interest_trend(by_day: DataFrame) -> DataFrame:
     NULL where they are not defined."""
     x, y = F.col("saldo_promedio"), F.col("interes_total")
     both = x.isNotNull() & y.isNotNull()
-    means = by_day.agg(F.count(F.lit(1)).alias("n_days"), order_free_avg(F.when(both, x)).alias("mx"),
-                       order_free_avg(F.when(both, y)).alias("my"))
+    days = Window.partitionBy()     # a row per day
+    by_day = by_day.select(x, y).withColumns({"mx": order_free_avg(F.when(both, x), days),
+                                              "my": order_free_avg(F.when(both, y), days)})
     dx, dy = F.when(both, x) - F.col("mx"), F.when(both, y) - F.col("my")
-    sums = by_day.select(x, y).crossJoin(F.broadcast(means)).agg(       # the means are one row
-        F.coalesce(F.max("n_days"), F.lit(0)).alias("n_days"), F.max("mx").alias("mx"), F.max("my").alias("my"),
+    sums = by_day.agg(
+        F.count(F.lit(1)).alias("n_days"), F.max("mx").alias("mx"), F.max("my").alias("my"),
         order_free_sum(dx * dx).alias("sxx"), order_free_sum(dy * dy).alias("syy"),
         order_free_sum(dx * dy).alias("sxy"))
     slope = F.try_divide("sxy", "sxx")
