@@ -1,13 +1,20 @@
 """Fuzzy line dedup over the lines of all documents.
 
 A line is normalised (A-Z in lower case, white space squeezed); equal lines
-are combined first, whatever their number. Every distinct line gets a 64-bit
-SimHash of its distinct words (a word that fills a line would else decide it). The fingerprint is cut into five blocks; of two lines at
-most three bits apart, two blocks at least agree, so each pair of blocks is a
-join key (ten keys a line, about 25 bits each). Lines that meet another one
-within three bits go on with their text: at each key, pairs are verified by
-edit similarity (1 - Levenshtein / longer length, 0.8 or more) unless a verified
-chain at that key connects them already, and each pair at its first common key
+are combined first, whatever their number. A line's distinct words are dealt
+by hash into five classes, and the SimHash of each class (25 bits) is a block
+of the line's fingerprint: a word that is added or lost changes one block, a
+word that is altered two at most. By pigeonhole, changes that leave two blocks
+alone leave a pair of blocks equal, so each pair is a join key (ten keys a line,
+50 bits each); blocks without words make no key. A line of few distinct words
+has too little in a block: its words are the blocks, and a key is all words but
+one with the beginning or the end of that one, of which a letter altered, added
+or lost leaves one alone. Lines of ``LEAST`` to ``FEW`` words have both kinds.
+
+Lines that meet another one at a key go on with their text: at each key, pairs
+whose fingerprints are within ``BITS`` are verified by edit similarity
+(1 - Levenshtein / longer length, 0.8 or more) unless a verified chain at that
+key connects them already, and each pair of long lines at its first common key
 only. Verified links form groups by connected components; of each group the
 first occurrence (document id, then line number) stays.
 
@@ -30,36 +37,59 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import forest, partitions, stored, text_of
+from ledgerline.llm.common import by_bytes, forest, partitions, stored, text_of
 from ledgerline.llm.components import components
 
-BITS = 3
+BITS = 30           # of 125, between lines whose edit distance is worth computing
 SIMILARITY = 0.8
-BLOCKS = 5
-_EDGES = np.linspace(0, 64, BLOCKS + 1).astype(int)  # 0, 12, 25, 38, 51, 64
-_KEYS = list(combinations(range(BLOCKS), BLOCKS - BITS))
+BLOCKS, WIDTH = 5, 25
+LEAST, FEW = 9, 12  # distinct words of a line with a fingerprint, and of a short line
+_KEYS = list(combinations(range(BLOCKS), 2))
+_BLOCK = np.uint64((1 << WIDTH) - 1)
 BROADCAST_NODES = 4_000_000  # 32 MB; more go through a join
 _WORDS = 50_000  # words hashed at once: memory, not a limit
 
 
-def simhashes(hashes: list[int], lengths: list[int]) -> np.ndarray:
-    """SimHashes of lines given the 32-bit hashes of their distinct words, line after line."""
-    if not lengths:
-        return np.empty(0, np.int64)
+def _mixed(hashes) -> np.ndarray:
+    """64-bit hashes from 32-bit ones."""
     z = np.array(hashes, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     z = (z ^ (z >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    z ^= z >> np.uint64(32)
-    sizes = np.array(lengths)
-    bits = np.unpackbits(z.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = np.add.reduceat(bits, np.cumsum(sizes) - sizes, axis=0, dtype=np.int32)
-    return np.packbits(ones * 2 > sizes[:, None], axis=1, bitorder="little").view("<i8").ravel()
+    return z ^ (z >> np.uint64(32))
+
+
+def simhashes(hashes: list[int], lengths: list[int]) -> np.ndarray:
+    """Fingerprints (rows of two longs) of lines given the 32-bit hashes of
+    their distinct words, line after line."""
+    if not lengths:
+        return np.empty((0, 2), np.int64)
+    z = _mixed(hashes)
+    cell = np.repeat(np.arange(len(lengths)) * BLOCKS, lengths) + ((z >> np.uint64(32)) % np.uint64(BLOCKS)).astype(np.int64)
+    order = np.argsort(cell, kind="stable")
+    cells, starts, sizes = np.unique(cell[order], return_index=True, return_counts=True)
+    bits = np.unpackbits((z & _BLOCK).astype("<u4")[order].view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+    ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
+    block = np.zeros(len(lengths) * BLOCKS, np.uint64)
+    block[cells] = np.packbits(ones * 2 > sizes[:, None], axis=1, bitorder="little").view("<u4").ravel()
+    b = block.reshape(-1, BLOCKS)
+    w = np.uint64(WIDTH)
+    low = b[:, 0] | b[:, 1] << w | (b[:, 4] & np.uint64(0x1FFF)) << (w + w)
+    high = b[:, 2] | b[:, 3] << w | b[:, 4] >> np.uint64(13) << (w + w)
+    return np.stack([low, high], axis=1).view(np.int64)
+
+
+def blocks_of(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The five blocks of fingerprints: one column each."""
+    low, high, w = low.view(np.uint64), high.view(np.uint64), np.uint64(WIDTH)
+    return np.stack([low & _BLOCK, low >> w & _BLOCK, high & _BLOCK, high >> w & _BLOCK,
+                     low >> (w + w) | high >> (w + w) << np.uint64(13)], axis=1)
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per line with words: id, text_hash, line number, node (hash of
-    the normalised line), fp, and the normalised line."""
-    for batch in batches:
-        row, number, node, norm, words, lengths, pending = [], [], [], [], [], [], []
+    the normalised line), the fingerprint (low, high; null below ``LEAST``
+    words), whether it is short, and the normalised line."""
+    for batch in by_bytes(batches, 2):
+        row, number, node, norm, words, lengths, pending, size = [], [], [], [], [], [], [], []
 
         def flush():
             pending.append(simhashes(words, lengths))
@@ -76,36 +106,67 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     node.append(xxhash.xxh64_intdigest(joined, 7))
                     norm.append(joined)
                     w = set(w)
-                    words.extend(map(crc32, w))
-                    lengths.append(len(w))
+                    size.append(len(w))
+                    if len(w) >= LEAST:
+                        words.extend(map(crc32, w))
+                        lengths.append(len(w))
             if len(words) > _WORDS:
                 flush()
         flush()
-        at = pa.array(row, pa.int64())
+        at, size = pa.array(row, pa.int64()), np.array(size, np.int64)
+        none = size < LEAST
+        fp = np.zeros((len(row), 2), np.int64)
+        fp[~none] = np.concatenate(pending)
         yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array(number, pa.int32()),
-                               pa.array(np.array(node, np.uint64).view(np.int64)), pa.array(np.concatenate(pending)),
-                               pa.array(norm, pa.binary()).cast(pa.string())],
-                              names=["id", "text_hash", "line", "node", "fp", "norm"])
-
-
-def keys_of(fp: np.ndarray) -> np.ndarray:
-    """The join keys of fingerprints: one column per pair of blocks, with the
-    pair's number in the top bits."""
-    u = fp.view(np.uint64)
-    part = [(u >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1) for a, b in zip(_EDGES, _EDGES[1:], strict=False)]
-    return np.stack([(np.uint64(k << 32) | (part[a] << np.uint64(13)) | part[b]).view(np.int64)
-                     for k, (a, b) in enumerate(_KEYS)], axis=1)
+                               pa.array(np.array(node, np.uint64).view(np.int64)), pa.array(fp[:, 0].copy(), mask=none),
+                               pa.array(fp[:, 1].copy(), mask=none), pa.array(size <= FEW), pa.array(norm, pa.binary()).cast(pa.string())],
+                              names=["id", "text_hash", "line", "node", "low", "high", "few", "norm"])
+
+
+def keys_of(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The join keys of fingerprints, one column per pair of blocks, with the
+    pair's number in the top bits; and which of them there are."""
+    b = blocks_of(low, high)
+    keys = np.stack([(np.uint64(k << 2 * WIDTH) | b[:, i] << np.uint64(WIDTH) | b[:, j]).view(np.int64)
+                     for k, (i, j) in enumerate(_KEYS)], axis=1)
+    return keys, np.stack([(b[:, i] > 0) & (b[:, j] > 0) for i, j in _KEYS], axis=1)
+
+
+def short_keys(norm: str) -> list[int]:
+    """The join keys of a short line, in their own range."""
+    words = sorted(set(norm.encode("utf-8", "surrogatepass").split(b" ")))
+    out = set()
+    for i, word in enumerate(words):
+        rest = b" ".join(words[:i] + words[i + 1:])
+        # two lengths, so that words whose lengths differ by one have one in common
+        for n in {len(word) // 2, (len(word) - 1) // 2}:
+            for side, part in enumerate((word[:n], word[len(word) - n:])):
+                digest = xxhash.xxh64_intdigest(b"%d %s\0%s" % (side, part, rest), 11)
+                out.add((0x3F << 57 | digest >> 7) & 0x7FFFFFFFFFFFFFFF)
+    return sorted(out)
 
 
 def _to_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ten rows (key, ...) per row with a column fp."""
+    """Rows (key, ...) of each row with columns low, high, few and, for short lines, norm."""
     for batch in batches:
         for start in range(0, batch.num_rows, 8192):
             some = batch.slice(start, 8192)
-            keys = keys_of(some.column("fp").to_numpy())
-            at = pa.array(np.repeat(np.arange(some.num_rows), len(_KEYS)))
-            yield pa.record_batch([pa.array(keys.ravel()), *[c.take(at) for c in some.columns]],
-                                  names=["key", *some.schema.names])
+            few = np.asarray(some.column("few"))
+            rows = np.flatnonzero(~np.asarray(some.column("low").is_null()))
+            fp = [some.column(c).fill_null(0).to_numpy()[rows] for c in ("low", "high")]
+            keys, there = keys_of(*fp)
+            norms = some.column("norm")
+            found = [(i, k) for i in np.flatnonzero(few).tolist() for k in short_keys(norms[i].as_py())]
+            at = np.concatenate([np.repeat(rows, there.sum(1)), np.array([i for i, _ in found], np.int64)])
+            key = np.concatenate([keys[there], np.array([k for _, k in found], np.int64)])
+            yield pa.record_batch([pa.array(key), *[some.column(c).take(pa.array(at)) for c in _carried(some.schema.names)]],
+                                  names=["key", *_carried(some.schema.names)])
+
+
+def _carried(names: list[str]) -> list[str]:
+    """Columns that go on with the keys: all, or the node alone where lines
+    only look for company."""
+    return ["node"] if "alone" in names else names
 
 
 def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -113,37 +174,30 @@ def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (key, node, fp) sorted by key: nodes with another node within
-    BITS at some key. Few lines at a key are compared at all offsets at once;
-    a long run compares each line with the runs's other fingerprints in blocks."""
-    left = [np.empty(0, np.int64)] * 3
-
-    def found(key, node, fp):
+    """From rows (key, node) sorted by both: nodes that share a key with another."""
+    left = [np.empty(0, np.int64)] * 2
+
+    def found(key, node):
+        new = np.ones(len(key), bool)       # the first row of a node at a key
+        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        key, node = key[new], node[new]
+        same = key[1:] == key[:-1]
         hit = np.zeros(len(key), bool)
-        offset, rows = 1, np.arange(max(0, len(key) - 1))
-        while len(rows):
-            rows = rows[rows + offset < len(key)]
-            rows = rows[key[rows] == key[rows + offset]]
-            close = _apart(fp[rows], fp[rows + offset]) <= BITS
-            hit[rows[close]] = True
-            hit[rows[close] + offset] = True
-            offset += 1
-            if offset > 64:  # long runs: each row leaves once it has been hit
-                break
-        for start in np.unique(np.searchsorted(key, key[rows])).tolist():
-            to = int(np.searchsorted(key, key[start], "right"))
-            run, distinct = fp[start:to], np.unique(fp[start:to], return_counts=True)
-            again = np.isin(run, distinct[0][distinct[1] > 1])
-            hit[start:to] |= again
-            for i in np.flatnonzero(~hit[start:to]).tolist():
-                hit[start + i] = (_apart(distinct[0], run[i]) <= BITS).sum() > 1
+        hit[1:] |= same
+        hit[:-1] |= same
         return np.unique(node[hit])
 
     for batch in batches:
         now = [np.concatenate([x, batch.column(i).to_numpy()]) for i, x in enumerate(left)]
-        cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
+        if not len(now[0]):
+            continue
+        cut = int(np.searchsorted(now[0], now[0][-1]))
         yield pa.record_batch([pa.array(found(*(c[:cut] for c in now)))], names=["node"])
         left = [c[cut:] for c in now]
+        if len(left[0]) > 1 and left[1][0] != left[1][-1]:
+            # A key of many lines: all of them have company but for later batches to see.
+            yield pa.record_batch([pa.array(np.unique(left[1]))], names=["node"])
+            left = [c[-1:] for c in left]
     yield pa.record_batch([pa.array(found(*left))], names=["node"])
 
 
@@ -184,22 +238,23 @@ def similar(a: str, b: str) -> bool:
 
 
 def verified(nodes: list[int], fps: np.ndarray, texts: list[str], number: int) -> list[tuple[int, int]]:
-    """Links that connect the verified pairs of one key's lines. Of a cluster,
-    members are tried until one verifies."""
+    """Links that connect the verified pairs of one key's lines; ``fps``: rows
+    of two longs, ``number``: that of the key's pair of blocks, -1 for short
+    lines. Of a cluster, members are tried until one verifies."""
     links, clusters = [], []
-    firsts = {}
+    blocks = blocks_of(fps[:, 0].copy(), fps[:, 1].copy()) if number >= 0 else None
     for i in range(len(nodes)):
         joined = []
         for cluster in clusters:
             members = np.array(cluster)
-            close = members[_apart(fps[members], fps[i]) <= BITS]
-            for j in close.tolist():
-                x = int(fps[i] ^ fps[j]) & 0xFFFFFFFFFFFFFFFF
-                first = firsts.get(x)
-                if first is None:  # the first key at which two such fingerprints meet
-                    same = [not x >> int(a) & ((1 << int(b - a)) - 1) for a, b in zip(_EDGES, _EDGES[1:], strict=False)]
-                    first = firsts[x] = next(k for k, pair in enumerate(_KEYS) if all(same[p] for p in pair))
-                if first == number and similar(texts[i], texts[j]):
+            if blocks is not None:
+                members = members[_apart(fps[members], fps[i]).sum(1) <= BITS]
+                # each pair at the first key where it meets
+                equal = (blocks[members] == blocks[i]) & (blocks[i] > 0)
+                first = np.argmax(np.stack([equal[:, a] & equal[:, b] for a, b in _KEYS], axis=1), axis=1)
+                members = members[first == number]
+            for j in members.tolist():
+                if similar(texts[i], texts[j]):
                     links.append((nodes[i], nodes[j]))
                     joined.append(cluster)
                     break
@@ -211,25 +266,26 @@ def verified(nodes: list[int], fps: np.ndarray, texts: list[str], number: int) -
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (key, node, fp, norm) sorted by key: verified links."""
+    """From rows (key, node, low, high, few, norm) sorted by key and node: verified links."""
     a = b = np.empty(0, np.int64)
-    key, rows = None, []
+    key, rows = None, {}
 
     def done():
         if len(rows) < 2:
             return a, b
-        links = verified([r[0] for r in rows], np.array([r[1] for r in rows], np.int64), [r[2] for r in rows], key >> 32)
+        fps = np.array([r[:2] for r in rows.values()], np.int64)
+        links = verified(list(rows), fps, [r[2] for r in rows.values()], key >> 2 * WIDTH if key >> 57 == 0 else -1)
         if not links:
             return a, b
         new = np.array(links, np.int64)
         return forest(np.concatenate([a, new[:, 0]]), np.concatenate([b, new[:, 1]]))
 
     for batch in batches:
-        for k, node, fp, norm in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+        for k, node, low, high, norm in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 5)), strict=True):
             if k != key:
                 a, b = done()
-                key, rows = k, []
-            rows.append((node, fp, norm))
+                key, rows = k, {}
+            rows[node] = (low or 0, high or 0, norm)
     a, b = done()
     yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
@@ -249,12 +305,15 @@ def dropped_lines(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     spark, id_type = df.sparkSession, df.schema[id_col].dataType.simpleString()
     text = text_of(text_col)
     lines = stored(df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
-        _lines, f"id {id_type}, text_hash long, line int, node long, fp long, norm string"), "lines")
-    distinct = stored(lines.groupBy("node").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"),
-                                                F.first("fp").alias("fp")), "lines-distinct")
-    near = _by_key(distinct.select("node", "fp"), "node long, fp long").mapInArrow(_near, "node long")
+        _lines, f"id {id_type}, text_hash long, line int, node long, low long, high long, few boolean, norm string"), "lines")
+    distinct = stored(lines.groupBy("node").agg(
+        F.min(_place()).alias("first"), F.max(_place()).alias("last"), F.first("low").alias("low"),
+        F.first("high").alias("high"), F.first("few").alias("few"), F.min(F.when(F.col("few"), F.col("norm"))).alias("norm")),
+        "lines-distinct")
+    near = _by_key(distinct.select("node", "low", "high", "few", "norm", F.lit(True).alias("alone")), "node long").mapInArrow(
+        _near, "node long")
     near = stored(near.distinct(), "lines-near")
-    texts = lines.select("node", "fp", "norm")
+    texts = lines.select("node", "low", "high", "few", "norm")
     if near.count() <= BROADCAST_NODES:
         wanted = spark.sparkContext.broadcast(np.sort(near.toArrow().column("node").to_numpy()))
 
@@ -266,8 +325,9 @@ def dropped_lines(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
         texts = texts.mapInArrow(some, texts.schema)
     else:
         texts = texts.join(near, "node", "left_semi")
-    texts = texts.groupBy("node").agg(F.first("fp").alias("fp"), F.min("norm").alias("norm"))
-    links = _by_key(texts, "node long, fp long, norm string").mapInArrow(_verify, "a long, b long")
+    texts = texts.groupBy("node").agg(F.first("low").alias("low"), F.first("high").alias("high"), F.first("few").alias("few"),
+                                       F.min("norm").alias("norm"))
+    links = _by_key(texts, "node long, low long, high long, few boolean, norm string").mapInArrow(_verify, "a long, b long")
     roots = components(links)
     linked = roots.join(distinct, "node")
     tops = linked.groupBy("root").agg(F.min("first").alias("top"))

@@ -178,14 +178,10 @@ def test_line_dedup_equals_brute_force(spark):
             if n:
                 seen[n].append((*key, j))
     names = list(seen)
-    sets = [sorted(set(n.split())) for n in names]
-    fps = line_dedup.simhashes([zlib.crc32(w.encode()) for s in sets for w in s], [len(s) for s in sets]).tolist()
 
-    def linked(i, j):
-        if ((fps[i] ^ fps[j]) & (1 << 64) - 1).bit_count() > 3:
-            return False
+    def linked(i, j):       # edit similarity alone
         longer = max(len(names[i]), len(names[j]))
-        return longer - brute_edit(names[i], names[j]) >= .8 * longer
+        return abs(len(names[i]) - len(names[j])) <= .2 * longer and longer - brute_edit(names[i], names[j]) >= .8 * longer
 
     comp = brute_components(range(len(names)), linked)
     assert len(set(comp)) < len(names)
@@ -204,6 +200,28 @@ def test_line_dedup_equals_brute_force(spark):
     assert all(r["n_dropped"] == r["n_lines"] - len(r["text"].split("\n")) or not r["text"] for r in got)
 
 
+def test_line_recall_against_edit_similarity(spark):
+    """Lines of the documents with one character altered, added or lost are
+    found, short, middle and long ones."""
+    rng = random.Random(11)
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    lines = sorted({" ".join(words(lower(x))) for t in texts for x in (t or "").split("\n")})
+    rng.shuffle(lines)
+    bins = {(4, 9): [], (10, 19): [], (20, 39): [], (40, 79): [], (80, 10 ** 6): []}
+    rows = []
+    for line in lines:
+        for (lo, hi), some in bins.items():
+            if lo <= len(line.split()) <= hi and len(some) < 60:
+                at = rng.choice([i for i, c in enumerate(line) if c != " "])
+                other = line[:at] + rng.choice(["q", "", line[at] + "z"]) + line[at + 1:]
+                if other != line and line_dedup.similar(line, " ".join(other.split())):
+                    some.append(len(rows))
+                    rows.append((len(rows), line + "\n" + other))
+    got = {r["id"]: r["n_dropped"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    recall = {k: sum(got[i] > 0 for i in v) / len(v) for k, v in bins.items()}
+    assert min(len(v) for v in bins.values()) >= 20 and min(recall.values()) >= .9, recall
+
+
 def test_empty_tables(spark):
     assert exact_dedup.exact_dedup(empty(spark)).count() == 0
     assert exact_dedup.distinct_rows(empty(spark)).count() == 0
@@ -213,4 +231,9 @@ def test_empty_tables(spark):
 
 
 def test_line_dedup_of_awkward_rows(spark):
-    assert line_dedup.dedup_lines(awkward(spark)).count() == len(awkward_rows())
+    got = line_dedup.dedup_lines(awkward(spark)).collect()
+    assert len(got) == len(awkward_rows())
+    assert Counter(r["id"] for r in got) == Counter(r[0] for r in awkward_rows())
+    # rows equal in id and text share their decisions; blank lines stay
+    assert len({r["text"] for r in got if r["id"] == 0 and r["n_lines"] == 1 and "fox" in r["text"]}) <= 1
+    assert all(r["text"] == (t or "") for r in got for i, t, *_ in awkward_rows()[6:9] if r["id"] == i)
