@@ -142,6 +142,74 @@ def test_non_negative_risk_learns_from_positives_and_unlabelled_alone():
     assert (z[0] > 0).mean() > .9 and (z[1] < 0).mean() > .9
 
 
+def plain_vector(text):
+    """The classifier's features, computed one by one."""
+    data = (text or "").encode("utf-8", "surrogatepass")
+    lower_words = data.lower().split()
+    grams = Counter()
+    for i in range(len(data) - 2):
+        code = 3
+        for byte in data[i: i + 3]:
+            code = (code * 257 + byte) % 2 ** 32
+        grams[code * 2654435761 % 2 ** 32 >> 32 - pu_quality.GRAM_BITS] += 1
+    total = sum(grams.values())
+    shares = [pu_quality.GRAM_SCALE * math.sqrt(grams[b] / total) if total else 0.0 for b in range(1 << pu_quality.GRAM_BITS)]
+    if not lower_words:
+        return [0.0] * len(pu_quality.STATS) + shares
+    kind = lambda c: (1 if c < 128 and chr(c).isupper() else 2 if c < 128 and chr(c).islower() else 3 if c < 128 and chr(c).isdigit()
+                      else 4 if c < 128 and chr(c).isspace() else 6 if c < 128 and chr(c) in ".,;:'\"?-()" else 5 if c < 128 else 0)
+    n = Counter(map(kind, data))
+    letters, count = max(1, n[1] + n[2]), len(lower_words)
+    lines = [x for x in data.split(b"\n") if x.strip()]
+    often = Counter(lower_words)
+    stats = [math.log1p(count), n[1] / letters, n[5] / len(data), n[3] / len(data), len(often) / count ** .9,
+             max(often.values()) / count, sum(map(len, lower_words)) / count / 10, data.count(b"!") / count,
+             1 - len(set(lines)) / len(lines), math.log1p(count / len(lines)), data.count(b".") / count,
+             sum(a == b for a, b in zip(lower_words, lower_words[1:])) / count]
+    return stats + shares
+
+
+def test_pu_features_are_the_plain_ones():
+    for text in [None, "", " \n", "a", "ab!", "One two two. THREE 3%\nOne two two. THREE 3%\n\u00e9\u00e8 caf\u00e9 #1", prose(1)[0][1]]:
+        assert pu_quality.vector(text).tolist() == pytest.approx(plain_vector(text), abs=1e-5)
+
+
+def test_pu_fit_against_plain_descent():
+    """The fitted scorer's risk is that of plain full-batch descent on the
+    non-negative risk, and both tell the hidden classes apart alike."""
+    rng = np.random.default_rng(5)
+    size, dim = len(pu_quality.STATS), len(pu_quality.STATS) + (1 << pu_quality.GRAM_BITS)
+
+    def rows(n, positive):
+        x = np.zeros((n, dim), np.float32)
+        x[:, :3] = rng.normal(.8 if positive else -.8, 1, (n, 3))
+        return x
+
+    prior, pos, hidden, neg = .4, rows(500, True), rows(400, True), rows(600, False)
+    unl = np.vstack([hidden, neg])
+    model = pu_quality.fit_nnpu(pos, unl, prior)
+    mean, std = unl[:, :size].mean(0), unl[:, :size].std(0) + 1e-6
+
+    def prepared(x):
+        return np.hstack([np.clip((x[:, :size] - mean) / std, -5, 5), np.ones((len(x), 1))])
+
+    p, u = prepared(pos), prepared(unl)
+
+    def risk(w):
+        negative = np.logaddexp(0, u @ w).mean() - prior * np.logaddexp(0, p @ w).mean()
+        return prior * np.logaddexp(0, -(p @ w)).mean() + max(0.0, negative), negative
+
+    w = np.zeros(size + 1)
+    sig = lambda z: 1 / (1 + np.exp(-z))
+    for _ in range(4000):
+        bracket = u.T @ sig(u @ w) / len(u) - prior * p.T @ sig(p @ w) / len(p)
+        w -= .05 * (bracket - prior * p.T @ sig(-(p @ w)) / len(p) if risk(w)[1] >= 0 else -bracket)
+    mine = np.append(model.weights[:size], model.bias)
+    assert risk(mine)[0] <= risk(w)[0] + .02
+    agree = [(np.sign(u @ a) == np.sign(np.r_[np.ones(400), -np.ones(600)])).mean() for a in (mine, w)]
+    assert abs(agree[0] - agree[1]) < .03 and agree[0] > .85
+
+
 def test_toxicity(spark):
     bad = ["nastyone", "vileword", "foulterm"]
     rng = random.Random(0)
