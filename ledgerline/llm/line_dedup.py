@@ -237,24 +237,33 @@ def similar(a: str, b: str) -> bool:
     return longer - edit_distance(a, b) >= SIMILARITY * longer
 
 
+def first_key(low: int, high: int, other_low: int, other_high: int) -> int:
+    """The first key at which two fingerprints meet, -1 beyond ``BITS``."""
+    x, y, block = low ^ other_low, high ^ other_high, (1 << WIDTH) - 1
+    if x.bit_count() + y.bit_count() > BITS:
+        return -1
+    top = 2 * WIDTH
+    equal = (not x & block and low & block, not x >> WIDTH & block and low >> WIDTH & block,
+             not y & block and high & block, not y >> WIDTH & block and high >> WIDTH & block,
+             not x >> top and not y >> top and (low >> top or high >> top))
+    return next((k for k, (i, j) in enumerate(_KEYS) if equal[i] and equal[j]), -1)
+
+
 def verified(nodes: list[int], fps: np.ndarray, texts: list[str], number: int) -> list[tuple[int, int]]:
     """Links that connect the verified pairs of one key's lines; ``fps``: rows
     of two longs, ``number``: that of the key's pair of blocks, -1 for short
     lines. Of a cluster, members are tried until one verifies."""
     links, clusters = [], []
-    blocks = blocks_of(fps[:, 0].copy(), fps[:, 1].copy()) if number >= 0 else None
+    pairs = fps.tolist()
     for i in range(len(nodes)):
         joined = []
         for cluster in clusters:
-            members = np.array(cluster)
-            if blocks is not None:
-                members = members[_apart(fps[members], fps[i]).sum(1) <= BITS]
-                # each pair at the first key where it meets
-                equal = (blocks[members] == blocks[i]) & (blocks[i] > 0)
-                first = np.argmax(np.stack([equal[:, a] & equal[:, b] for a, b in _KEYS], axis=1), axis=1)
-                members = members[first == number]
-            for j in members.tolist():
-                if similar(texts[i], texts[j]):
+            members = cluster
+            if number >= 0 and len(cluster) > 32:
+                members = np.array(cluster)
+                members = members[_apart(fps[members], fps[i]).sum(1) <= BITS].tolist()
+            for j in members:
+                if (number < 0 or first_key(*pairs[i], *pairs[j]) == number) and similar(texts[i], texts[j]):
                     links.append((nodes[i], nodes[j]))
                     joined.append(cluster)
                     break
@@ -281,7 +290,13 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return forest(np.concatenate([a, new[:, 0]]), np.concatenate([b, new[:, 1]]))
 
     for batch in batches:
-        for k, node, low, high, norm in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 5)), strict=True):
+        keys = batch.column(0).to_numpy()
+        if not len(keys):
+            continue
+        # Lines alone at their key go at once; the last may go on in the next batch.
+        same = np.concatenate([[keys[0] == key], keys[1:] == keys[:-1], [True]])
+        some = batch.filter(pa.array(same[1:] | same[:-1]))
+        for k, node, low, high, norm in zip(*(some.column(i).to_pylist() for i in (0, 1, 2, 3, 5)), strict=True):
             if k != key:
                 a, b = done()
                 key, rows = k, {}
