@@ -16,8 +16,11 @@ the highest bounds are opened first, then all that the k-th best similarity
 found does not rule out, for many texts in one product of matrices: the result
 is the exact top k.
 
-The neighbours vote with the square of their similarity, examples of either
-label weighted back to that label's number of rows; a curve fitted to the
+Texts with many common terms are similar to every text, and toxic words are a
+small part of a long one. So there are many neighbours, and each votes with how
+far its similarity is above its own usual one (mean and deviation over the other
+examples), from the least of the neighbours on; examples of either label are
+weighted back to that label's number of rows. A curve fitted to the
 examples' own votes (each left out of its own neighbours) calibrates the
 share. ``evidence`` lists the nearest examples. The index is bounded by the
 examples' texts and is broadcast; scoring is one pass over the texts.
@@ -33,6 +36,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -51,7 +55,7 @@ from ledgerline.llm.labelled import HELD_OUT_FOLDS, label_counts, sample_labels,
 PER_CLASS = 2_000     # bound of the examples, per label
 STEMS = (4, 5, 6, 7, 8)
 REPEATS = (2, 3)      # a stem that comes so often in a text is a further term
-NEIGHBOURS = 15
+NEIGHBOURS = 200
 BLOCK = 64            # examples of a block of the index
 OPENED = 4            # blocks of each text opened before the bounds decide
 DENSE_SHARE = 1 / 18  # a term of more examples than this is bounded by block
@@ -61,7 +65,8 @@ THRESHOLD = 0.5
 EVIDENCE = 3
 _OUTER = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 _CACHE = 400_000      # remembered words of a task: memory, not a limit
-_NONE = np.iinfo(np.int64).min
+_TOKENS = 400_000     # read at once: memory, not a limit
+_BITS = 40            # of a term's number in a sort key
 
 
 def terms_of(word: str) -> list[str]:
@@ -143,53 +148,82 @@ class Reader:
     the squared weight of the terms of no example (without their idf)."""
 
     def __init__(self, vectors: Vectors):
-        self.vectors, self.row, self.code = vectors, {}, {}
-        self.table = np.full((1024, 1 + len(STEMS)), _NONE, np.int64)
+        self.vectors = vectors
+        self._clear()
+
+    def _clear(self) -> None:
+        """Terms of no example have numbers of their own, after the indexed ones."""
+        self.row, self.code, self.stem = {}, {}, self.vectors.stem
+        self.table = np.full((1024, 1 + len(STEMS)), -1, np.int64)
 
     def _add(self, words: list[str]) -> None:
-        """Remembers words: per term its number, or a negative code that keeps
-        whether it is a stem. Stems, which many words share, are remembered too."""
+        """Remembers words: the numbers of their terms. Stems, which many words
+        share, are remembered too."""
         first = len(self.row)
         while first + len(words) > len(self.table):
-            self.table = np.concatenate([self.table, np.full_like(self.table, _NONE)])
-        if len(self.code) > _CACHE:
-            self.code.clear()
-        terms = [terms_of(w) for w in words]
-        code = self.code
-        new = list({t for some in terms for t in some if t not in code})
+            self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
+        terms, code = list(map(terms_of, words)), self.code
+        sizes, flat = np.fromiter(map(len, terms), np.int64, len(terms)), list(chain.from_iterable(terms))
+        new = list(set(flat).difference(code))
         if new:
             digest = xxhash.xxh64_intdigest
             hashes = np.array([digest(t.encode("utf-8", "surrogatepass")) for t in new], np.uint64)
-            stem = np.array([t[-1] == "-" for t in new], np.uint64)     # a bare word has no outer mark
-            hashes = (hashes >> np.uint64(1) << np.uint64(1)) | stem
+            stem = np.array([t[-1] == "-" for t in new])     # a bare word has no outer mark
+            hashes = (hashes >> np.uint64(1) << np.uint64(1)) | stem.astype(np.uint64)
             numbers = self.vectors.numbers(hashes.view(np.int64))
-            other = -1 - ((hashes >> np.uint64(2) << np.uint64(1)) | stem).view(np.int64)
-            code.update(zip(new, np.where(numbers >= 0, numbers, other).tolist()))
-        pad = [_NONE] * (1 + len(STEMS))
-        self.table[first: first + len(words)] = [([code[t] for t in some] + pad)[: len(pad)] for some in terms]
-        self.row.update(zip(words, range(first, first + len(words))))
-
-    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, float]:
-        words = Counter((text or "").split())
+            other = numbers < 0
+            numbers[other] = len(self.stem) + np.arange(int(other.sum()))
+            self.stem = np.concatenate([self.stem, stem[other]])
+            code.update(zip(new, numbers.tolist(), strict=True))
+        there = np.arange(self.table.shape[1]) < sizes[:, None]
+        self.table[first: first + len(words)][there] = np.fromiter(map(code.__getitem__, flat), np.int64, len(flat))
+        self.row.update(zip(words, range(first, first + len(words)), strict=True))
+
+    def read(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+        out, words, tokens = [], [], 0
+        for text in texts:
+            words.append((text or "").split())
+            tokens += len(words[-1])
+            if tokens > _TOKENS:
+                out += self._count(words)
+                words, tokens = [], 0
+        return out + self._count(words)
+
+    def _count(self, words: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+        many, indexed, low = len(words), len(self.vectors.terms), (1 << _BITS) - 1
+        if not many:
+            return []
+        seen = set().union(*words)
         if len(self.row) > _CACHE:
-            self.row.clear()
-        new = [w for w in words if w not in self.row]
-        if new:
-            self._add(new)
-        found = self.table[[self.row[w] for w in words]].ravel() if words else np.empty(0, np.int64)
-        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), self.table.shape[1])
-        some = found != _NONE
-        at, codes = pd.factorize(found[some])
-        n = np.bincount(at, times[some], minlength=len(codes)).astype(np.int64)
-        known = codes >= 0
-        numbers, tf, other, other_tf = codes[known], n[known], -1 - codes[~known], n[~known]
-        unseen = float(((1 + np.log(other_tf)) ** 2).sum())
-        more, stem = [], self.vectors.stem[numbers]
+            self._clear()
+        self._add(list(seen.difference(self.row)))
+        sizes = list(map(len, words))
+        rows = np.fromiter(map(self.row.__getitem__, chain.from_iterable(words)), np.int64, sum(sizes))
+        key = np.sort(np.repeat(np.arange(many) << _BITS, sizes) | rows)
+        starts = np.flatnonzero(np.diff(key, prepend=-1))
+        word, times = key[starts], np.diff(starts, append=len(key))
+        codes = self.table[word & low]
+        some = codes >= 0
+        key = ((word & ~low)[:, None] | codes)[some]
+        order = np.argsort(key)
+        key, times = key[order], np.repeat(times, some.sum(1))[order]
+        starts = np.flatnonzero(np.diff(key, prepend=-1))
+        text, term, n = key[starts] >> _BITS, key[starts] & low, np.add.reduceat(times, starts) if len(starts) else times
+        known, stem = term < indexed, self.stem[term]
+        unseen = np.bincount(text[~known], (1 + np.log(n[~known])) ** 2, minlength=many)
+        found, counts = [key[starts][known]], [n[known]]
         for k in REPEATS:
-            repeat = self.vectors.repeats[k][numbers[stem & (tf >= k)]]
-            more.append(repeat[repeat >= 0])
-            unseen += int((repeat < 0).sum()) + int(((other & 1 == 1) & (other_tf >= k)).sum())
-        return (np.concatenate([numbers, *more]), np.concatenate([tf, *[np.ones(len(m), np.int64) for m in more]]), unseen)
+            unseen += np.bincount(text[~known & stem & (n >= k)], minlength=many)
+            which = known & stem & (n >= k)
+            repeat, of = self.vectors.repeats[k][term[which]], text[which]
+            unseen += np.bincount(of[repeat < 0], minlength=many)
+            found.append((of << _BITS | repeat)[repeat >= 0])
+            counts.append(np.ones(len(found[-1]), np.int64))
+        key, n = np.concatenate(found), np.concatenate(counts)
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        cuts = np.searchsorted(key, np.arange(1, many) << _BITS)
+        return list(zip(np.split(key & low, cuts), np.split(n, cuts), unseen.tolist(), strict=True))
 
 
 class BlockMaxIndex:
@@ -214,45 +248,61 @@ class BlockMaxIndex:
         at = np.empty(self.n, np.int64)
         at[self.place] = np.arange(self.n)
         matrix[: self.n] = matrix[self.place]
-        self.matrix = matrix
-        self.top = matrix.reshape(self.blocks, BLOCK, -1).max(1)
+        self.columns, parts = matrix.shape[1], matrix.reshape(self.blocks, BLOCK, -1)
+        self.top = parts.max(1)
+        # Alike examples have many terms in common: each block with its own columns.
+        self.parts = [(used := np.flatnonzero(top), part[:, used]) for top, part in zip(self.top, parts, strict=True)]
         rare = np.flatnonzero(~often)
         rare = rare[np.argsort(term[rare], kind="stable")]
         self.posting, self.weight = at[row[rare]], weight[rare]
         self.of_term = np.searchsorted(term[rare], np.arange(n_terms + 1)).astype(np.int64)
 
-    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None
-                ) -> list[tuple[np.ndarray, np.ndarray]]:
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None,
+                sums: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per query (term numbers, weights) the rows and similarities of its k
-        nearest (similarity above 0), best first; ``skip``: a row to leave out of each."""
+        nearest (similarity above 0), best first; ``skip``: a row to leave out of
+        each; ``sums``: gets every row's similarities and their squares added."""
         many, width = len(queries), self.blocks * BLOCK
-        dense = np.zeros((many, self.matrix.shape[1]))
+        dense = np.zeros((self.columns, many))
         near = np.zeros((many, width))      # by the rare terms
         for i, (ids, weights) in enumerate(queries):
             column = self.column[ids]
-            dense[i, column[column >= 0]] = weights[column >= 0]
-            few, w = ids[column < 0], weights[column < 0]
+            often = column >= 0
+            dense[column[often], i] = weights[often]
+            few, w = ids[~often], weights[~often]
             start = self.of_term[few]
             sizes = self.of_term[few + 1] - start
-            ends = np.cumsum(sizes)
-            if len(ends) and ends[-1]:
-                at = np.arange(ends[-1]) + np.repeat(start - ends + sizes, sizes)
-                near[i] = np.bincount(self.posting[at], np.repeat(w, sizes) * self.weight[at], minlength=width)
-        # A little slack: bounds and similarities are sums of rounded products.
-        bound = dense @ self.top.T + near.reshape(many, self.blocks, BLOCK).max(2) + 1e-9
-        first = np.zeros((many, self.blocks), bool)
-        np.put_along_axis(first, np.argsort(-bound, axis=1, kind="stable")[:, :OPENED], True, 1)
+            total = int(sizes.sum())
+            if total:
+                at = np.repeat(start - np.cumsum(sizes) + sizes, sizes)
+                at += np.arange(total)
+                products = self.weight[at]
+                products *= np.repeat(w, sizes)
+                near[i] = np.bincount(self.posting[at], products, minlength=width)
         opened = np.full((many, width), -1.0)
-        self._open(first, dense, near, opened)
+        gone = None
         if skip is not None:
-            gone = np.empty(self.n, np.int64)
-            gone[self.place] = np.arange(self.n)
-            gone = gone[skip]
-            opened[np.arange(many), gone] = -1
-        least = self._kth(opened, k)
-        self._open((bound >= least[:, None]) & ~first, dense, near, opened)
-        if skip is not None:
-            opened[np.arange(many), gone] = -1
+            place = np.empty(self.n, np.int64)
+            place[self.place] = np.arange(self.n)
+            gone = np.arange(many), place[skip]
+        if sums is not None:
+            self._open(np.ones((many, self.blocks), bool), dense, near, opened)
+            if gone:
+                opened[gone] = 0
+            sums[0][self.place] += opened[:, : self.n].sum(0)
+            sums[1][self.place] += (opened[:, : self.n] ** 2).sum(0)
+        else:
+            # A little slack: bounds and similarities are sums of rounded products.
+            bound = (self.top @ dense).T + near.reshape(many, self.blocks, BLOCK).max(2) + 1e-9
+            first = np.zeros((many, self.blocks), bool)
+            np.put_along_axis(first, np.argsort(-bound, axis=1, kind="stable")[:, :OPENED], True, 1)
+            self._open(first, dense, near, opened)
+            if gone:
+                opened[gone] = -1
+            least = self._kth(opened, k)
+            self._open((bound >= least[:, None]) & ~first, dense, near, opened)
+        if gone:
+            opened[gone] = -1
         out = []
         for sims, least in zip(opened, self._kth(opened, k) - 1e-9, strict=True):
             places = np.flatnonzero((sims >= least) & (sims > 1e-12))
@@ -272,7 +322,11 @@ class BlockMaxIndex:
     def _open(self, wanted: np.ndarray, dense: np.ndarray, near: np.ndarray, out: np.ndarray) -> None:
         for b in np.flatnonzero(wanted.any(0)).tolist():
             who, part = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
-            out[who, part] = near[who, part] + dense[who] @ self.matrix[part].T
+            columns, weights = self.parts[b]
+            if 2 * len(who) > len(wanted):      # cheaper than picking them
+                out[:, part] = near[:, part] + (weights @ dense[columns]).T
+            else:
+                out[who, part] = near[who, part] + (weights @ dense[np.ix_(columns, who)]).T
 
 
 def _narrow(x: np.ndarray) -> np.ndarray:
@@ -287,6 +341,7 @@ class KnnModel:
     ids: list
     class_weight: tuple[float, float]
     rows: list[tuple[np.ndarray, np.ndarray]]   # term numbers and counts of the examples
+    usual: np.ndarray                           # per example mean and deviation of its similarities
     slope: float = 1.0
     shift: float = 0.0
     none_score: float = 0.0
@@ -314,7 +369,13 @@ class KnnModel:
         return self._reader
 
     def share(self, rows: np.ndarray, sims: np.ndarray) -> float:
-        votes = sims ** 2 * np.where(self.labels[rows] == 1, self.class_weight[1], self.class_weight[0])
+        mean, deviation = self.usual
+        above = (sims - mean[rows]) / deviation[rows]
+        # Of fewer neighbours, the others have a similarity of 0.
+        above -= above.min() if len(rows) == NEIGHBOURS else (-mean / deviation).min()
+        if not above.any():
+            above += 1
+        votes = above * np.where(self.labels[rows] == 1, self.class_weight[1], self.class_weight[0])
         return float(votes[self.labels[rows] == 1].sum() / votes.sum())
 
     def calibrated(self, share: float) -> float:
@@ -343,11 +404,16 @@ def fit(vectors: Vectors, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.
     vecs = [vectors.of(*c) for c in rows]
     sampled = [max(1, int((labels == c).sum())) for c in (0, 1)]
     weight = tuple(class_rows[c] / sampled[c] for c in (0, 1))
-    model = KnnModel(vectors, BlockMaxIndex(vecs, len(vectors.idf)), labels, ids, weight, rows)
+    index, sums = BlockMaxIndex(vecs, len(vectors.idf)), np.zeros((2, len(vecs)))
+    found = [n for at in range(0, len(vecs), TEXTS) for n in index.nearest(
+        vecs[at: at + TEXTS], NEIGHBOURS, list(range(at, min(at + TEXTS, len(vecs)))), sums)]
+    mean, square = sums / max(len(vecs) - 1, 1)
+    deviation = np.sqrt(np.maximum(square - mean ** 2, 0))
+    # An example like no other one must not outvote all the rest.
+    deviation = np.maximum(deviation, deviation.mean() / 10 or 1)
+    model = KnnModel(vectors, index, labels, ids, weight, rows, np.stack([mean, deviation]))
     x, y, w = [], [], []
     none = np.zeros(2)
-    found = [n for at in range(0, len(vecs), TEXTS) for n in model.index.nearest(
-        vecs[at: at + TEXTS], NEIGHBOURS, skip=list(range(at, min(at + TEXTS, len(vecs)))))]
     for i, (near, sims) in enumerate(found):
         if len(near):
             x.append(2 * model.share(near, sims) - 1)
@@ -415,7 +481,7 @@ def score(docs: DataFrame, model: KnnModel | None, id_col="doc_id", text_col="te
                 if model is None:
                     got = [(0.0, [])] * batch.num_rows
                 else:
-                    got = model.score([reader.read(t) for t in batch.column(2).to_pylist()])
+                    got = model.score(reader.read(batch.column(2).to_pylist()))
                 yield pa.record_batch([batch.column(0), batch.column(1), pa.array([g[0] for g in got], pa.float64()),
                                        pa.array([g[1] for g in got], kind)], names=["id", "held_out", "score", "evidence"])
 

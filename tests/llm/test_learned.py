@@ -266,6 +266,44 @@ def test_toxicity_counts_every_term(spark):
     assert all(got[i]["predicted"] == 1 and got[i]["evidence"][0]["label"] == 1 for i in range(1000, 1008))
 
 
+def test_toxicity_of_few_words_in_long_texts():
+    """One to three toxic words among hundreds of others are caught, clean texts let alone."""
+    rng = random.Random(3)
+    bad = ["".join(rng.choice("bcdfgklmnprstvz") + rng.choice("aeiou") for _ in range(4)) for _ in range(24)]
+    common = [a + b + c for a in ("ba", "do", "ki", "lu", "me") for b in ("nar", "rit", "sol", "lem") for c in ("o", "ta", "vin")]
+    parts, texts = ["sha", "tor", "ven", "qui", "lop", "mar", "est", "ing"], []
+    for i in range(1600):
+        k = rng.choice((100, 300, 900))
+        text = rng.choices(common, k=k) + ["".join(rng.choices(parts, k=4)) for _ in range(k // 4)]
+        text += rng.sample(bad, max(1, k // 300)) if i % 4 == 0 else []
+        rng.shuffle(text)
+        texts.append(" ".join(text))
+    plain = toxicity.Terms()
+    taught, held = ([i for i in range(1600) if (i % 5 == 0) == out] for out in (False, True))
+    counts, labels = [plain.counts(texts[i]) for i in taught], np.array([int(i % 4 == 0) for i in taught])
+    terms, numbers = np.unique(np.concatenate([c[0] for c in counts]), return_inverse=True)
+    rows = list(zip(np.split(numbers, np.cumsum([len(c[0]) for c in counts])[:-1]), [c[1] for c in counts], strict=True))
+    model = toxicity.fit(toxicity.vectors_of(terms, numbers, len(rows)), rows, labels, taught, tuple(np.bincount(labels)))
+    scores = [s for s, _ in model.score(model.reader().read([texts[i] for i in held]))]
+    least = np.quantile([s for s, i in zip(scores, held, strict=True) if i % 4], .9)
+    assert np.mean([s > least for s, i in zip(scores, held, strict=True) if i % 4 == 0]) > .93
+
+
+def test_toxicity_reads_texts_alike_in_any_company():
+    """Counts of terms are those of ``Terms``, whatever is read beside or remembered."""
+    texts = ["some words, some of them Words twice", None, "", "twice as many and the same the same", "word " * 50 + "wordless words"]
+    plain = toxicity.Terms()
+    counts = [dict(zip(*(x.tolist() for x in plain.counts(t)), strict=True)) for t in texts]
+    terms = np.unique(np.array([t for c in counts[3:] for t in c], np.int64))
+    vectors = toxicity.Vectors(terms, np.ones(len(terms)), 1.0)
+    reader = toxicity.Reader(vectors)
+    for many in (texts, texts[:1], texts[::-1]):
+        for text, (numbers, n, unseen) in zip(many, reader.read(many), strict=True):
+            want = counts[texts.index(text)]
+            assert dict(zip(terms[numbers].tolist(), n.tolist(), strict=True)) == {t: k for t, k in want.items() if t in set(terms.tolist())}
+            assert unseen == pytest.approx(sum((1 + math.log(k)) ** 2 for t, k in want.items() if t not in set(terms.tolist())))
+
+
 def test_block_max_index_is_exact():
     rng = np.random.default_rng(1)
     rows = []
