@@ -55,12 +55,13 @@ from ledgerline.llm.labelled import HELD_OUT_FOLDS, label_counts, sample_labels,
 PER_CLASS = 2_000     # bound of the examples, per label
 STEMS = (4, 5, 6, 7, 8)
 REPEATS = (2, 3)      # a stem that comes so often in a text is a further term
-NEIGHBOURS = 200
+NEIGHBOURS = (15, 200)  # at least and at most; in between, 1 / SHARE of the examples
+SHARE = 16
 BLOCK = 64            # examples of a block of the index
 OPENED = 4            # blocks of each text opened before the bounds decide
-DENSE_SHARE = 1 / 18  # a term of more examples than this is bounded by block
+DENSE_SHARE = 1 / 12  # a term of more examples than this is bounded by block
 SEEDS = 24            # examples that the others are grouped around for the order of blocks
-TEXTS = 128           # texts scored together
+TEXTS = 256           # texts scored together
 THRESHOLD = 0.5
 EVIDENCE = 3
 _OUTER = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -346,6 +347,10 @@ class KnnModel:
     shift: float = 0.0
     none_score: float = 0.0
 
+    @property
+    def neighbours(self) -> int:
+        return int(np.clip(len(self.labels) // SHARE, *NEIGHBOURS))
+
     def __getstate__(self) -> dict:
         """What the index is made of; a worker builds it once, so that a
         broadcast has eight bytes for each term of an example, not the index."""
@@ -372,7 +377,7 @@ class KnnModel:
         mean, deviation = self.usual
         above = (sims - mean[rows]) / deviation[rows]
         # Of fewer neighbours, the others have a similarity of 0.
-        above -= above.min() if len(rows) == NEIGHBOURS else (-mean / deviation).min()
+        above -= above.min() if len(rows) == self.neighbours else (-mean / deviation).min()
         if not above.any():
             above += 1
         votes = above * np.where(self.labels[rows] == 1, self.class_weight[1], self.class_weight[0])
@@ -384,7 +389,7 @@ class KnnModel:
     def score(self, texts: list[tuple[np.ndarray, np.ndarray, float]]) -> list[tuple[float, list[dict]]]:
         """Score and evidence of texts given as a reader reads them."""
         out = []
-        for rows, sims in self.index.nearest([self.vectors.of(*t) for t in texts], NEIGHBOURS):
+        for rows, sims in self.index.nearest([self.vectors.of(*t) for t in texts], self.neighbours):
             value = self.calibrated(self.share(rows, sims)) if len(rows) else self.none_score
             out.append((value, [{"id": self.ids[r], "similarity": float(s), "label": int(self.labels[r])}
                                 for r, s in zip(rows[:EVIDENCE].tolist(), sims.tolist(), strict=False)]))
@@ -404,14 +409,15 @@ def fit(vectors: Vectors, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.
     vecs = [vectors.of(*c) for c in rows]
     sampled = [max(1, int((labels == c).sum())) for c in (0, 1)]
     weight = tuple(class_rows[c] / sampled[c] for c in (0, 1))
-    index, sums = BlockMaxIndex(vecs, len(vectors.idf)), np.zeros((2, len(vecs)))
-    found = [n for at in range(0, len(vecs), TEXTS) for n in index.nearest(
-        vecs[at: at + TEXTS], NEIGHBOURS, list(range(at, min(at + TEXTS, len(vecs)))), sums)]
+    model = KnnModel(vectors, BlockMaxIndex(vecs, len(vectors.idf)), labels, ids, weight, rows, np.zeros((2, len(vecs))))
+    sums = np.zeros((2, len(vecs)))
+    found = [n for at in range(0, len(vecs), TEXTS) for n in model.index.nearest(
+        vecs[at: at + TEXTS], model.neighbours, list(range(at, min(at + TEXTS, len(vecs)))), sums)]
     mean, square = sums / max(len(vecs) - 1, 1)
     deviation = np.sqrt(np.maximum(square - mean ** 2, 0))
     # An example like no other one must not outvote all the rest.
     deviation = np.maximum(deviation, deviation.mean() / 10 or 1)
-    model = KnnModel(vectors, index, labels, ids, weight, rows, np.stack([mean, deviation]))
+    model.usual = np.stack([mean, deviation])
     x, y, w = [], [], []
     none = np.zeros(2)
     for i, (near, sims) in enumerate(found):
