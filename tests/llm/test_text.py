@@ -4,11 +4,13 @@ import math
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from ledgerline.llm import chat_format, context_mixing, quality_rules, sentencepiece_codec
+from ledgerline.llm import chat_format, context_mixing, quality_rules, sentencepiece_codec, word_contexts
+from ledgerline.session import shared_dir
 from tests.llm.helpers import LONG, awkward, awkward_rows, empty, fold, lower, prose, words
 
 
@@ -275,6 +277,69 @@ def test_contexts_across_words_equal_brute_force(spark):
     assert all(abs(want[r]) < 1e-9 for r in want.keys() - {g["row"] for g in got})
 
 
+@pytest.mark.parametrize(("known", "hot"), [(0, 1 << 20), (5, 1 << 20), (5, 1), (5, 30), (8, 30)])
+def test_contexts_do_not_depend_on_chunks_frequent_and_hot_words(spark, monkeypatch, known, hot):
+    """Sums of chunks of a few texts, with some words known to all tasks and some
+    dealt over all slots, equal those of the plain table of tokens."""
+    rng = random.Random(9)
+    texts = [(r, rng.random() < .8, [rng.randrange(8) for _ in range(rng.randrange(1, 30))]) for r in range(60)]
+    texts += [(r + 60, *t[1:]) for r, t in enumerate(texts[:20])]
+    table = [(w, sum(t.count(w) for _, train, t in texts if train), -rng.random() * 3, -rng.random() * 3) for w in range(8)]
+    scored = spark.createDataFrame(table, "hash long, c long, s0 float, s1 float")
+    want = context_mixing.across_words(spark.createDataFrame(texts, "row long, train boolean, tokens array<long>"), scored, 2, slots=1).collect()
+    monkeypatch.setattr(word_contexts, "HOT_TOKENS", hot)
+    top = np.array([[h, c] for h, c, *_ in table[:known]], np.int64).reshape(-1, 2)
+    logs = np.array([s for *_, a, b in table[:known] for s in (np.float32(a), np.float32(b))], float).reshape(-1, 2)
+    frequent = word_contexts.Frequent.of(top[:, 0], top[:, 1], logs, 60)
+    chunks = []
+    for i in range(0, 80, 7):
+        some = texts[i: i + 7]
+        codes = np.array([w if w < known else w + 1 for _, _, t in some for w in t])
+        chunks.append((i, bytearray(word_contexts.chunk_blob(codes, np.array([len(t) for *_, t in some]), np.array([int(x) for _, x, _ in some]),
+                                                             np.array([r for r, *_ in some]), np.arange(known, 8)))))
+    got = context_mixing.across_words(spark.createDataFrame(chunks, "chunk long, blob binary").repartition(3), scored, 2, frequent, 5).collect()
+    assert len(got) == len(texts)
+    for r in sorted(want):
+        assert tuple(next(g for g in got if g["row"] == r["row"])) == pytest.approx(tuple(r), abs=1e-9)
+    for (row, _, tokens), r in zip(texts, sorted(want), strict=True):
+        assert r["known"] == len(tokens) and r["m1"] == pytest.approx(sum(table[w][3] for w in tokens), abs=1e-5)
+
+
+def test_lm_stores_a_few_bytes_per_token(spark):
+    """Tables and shuffles of (context, word) rows took several times the input."""
+    rng = random.Random(3)
+    texts = [(i, " ".join(f"w{int(30_000 ** rng.random())}" for _ in range(500)), "en") for i in range(400)]
+    before = written(spark)
+    assert context_mixing.score(spark.createDataFrame(texts, "doc_id long, text string, lang string")).count() == 400
+    assert written(spark) - before < 10 * 400 * 501     # the version before: 24 bytes a token
+
+
+def written(spark):
+    root = shared_dir(spark).removeprefix("file:")
+    return sum(p.stat().st_size for p in Path(root).rglob("lm-*/*.parquet"))
+
+
+def test_beginnings_are_counted_and_scored_once():
+    """What words share with the one before is left out, the results stay."""
+    words_in = sorted(["a", "ab", "abc", "abd", "b", "ünï", "ünïcödé", "x" * 300, "x" * 299 + "y", ""]) + ["ab", "zz", "z"]
+    coder = context_mixing.Coder(np.arange(256.0))
+    n = np.array([[i % 3, i % 2] for i in range(len(words_in))], float)
+    slots = 1 << context_mixing.TABLE_BITS
+
+    def table(parts):
+        cells, weights = zip(*[x for p in parts for x in context_mixing.cells_of([words_in[i] for i in p], n[p], coder)], strict=True)
+        return np.bincount(np.concatenate(cells), np.concatenate(weights), minlength=2 * slots)
+
+    whole, single = table([list(range(len(words_in)))]), table([[i] for i in range(len(words_in))])
+    assert whole.sum() > 0 and np.array_equal(whole, single)
+    counts = whole.reshape(-1, 2).astype(np.float32)
+    model = context_mixing.Mixer(coder, counts[:, 0].copy(), counts[:, 1].copy(), np.full((18, 6), .3), np.ones(2) / 2)
+    each = np.concatenate([model.log10_probabilities([w]) for w in words_in])
+    assert np.allclose(model.log10_probabilities(words_in), each, rtol=1e-12, atol=0)
+    bits, plain = (context_mixing.bits_of(words_in, coder, shared=x) for x in (True, False))
+    assert len(bits.bit) < len(plain.bit) and len(bits.of) == len(plain.token)
+
+
 def test_word_probabilities_sum_to_one_over_each_byte():
     """The code tree is complete: the bits' probabilities of all bytes add up to one."""
     coder = context_mixing.Coder(np.arange(256.0))
